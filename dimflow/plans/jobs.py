@@ -22,14 +22,21 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.functions import rules
 from dimflow.operators import quality as q
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.type2 import TYPE2_COLUMNS, merge_type2
 from dimflow.operators.type4 import CURRENT_SCHEMA, HISTORY_SCHEMA, merge_type4
 from dimflow.operators.validate import with_outcome
-from dimflow.schemas import DIMENSIONS, ERROR, LOAN_COLUMNS, LOAN_SCHEMA, VALID, DimSpec
+from dimflow.schemas import (
+    DIMENSIONS,
+    ERROR,
+    FIRST_MARK,
+    LOAN_COLUMNS,
+    LOAN_SCHEMA,
+    VALID,
+    DimSpec,
+)
 from dimflow.sources.loans_csv import read_loans_csv
 from dimflow.sources.logs import append_log, append_row, read_log
 from dimflow.sources.staging import stage, staging_scope
@@ -110,19 +117,27 @@ def ingest(
         F.count_if(F.col("outcome") == ERROR).alias("error_records"),
     )
     append_log(entry, f"{landing_path}/log")
-    log = read_log(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA)
-    return log.filter(F.col("batch") == F.lit(batch)).orderBy(F.desc("ingestion_timestamp")).first()
+    return _log_entry(spark, landing_path, batch)
 
 
 def _landed(spark: SparkSession, landing_path: str, batches: Iterable[dt.date] | None) -> DataFrame:
-    rows = spark.read.schema(LANDED_SCHEMA).parquet(f"{landing_path}/rows")
-    return rows if batches is None else rows.filter(F.col("batch").isin(*batches))
+    return _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, batches)
+
+
+def _batches_of(
+    spark: SparkSession, path: str, schema: T.StructType, batches: Iterable[dt.date] | None
+) -> DataFrame:
+    """A table kept in batch=<date> folders. Named batches are opened directly, so a
+    run does not list the folders of all batches before it."""
+    reader = spark.read.schema(schema).option("basePath", path)
+    folders = [path] if batches is None else [f"{path}/batch={batch}" for batch in batches]
+    return reader.parquet(*folders).select(*schema.names)
 
 
 def read_ingested(
     spark: SparkSession, landing_path: str, batches: Iterable[dt.date] | None = None
 ) -> DataFrame:
-    """Valid rows; other outcomes and batches are pruned as partitions."""
+    """Valid rows; quarantined ones are pruned as partitions."""
     rows = _landed(spark, landing_path, batches).filter(F.col("outcome") == VALID)
     return rows.select(*LOAN_COLUMNS, "ingestion_timestamp", "batch")
 
@@ -139,6 +154,11 @@ def read_quarantine(
     )
 
 
+def _log_entry(spark: SparkSession, landing_path: str, batch: dt.date) -> Row | None:
+    log = read_log(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA)
+    return log.filter(F.col("batch") == F.lit(batch)).orderBy(F.desc("ingestion_timestamp")).first()
+
+
 def pending_batches(spark: SparkSession, landing_path: str, after: dt.datetime) -> list[Row]:
     """(batch, micros of its ingestion time) for batches ingested after a mark, oldest first.
 
@@ -171,14 +191,14 @@ def check_batch_quality(
     """Report on all rows of a landed batch, valid and quarantined.
 
     A valid row raises no flag, because both come from one rule table. So only
-    the quarantined rows are read; of the valid ones their number is enough.
+    the quarantined rows are read; of the others their number, which the ingest
+    log has, is enough.
     """
+    entry = _log_entry(spark, landing_path, batch)
+    if entry is None:
+        return None
     errors = q.flag_rows(read_quarantine(spark, landing_path, [batch]))
-    names = [*rules.CHECKS, "quality_issue"]
-    unflagged = read_ingested(spark, landing_path, [batch]).select(
-        *[F.lit(0).alias(name) for name in names]
-    )
-    totals = q.quality_totals(errors.select(*names).unionByName(unflagged))
+    totals = q.quality_totals(errors).withColumn("total_records", F.lit(entry.total_records))
     return _write_report(spark, totals, errors, report_path)
 
 
@@ -204,23 +224,22 @@ def transform(
     output_path: str,
     batches: Sequence[dt.date],
     partition_by: str = "application_date",
-    after: dt.datetime | None = None,
+    after: dt.datetime = FIRST_MARK,
+    up_to: dt.datetime | None = None,
 ) -> int:
     """Enrich the valid rows of landed batches and write an audit row; returns the count.
 
     Each batch replaces its own folder. Landed files already hold one value of
     ``partition_by`` each, so the write needs no shuffle to keep files few.
     """
-    rows = read_ingested(spark, landing_path, batches)
-    if after is not None:
-        rows = incremental_slice(rows, after)
-    if rows.isEmpty():
+    rows = incremental_slice(read_ingested(spark, landing_path, batches), after, up_to)
+    count = rows.count()
+    if count == 0:
         return 0
     enriched = enrich_loans(rows).withColumn("transformation_timestamp", F.current_timestamp())
     for batch in batches:
         one = enriched.filter(F.col("batch") == F.lit(batch)).drop("batch")
         replace_folder(one, f"{output_path}/batch={batch}", [partition_by])
-    count = read_transformed(spark, output_path, batches).count()
     now = dt.datetime.now(dt.timezone.utc).isoformat()
     audit = (now, landing_path, output_path, count)
     append_row(spark, f"{output_path}_audit", AUDIT_SCHEMA, audit)
@@ -231,8 +250,7 @@ def read_transformed(
     spark: SparkSession, path: str, batches: Iterable[dt.date] | None = None
 ) -> DataFrame:
     """Transformed rows, optionally of some batches only."""
-    rows = spark.read.schema(TRANSFORMED_SCHEMA).parquet(path).select(*TRANSFORMED_SCHEMA.names)
-    return rows if batches is None else rows.filter(F.col("batch").isin(*batches))
+    return _batches_of(spark, path, TRANSFORMED_SCHEMA, batches)
 
 
 # Dimensions
@@ -341,8 +359,9 @@ def run_batch(
     if not pending:
         return
     batches = [row.batch for row in pending]
-    if transform(spark, landing, transformed, batches, partition_by, after=mark) > 0:
+    reached = utc_from_micros(pending[-1].micros)
+    if transform(spark, landing, transformed, batches, partition_by, mark, reached) > 0:
         rows = read_transformed(spark, transformed, batches)
         merge = scd2 if scd_type == 2 else scd4
         merge(spark, rows, f"{base_path}/type{scd_type}", process_date, specs)
-    write_mark(spark, marks, utc_from_micros(pending[-1].micros))
+    write_mark(spark, marks, reached)
