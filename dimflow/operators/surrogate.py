@@ -12,22 +12,29 @@ _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def number_densely(
-    rows: DataFrame, order: list[Column | str], last_used: DataFrame, name: str = "surrogate_key"
-) -> DataFrame:
-    """Add ``name``: last used + 1, + 2, ... in ``order``.
+def place_in_order(rows: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Stage ``rows`` range-partitioned and sorted by ``order``, with the ``spot`` of each.
 
-    ``order`` must be unique. ``last_used`` is one row with one number. Rows are
-    range-partitioned and sorted, so a row's number is the size of the partitions
-    before its own plus its position. The placed rows are staged: range bounds are
-    sampled, and both passes have to see the same ones, also after an executor is
-    lost. Only the sizes, one row per partition, are gathered and broadcast.
+    ``order`` must be unique. Staging fixes the partitions: range bounds are
+    sampled, and whatever uses a spot has to see the same ones, also after an
+    executor is lost.
     """
-    placed = stage(
+    return stage(
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("spot", F.monotonically_increasing_id())
     )
+
+
+def number_densely(
+    placed: DataFrame, last_used: DataFrame, name: str = "surrogate_key"
+) -> DataFrame:
+    """Replace ``spot`` by ``name``: last used + 1, + 2, ... in the placed order.
+
+    ``last_used`` is one row with one number. A row's number is the size of the
+    partitions before its own plus its position, so only the sizes, one row per
+    partition, are gathered and broadcast.
+    """
     part = F.shiftright("spot", _POSITION_BITS).alias("part")
     sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.unionByName(

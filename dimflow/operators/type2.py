@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.operators.changes import CHANGED, NEW, WAS, classify, to_apply, untouched
-from dimflow.operators.surrogate import number_densely
+from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.schemas import OPEN_END, DimSpec
 
 # The columns a Type 2 table adds to its keys and attributes.
@@ -27,10 +27,9 @@ TYPE2_COLUMNS = tuple(TYPE2_SCHEMA.names)
 
 @dataclass(frozen=True)
 class Type2Merge:
-    """What one batch does to a dimension. ``closed`` holds older versions, which a
-    merge never touches, ``expired`` the versions it ends."""
+    """What one batch does to the current versions: ``expired`` ones end, ``kept`` ones
+    stay, and ``inserted`` ones begin."""
 
-    closed: DataFrame
     expired: DataFrame
     kept: DataFrame
     inserted: DataFrame
@@ -39,10 +38,6 @@ class Type2Merge:
     def current(self) -> DataFrame:
         return self.kept.unionByName(self.inserted)
 
-    @property
-    def dimension(self) -> DataFrame:
-        return self.closed.unionByName(self.expired).unionByName(self.current)
-
 
 def no_type2(updates: DataFrame, spec: DimSpec) -> DataFrame:
     """An empty Type 2 dimension, for the first load."""
@@ -50,34 +45,36 @@ def no_type2(updates: DataFrame, spec: DimSpec) -> DataFrame:
     return updates.select(*spec.columns).where(F.lit(False)).withColumns(blank)
 
 
-def type2_delta(updates: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:
-    """Changed and new keys with their surrogate keys.
-
-    Changed keys are numbered before new ones, each in key order, from the largest
-    key in use.
-    """
-    current = dim.filter("is_current")
-    delta = to_apply(classify(updates, current, spec))
-    order = [F.col("action") == NEW, *[F.col(k) for k in spec.keys]]
-    last_used = dim.agg(F.coalesce(F.max("surrogate_key"), F.lit(0)))
-    return number_densely(delta, order, last_used)
+def last_key(versions: DataFrame) -> DataFrame:
+    """One row: the largest surrogate key, 0 when there are no versions."""
+    return versions.agg(F.coalesce(F.max("surrogate_key"), F.lit(0)).alias("last_key"))
 
 
 def merge_type2(
-    updates: DataFrame, dim: DataFrame | None, spec: DimSpec, process_date: dt.date
+    updates: DataFrame,
+    current: DataFrame | None,
+    spec: DimSpec,
+    process_date: dt.date,
+    last_used: DataFrame | None = None,
 ) -> Type2Merge:
-    """Apply a slice (one row per key) to a dimension; ``None`` means first load.
+    """Merge a slice (one row per key) with the current versions; ``None`` means first load.
 
-    A version covers [effective_start_date, effective_end_date). Closed versions
-    pass through without a shuffle; only current rows meet the batch.
+    A version covers [effective_start_date, effective_end_date). Changed keys get
+    surrogate keys before new ones, each in key order, after ``last_used``. By
+    default that is the largest current one: a merge that ends versions begins as
+    many with larger keys, so the largest key is always current. Older versions
+    are not needed and not read.
     """
-    if dim is None:
-        dim = no_type2(updates, spec)
+    if current is None:
+        current = no_type2(updates, spec)
+    if last_used is None:
+        last_used = last_key(current)
     columns = [*spec.columns, *TYPE2_COLUMNS]
     run_date = F.lit(process_date).cast("date")
-    delta = type2_delta(updates, dim, spec)
+    changes_first = [F.col("action") == NEW, *[F.col(k) for k in spec.keys]]
+    delta = place_in_order(to_apply(classify(updates, current, spec)), changes_first)
 
-    inserted = delta.withColumns(
+    inserted = number_densely(delta, last_used).withColumns(
         {
             "effective_start_date": run_date,
             "effective_end_date": F.lit(OPEN_END),
@@ -93,8 +90,18 @@ def merge_type2(
         F.lit(False).alias("is_current"),
     )
     return Type2Merge(
-        closed=dim.filter(~F.col("is_current")).select(*columns),
         expired=expired,
-        kept=untouched(dim.filter("is_current"), delta, spec).select(*columns),
+        kept=untouched(current, delta, spec).select(*columns),
         inserted=inserted.select(*columns),
     )
+
+
+def apply_type2(
+    updates: DataFrame, dim: DataFrame | None, spec: DimSpec, process_date: dt.date
+) -> DataFrame:
+    """The whole dimension after a slice. Closed versions pass through unshuffled."""
+    if dim is None:
+        dim = no_type2(updates, spec)
+    merge = merge_type2(updates, dim.filter("is_current"), spec, process_date, last_key(dim))
+    closed = dim.filter(~F.col("is_current"))
+    return closed.unionByName(merge.expired).unionByName(merge.current)

@@ -268,31 +268,38 @@ def scd2(
         with staging_scope(spark):
             path = f"{dims_path}/{spec.name}"
             commit = last_commit(spark, path)
-            dim = _type2_at(spark, path, spec, commit)
+            current = _type2_current(spark, path, spec, commit)
             updates = stage(latest_per_key(rows, spec))
-            merge = merge_type2(updates, dim, spec, process_date)
-            if dim is None or not merge.inserted.isEmpty():
+            merge = merge_type2(updates, current, spec, process_date)
+            if current is None or not merge.inserted.isEmpty():
                 commit_version(
                     spark, path, commit, merge.current, merge.expired, process_date,
-                    restart_history=dim is None,
+                    restart_history=current is None,
                 )
 
 
-def _type2_at(
+def _type2_current(
     spark: SparkSession, path: str, spec: DimSpec, commit: Row | None
 ) -> DataFrame | None:
-    required = [*spec.columns, *TYPE2_COLUMNS]
-    current = read_current(spark, path, commit, required)
+    columns = [*spec.columns, *TYPE2_COLUMNS]
+    current = read_current(spark, path, commit, columns)
+    return None if current is None else current.select(*columns)
+
+
+def read_type2(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame | None:
+    """All versions of a Type 2 dimension; None before its first load."""
+    path = f"{dims_path}/{spec.name}"
+    commit = last_commit(spark, path)
+    current = _type2_current(spark, path, spec, commit)
     if current is None:
         return None
-    current = current.select(*required)
     return read_history(spark, path, current.schema, commit).unionByName(current)
 
 
-def read_type2(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame | None:
-    """All versions of a Type 2 dimension; None before its first load."""
+def read_type2_current(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame | None:
+    """The current versions of a Type 2 dimension, without touching older ones."""
     path = f"{dims_path}/{spec.name}"
-    return _type2_at(spark, path, spec, last_commit(spark, path))
+    return _type2_current(spark, path, spec, last_commit(spark, path))
 
 
 def scd4(

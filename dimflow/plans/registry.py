@@ -12,7 +12,7 @@ from dimflow.operators import quality, serve
 from dimflow.operators.changes import classify
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
-from dimflow.operators.type2 import merge_type2
+from dimflow.operators.type2 import apply_type2
 from dimflow.operators.type4 import merge_type4
 from dimflow.operators.validate import split_valid, validity_counts
 from dimflow.plans import jobs
@@ -90,12 +90,13 @@ def dim_loan_slice(spark, sf_dir):
 def type2_after(
     spark: SparkSession, sf_dir: str, spec: DimSpec, batches: Sequence[Batch] = BATCHES
 ) -> DataFrame:
-    """The Type 2 dimension after some batches, each staged as its table would be."""
+    """The Type 2 dimension after some batches, staged between them as a table would be."""
     rows = valid_loans(spark, sf_dir)
     dim = None
     for batch in batches:
         updates = stage(latest_per_key(batch.of(rows), spec))
-        dim = stage(merge_type2(updates, dim, spec, batch.process_date).dimension)
+        before = None if dim is None else stage(dim)
+        dim = apply_type2(updates, before, spec, batch.process_date)
     return dim
 
 
@@ -107,9 +108,10 @@ def type4_after(
     current, archived = None, []
     for batch in batches:
         updates = stage(latest_per_key(batch.of(rows), spec))
-        merge = merge_type4(updates, current, spec, batch.process_date)
+        before = None if current is None else stage(current)
+        merge = merge_type4(updates, before, spec, batch.process_date)
         archived.append(merge.archived)
-        current = stage(merge.current)
+        current = merge.current
     return current, reduce(DataFrame.unionByName, archived)
 
 

@@ -1,0 +1,95 @@
+import math
+
+import pytest
+from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from dimflow.functions.loans import loan_category, monthly_payment
+from dimflow.operators.enrich import enrich_loans
+
+NAN, INF = float("nan"), float("inf")
+
+
+def payments(spark, rows):
+    df = spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)],
+        "i int, amount double, rate double, term int",
+    )
+    paid = df.select("i", monthly_payment(F.col("amount"), F.col("rate"), F.col("term")).alias("p"))
+    return [r.p for r in sorted(paid.collect())]
+
+
+def test_golden_payments(spark):
+    rows = [
+        (5000.0, 5.5, 24), (15000.0, 6.0, 36), (3000.0, 0.0, 12), (25000.0, 7.2, 48), (8000.0, 5.0, 24),
+    ]
+    expected = [
+        220.47828079068086, 456.3290617733356, 250.0, 600.9785960101365, 350.97111787254863,
+    ]
+    assert payments(spark, rows) == pytest.approx(expected, rel=1e-9)
+
+
+def test_undefined_payments_are_null(spark):
+    rows = [
+        (None, 5.0, 12),
+        (None, 0.0, 12),
+        (100.0, 5.0, None),
+        (100.0, 5.0, 0),
+        (100.0, 5.0, -12),
+        (100.0, 1e-16, 12),  # 1 + r is 1: the divisor is 0
+        (100.0, -1200.0, 2),  # 1 + r is 0
+        (100.0, -1199.0, 1200),  # the power overflows
+    ]
+    assert payments(spark, rows) == [None] * len(rows)
+
+
+def test_edge_payments(spark):
+    missing_rate, zero_rate, negative_zero, one_month = payments(
+        spark, [(100.0, None, 12), (100.0, 0.0, 12), (100.0, -0.0, 12), (100.0, 12.0, 1)]
+    )
+    assert missing_rate == zero_rate == negative_zero == pytest.approx(8.333333333333334)
+    assert one_month == pytest.approx(101.0)
+
+
+def test_special_numbers(spark):
+    nan_rate, infinite_rate, nan_amount = payments(
+        spark, [(100.0, NAN, 12), (100.0, INF, 12), (NAN, 5.0, 12)]
+    )
+    assert math.isnan(nan_rate) and math.isnan(nan_amount)
+    assert infinite_rate == INF
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(
+    st.lists(
+        st.tuples(
+            st.floats(1, 1e7), st.floats(0.05, 100), st.integers(1, 480)
+        ),
+        min_size=20,
+        max_size=60,
+    )
+)
+def test_payments_repay_the_loan(spark, rows):
+    """Discounting every payment at the monthly rate gives back the amount."""
+    for (amount, rate, term), payment in zip(rows, payments(spark, rows)):
+        growth = 1 + rate / 1200
+        present = math.fsum(payment / growth**k for k in range(1, term + 1))
+        assert present == pytest.approx(amount, rel=1e-7)
+
+
+def test_categories(spark):
+    amounts = [
+        (None, "Large"), (NAN, "Large"), (0.0, "Small"), (-5.0, "Small"), (4999.99, "Small"),
+        (5000.0, "Medium"), (20000.0, "Medium"), (20000.01, "Large"),
+    ]
+    df = spark.createDataFrame(amounts, "amount double, expected string")
+    assert df.filter(loan_category(F.col("amount")) != F.col("expected")).count() == 0
+
+
+def test_enrichment_stays_in_the_jvm(loans):
+    enriched = enrich_loans(loans({}))
+    assert enriched.columns[-2:] == ["monthly_payment", "loan_category"]
+    plan = plan_of(enriched)
+    assert "EvalPython" not in plan and "Exchange" not in plan

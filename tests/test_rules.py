@@ -1,0 +1,102 @@
+import pytest
+from conftest import rows_of
+
+from dimflow.functions.rules import CHECKS
+from dimflow.operators import quality
+from dimflow.operators.validate import split_valid, validity_counts, with_outcome
+from dimflow.schemas import LOAN_STATUSES
+
+NAN = float("nan")
+
+# (changed columns, checks that fail)
+CASES = [
+    ({}, []),
+    ({"customer_id": None}, ["missing_customer_id"]),
+    ({"loan_id": None}, ["missing_loan_id"]),
+    ({"customer_id": None, "loan_id": None}, ["missing_customer_id", "missing_loan_id"]),
+    ({"loan_amount": None}, []),
+    ({"loan_amount": 0.01}, []),
+    ({"loan_amount": 0.0}, ["invalid_loan_amount"]),
+    ({"loan_amount": -0.0}, ["invalid_loan_amount"]),
+    ({"loan_amount": -1.0}, ["invalid_loan_amount"]),
+    ({"loan_amount": NAN}, []),
+    ({"interest_rate": None}, []),
+    ({"interest_rate": 0.0}, []),
+    ({"interest_rate": 100.0}, []),
+    ({"interest_rate": 100.01}, ["invalid_interest_rate"]),
+    ({"interest_rate": -0.01}, ["invalid_interest_rate"]),
+    ({"interest_rate": NAN}, ["invalid_interest_rate"]),
+    ({"term_months": None}, []),
+    ({"term_months": 1}, []),
+    ({"term_months": 0}, ["invalid_term"]),
+    ({"term_months": -3}, ["invalid_term"]),
+    ({"status": None}, []),
+    ({"status": "Cancelled"}, ["invalid_status"]),
+    ({"status": "approved"}, ["invalid_status"]),
+    *[({"status": status}, []) for status in LOAN_STATUSES],
+    (
+        {"loan_amount": 0.0, "interest_rate": 120.0, "term_months": 0, "status": ""},
+        ["invalid_loan_amount", "invalid_interest_rate", "invalid_term", "invalid_status"],
+    ),
+]
+
+
+@pytest.fixture(scope="module")
+def cases(loans):
+    # customer_name tells the rows apart: no rule reads it.
+    return loans(*[{**row, "customer_name": str(i)} for i, (row, _) in enumerate(CASES)]).cache()
+
+
+def test_flags(cases):
+    flagged = {r.customer_name: r for r in quality.flag_rows(cases).collect()}
+    for i, (_, failing) in enumerate(CASES):
+        row = flagged[str(i)]
+        assert {c for c in CHECKS if row[c]} == set(failing), CASES[i]
+        assert row.quality_issue == len(failing)
+
+
+def test_flag_columns_follow_the_input_in_order(cases):
+    flagged = quality.flag_rows(cases)
+    assert flagged.columns == [*cases.columns, *CHECKS, "quality_issue"]
+    assert {flagged.schema[c].dataType.simpleString() for c in [*CHECKS, "quality_issue"]} == {"int"}
+
+
+def test_split_is_a_partition_and_agrees_with_the_flags(cases):
+    valid, error = split_valid(cases)
+    names = lambda df: {r.customer_name for r in df.collect()}
+    passing = {str(i) for i, (_, failing) in enumerate(CASES) if not failing}
+    assert names(valid) == passing
+    assert names(error) == {str(i) for i in range(len(CASES))} - passing
+    assert names(quality.error_rows(quality.flag_rows(cases))) == names(error)
+    outcomes = {r.customer_name: r.outcome for r in with_outcome(cases).collect()}
+    assert {n for n, o in outcomes.items() if o == "valid"} == passing
+
+
+def test_counts(cases):
+    passing = sum(not failing for _, failing in CASES)
+    assert rows_of(validity_counts(cases)) == [(len(CASES), passing, len(CASES) - passing)]
+
+
+def test_metrics(cases):
+    errors, metrics = quality.run_quality_checks(cases)
+    found = {r.check: r for r in metrics.collect()}
+    assert set(found) == set(CHECKS)
+    for check in CHECKS:
+        count = sum(check in failing for _, failing in CASES)
+        assert found[check].error_count == count
+        assert found[check].error_percentage == pytest.approx(100 * count / len(CASES))
+    assert errors.count() == sum(bool(failing) for _, failing in CASES)
+
+
+def test_metrics_of_nothing(cases):
+    _, metrics = quality.run_quality_checks(cases.limit(0))
+    assert {(r.error_count, r.error_percentage) for r in metrics.collect()} == {(0, 0.0)}
+
+
+def test_report_row(cases):
+    totals = quality.quality_totals(quality.flag_rows(cases))
+    report = quality.quality_report(totals).first()
+    assert report.total_records == len(CASES)
+    assert report.error_records == sum(bool(failing) for _, failing in CASES)
+    assert report.metrics["invalid_term"]["error_count"] == 3
+    assert report.metrics["invalid_term"]["error_percentage"] == pytest.approx(300 / len(CASES))
