@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from dimflow.schemas import OPEN_END, DimSpec
 
-# A dimension of at most this many versions is sent to every task.
+# A dimension within both bounds is sent to every task.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -49,8 +50,9 @@ def as_of_join(
     Version attributes get ``prefix``. Versions of a key must not overlap; empty
     ones (changed twice on a day) never match.
 
-    A dimension counted to be at most ``broadcast_rows`` long is broadcast and the
-    facts are not shuffled. Beyond that, the versions are looked up once per
+    A dimension counted to have at most ``broadcast_rows`` versions and measured
+    to be at most BROADCAST_BYTES long is broadcast, and the facts are not
+    shuffled. Beyond that, the versions are looked up once per
     distinct (key, date) and the answer is joined back on key and date. Facts
     combine to distinct pairs before the shuffle, and a key has at most one pair
     and one non-empty version per calendar day, so a key that holds a third of
@@ -60,7 +62,7 @@ def as_of_join(
     attributes = [c for c in versions.columns if c not in keys]
     spans = versions.filter(F.col("valid_from") < F.col("valid_to")).dropna(subset=keys)
     renamed = spans.select(*keys, *[F.col(c).alias(prefix + c) for c in attributes])
-    if _at_most(spans, broadcast_rows):
+    if _is_small(versions, broadcast_rows):
         lookup = renamed.withColumnsRenamed({k: f"{prefix}key_{k}" for k in keys})
         on = [F.col(k) == F.col(f"{prefix}key_{k}") for k in keys] + [
             F.col(on_date) >= F.col(prefix + "valid_from"),
@@ -75,8 +77,12 @@ def as_of_join(
     )
 
 
-def _at_most(df: DataFrame, rows: int) -> bool:
-    return rows > 0 and df.limit(rows + 1).count() <= rows
+def _is_small(df: DataFrame, rows: int) -> bool:
+    # The count comes from file footers; only a short table is also measured.
+    if rows == 0 or df.count() > rows:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def _versions_on(

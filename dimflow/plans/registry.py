@@ -161,7 +161,8 @@ _ATTRIBUTES = ("dim_employment_status", "dim_annual_income", "dim_valid_from", "
 
 
 def as_of_join(spark, sf_dir, **options):
-    versions = serve.type2_versions(type2_after(spark, sf_dir, DIM_CUSTOMER), DIM_CUSTOMER)
+    dim = stage(type2_after(spark, sf_dir, DIM_CUSTOMER))
+    versions = serve.type2_versions(dim, DIM_CUSTOMER)
     facts = valid_loans(spark, sf_dir).select(*_FACTS)
     joined = serve.as_of_join(facts, versions, DIM_CUSTOMER.keys, "application_date", **options)
     return joined.select(*_FACTS, "dim_surrogate_key", *_ATTRIBUTES)
@@ -173,7 +174,8 @@ def as_of_join_large(spark, sf_dir):
 
 
 def as_of_join_scd4(spark, sf_dir):
-    versions = serve.type4_versions(*type4_after(spark, sf_dir, DIM_CUSTOMER), DIM_CUSTOMER)
+    current, history = map(stage, type4_after(spark, sf_dir, DIM_CUSTOMER))
+    versions = serve.type4_versions(current, history, DIM_CUSTOMER)
     facts = valid_loans(spark, sf_dir).select(*_FACTS)
     joined = serve.as_of_join(facts, versions, DIM_CUSTOMER.keys, "application_date")
     return joined.select(*_FACTS, *_ATTRIBUTES)

@@ -32,12 +32,19 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
 
 
+# Stated, so that no job runs to infer them.
+ORDERS_SCHEMA = """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+ o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"""
+CUSTOMER_SCHEMA = """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+ c_mktsegment string"""
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loans of a data directory."""
     return spark.sql(
         LOANS_SQL,
-        orders=spark.read.parquet(f"{sf_dir}/orders.parquet"),
-        customer=spark.read.parquet(f"{sf_dir}/customer.parquet"),
+        orders=spark.read.schema(ORDERS_SCHEMA).parquet(f"{sf_dir}/orders.parquet"),
+        customer=spark.read.schema(CUSTOMER_SCHEMA).parquet(f"{sf_dir}/customer.parquet"),
     )
 
 

@@ -33,10 +33,15 @@ def write_partitioned(
     Rebalancing gathers each value into few files; a value that holds a large
     share of the rows is split over as many tasks as its size calls for.
     """
-    balanced = df.hint("rebalance", *partition_by)
-    balanced.write.partitionBy(*partition_by).mode(mode).parquet(path)
+    _write(df.hint("rebalance", *partition_by), path, partition_by, mode)
 
 
 def replace_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write ``df`` as the whole content of ``path``, which it must not read from."""
-    df.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
+    _write(df, path, partition_by, "overwrite")
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
+    # Overwriting replaces all of ``path``, whatever the session says.
+    writer = df.write.option("partitionOverwriteMode", "static").mode(mode)
+    writer.partitionBy(*partition_by).parquet(path)

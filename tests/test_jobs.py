@@ -1,0 +1,260 @@
+"""Jobs end to end on small CSV files."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import LOAN, plan_of, rows_of
+from pyspark.sql import functions as F
+
+from dimflow.operators.type2 import TYPE2_COLUMNS
+from dimflow.plans import jobs
+from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, DIMENSIONS, LOAN_COLUMNS, OPEN_END, DimSpec
+from dimflow.streaming.follow import merge_arrived
+from dimflow.streaming.incremental import read_mark
+
+D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
+
+GOLDEN = [
+    ("L001", 5000.0, 5.5, 24, 220.47828079068086, "Medium"),
+    ("L002", 15000.0, 6.0, 36, 456.3290617733356, "Medium"),
+    ("L003", 3000.0, 0.0, 12, 250.0, "Small"),
+    ("L004", 25000.0, 7.2, 48, 600.9785960101365, "Large"),
+    ("L005", 8000.0, 5.0, 24, 350.97111787254863, "Medium"),
+]
+
+
+def loan(customer, loan_id, **columns):
+    return {**LOAN, "customer_id": customer, "loan_id": loan_id, **columns}
+
+
+def csv_file(path, *rows):
+    """A CSV as a source system would leave it."""
+    with open(path, "w") as file:
+        file.write(",".join(LOAN_COLUMNS) + "\n")
+        for row in rows:
+            file.write(",".join("" if row[c] is None else str(row[c]) for c in LOAN_COLUMNS) + "\n")
+    return path
+
+
+FIRST = (
+    loan("C1", "L1"),
+    loan("C2", "L2", loan_amount=100.0, application_date=dt.date(2023, 1, 16)),
+    loan("C3", "L3", loan_amount=30000.0, application_date=None),
+    loan("C4", "L4", loan_amount=-5.0),
+    loan(None, "L5", status="Lost", interest_rate=101.0),
+)
+SECOND = (
+    loan("C1", "L1", status="Repaid", employment_status="Retired"),
+    loan("C2", "L2", loan_amount=100.0, application_date=dt.date(2023, 1, 16)),
+    loan("C5", "L6"),
+)
+
+
+def test_golden_payments_through_the_files(spark, folder):
+    rows = [
+        loan(f"C{i}", name, loan_amount=a, interest_rate=r, term_months=t)
+        for i, (name, a, r, t, _, _) in enumerate(GOLDEN)
+    ]
+    path = csv_file(folder("in.csv"), *rows)
+    entry = jobs.ingest(spark, path, folder("landing"), D1)
+    assert (entry.total_records, entry.valid_records, entry.error_records) == (5, 5, 0)
+    assert jobs.transform(spark, folder("landing"), folder("out"), [D1]) == 5
+    found = {r.loan_id: r for r in jobs.read_transformed(spark, folder("out")).collect()}
+    for name, _, _, _, payment, category in GOLDEN:
+        assert found[name].monthly_payment == pytest.approx(payment, rel=1e-9)
+        assert found[name].loan_category == category
+        assert found[name].transformation_timestamp is not None
+
+
+def test_ingest_splits_and_partitions(spark, folder):
+    landing = folder("landing")
+    entry = jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
+    assert (entry.total_records, entry.valid_records, entry.error_records) == (5, 3, 2)
+    ingested = jobs.read_ingested(spark, landing)
+    assert ingested.columns == [*LOAN_COLUMNS, "ingestion_timestamp", "batch"]
+    assert rows_of(ingested, "loan_id", "application_date") == [
+        ("L1", dt.date(2023, 1, 15)), ("L2", dt.date(2023, 1, 16)), ("L3", None),
+    ]
+    quarantine = jobs.read_quarantine(spark, landing, [D1])
+    assert rows_of(quarantine, "loan_id", "error_date") == [("L4", D1), ("L5", D1)]
+    assert quarantine.filter("error_timestamp IS NULL").isEmpty()
+    plan = plan_of(ingested.filter(F.col("application_date") == F.lit(dt.date(2023, 1, 16))))
+    assert "PartitionFilters" in plan and "application_date" in plan[plan.index("PartitionFilters"):]
+
+
+def test_ingest_again_replaces_the_batch_only(spark, folder):
+    landing = folder("landing")
+    jobs.ingest(spark, csv_file(folder("1.csv"), *FIRST), landing, D1)
+    jobs.ingest(spark, csv_file(folder("2.csv"), *SECOND), landing, D2)
+    jobs.ingest(spark, csv_file(folder("3.csv"), FIRST[0]), landing, D1)
+    assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "batch") == [
+        ("L1", D1), ("L1", D2), ("L2", D2), ("L6", D2),
+    ]
+    assert jobs.read_quarantine(spark, landing).isEmpty()
+
+
+def test_ingest_by_another_column(spark, folder):
+    landing = folder("landing")
+    jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1, "status")
+    assert os.path.isdir(f"{landing}/rows/batch={D1}/outcome=valid/status=Approved")
+    assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "status")[0] == ("L1", "Approved")
+
+
+def test_empty_input_writes_nothing(spark, folder):
+    path = csv_file(folder("in.csv"))
+    assert jobs.ingest(spark, path, folder("landing"), D1) is None
+    jobs.run_batch(spark, path, folder("base"), D1)
+    assert not os.path.exists(folder("landing")) and not os.path.exists(folder("base"))
+
+
+def test_a_missing_input_raises(spark, folder):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.run_batch(spark, folder("nothing.csv"), folder("base"), D1)
+
+
+def test_quality_of_a_batch_equals_quality_of_its_raw_rows(spark, folder, loans):
+    landing = folder("landing")
+    jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
+    of_batch = jobs.check_batch_quality(spark, landing, D1, folder("batch.json"))
+    of_rows = jobs.check_quality(spark, loans(*FIRST), folder("rows.json"))
+    assert of_batch == of_rows and of_batch.error_records == 2
+    report = spark.read.json(folder("batch.json")).first()
+    assert report.total_records == 5 and report.timestamp
+    assert report.metrics.invalid_status.error_count == 1
+    assert report.metrics.invalid_status.error_percentage == 20.0
+    errors = spark.read.parquet(folder("batch_errors.parquet"))
+    assert rows_of(errors, "loan_id", "quality_issue") == [("L4", 1), ("L5", 3)]
+
+
+def test_quality_without_errors_or_rows(spark, folder, loans):
+    assert jobs.check_quality(spark, loans({}), folder("good.json")).error_records == 0
+    assert os.path.exists(folder("good.json"))
+    assert not os.path.exists(folder("good_errors.parquet"))
+    assert jobs.check_quality(spark, loans({}).limit(0), folder("none.json")) is None
+    assert not os.path.exists(folder("none.json"))
+
+
+def test_audit_is_beside_the_table_and_grows(spark, folder):
+    landing, out = folder("landing"), folder("out")
+    jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
+    for _ in range(2):
+        jobs.transform(spark, landing, out, [D1])
+    assert jobs.read_transformed(spark, out).count() == 3
+    audit = spark.read.json(f"{out}_audit")
+    assert [(r.input_path, r.output_path, r.record_count) for r in audit.collect()] == 2 * [
+        (landing, out, 3)
+    ]
+
+
+def run_two(spark, folder, scd_type):
+    base = folder("base")
+    jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, scd_type)
+    jobs.run_batch(spark, csv_file(folder("2.csv"), *SECOND), base, D2, scd_type)
+    return base
+
+
+def test_type2_run(spark, folder):
+    base = run_two(spark, folder, 2)
+    dims = f"{base}/type2"
+    customers = jobs.read_type2(spark, dims, DIM_CUSTOMER)
+    assert customers.columns == [*DIM_CUSTOMER.columns, *TYPE2_COLUMNS]
+    columns = ["customer_id", "employment_status", *TYPE2_COLUMNS]
+    expected = [
+        ("C1", "Employed", 1, D1, D2, False),
+        ("C1", "Retired", 4, D2, OPEN_END, True),
+        ("C2", "Employed", 2, D1, OPEN_END, True),
+        ("C3", "Employed", 3, D1, OPEN_END, True),
+        ("C5", "Employed", 5, D2, OPEN_END, True),
+    ]
+    assert rows_of(customers, *columns) == expected
+    current = jobs.read_type2_current(spark, dims, DIM_CUSTOMER)
+    assert rows_of(current, *columns) == [row for row in expected if row[-1]]
+    loan_columns = ["loan_id", "status", "loan_category", "surrogate_key", "is_current"]
+    assert rows_of(jobs.read_type2(spark, dims, DIM_LOAN), *loan_columns) == [
+        ("L1", "Approved", "Medium", 1, False),
+        ("L1", "Repaid", "Medium", 4, True),
+        ("L2", "Approved", "Small", 2, True),
+        ("L3", "Approved", "Large", 3, True),
+        ("L6", "Approved", "Medium", 5, True),
+    ]
+    # The second batch again, and one more run without new facts: nothing changes.
+    mark = read_mark(spark, f"{base}/watermark/type2")
+    jobs.run_batch(spark, folder("2.csv"), base, D2, 2)
+    assert read_mark(spark, f"{base}/watermark/type2") > mark
+    assert rows_of(jobs.read_type2(spark, dims, DIM_CUSTOMER), *columns) == expected
+    assert sorted(os.listdir(f"{dims}/dim_customer/history")) == ["version=1", "version=2"]
+
+
+def test_type4_run_agrees_with_type2(spark, folder):
+    base = run_two(spark, folder, 4)
+    current, history = jobs.read_type4(spark, f"{base}/type4", DIM_CUSTOMER)
+    columns = ["customer_id", "employment_status", "record_effective_date"]
+    assert rows_of(current, *columns) == [
+        ("C1", "Retired", D2), ("C2", "Employed", D1), ("C3", "Employed", D1), ("C5", "Employed", D2),
+    ]
+    assert rows_of(history, *columns, "record_end_date") == [("C1", "Employed", D1, D2)]
+    assert history.columns[-1] == "archived_at"
+    # Choosing the other type later starts from the same landed rows, as one first load.
+    jobs.run_batch(spark, folder("2.csv"), base, D3, 2)
+    type2 = jobs.read_type2(spark, f"{base}/type2", DIM_CUSTOMER)
+    assert rows_of(type2, "customer_id") == rows_of(current, "customer_id")
+    assert rows_of(type2, "effective_start_date") == 4 * [(D3,)]
+
+
+def test_a_first_load_has_no_history(spark, folder):
+    base = folder("base")
+    assert jobs.read_type2(spark, base, DIM_CUSTOMER) is None
+    assert jobs.read_type4(spark, base, DIM_CUSTOMER) is None
+    jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, 4, specs=[DIM_CUSTOMER])
+    current, history = jobs.read_type4(spark, f"{base}/type4", DIM_CUSTOMER)
+    assert (current.count(), history.count()) == (3, 0)
+    assert history.columns == [*DIM_CUSTOMER.columns, "record_effective_date", "record_end_date", "archived_at"]
+
+
+@pytest.mark.parametrize("failing", ["transform", "scd2", "write_mark"])
+def test_a_run_that_died_is_made_up_for_by_the_next(spark, folder, monkeypatch, failing):
+    base = folder("base")
+
+    def die(*args, real=getattr(jobs, failing), **kwargs):
+        if failing == "write_mark":
+            raise OSError("lost")
+        real(*args, **kwargs)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, failing, die)
+        with pytest.raises(OSError):
+            jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, 2, specs=[DIM_CUSTOMER])
+    jobs.run_batch(spark, csv_file(folder("2.csv"), SECOND[2]), base, D2, 2, specs=[DIM_CUSTOMER])
+    dim = jobs.read_type2(spark, f"{base}/type2", DIM_CUSTOMER)
+    assert [row[0] for row in rows_of(dim, "customer_id")] == ["C1", "C2", "C3", "C5"]
+    assert jobs.read_transformed(spark, f"{base}/transformed").count() == 4
+
+
+def test_any_dimension_in_the_configuration_is_kept(spark, folder):
+    spec = DimSpec("dim_employer", keys=("customer_id", "status"), tracked=("annual_income",))
+    base = folder("base")
+    jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, 2, specs=[spec])
+    dim = jobs.read_type2(spark, f"{base}/type2", spec)
+    assert rows_of(dim, "customer_id", "status", "surrogate_key") == [
+        ("C1", "Approved", 1), ("C2", "Approved", 2), ("C3", "Approved", 3),
+    ]
+
+
+def test_unknown_type(spark, folder):
+    with pytest.raises(ValueError, match="scd_type"):
+        jobs.run_batch(spark, folder("in.csv"), folder("base"), D1, 3)
+
+
+def test_stream_form_equals_the_stored_mark(spark, folder):
+    base = run_two(spark, folder, 2)
+    landing, dims, seen = folder("landing"), folder("dims"), folder("seen")
+    for path, date in ((folder("1.csv"), D1), (folder("2.csv"), D2), (None, D3)):
+        if path:
+            jobs.ingest(spark, path, landing, date)
+        merge_arrived(spark, landing, dims, seen, date)
+    for spec in DIMENSIONS:
+        assert rows_of(jobs.read_type2(spark, dims, spec)) == rows_of(
+            jobs.read_type2(spark, f"{base}/type2", spec)
+        )
