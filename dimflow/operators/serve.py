@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from dimflow.schemas import OPEN_END, DimSpec
 # A dimension within both bounds is sent to every task.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
+# Up to this many versions of one key are compared with each of the key's facts.
+COMPARED_VERSIONS = 64
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -44,37 +46,35 @@ def as_of_join(
     on_date: str,
     prefix: str = "dim_",
     broadcast_rows: int = BROADCAST_ROWS,
+    compared_versions: int = COMPARED_VERSIONS,
 ) -> DataFrame:
     """Left join: each fact with the version whose [valid_from, valid_to) holds its date.
 
     Version attributes get ``prefix``. Versions of a key must not overlap; empty
-    ones (changed twice on a day) never match.
-
-    A dimension counted to have at most ``broadcast_rows`` versions and measured
-    to be at most BROADCAST_BYTES long is broadcast, and the facts are not
-    shuffled. Beyond that, the versions are looked up once per
-    distinct (key, date) and the answer is joined back on key and date. Facts
-    combine to distinct pairs before the shuffle, and a key has at most one pair
-    and one non-empty version per calendar day, so a key that holds a third of
-    the facts is a short timeline, walked once, and its facts spread over dates.
+    ones (changed twice on a day) never match. The result is the same whichever
+    way the join runs; the versions are measured to choose it:
+
+    * At most ``broadcast_rows`` of them, and BROADCAST_BYTES: they are broadcast and
+      the facts are not shuffled.
+    * At most ``compared_versions`` of any key: one join on the keys, with the dates
+      as a condition. Adaptive execution splits a key that holds many facts.
+    * Otherwise the version is looked up once per distinct (key, date) and joined
+      back on both. Facts combine to distinct pairs before the shuffle, and a key
+      has at most one pair and one non-empty version per calendar day, so a hot
+      key is a short timeline, walked once, and its facts spread over dates.
     """
     keys = list(keys)
     attributes = [c for c in versions.columns if c not in keys]
     spans = versions.filter(F.col("valid_from") < F.col("valid_to")).dropna(subset=keys)
     renamed = spans.select(*keys, *[F.col(c).alias(prefix + c) for c in attributes])
     if _is_small(versions, broadcast_rows):
-        lookup = renamed.withColumnsRenamed({k: f"{prefix}key_{k}" for k in keys})
-        on = [F.col(k) == F.col(f"{prefix}key_{k}") for k in keys] + [
-            F.col(on_date) >= F.col(prefix + "valid_from"),
-            F.col(on_date) < F.col(prefix + "valid_to"),
-        ]
-        joined = facts.join(F.broadcast(lookup), on, "left")
-        return joined.drop(*[f"{prefix}key_{k}" for k in keys])
-
-    found = _versions_on(facts.select(*keys, on_date), renamed, keys, on_date, prefix)
-    return facts.join(found, [*keys, on_date], "left").select(
-        *facts.columns, *[prefix + c for c in attributes]
-    )
+        joined = _join_on_dates(facts, renamed, keys, on_date, prefix, F.broadcast)
+    elif _most_versions(spans, keys) <= compared_versions:
+        joined = _join_on_dates(facts, renamed, keys, on_date, prefix)
+    else:
+        found = _versions_on(facts.select(*keys, on_date), renamed, keys, on_date, prefix)
+        joined = facts.join(found, [*keys, on_date], "left")
+    return joined.select(*facts.columns, *[prefix + c for c in attributes])
 
 
 def _is_small(df: DataFrame, rows: int) -> bool:
@@ -85,6 +85,27 @@ def _is_small(df: DataFrame, rows: int) -> bool:
     return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
 
 
+def _most_versions(spans: DataFrame, keys: list[str]) -> int:
+    per_key = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.max("n")).first()[0] or 0
+
+
+def _join_on_dates(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: list[str],
+    on_date: str,
+    prefix: str,
+    hint: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    theirs = {k: f"{prefix}key_{k}" for k in keys}
+    on = [F.col(k) == F.col(theirs[k]) for k in keys] + [
+        F.col(on_date) >= F.col(prefix + "valid_from"),
+        F.col(on_date) < F.col(prefix + "valid_to"),
+    ]
+    return facts.join(hint(versions.withColumnsRenamed(theirs)), on, "left")
+
+
 def _versions_on(
     facts: DataFrame, versions: DataFrame, keys: list[str], on_date: str, prefix: str
 ) -> DataFrame:

@@ -173,6 +173,11 @@ def as_of_join_large(spark, sf_dir):
     return as_of_join(spark, sf_dir, broadcast_rows=0)
 
 
+def as_of_join_timeline(spark, sf_dir):
+    """The same join the way it runs when a key may have many versions."""
+    return as_of_join(spark, sf_dir, broadcast_rows=0, compared_versions=0)
+
+
 def as_of_join_scd4(spark, sf_dir):
     current, history = map(stage, type4_after(spark, sf_dir, DIM_CUSTOMER))
     versions = serve.type4_versions(current, history, DIM_CUSTOMER)
@@ -280,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "scd4_history": scd4_history,
     "as_of_join": as_of_join,
     "as_of_join_large": as_of_join_large,
+    "as_of_join_timeline": as_of_join_timeline,
     "as_of_join_scd4": as_of_join_scd4,
     "incremental_slice": incremental,
     "next_watermark": next_watermark,

@@ -19,8 +19,11 @@ def versions_of(spark, rows):
     return spark.createDataFrame(rows, "k string, v string, valid_from date, valid_to date")
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, serve.BROADCAST_ROWS])
-def test_as_of_edges(spark, broadcast_rows):
+WAYS = [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "compared_versions": 0}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_as_of_edges(spark, way):
     versions = versions_of(
         spark,
         [
@@ -39,13 +42,13 @@ def test_as_of_edges(spark, broadcast_rows):
         [(i, k, day(n)) for i, (k, n, _) in enumerate(asked)] + [(99, "a", None)],
         "i int, k string, on_day date",
     )
-    joined = serve.as_of_join(facts, versions, ["k"], "on_day", broadcast_rows=broadcast_rows)
+    joined = serve.as_of_join(facts, versions, ["k"], "on_day", **way)
     assert joined.columns == ["i", "k", "on_day", "dim_v", "dim_valid_from", "dim_valid_to"]
     found = {r.i: r.dim_v for r in joined.collect()}
     assert found == {**{i: v for i, (_, _, v) in enumerate(asked)}, 99: None}
 
 
-def test_both_ways_agree_with_brute_force_under_a_hot_key(spark):
+def test_all_ways_agree_with_brute_force_under_a_hot_key(spark):
     rng = random.Random(7)
     versions, facts = [], []
     for key in ["hot", *(f"k{i}" for i in range(30))]:
@@ -60,21 +63,30 @@ def test_both_ways_agree_with_brute_force_under_a_hot_key(spark):
         (i, next((v for k, v, s, e in versions if k == key and s <= d < e), None)) for i, key, d in facts
     )
     frame = spark.createDataFrame(facts, "i int, k string, d date")
-    for broadcast_rows in (0, 10_000):
-        joined = serve.as_of_join(
-            frame, versions_of(spark, versions), ["k"], "d", broadcast_rows=broadcast_rows
-        )
+    for way in WAYS:
+        joined = serve.as_of_join(frame, versions_of(spark, versions), ["k"], "d", **way)
         assert sorted(tuple(r) for r in joined.select("i", "dim_v").collect()) == expected
 
 
-def test_large_dimensions_are_never_broadcast_whole(spark):
-    facts = spark.createDataFrame([("a", DAY)], "k string, d date")
-    versions = versions_of(spark, [("a", "one", day(0), OPEN_END), ("b", "two", day(0), OPEN_END)])
-    small = serve.as_of_join(facts, versions, ["k"], "d", broadcast_rows=2)
-    large = serve.as_of_join(facts, versions, ["k"], "d", broadcast_rows=1)
-    assert "BroadcastHashJoin" in plan_of(small) and "Window" not in plan_of(small)
-    assert "Window" in plan_of(large) and "NestedLoop" not in plan_of(large)
-    assert rows_of(small) == rows_of(large)
+def test_the_measured_dimension_decides_the_way(spark, monkeypatch):
+    facts = spark.createDataFrame([("a", day(1))], "k string, d date")
+    versions = versions_of(
+        spark, [("a", "one", day(0), day(2)), ("a", "two", day(2), OPEN_END), ("b", "b", day(0), OPEN_END)]
+    )
+
+    def join(**way):
+        return serve.as_of_join(facts, versions, ["k"], "d", **way)
+
+    small = join(broadcast_rows=3)
+    # Three versions are one too many to broadcast; "a" has two.
+    few, many = (join(broadcast_rows=2, compared_versions=n) for n in (2, 1))
+    monkeypatch.setattr(serve, "BROADCAST_BYTES", 10)
+    wide = join(broadcast_rows=3, compared_versions=2)
+    assert "BroadcastHashJoin" in plan_of(small)
+    for df in (few, wide):
+        assert "SortMergeJoin" in plan_of(df) and "Window" not in plan_of(df)
+    assert "Window" in plan_of(many) and "NestedLoop" not in plan_of(many)
+    assert rows_of(small) == rows_of(few) == rows_of(many) == rows_of(wide)
 
 
 def test_version_views(spark):
