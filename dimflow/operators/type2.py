@@ -28,8 +28,9 @@ TYPE2_COLUMNS = tuple(TYPE2_SCHEMA.names)
 @dataclass(frozen=True)
 class Type2Merge:
     """What one batch does to the current versions: ``expired`` ones end, ``kept`` ones
-    stay, and ``inserted`` ones begin."""
+    stay, and ``inserted`` ones begin. ``delta`` is empty when nothing changes."""
 
+    delta: DataFrame
     expired: DataFrame
     kept: DataFrame
     inserted: DataFrame
@@ -90,6 +91,7 @@ def merge_type2(
         F.lit(False).alias("is_current"),
     )
     return Type2Merge(
+        delta=delta,
         expired=expired,
         kept=untouched(current, delta, spec).select(*columns),
         inserted=inserted.select(*columns),

@@ -27,8 +27,10 @@ HISTORY_SCHEMA = T.StructType(
 @dataclass(frozen=True)
 class Type4Merge:
     """What one batch does: ``archived`` is appended to history, ``kept`` and
-    ``inserted`` (refreshed and new keys) are the next current table."""
+    ``inserted`` (refreshed and new keys) are the next current table. ``delta`` is
+    empty when nothing changes."""
 
+    delta: DataFrame
     archived: DataFrame
     kept: DataFrame
     inserted: DataFrame
@@ -70,6 +72,7 @@ def merge_type4(
         F.current_timestamp().alias("archived_at"),
     )
     return Type4Merge(
+        delta=delta,
         archived=archived,
         kept=untouched(current, delta, spec).select(*columns),
         inserted=delta.withColumn("record_effective_date", run_date).select(*columns),

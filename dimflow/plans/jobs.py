@@ -38,7 +38,7 @@ from dimflow.schemas import (
     DimSpec,
 )
 from dimflow.sources.loans_csv import read_loans_csv
-from dimflow.sources.logs import append_log, append_row, read_log
+from dimflow.sources.logs import append_log, append_row, one_row, read_log
 from dimflow.sources.staging import stage, staging_scope
 from dimflow.sources.tables import replace_folder, write_partitioned
 from dimflow.sources.versions import commit_version, last_commit, read_current, read_history
@@ -186,15 +186,19 @@ def check_quality(spark: SparkSession, rows: DataFrame, report_path: str) -> Row
 
 
 def check_batch_quality(
-    spark: SparkSession, landing_path: str, batch: dt.date, report_path: str
+    spark: SparkSession,
+    landing_path: str,
+    batch: dt.date,
+    report_path: str,
+    entry: Row | None = None,
 ) -> Row | None:
     """Report on all rows of a landed batch, valid and quarantined.
 
     A valid row raises no flag, because both come from one rule table. So only
-    the quarantined rows are read; of the others their number, which the ingest
-    log has, is enough.
+    the quarantined rows are read; of the others their number, which the batch's
+    ingest log row has, is enough.
     """
-    entry = _log_entry(spark, landing_path, batch)
+    entry = entry or _log_entry(spark, landing_path, batch)
     if entry is None:
         return None
     errors = q.flag_rows(read_quarantine(spark, landing_path, [batch]))
@@ -210,7 +214,7 @@ def _write_report(
         return None
     if counted.error_records > 0:
         replace_folder(errors, errors_path(report_path))
-    report = q.quality_report(spark.createDataFrame([counted], totals.schema))
+    report = q.quality_report(one_row(spark, totals.schema, counted))
     report.coalesce(1).write.mode("overwrite").json(report_path)
     return counted
 
@@ -271,7 +275,7 @@ def scd2(
             current = _type2_current(spark, path, spec, commit)
             updates = stage(latest_per_key(rows, spec))
             merge = merge_type2(updates, current, spec, process_date)
-            if current is None or not merge.inserted.isEmpty():
+            if current is None or not merge.delta.isEmpty():
                 commit_version(
                     spark, path, commit, merge.current, merge.expired, process_date,
                     restart_history=current is None,
@@ -317,7 +321,7 @@ def scd4(
             current = read_current(spark, path, commit, [*spec.columns, *CURRENT_SCHEMA.names])
             updates = stage(latest_per_key(rows, spec))
             merge = merge_type4(updates, current, spec, process_date)
-            if current is None or not merge.inserted.isEmpty():
+            if current is None or not merge.delta.isEmpty():
                 commit_version(spark, path, commit, merge.current, merge.archived, process_date)
 
 
@@ -357,9 +361,10 @@ def run_batch(
     landing, transformed = f"{base_path}/ingested", f"{base_path}/transformed"
     marks = f"{base_path}/watermark/type{scd_type}"
 
-    if ingest(spark, input_path, landing, process_date, partition_by) is not None:
+    entry = ingest(spark, input_path, landing, process_date, partition_by)
+    if entry is not None:
         report = f"{base_path}/reports/quality/batch={process_date}"
-        check_batch_quality(spark, landing, process_date, report)
+        check_batch_quality(spark, landing, process_date, report, entry)
 
     mark = read_mark(spark, marks)
     pending = pending_batches(spark, landing, mark)

@@ -8,6 +8,7 @@ the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.sources.tables import load_optional
@@ -16,6 +17,17 @@ from dimflow.sources.tables import load_optional
 _TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def one_row(spark: SparkSession, schema: T.StructType, row: tuple) -> DataFrame:
+    """Driver values as a DataFrame of literals, which needs no Python worker."""
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, row, strict=True)]
+    return spark.range(0, 1, numPartitions=1).select(*values)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty DataFrame that the optimizer knows to be empty."""
+    return one_row(spark, schema, (None,) * len(schema)).where(F.lit(False))
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     """Append a few rows to the JSON dataset at ``path``."""
     log = rows.coalesce(1).write.mode("append")
@@ -24,10 +36,10 @@ def append_log(rows: DataFrame, path: str) -> None:
 
 def append_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
     """Append one row of driver values."""
-    append_log(spark.createDataFrame([row], schema), path)
+    append_log(one_row(spark, schema, row), path)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of the dataset; none when it does not exist yet."""
     df = load_optional(spark, path, schema, format="json")
-    return spark.createDataFrame([], schema) if df is None else df
+    return no_rows(spark, schema) if df is None else df

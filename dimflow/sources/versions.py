@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.sources.logs import append_row, read_log
+from dimflow.sources.logs import append_row, no_rows, read_log
 from dimflow.sources.staging import delete_folder
 from dimflow.sources.tables import load_optional, replace_folder
 
@@ -61,7 +61,7 @@ def read_history(
 ) -> DataFrame:
     """All committed history rows; none when the table does not exist."""
     if commit is None:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     with_version = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
     return (
         spark.read.schema(with_version)
