@@ -9,11 +9,11 @@ from dimflow.functions.compare import any_differs
 from dimflow.schemas import DimSpec
 
 NEW, CHANGED, SAME = "new", "changed", "same"
-WAS = "was_"
+ACTION, WAS = "_action", "_was_"
 
 
 def classify(updates: DataFrame, current: DataFrame, spec: DimSpec) -> DataFrame:
-    """``updates`` plus ``action`` and, as ``was_*``, the current row each one meets.
+    """``updates`` plus ``_action`` and, as ``_was_*``, the current row each one meets.
 
     Both sides hold one row per key, so neither join can be skewed. The semi-join
     comes first and ships keys only: when the batch is small, Spark broadcasts its
@@ -25,19 +25,19 @@ def classify(updates: DataFrame, current: DataFrame, spec: DimSpec) -> DataFrame
     before = touched.select(
         *keys,
         *[F.col(c).alias(WAS + c) for c in touched.columns if c not in keys],
-        F.lit(True).alias("was_there"),
+        F.lit(True).alias("_was_there"),
     )
     differs = any_differs((c, WAS + c) for c in spec.tracked)
-    action = F.when(F.col("was_there").isNull(), NEW).when(differs, CHANGED).otherwise(SAME)
-    return updates.join(before, keys, "left").withColumn("action", action).drop("was_there")
+    action = F.when(F.col("_was_there").isNull(), NEW).when(differs, CHANGED).otherwise(SAME)
+    return updates.join(before, keys, "left").withColumn(ACTION, action).drop("_was_there")
 
 
 def to_apply(classified: DataFrame) -> DataFrame:
     """Rows that alter the dimension: changed and new keys."""
-    return classified.filter(F.col("action") != SAME)
+    return classified.filter(F.col(ACTION) != SAME)
 
 
 def untouched(current: DataFrame, delta: DataFrame, spec: DimSpec) -> DataFrame:
     """Current rows that no change replaces, keys missing from the batch included."""
-    replaced = delta.filter(F.col("action") == CHANGED).select(*spec.keys)
+    replaced = delta.filter(F.col(ACTION) == CHANGED).select(*spec.keys)
     return current.join(replaced, list(spec.keys), "left_anti").select(*current.columns)

@@ -86,8 +86,8 @@ def _is_small(df: DataFrame, rows: int) -> bool:
 
 
 def _most_versions(spans: DataFrame, keys: list[str]) -> int:
-    per_key = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.max("n")).first()[0] or 0
+    per_key = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("_versions"))
+    return per_key.agg(F.max("_versions")).first()[0] or 0
 
 
 def _join_on_dates(
@@ -114,22 +114,22 @@ def _versions_on(
     starts = versions.select(
         *keys,
         F.col(prefix + "valid_from").alias(on_date),
-        F.lit(False).alias("asked"),
-        F.struct(*attributes).alias("version"),
+        F.lit(False).alias("_asked"),
+        F.struct(*attributes).alias("_version"),
     )
     asked = (
         facts.dropna()
         .distinct()
-        .withColumns({"asked": F.lit(True), "version": F.lit(None).cast(starts.schema["version"].dataType)})
+        .withColumns({"_asked": F.lit(True), "_version": F.lit(None).cast(starts.schema["_version"].dataType)})
     )
     up_to_here = (
         Window.partitionBy(*keys)
-        .orderBy(on_date, "asked")
+        .orderBy(on_date, "_asked")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         starts.unionByName(asked)
-        .withColumn("version", F.last("version", ignorenulls=True).over(up_to_here))
-        .filter(F.col("asked") & (F.col(on_date) < F.col(f"version.{prefix}valid_to")))
-        .select(*keys, on_date, *[F.col(f"version.{c}").alias(c) for c in attributes])
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(up_to_here))
+        .filter(F.col("_asked") & (F.col(on_date) < F.col(f"_version.{prefix}valid_to")))
+        .select(*keys, on_date, *[F.col(f"_version.{c}").alias(c) for c in attributes])
     )

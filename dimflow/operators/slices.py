@@ -20,10 +20,10 @@ def latest_per_key(batch: DataFrame, spec: DimSpec) -> DataFrame:
     """
     order = [c for c in spec.order_by if c not in spec.keys]
     rest = [c for c in spec.tracked if c not in order]
-    latest = F.max(F.struct(*order, *rest)).alias("latest")
+    latest = F.max(F.struct(*order, *rest)).alias("_latest")
     return (
         batch.dropna(subset=list(spec.keys))
         .groupBy(*spec.keys)
         .agg(latest)
-        .select(*spec.keys, *[F.col(f"latest.{c}").alias(c) for c in spec.tracked])
+        .select(*spec.keys, *[F.col(f"_latest.{c}").alias(c) for c in spec.tracked])
     )

@@ -13,7 +13,7 @@ _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
 def place_in_order(rows: DataFrame, order: list[Column | str]) -> DataFrame:
-    """Stage ``rows`` range-partitioned and sorted by ``order``, with the ``spot`` of each.
+    """Stage ``rows`` range-partitioned and sorted by ``order``, with the ``_spot`` of each.
 
     ``order`` must be unique. Staging fixes the partitions: range bounds are
     sampled, and whatever uses a spot has to see the same ones, also after an
@@ -22,30 +22,30 @@ def place_in_order(rows: DataFrame, order: list[Column | str]) -> DataFrame:
     return stage(
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("spot", F.monotonically_increasing_id())
+        .withColumn("_spot", F.monotonically_increasing_id())
     )
 
 
 def number_densely(
     placed: DataFrame, last_used: DataFrame, name: str = "surrogate_key"
 ) -> DataFrame:
-    """Replace ``spot`` by ``name``: last used + 1, + 2, ... in the placed order.
+    """Replace ``_spot`` by ``name``: last used + 1, + 2, ... in the placed order.
 
     ``last_used`` is one row with one number. A row's number is the size of the
     partitions before its own plus its position, so only the sizes, one row per
     partition, are gathered and broadcast.
     """
-    part = F.shiftright("spot", _POSITION_BITS).alias("part")
-    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    part = F.shiftright("_spot", _POSITION_BITS).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = sizes.unionByName(
-        last_used.toDF("n").select(F.lit(-1).cast("bigint").alias("part"), F.col("n").cast("bigint"))
+        last_used.toDF("_rows").select(F.lit(-1).cast("bigint").alias("_part"), F.col("_rows").cast("bigint"))
     )
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.sum("n").over(earlier).alias("start"))
-    position = F.col("spot").bitwiseAND(F.lit(_POSITION_MASK))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.sum("_rows").over(earlier).alias("_start"))
+    position = F.col("_spot").bitwiseAND(F.lit(_POSITION_MASK))
     return (
-        placed.withColumn("part", part)
-        .join(F.broadcast(starts), "part")
-        .withColumn(name, F.col("start") + position + 1)
-        .drop("part", "start", "spot")
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_start") + position + 1)
+        .drop("_part", "_start", "_spot")
     )

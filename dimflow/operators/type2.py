@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import CHANGED, NEW, WAS, classify, to_apply, untouched
+from dimflow.operators.changes import ACTION, CHANGED, NEW, WAS, classify, to_apply, untouched
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.schemas import OPEN_END, DimSpec
 
@@ -72,7 +72,7 @@ def merge_type2(
         last_used = last_key(current)
     columns = [*spec.columns, *TYPE2_COLUMNS]
     run_date = F.lit(process_date).cast("date")
-    changes_first = [F.col("action") == NEW, *[F.col(k) for k in spec.keys]]
+    changes_first = [F.col(ACTION) == NEW, *[F.col(k) for k in spec.keys]]
     delta = place_in_order(to_apply(classify(updates, current, spec)), changes_first)
 
     inserted = number_densely(delta, last_used).withColumns(
@@ -82,7 +82,7 @@ def merge_type2(
             "is_current": F.lit(True),
         }
     )
-    expired = delta.filter(F.col("action") == CHANGED).select(
+    expired = delta.filter(F.col(ACTION) == CHANGED).select(
         *spec.keys,
         *[F.col(WAS + c).alias(c) for c in spec.tracked],
         F.col(WAS + "surrogate_key").alias("surrogate_key"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import CHANGED, WAS, classify, to_apply, untouched
+from dimflow.operators.changes import ACTION, CHANGED, WAS, classify, to_apply, untouched
 from dimflow.schemas import DimSpec
 from dimflow.sources.staging import stage
 
@@ -64,7 +64,7 @@ def merge_type4(
     run_date = F.lit(process_date).cast("date")
     delta = stage(to_apply(classify(updates, current, spec)))
 
-    archived = delta.filter(F.col("action") == CHANGED).select(
+    archived = delta.filter(F.col(ACTION) == CHANGED).select(
         *spec.keys,
         *[F.col(WAS + c).alias(c) for c in spec.tracked],
         F.col(WAS + "record_effective_date").alias("record_effective_date"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators import quality, serve
-from dimflow.operators.changes import classify
+from dimflow.operators.changes import ACTION, WAS, classify
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.type2 import apply_type2
@@ -126,7 +126,10 @@ def scd2_changes(spark, sf_dir):
     rest = Batch(second.start, None, BATCHES[-1].process_date).of(valid_loans(spark, sf_dir))
     updates = stage(latest_per_key(rest, DIM_CUSTOMER))
     return classify(updates, current, DIM_CUSTOMER).select(
-        *DIM_CUSTOMER.columns, "action", "was_surrogate_key", "was_employment_status"
+        *DIM_CUSTOMER.columns,
+        F.col(ACTION).alias("action"),
+        F.col(WAS + "surrogate_key").alias("was_surrogate_key"),
+        F.col(WAS + "employment_status").alias("was_employment_status"),
     )
 
 

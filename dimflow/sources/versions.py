@@ -2,9 +2,9 @@
 
 Layout under a table's path::
 
-    current/version=<n>   one row per key, rewritten by each version
-    history/version=<n>   rows that version n ended, never rewritten
-    commits               one JSON row per finished version
+    current/table_version=<n>   one row per key, rewritten by each version
+    history/table_version=<n>   rows that version n ended, never rewritten
+    commits                     one JSON row per finished version
 
 A version exists once its commit row does. Nothing a reader can see is overwritten:
 a run that dies half-way leaves folders that no commit names, and the next run
@@ -49,7 +49,7 @@ def read_current(
     required column and has to be built again."""
     if commit is None:
         return None
-    snapshot = f"{path}/current/version={commit.version}"
+    snapshot = f"{path}/current/table_version={commit.version}"
     found = load_optional(spark, snapshot)
     if found is None:
         raise FileNotFoundError(f"version {commit.version} is committed but {snapshot} is missing")
@@ -62,12 +62,12 @@ def read_history(
     """All committed history rows; none when the table does not exist."""
     if commit is None:
         return no_rows(spark, schema)
-    with_version = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
+    with_version = T.StructType([*schema.fields, T.StructField("table_version", T.IntegerType())])
     return (
         spark.read.schema(with_version)
         .parquet(f"{path}/history")
-        .filter(F.col("version").between(commit.history_from, commit.version))
-        .drop("version")
+        .filter(F.col("table_version").between(commit.history_from, commit.version))
+        .drop("table_version")
     )
 
 
@@ -87,10 +87,10 @@ def commit_version(
     """
     version = previous.version + 1 if previous else 1
     history_from = version if restart_history or not previous else previous.history_from
-    replace_folder(current, f"{path}/current/version={version}")
-    replace_folder(ended, f"{path}/history/version={version}")
+    replace_folder(current, f"{path}/current/table_version={version}")
+    replace_folder(ended, f"{path}/history/table_version={version}")
     now = dt.datetime.now(dt.timezone.utc)
     append_row(spark, f"{path}/commits", COMMIT_SCHEMA, (version, history_from, process_date, now))
     if version > KEEP_SNAPSHOTS:
-        delete_folder(spark, f"{path}/current/version={version - KEEP_SNAPSHOTS}")
+        delete_folder(spark, f"{path}/current/table_version={version - KEEP_SNAPSHOTS}")
     return version

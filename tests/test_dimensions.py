@@ -1,6 +1,7 @@
 """Slices, change detection, surrogate keys and both kinds of merge."""
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import plan_of, rows_of
@@ -84,11 +85,27 @@ def test_classify_with_composite_keys(spark):
         PAIR_SCHEMA,
     )
     found = classify(updates, current, PAIR)
-    assert rows_of(found, "a", "b", "action", "was_y") == [
+    assert rows_of(found, "a", "b", "_action", "_was_y") == [
         ("k", 1, "same", 1.0), ("k", 2, "changed", 2.0), ("k", 3, "same", 1.0), ("z", 1, "new", None),
     ]
 
 
+def test_a_small_batch_leaves_the_current_table_unshuffled(spark):
+    current = stage(spark.range(1000).selectExpr("string(id) AS a", "1 AS b", "'x' AS x", "0D AS y"))
+    updates = stage(pairs(spark, ("1", 1, "z", 0.0)))
+    plan = classify(updates, current, PAIR)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = classify(updates, current, PAIR)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        # Current and batch once each for the semi-join, the batch once more for the rest.
+        assert plan.count("Exchange hashpartitioning") == 3 and "Broadcast" not in plan
+        assert rows_of(shuffled, "a", "_action") == [("1", "changed")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # Surrogate keys
 
 
@@ -195,6 +212,28 @@ def test_type4_life_of_a_dimension(spark):
     assert second.archived.filter("archived_at IS NULL").isEmpty()
 
 
+def test_two_slices_in_order_equal_one_run(spark, loans):
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = loans(
+        *[
+            {
+                "customer_id": f"C{rng.randint(1, 12)}",
+                "loan_id": f"L{i}",
+                "employment_status": rng.choice(["Employed", "Retired", None]),
+                "last_updated": start + dt.timedelta(hours=rng.randint(0, 50)),
+            }
+            for i in range(80)
+        ]
+    )
+    cut = F.lit(start + dt.timedelta(hours=25))
+    whole = merge_type4(latest_per_key(rows, DIM_CUSTOMER), None, DIM_CUSTOMER, D1).current
+    current = None
+    for part in (rows.filter(F.col("last_updated") <= cut), rows.filter(F.col("last_updated") > cut)):
+        current = stage(merge_type4(latest_per_key(part, DIM_CUSTOMER), current, DIM_CUSTOMER, D1).current)
+    assert rows_of(current, *DIM_CUSTOMER.columns) == rows_of(whole, *DIM_CUSTOMER.columns)
+
+
 # Properties
 
 values = st.tuples(st.sampled_from(["p", "q", None]), st.sampled_from([0.0, 1.0, NAN, None]))

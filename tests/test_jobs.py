@@ -183,7 +183,7 @@ def test_type2_run(spark, folder):
     jobs.run_batch(spark, folder("2.csv"), base, D2, 2)
     assert read_mark(spark, f"{base}/watermark/type2") > mark
     assert rows_of(jobs.read_type2(spark, dims, DIM_CUSTOMER), *columns) == expected
-    assert sorted(os.listdir(f"{dims}/dim_customer/history")) == ["version=1", "version=2"]
+    assert sorted(os.listdir(f"{dims}/dim_customer/history")) == ["table_version=1", "table_version=2"]
 
 
 def test_type4_run_agrees_with_type2(spark, folder):

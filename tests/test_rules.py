@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 
 from dimflow.functions.rules import CHECKS
 from dimflow.operators import quality
@@ -100,3 +100,12 @@ def test_report_row(cases):
     assert report.error_records == sum(bool(failing) for _, failing in CASES)
     assert report.metrics["invalid_term"]["error_count"] == 3
     assert report.metrics["invalid_term"]["error_percentage"] == pytest.approx(300 / len(CASES))
+
+
+def test_rules_reach_the_parquet_scan(spark, cases, folder):
+    cases.write.parquet(folder("loans"))
+    valid, _ = split_valid(spark.read.parquet(folder("loans")))
+    plan = plan_of(valid.select("loan_id"))
+    pushed = plan[plan.index("PushedFilters"):].splitlines()[0]
+    for part in ("IsNotNull(customer_id)", "GreaterThan(loan_amount,0.0)", "GreaterThan(term_months,0)"):
+        assert part in pushed

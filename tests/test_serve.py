@@ -105,3 +105,20 @@ def test_version_views(spark):
     )
     type4 = serve.type4_versions(current, history, SPEC)
     assert rows_of(type4) == rows_of(type2.drop("surrogate_key"))
+
+
+def test_composite_keys(spark):
+    versions = spark.createDataFrame(
+        [("a", 1, "a1", day(0), OPEN_END), ("a", 2, "a2", day(5), OPEN_END), ("b", 1, "b1", day(0), day(3))],
+        "k string, n int, v string, valid_from date, valid_to date",
+    )
+    facts = spark.createDataFrame(
+        [("a", 1, day(1)), ("a", 2, day(1)), ("a", 2, day(5)), ("b", 1, day(3)), ("b", None, day(1))],
+        "k string, n int, d date",
+    )
+    for way in WAYS:
+        joined = serve.as_of_join(facts, versions, ["k", "n"], "d", **way)
+        assert rows_of(joined, "k", "n", "d", "dim_v") == [
+            ("a", 1, day(1), "a1"), ("a", 2, day(1), None), ("a", 2, day(5), "a2"),
+            ("b", 1, day(3), None), ("b", None, day(1), None),
+        ]

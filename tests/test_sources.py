@@ -194,7 +194,7 @@ def test_versions_accumulate_history_and_replace_current(spark, folder):
     commit(spark, path, [("a", 2)], [("a", 1)])
     commit(spark, path, [("a", 3)], [("a", 2)])
     assert state(spark, path) == ([("a", 3)], [("a", 1), ("a", 2)])
-    assert sorted(f for f in os.listdir(f"{path}/current")) == ["version=2", "version=3"]
+    assert sorted(f for f in os.listdir(f"{path}/current")) == ["table_version=2", "table_version=3"]
 
 
 def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, folder, monkeypatch):
@@ -235,6 +235,6 @@ def test_rebuild_leaves_old_history_behind(spark, folder):
 def test_a_committed_snapshot_that_is_gone_raises(spark, folder):
     path = folder("dim")
     commit(spark, path, [("a", 1)], [])
-    staging.delete_folder(spark, f"{path}/current/version=1")
+    staging.delete_folder(spark, f"{path}/current/table_version=1")
     with pytest.raises(FileNotFoundError):
         versions.read_current(spark, path, versions.last_commit(spark, path), ["k"])
