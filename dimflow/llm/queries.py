@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimflow.llm import licences, sharding, urls
+from dimflow.llm import licences, packing, quality, sharding, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +32,23 @@ def op4_urls(spark, sf_dir):
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_packing(spark, sf_dir):
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op10_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_licences": op3_licences,
     "op4_urls": op4_urls,
+    "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
