@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimflow.llm import licences, packing, quality, sharding, urls
+from dimflow.llm import licences, packing, quality, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_urls(spark, sf_dir):
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_simhash(spark, sf_dir):
+    return simhash.duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_licences": op3_licences,
     "op4_urls": op4_urls,
+    "op6_simhash": op6_simhash,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
