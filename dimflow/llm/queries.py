@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimflow.llm import licences, packing, quality, sharding, simhash, urls
+import corpus_pipeline
+from dimflow.llm import decontaminate, licences, packing, quality, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op6_simhash(spark, sf_dir):
     return simhash.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark, sf_dir):
+    found = decontaminate.occurrences(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
+
+
 def op9_packing(spark, sf_dir):
     import public_tokenizers
 
@@ -53,7 +59,9 @@ QUERIES = {
     "op3_licences": op3_licences,
     "op4_urls": op4_urls,
     "op6_simhash": op6_simhash,
+    "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
