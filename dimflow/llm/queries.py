@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dimflow.llm import decontaminate, licences, packing, quality, sharding, simhash, urls
+from dimflow.llm import ann, chat, decontaminate, html_text, licences, packing, quality, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ URL_RULES = [
 ]
 
 
+def op1_html(spark, sf_dir):
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
@@ -33,10 +38,18 @@ def op4_urls(spark, sf_dir):
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_chat(spark, sf_dir):
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark, sf_dir):
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_decontaminate(spark, sf_dir):
     found = decontaminate.occurrences(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("row")
@@ -55,10 +68,13 @@ def op10_quality(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_sharding": op2_sharding,
     "op3_licences": op3_licences,
     "op4_urls": op4_urls,
+    "op5_chat": op5_chat,
     "op6_simhash": op6_simhash,
+    "op7_ann": op7_ann,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
