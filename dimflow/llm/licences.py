@@ -22,7 +22,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public licences and of the usual notices, by identifier.
+# Sentences of public licences and of the usual notices, by identifier (as they are cut: one ends
+# in an abbreviation).
 SENTENCES = {
     "mit-notice": "Released under the MIT License",
     "mit-notice-2": "Licensed under the MIT License",
@@ -40,7 +41,7 @@ SENTENCES = {
     "gnu-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
     "gpl-details": "See the GNU General Public License for more details",
     "gpl-received": "You should have received a copy of the GNU General Public License along with this program",
-    "mpl-2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
     "cc-by-nc-4-notice": "Licensed under CC BY-NC 4.0",
     "cc-by-4-notice": "Licensed under CC BY 4.0",
     "cc-by-sa-4-notice": "Licensed under CC BY-SA 4.0",
@@ -98,11 +99,13 @@ def known_sentences(docs: DataFrame, id_col: str, text_col: str, sentences: dict
     known = spark.createDataFrame([(plain(s), i) for i, s in sentences.items()], "sentence string, id string")
     unwrapped = F.regexp_replace(F.col(text_col), WRAPPED, " $1")
     parts = F.transform(F.split(unwrapped, SENTENCE_END), normalised)
-    found = docs.select(
+    # The row is numbered before its sentences become rows.
+    rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("doc_id"),
-        F.posexplode(F.filter(parts, lambda s: s != "")).alias("pos", "sentence"),
+        F.filter(parts, lambda s: s != "").alias("sentences"),
     )
+    found = rows.select("row", "doc_id", F.posexplode("sentences").alias("pos", "sentence"))
     # The table of known sentences is a parameter of a few dozen rows.
     return (
         found.join(F.broadcast(known), "sentence", "left")
