@@ -6,7 +6,7 @@ predecessor, that with its own frequency, and that with the uniform one (Witten-
 context counts as much as it has been seen, against its number of different followers).
 A URL's score is the mean over its characters of log(accepted / rejected). Four fifths of
 the labelled URLs, by a hash, give the counts; the rest calibrate the score at which
-verdicts err least.
+verdicts err least (all of them, where a part has no URLs of either kind).
 
 Characters are reduced to 40 classes, so a model has at most 40**3 rows whatever the
 input: it is small enough to broadcast, and counts are summed before they are shuffled.
@@ -148,7 +148,8 @@ def score(urls: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
 
 
 def calibrate(scored: DataFrame) -> int:
-    """The least threshold with the fewest wrong verdicts on rows (accepted, score)."""
+    """The least threshold with the fewest wrong verdicts on rows (accepted, score), in the middle of
+    the scores that make no difference."""
     step = F.greatest(F.least(F.floor(F.col("score") / STEP), F.lit(LIMIT)), F.lit(-LIMIT))
     bins = scored.groupBy(step.alias("step")).agg(
         F.count_if("accepted").alias("good"), F.count_if(~F.col("accepted")).alias("bad")
@@ -157,8 +158,9 @@ def calibrate(scored: DataFrame) -> int:
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     above = Window.orderBy("step").rowsBetween(0, Window.unboundedFollowing)
     wrong = F.coalesce(F.sum("good").over(below), F.lit(0)) + F.sum("bad").over(above)
-    best = bins.select("step", wrong.alias("wrong")).orderBy("wrong", "step").first()
-    return STEP * best["step"] if best else -(2**62)
+    least = F.coalesce(F.lag("step").over(Window.orderBy("step")) + 1, "step")
+    best = bins.select("step", wrong.alias("wrong"), least.alias("least")).orderBy("wrong", "step").first()
+    return STEP * (best["least"] + best["step"]) // 2 if best else -(2**62)
 
 
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -174,12 +176,15 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
         symbols(url).alias("_symbols"),
     ).withColumn("_rule", longest_rule(rules))
     rows = stage(rows.select("*", "_rule.rule", F.col("_rule.verdict").alias("given")).drop("_rule"))
-    labelled = rows.filter("given is not null").withColumn("accepted", F.col("given") == "allow")
-    held = F.crc32("_symbols") % 5 == 0
-    model = stage(learn(labelled.filter(~held)))
-    kinds = labelled.filter(~held).agg(F.count_if("accepted"), F.count_if(~F.col("accepted"))).first()
-    if min(kinds) > 0:
-        threshold = calibrate(score(labelled.filter(held), model, "accepted"))
+    labelled = rows.filter("given is not null").select(
+        "row", "_symbols", (F.col("given") == "allow").alias("accepted"), (F.crc32("_symbols") % 5 == 0).alias("held")
+    )
+    counts = {tuple(r[:2]): r[2] for r in labelled.groupBy("held", "accepted").count().collect()}  # four at most
+    both = {held: (held, True) in counts and (held, False) in counts for held in (True, False)}
+    model = stage(learn(labelled.filter(~F.col("held")) if both[False] else labelled))
+    if {accepted for _, accepted in counts} == {True, False}:
+        # Held-out URLs calibrate, or all of them where either kind is not held out.
+        threshold = calibrate(score(labelled.filter("held") if both[True] else labelled, model, "accepted"))
     else:
         threshold = -(2**62)
     scored = score(rows, model, "page_id", "host", "path", "rule", "given")
