@@ -19,6 +19,9 @@ length are tokenised whole. Columns other than the two named are not read.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,39 +36,105 @@ from dimflow.sources.staging import stage
 
 OPEN_SEQUENCES = 4096
 ROWS_PER_TASK = 200_000
-#: Words whose ids a tokenising task remembers at most, before it forgets them all.
-REMEMBERED = 400_000
+#: Parts of words whose ids a tokenising task remembers before it forgets them all.
+REMEMBERED = 200_000
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, remembered by word.
+    """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    For tokenizers that drop white space and never join across a blank or a line end: a
-    text's ids are then the ids of its words, one after the other.
+    For tokenizers that lower case, cut by a pattern that never goes across white space, and map
+    bytes to characters before their merges, a text's ids are those of its parts, one after the other.
+    Parts are remembered, and a new one goes to the tokenizer's model directly. Words with special tokens,
+    control characters or characters beyond Latin-1 go through the whole tokenizer, and so does all
+    text of other tokenizers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            self.pattern = _part_pattern(json.load(file))
+        self.parts: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = list({w for ws in words for w in ws if w})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        ids = [b"".join(map(self.known.__getitem__, ws)) for ws in words]
-        for word in new:
-            if len(word) > 64:
-                del self.known[word]
-        return ids
+        out = []
+        for text in texts:
+            out.append(self._ids(text or ""))
+            if len(self.parts) > REMEMBERED:
+                self.parts = {}
+        return out
+
+    def _ids(self, text: str) -> bytes:
+        if self.pattern is None:
+            return self._whole(text)
+        if _is_plain(text):
+            return self._plain(text)
+        words = text.replace("\n", " ").split(" ")
+        return b"".join([self._plain(w) if _is_plain(w) else self._whole(w) for w in words if w])
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        known = self.parts
+        parts = self.pattern.findall(text.lower())  # composed already, as Latin-1 is
+        for part in parts:
+            if part not in known:
+                known[part] = self._part(part)
+        return b"".join(map(known.__getitem__, parts))
+
+    def _part(self, part: str) -> bytes:
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        found = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+
+#: What is not the same to all patterns: control characters, and the beginning of special tokens.
+ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f]|<\\|")
+
+
+def _is_plain(text: str) -> bool:
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+    return not ODD.search(text)
+
+
+def _byte_characters() -> dict[int, str]:
+    """The public byte-level mapping: printable bytes stand for themselves, others for characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+# Fixed value: the pattern of the public tokenizer files that `WordIds` knows.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+#: The same over small Latin-1 characters, without the tables of all others.
+SMALL_PATTERN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
+
+
+def _part_pattern(spec: dict) -> re.Pattern | None:
+    """The pattern by which a tokenizer file cuts texts, if it works as `WordIds` needs it; else None."""
+    normal = [(n["type"], n.get("content")) for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    before = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if normal != [("NFC", None), ("Replace", " "), ("Lowercase", None)] or len(before) != 2:
+        return None
+    split, level = before
+    plain = split["type"] == "Split" and split["behavior"] == "Removed" and split["invert"]
+    plain = plain and split["pattern"] == {"Regex": PATTERN}
+    if not plain or level["type"] != "ByteLevel" or level["add_prefix_space"] or level["use_regex"]:
+        return None
+    return SMALL_PATTERN
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
