@@ -1,4 +1,4 @@
-"""Compare two of the design choices with their plain alternatives.
+"""Compare the numbering of dimension keys with its plain alternative.
 
 Usage: python benchmarks/compare.py [rows]   (default 20 million, derived by Spark)
 """
@@ -14,7 +14,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from dimflow.functions.loans import monthly_payment  # noqa: E402
 from dimflow.operators.surrogate import number_densely, place_in_order  # noqa: E402
 
 
@@ -24,21 +23,13 @@ def run(name, df):
     print(f"{name}: {time.perf_counter() - start:.1f} s", flush=True)
 
 
-def python_payment(amount, rate, term):
-    if not term or term < 0 or amount is None:
-        return None
-    if not rate:
-        return amount / term
-    r = rate / 1200
-    return amount * r / (1 - (1 + r) ** -term)
-
-
 def main() -> None:
     count = int(sys.argv[1]) if len(sys.argv) > 1 else 20_000_000
     spark = (
         SparkSession.builder.master("local[*]")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "64")
+        .config("spark.checkpoint.dir", "/tmp/checkpoints/compare")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -53,16 +44,6 @@ def main() -> None:
     by_key = F.row_number().over(Window.orderBy("loan_id"))
     run("numbering, range-partitioned", lambda: number_densely(place_in_order(keys, ["loan_id"]), zero))
     run("numbering, one global window", lambda: keys.withColumn("surrogate_key", by_key))
-
-    terms = ids.select(
-        (F.col("id") % 30000 + 1.0).alias("amount"),
-        (F.col("id") % 200 / 10).alias("rate"),
-        (F.col("id") % 60 + 1).cast("int").alias("term"),
-    )
-    columns = [F.col(c) for c in ("amount", "rate", "term")]
-    per_row = F.udf(python_payment, "double")
-    run("payment, native", lambda: terms.select(monthly_payment(*columns)))
-    run("payment, Python UDF", lambda: terms.select(per_row(*columns)))
     spark.stop()
 
 

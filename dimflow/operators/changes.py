@@ -2,42 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.compare import any_differs
 from dimflow.schemas import DimSpec
 
-NEW, CHANGED, SAME = "new", "changed", "same"
+NEW, CHANGED, SAME, ABSENT = "new", "changed", "same", "absent"
 ACTION, WAS = "_action", "_was_"
 
 
 def classify(updates: DataFrame, current: DataFrame, spec: DimSpec) -> DataFrame:
-    """``updates`` plus ``_action`` and, as ``_was_*``, the current row each one meets.
+    """Every key of either side, with ``updates`` and, as ``_was_*``, the current row.
 
-    Both sides hold one row per key, so neither join can be skewed. The semi-join
-    comes first and ships keys only: when the batch is small, Spark broadcasts its
-    keys and the current table is read without being shuffled; what is left is no
-    larger than the batch. Keys absent from the batch do not appear.
+    ``_action`` is new, changed or same for keys of the batch, and absent for the others. Both
+    sides hold one row per key, so the one join cannot be skewed, and each side is shuffled once. A tracked
+    column that the current rows lack counts as null there.
     """
     keys = list(spec.keys)
-    touched = current.join(updates.select(*keys), keys, "left_semi")
-    before = touched.select(
+    current = with_tracked(current, updates, spec)
+    before = current.select(
         *keys,
-        *[F.col(c).alias(WAS + c) for c in touched.columns if c not in keys],
+        *[F.col(c).alias(WAS + c) for c in current.columns if c not in keys],
         F.lit(True).alias("_was_there"),
     )
     differs = any_differs((c, WAS + c) for c in spec.tracked)
-    action = F.when(F.col("_was_there").isNull(), NEW).when(differs, CHANGED).otherwise(SAME)
-    return updates.join(before, keys, "left").withColumn(ACTION, action).drop("_was_there")
+    action = (
+        F.when(F.col("_came").isNull(), ABSENT)
+        .when(F.col("_was_there").isNull(), NEW)
+        .when(differs, CHANGED)
+        .otherwise(SAME)
+    )
+    joined = updates.withColumn("_came", F.lit(True)).join(before, keys, "full_outer")
+    return joined.withColumn(ACTION, action).drop("_came", "_was_there")
+
+
+def with_tracked(current: DataFrame, updates: DataFrame, spec: DimSpec) -> DataFrame:
+    """``current`` with the tracked columns it lacks, as nulls."""
+    missing = [c for c in spec.tracked if c not in current.columns]
+    return current.withColumns({c: F.lit(None).cast(updates.schema[c].dataType) for c in missing})
 
 
 def to_apply(classified: DataFrame) -> DataFrame:
     """Rows that alter the dimension: changed and new keys."""
-    return classified.filter(F.col(ACTION) != SAME)
+    return classified.filter(F.col(ACTION).isin(CHANGED, NEW))
+
+
+def as_they_were(classified: DataFrame, spec: DimSpec, more: list[str | Column]) -> DataFrame:
+    """The current rows behind ``classified``: keys, tracked columns and ``more``."""
+    was = [F.col(WAS + c).alias(c) for c in spec.tracked]
+    return classified.select(*spec.keys, *was, *more)
 
 
-def untouched(current: DataFrame, delta: DataFrame, spec: DimSpec) -> DataFrame:
-    """Current rows that no change replaces, keys missing from the batch included."""
-    replaced = delta.filter(F.col(ACTION) == CHANGED).select(*spec.keys)
-    return current.join(replaced, list(spec.keys), "left_anti").select(*current.columns)
+def untouched(classified: DataFrame) -> DataFrame:
+    """Rows that stay as they are, keys missing from the batch included."""
+    return classified.filter(F.col(ACTION).isin(SAME, ABSENT))

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.schemas import OPEN_END, DimSpec
-
-# A dimension within both bounds is sent to every task.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 << 20
-# Up to this many versions of one key are compared with each of the key's facts.
-COMPARED_VERSIONS = 64
+from dimflow.sources.staging import stage
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -39,73 +34,58 @@ def type4_versions(current: DataFrame, history: DataFrame, spec: DimSpec) -> Dat
     return past.unionByName(live)
 
 
+def without_overlaps(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Versions cut where the next version of their key begins, empty ones left out.
+
+    So a date has at most one version of a key: the one that began last. Of versions that begin on one
+    day the one that ends last counts, then the greatest. Versions with a null key are left out.
+    """
+    rest = [c for c in versions.columns if c not in (*keys, "valid_from", "valid_to")]
+    spans = versions.filter(F.col("valid_from") < F.col("valid_to")).dropna(subset=list(keys))
+    in_time = Window.partitionBy(*keys).orderBy("valid_from", "valid_to", *rest)
+    until = F.least("valid_to", F.lead("valid_from").over(in_time))
+    return spans.withColumn("valid_to", until).filter(F.col("valid_from") < F.col("valid_to"))
+
+
 def as_of_join(
     facts: DataFrame,
     versions: DataFrame,
     keys: Sequence[str],
     on_date: str,
     prefix: str = "dim_",
-    broadcast_rows: int = BROADCAST_ROWS,
-    compared_versions: int = COMPARED_VERSIONS,
+    timeline: bool = False,
 ) -> DataFrame:
     """Left join: each fact with the version whose [valid_from, valid_to) holds its date.
 
-    Version attributes get ``prefix``. Versions of a key must not overlap; empty
-    ones (changed twice on a day) never match. The result is the same whichever
-    way the join runs; the versions are measured to choose it:
-
-    * At most ``broadcast_rows`` of them, and BROADCAST_BYTES: they are broadcast and
-      the facts are not shuffled.
-    * At most ``compared_versions`` of any key: one join on the keys, with the dates
-      as a condition. Adaptive execution splits a key that holds many facts.
-    * Otherwise the version is looked up once per distinct (key, date) and joined
-      back on both. Facts combine to distinct pairs before the shuffle, and a key
-      has at most one pair and one non-empty version per calendar day, so a hot
-      key is a short timeline, walked once, and its facts spread over dates.
+    Version attributes get ``prefix``. A timestamp counts as its date. Where versions of a key overlap, the one that
+    began last answers (see `without_overlaps`); empty ones (changed twice on a day) never match.
+    The versions are sorted once and written, then joined on the keys with the dates as a
+    condition: Spark broadcasts them if they are small, and splits a key that holds many facts.
+
+    ``timeline`` is another way to the same rows, for keys with very many versions: the version is
+    looked up once per distinct (key, date) and joined back on both. Facts combine to distinct pairs before
+    the shuffle, and a key has at most one pair and one version per calendar day, so a hot
+    key is a short timeline, walked once, and its facts spread over dates.
     """
     keys = list(keys)
     attributes = [c for c in versions.columns if c not in keys]
-    spans = versions.filter(F.col("valid_from") < F.col("valid_to")).dropna(subset=keys)
-    renamed = spans.select(*keys, *[F.col(c).alias(prefix + c) for c in attributes])
-    if _is_small(versions, broadcast_rows):
-        joined = _join_on_dates(facts, renamed, keys, on_date, prefix, F.broadcast)
-    elif _most_versions(spans, keys) <= compared_versions:
-        joined = _join_on_dates(facts, renamed, keys, on_date, prefix)
+    spans = without_overlaps(versions, keys)
+    renamed = stage(spans.select(*keys, *[F.col(c).alias(prefix + c) for c in attributes]))
+    day = prefix + "day_"
+    dated = facts.withColumn(day, F.col(on_date).cast("date"))
+    if timeline:
+        found = _versions_on(dated.select(*keys, day), renamed, keys, day, prefix)
+        joined = dated.join(found, [*keys, day], "left")
     else:
-        found = _versions_on(facts.select(*keys, on_date), renamed, keys, on_date, prefix)
-        joined = facts.join(found, [*keys, on_date], "left")
+        theirs = {k: f"{prefix}key_{k}" for k in keys}
+        on = [F.col(k) == F.col(theirs[k]) for k in keys] + [
+            F.col(day) >= F.col(prefix + "valid_from"),
+            F.col(day) < F.col(prefix + "valid_to"),
+        ]
+        joined = dated.join(renamed.withColumnsRenamed(theirs), on, "left")
     return joined.select(*facts.columns, *[prefix + c for c in attributes])
 
 
-def _is_small(df: DataFrame, rows: int) -> bool:
-    # The count comes from file footers; only a short table is also measured.
-    if rows == 0 or df.count() > rows:
-        return False
-    text = F.octet_length(F.to_json(F.struct(*df.columns)))
-    return (df.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
-
-
-def _most_versions(spans: DataFrame, keys: list[str]) -> int:
-    per_key = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("_versions"))
-    return per_key.agg(F.max("_versions")).first()[0] or 0
-
-
-def _join_on_dates(
-    facts: DataFrame,
-    versions: DataFrame,
-    keys: list[str],
-    on_date: str,
-    prefix: str,
-    hint: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> DataFrame:
-    theirs = {k: f"{prefix}key_{k}" for k in keys}
-    on = [F.col(k) == F.col(theirs[k]) for k in keys] + [
-        F.col(on_date) >= F.col(prefix + "valid_from"),
-        F.col(on_date) < F.col(prefix + "valid_to"),
-    ]
-    return facts.join(hint(versions.withColumnsRenamed(theirs)), on, "left")
-
-
 def _versions_on(
     facts: DataFrame, versions: DataFrame, keys: list[str], on_date: str, prefix: str
 ) -> DataFrame:

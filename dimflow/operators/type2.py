@@ -9,9 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import ACTION, CHANGED, NEW, WAS, classify, to_apply, untouched
+from dimflow.operators.changes import (
+    ACTION,
+    CHANGED,
+    NEW,
+    WAS,
+    as_they_were,
+    classify,
+    to_apply,
+    untouched,
+    with_tracked,
+)
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.schemas import OPEN_END, DimSpec
+from dimflow.sources.staging import stage
 
 # The columns a Type 2 table adds to its keys and attributes.
 TYPE2_SCHEMA = T.StructType(
@@ -61,10 +72,9 @@ def merge_type2(
     """Merge a slice (one row per key) with the current versions; ``None`` means first load.
 
     A version covers [effective_start_date, effective_end_date). Changed keys get
-    surrogate keys before new ones, each in key order, after ``last_used``. By
-    default that is the largest current one: a merge that ends versions begins as
-    many with larger keys, so the largest key is always current. Older versions
-    are not needed and not read.
+    surrogate keys before new ones, each in key order, after ``last_used`` (one row; by
+    default the largest current key). The comparison of both sides is staged once, and all
+    parts of the merge read that copy. Older versions are not needed and not read.
     """
     if current is None:
         current = no_type2(updates, spec)
@@ -72,8 +82,9 @@ def merge_type2(
         last_used = last_key(current)
     columns = [*spec.columns, *TYPE2_COLUMNS]
     run_date = F.lit(process_date).cast("date")
+    compared = stage(classify(updates, current, spec))
     changes_first = [F.col(ACTION) == NEW, *[F.col(k) for k in spec.keys]]
-    delta = place_in_order(to_apply(classify(updates, current, spec)), changes_first)
+    delta = place_in_order(to_apply(compared).select(*spec.columns, ACTION), changes_first)
 
     inserted = number_densely(delta, last_used).withColumns(
         {
@@ -82,18 +93,17 @@ def merge_type2(
             "is_current": F.lit(True),
         }
     )
-    expired = delta.filter(F.col(ACTION) == CHANGED).select(
-        *spec.keys,
-        *[F.col(WAS + c).alias(c) for c in spec.tracked],
-        F.col(WAS + "surrogate_key").alias("surrogate_key"),
-        F.col(WAS + "effective_start_date").alias("effective_start_date"),
-        run_date.alias("effective_end_date"),
-        F.lit(False).alias("is_current"),
-    )
+    was = {c: F.col(WAS + c).alias(c) for c in TYPE2_COLUMNS}
+    ended = {
+        **was,
+        "effective_end_date": run_date.alias("effective_end_date"),
+        "is_current": F.lit(False).alias("is_current"),
+    }
+    changed = compared.filter(F.col(ACTION) == CHANGED)
     return Type2Merge(
         delta=delta,
-        expired=expired,
-        kept=untouched(current, delta, spec).select(*columns),
+        expired=as_they_were(changed, spec, list(ended.values())),
+        kept=as_they_were(untouched(compared), spec, list(was.values())),
         inserted=inserted.select(*columns),
     )
 
@@ -105,5 +115,5 @@ def apply_type2(
     if dim is None:
         dim = no_type2(updates, spec)
     merge = merge_type2(updates, dim.filter("is_current"), spec, process_date, last_key(dim))
-    closed = dim.filter(~F.col("is_current"))
+    closed = with_tracked(dim.filter(~F.col("is_current")), updates, spec)
     return closed.unionByName(merge.expired).unionByName(merge.current)

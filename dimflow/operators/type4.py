@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import ACTION, CHANGED, WAS, classify, to_apply, untouched
+from dimflow.operators.changes import (
+    ACTION,
+    CHANGED,
+    WAS,
+    as_they_were,
+    classify,
+    to_apply,
+    untouched,
+)
 from dimflow.schemas import DimSpec
 from dimflow.sources.staging import stage
 
@@ -55,25 +63,21 @@ def merge_type4(
 ) -> Type4Merge:
     """Apply a slice (one row per key) to a current table; ``None`` means first load.
 
-    The delta is staged: it feeds the archive and the rebuilt table, and both have
-    to agree.
+    The comparison of both sides is staged once: the archive and the rebuilt table read that
+    copy, so they agree.
     """
     if current is None:
         current = no_type4(updates, spec)
     columns = [*spec.columns, *CURRENT_SCHEMA.names]
     run_date = F.lit(process_date).cast("date")
-    delta = stage(to_apply(classify(updates, current, spec)))
-
-    archived = delta.filter(F.col(ACTION) == CHANGED).select(
-        *spec.keys,
-        *[F.col(WAS + c).alias(c) for c in spec.tracked],
-        F.col(WAS + "record_effective_date").alias("record_effective_date"),
-        run_date.alias("record_end_date"),
-        F.current_timestamp().alias("archived_at"),
-    )
+    compared = stage(classify(updates, current, spec))
+    delta = to_apply(compared).select(*spec.columns, ACTION)
+    since = F.col(WAS + "record_effective_date").alias("record_effective_date")
+    changed = compared.filter(F.col(ACTION) == CHANGED)
+    stamps = [run_date.alias("record_end_date"), F.current_timestamp().alias("archived_at")]
     return Type4Merge(
         delta=delta,
-        archived=archived,
-        kept=untouched(current, delta, spec).select(*columns),
+        archived=as_they_were(changed, spec, [since, *stamps]),
+        kept=as_they_were(untouched(compared), spec, [since]),
         inserted=delta.withColumn("record_effective_date", run_date).select(*columns),
     )

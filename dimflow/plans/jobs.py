@@ -2,21 +2,26 @@
 
 Layout under the base path of ``run_batch``::
 
-    ingested/rows/batch=<date>/outcome=<valid|error>/<partition_by>=...
-    ingested/log                       one JSON row per ingested batch
-    reports/quality/batch=<date>       report; its error rows beside it
-    transformed/batch=<date>/<partition_by>=...
-    transformed_audit                  one JSON row per transform
+    ingested/rows/batch=<date>/input=<id>/outcome=<valid|error>/<partition_by>=...
+    ingested/log                               one JSON row per ingested input
+    reports/quality/batch=<date>/input=<id>    reports, one dataset
+    reports/quality_errors/...                 their error rows, one dataset
+    transformed/batch=<date>/input=<id>/<partition_by>=...
+    transformed_audit                          one JSON row per transform
     type2/<dimension>, type4/<dimension>
     watermark/type2, watermark/type4
 
-A rerun of a batch replaces that batch's folders and nothing else. Failures raise.
+A batch is one input on one process date; a date may have several inputs. A rerun of a batch
+replaces that batch's folders and nothing else. Failures raise.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+import hashlib
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +43,16 @@ from dimflow.schemas import (
     DimSpec,
 )
 from dimflow.sources.loans_csv import read_loans_csv
-from dimflow.sources.logs import append_log, append_row, one_row, read_log
-from dimflow.sources.staging import stage, staging_scope
-from dimflow.sources.tables import replace_folder, write_partitioned
-from dimflow.sources.versions import commit_version, last_commit, read_current, read_history
+from dimflow.sources.logs import append_row, one_row, read_log
+from dimflow.sources.staging import delete_folder, stage, staging_scope
+from dimflow.sources.tables import input_stamp, replace_folder, write_partitioned
+from dimflow.sources.versions import (
+    bucket_of,
+    commit_version,
+    last_commit,
+    read_current,
+    read_history,
+)
 from dimflow.streaming.incremental import (
     incremental_slice,
     read_mark,
@@ -54,16 +65,19 @@ LANDED_SCHEMA = T.StructType(
         *LOAN_SCHEMA.fields,
         T.StructField("ingestion_timestamp", T.TimestampType()),
         T.StructField("batch", T.DateType()),
+        T.StructField("input", T.StringType()),
         T.StructField("outcome", T.StringType()),
     ]
 )
 INGEST_LOG_SCHEMA = T.StructType(
     [
         T.StructField("batch", T.DateType()),
+        T.StructField("input", T.StringType()),
         T.StructField("ingestion_timestamp", T.TimestampType()),
         T.StructField("total_records", T.LongType()),
         T.StructField("valid_records", T.LongType()),
         T.StructField("error_records", T.LongType()),
+        T.StructField("stamp", T.StringType()),  # of the input's files
     ]
 )
 TRANSFORMED_SCHEMA = T.StructType(
@@ -74,6 +88,7 @@ TRANSFORMED_SCHEMA = T.StructType(
         T.StructField("loan_category", T.StringType()),
         T.StructField("transformation_timestamp", T.TimestampType()),
         T.StructField("batch", T.DateType()),
+        T.StructField("input", T.StringType()),
     ]
 )
 # The fields of an audit row.
@@ -87,6 +102,21 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+class Batch(NamedTuple):
+    """One input on one process date."""
+
+    date: dt.date
+    input: str
+
+    def folder(self, path: str) -> str:
+        return f"{path}/batch={self.date}/input={self.input}"
+
+
+def batch_of(input_path: str, date: dt.date) -> Batch:
+    """An input is known by its path: the same path on the same date is the same batch."""
+    return Batch(date, hashlib.sha256(input_path.encode()).hexdigest()[:16])
+
+
 # Ingest
 
 
@@ -94,101 +124,113 @@ def ingest(
     spark: SparkSession,
     input_path: str,
     landing_path: str,
-    batch: dt.date,
+    date: dt.date,
     partition_by: str = "application_date",
 ) -> Row | None:
     """CSV -> landed rows, valid and quarantined apart; returns the batch's log row.
 
-    The CSV is parsed once: one write sends every row to its outcome's directory.
-    An empty input writes nothing and returns None.
+    The CSV is parsed once: one write sends every row to its outcome's directory. The numbers
+    of rows come from the written files. An empty input writes nothing and returns None. An input
+    whose files are as they were when this batch was ingested is not read again.
     """
+    batch, now = batch_of(input_path, date), dt.datetime.now(dt.timezone.utc)
+    stamp, known = input_stamp(spark, input_path), _log_entry(spark, landing_path, batch)
+    if known is not None and known.stamp == stamp:
+        return known
     raw = read_loans_csv(spark, input_path)
     if raw.isEmpty():
         return None
-    rows = with_outcome(raw).withColumn("ingestion_timestamp", F.current_timestamp())
-    folder = f"{landing_path}/rows/batch={batch}"
+    rows = with_outcome(raw).withColumn("ingestion_timestamp", F.lit(now))
+    folder = batch.folder(f"{landing_path}/rows")
     write_partitioned(rows, folder, ["outcome", partition_by], mode="overwrite")
-    landed = _landed(spark, landing_path, [batch])
-    entry = landed.agg(
-        F.lit(batch).alias("batch"),
-        F.max("ingestion_timestamp").alias("ingestion_timestamp"),
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("outcome") == VALID).alias("valid_records"),
-        F.count_if(F.col("outcome") == ERROR).alias("error_records"),
-    )
-    append_log(entry, f"{landing_path}/log")
-    return _log_entry(spark, landing_path, batch)
-
-
-def _landed(spark: SparkSession, landing_path: str, batches: Iterable[dt.date] | None) -> DataFrame:
-    return _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, batches)
+    landed = _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, [batch])
+    counts = dict(landed.groupBy("outcome").count().collect())
+    valid, errors = counts.get(VALID, 0), counts.get(ERROR, 0)
+    entry = (date, batch.input, now, valid + errors, valid, errors, stamp)
+    append_row(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA, entry)
+    return Row(*INGEST_LOG_SCHEMA.names)(*entry)
 
 
 def _batches_of(
-    spark: SparkSession, path: str, schema: T.StructType, batches: Iterable[dt.date] | None
+    spark: SparkSession, path: str, schema: T.StructType, batches: Iterable[Batch | dt.date] | None
 ) -> DataFrame:
-    """A table kept in batch=<date> folders. Named batches are opened directly, so a
-    run does not list the folders of all batches before it."""
+    """A table kept in folders of batches. Named batches (or whole dates) are opened directly, so
+    a run does not list the folders of all batches before it."""
     reader = spark.read.schema(schema).option("basePath", path)
-    folders = [path] if batches is None else [f"{path}/batch={batch}" for batch in batches]
+    folders = [path] if batches is None else [
+        b.folder(path) if isinstance(b, Batch) else f"{path}/batch={b}" for b in batches
+    ]
     return reader.parquet(*folders).select(*schema.names)
 
 
 def read_ingested(
-    spark: SparkSession, landing_path: str, batches: Iterable[dt.date] | None = None
+    spark: SparkSession, landing_path: str, batches: Iterable[Batch | dt.date] | None = None
 ) -> DataFrame:
     """Valid rows; quarantined ones are pruned as partitions."""
-    rows = _landed(spark, landing_path, batches).filter(F.col("outcome") == VALID)
-    return rows.select(*LOAN_COLUMNS, "ingestion_timestamp", "batch")
+    rows = _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, batches)
+    rows = rows.filter(F.col("outcome") == VALID)
+    return rows.select(*LOAN_COLUMNS, "ingestion_timestamp", "batch", "input")
 
 
 def read_quarantine(
-    spark: SparkSession, landing_path: str, batches: Iterable[dt.date] | None = None
+    spark: SparkSession, landing_path: str, batches: Iterable[Batch | dt.date] | None = None
 ) -> DataFrame:
-    """Rows that failed validation, with the time and the batch they failed in."""
-    rows = _landed(spark, landing_path, batches).filter(F.col("outcome") == ERROR)
-    return rows.select(
+    """Rows that failed validation, with the time and the date they failed on."""
+    rows = _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, batches)
+    return rows.filter(F.col("outcome") == ERROR).select(
         *LOAN_COLUMNS,
         F.col("ingestion_timestamp").alias("error_timestamp"),
         F.col("batch").alias("error_date"),
+        "input",
     )
 
 
-def _log_entry(spark: SparkSession, landing_path: str, batch: dt.date) -> Row | None:
+def _log_entry(spark: SparkSession, landing_path: str, batch: Batch) -> Row | None:
     log = read_log(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA)
-    return log.filter(F.col("batch") == F.lit(batch)).orderBy(F.desc("ingestion_timestamp")).first()
+    own = (F.col("batch") == F.lit(batch.date)) & (F.col("input") == F.lit(batch.input))
+    return log.filter(own).orderBy(F.desc("ingestion_timestamp")).first()
 
 
-def pending_batches(spark: SparkSession, landing_path: str, after: dt.datetime) -> list[Row]:
-    """(batch, micros of its ingestion time) for batches ingested after a mark, oldest first.
+class Pending(NamedTuple):
+    """A batch to process, the mark to set after it, and its number of valid rows."""
 
-    The log has a row per run, so this is small; it lets the slice prune the
-    directories of every batch already processed.
-    """
+    batch: Batch
+    micros: int
+    valid_records: int
+
+
+def pending_batches(spark: SparkSession, landing_path: str, after: dt.datetime) -> list[Pending]:
+    """Batches ingested after a mark, oldest first. The log has a row per run, so this is small."""
     log = read_log(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA)
-    latest = log.groupBy("batch").agg(F.max("ingestion_timestamp").alias("ingestion_timestamp"))
-    micros = F.unix_micros("ingestion_timestamp").alias("micros")
-    return incremental_slice(latest, after).select("batch", micros).orderBy("micros").collect()
+    newest = F.max(F.struct(F.unix_micros("ingestion_timestamp").alias("micros"), "valid_records"))
+    rows = (
+        incremental_slice(log, after)
+        .groupBy("batch", "input")
+        .agg(newest.alias("newest"))
+        .orderBy("newest.micros", "batch", "input")
+        .collect()
+    )
+    return [Pending(Batch(r.batch, r.input), r.newest.micros, r.newest.valid_records) for r in rows]
 
 
 # Quality
 
 
 def errors_path(report_path: str) -> str:
-    """Where the error rows of a report go: beside it."""
-    return report_path.removesuffix(".json") + "_errors.parquet"
+    """Where the error rows of a report go: a dataset beside the dataset of reports."""
+    dataset, batch, rest = report_path.partition("/batch=")
+    return f"{dataset.removesuffix('.json')}_errors{batch}{rest}"
 
 
 def check_quality(spark: SparkSession, rows: DataFrame, report_path: str) -> Row | None:
     """Report on any table with the loan columns; returns the totals."""
-    flagged = q.flag_rows(rows)
-    return _write_report(spark, q.quality_totals(flagged), q.error_rows(flagged), report_path)
+    return _write_report(spark, q.flag_rows(rows), None, report_path)
 
 
 def check_batch_quality(
     spark: SparkSession,
     landing_path: str,
-    batch: dt.date,
+    batch: Batch,
     report_path: str,
     entry: Row | None = None,
 ) -> Row | None:
@@ -201,19 +243,26 @@ def check_batch_quality(
     entry = entry or _log_entry(spark, landing_path, batch)
     if entry is None:
         return None
-    errors = q.flag_rows(read_quarantine(spark, landing_path, [batch]))
-    totals = q.quality_totals(errors).withColumn("total_records", F.lit(entry.total_records))
-    return _write_report(spark, totals, errors, report_path)
+    errors = q.flag_rows(read_quarantine(spark, landing_path, [batch]).drop("input"))
+    return _write_report(spark, errors, entry.total_records, report_path)
 
 
 def _write_report(
-    spark: SparkSession, totals: DataFrame, errors: DataFrame, report_path: str
+    spark: SparkSession, flagged: DataFrame, total: int | None, report_path: str
 ) -> Row | None:
-    counted = totals.first()
-    if counted.total_records == 0:
-        return None
-    if counted.error_records > 0:
-        replace_folder(errors, errors_path(report_path))
+    """The error rows are replaced also by none, so a clean rerun clears those of the run before.
+    ``total``: the number of rows, where ``flagged`` has not all of them."""
+    totals = q.quality_totals(flagged)
+    if total is None:
+        counted = totals.first()
+        if counted.total_records == 0:
+            return None
+        replace_folder(q.error_rows(flagged), errors_path(report_path))
+    else:
+        # All flagged rows are error rows: they are written once, and counted as written.
+        replace_folder(q.error_rows(flagged), errors_path(report_path))
+        written = spark.read.schema(flagged.schema).parquet(errors_path(report_path))
+        counted = q.quality_totals(written).withColumn("total_records", F.lit(total)).first()
     report = q.quality_report(one_row(spark, totals.schema, counted))
     report.coalesce(1).write.mode("overwrite").json(report_path)
     return counted
@@ -226,32 +275,33 @@ def transform(
     spark: SparkSession,
     landing_path: str,
     output_path: str,
-    batches: Sequence[dt.date],
+    batch: Batch,
     partition_by: str = "application_date",
-    after: dt.datetime = FIRST_MARK,
-    up_to: dt.datetime | None = None,
+    valid_records: int | None = None,
 ) -> int:
-    """Enrich the valid rows of landed batches and write an audit row; returns the count.
+    """Enrich the valid rows of a landed batch and write an audit row; returns their number.
 
-    Each batch replaces its own folder. Landed files already hold one value of
-    ``partition_by`` each, so the write needs no shuffle to keep files few.
+    The number is the ingest log's (``valid_records``, or looked up). The batch replaces its own folder.
+    Landed files already hold one value of ``partition_by`` each, so the write needs no shuffle.
     """
-    rows = incremental_slice(read_ingested(spark, landing_path, batches), after, up_to)
-    count = rows.count()
-    if count == 0:
+    if valid_records is None:
+        entry = _log_entry(spark, landing_path, batch)
+        valid_records = entry.valid_records if entry else 0
+    folder = batch.folder(output_path)
+    if valid_records == 0:
+        delete_folder(spark, folder)
         return 0
+    rows = read_ingested(spark, landing_path, [batch]).drop("batch", "input")
     enriched = enrich_loans(rows).withColumn("transformation_timestamp", F.current_timestamp())
-    for batch in batches:
-        one = enriched.filter(F.col("batch") == F.lit(batch)).drop("batch")
-        replace_folder(one, f"{output_path}/batch={batch}", [partition_by])
+    replace_folder(enriched, folder, [partition_by])
     now = dt.datetime.now(dt.timezone.utc).isoformat()
-    audit = (now, landing_path, output_path, count)
+    audit = (now, landing_path, output_path, valid_records)
     append_row(spark, f"{output_path}_audit", AUDIT_SCHEMA, audit)
-    return count
+    return valid_records
 
 
 def read_transformed(
-    spark: SparkSession, path: str, batches: Iterable[dt.date] | None = None
+    spark: SparkSession, path: str, batches: Iterable[Batch | dt.date] | None = None
 ) -> DataFrame:
     """Transformed rows, optionally of some batches only."""
     return _batches_of(spark, path, TRANSFORMED_SCHEMA, batches)
@@ -260,6 +310,25 @@ def read_transformed(
 # Dimensions
 
 
+def _for_each(specs: Iterable[DimSpec], merge: Callable[[DimSpec], None]) -> None:
+    """Merge the dimensions side by side: each has tables of its own."""
+    specs = tuple(specs)
+    with ThreadPoolExecutor(max(1, len(specs))) as pool:
+        list(pool.map(merge, specs))
+
+
+def _touched(updates: DataFrame, spec: DimSpec, commit: Row | None) -> list[int]:
+    """The buckets that a slice has keys of: a list no longer than there are buckets."""
+    bucket = bucket_of(spec.keys, commit).alias("bucket")
+    return [r.bucket for r in updates.select(bucket).distinct().collect()]
+
+
+def _has(commit: Row | None, names: Iterable[str]) -> bool:
+    """Whether a table's snapshot has the columns that its type adds. One that has not is built
+    again: its history stays readable and its keys go on."""
+    return commit is not None and set(names) <= set(T.StructType.fromDDL(commit.columns).names)
+
+
 def scd2(
     spark: SparkSession,
     rows: DataFrame,
@@ -267,27 +336,48 @@ def scd2(
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
 ) -> None:
-    """Merge a batch into the Type 2 dimensions under ``dims_path``."""
-    for spec in specs:
+    """Merge a batch into the Type 2 dimensions under ``dims_path``.
+
+    Only buckets of keys in which something changes are written again. A tracked column that is
+    new to a dimension is null in all versions before.
+    """
+
+    def merge_one(spec: DimSpec) -> None:
         with staging_scope(spark):
             path = f"{dims_path}/{spec.name}"
             commit = last_commit(spark, path)
-            current = _type2_current(spark, path, spec, commit)
+            rebuilt = not _has(commit, TYPE2_COLUMNS)
             updates = stage(latest_per_key(rows, spec))
-            merge = merge_type2(updates, current, spec, process_date)
-            if current is None or not merge.delta.isEmpty():
-                commit_version(
-                    spark, path, commit, merge.current, merge.expired, process_date,
-                    restart_history=current is None,
-                )
+            touched = _touched(updates, spec, commit)
+            current = None if rebuilt else read_current(spark, path, commit, touched)
+            last = (commit.last_key if commit else 0) or 0
+            last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
+            merge = merge_type2(updates, current, spec, process_date, last_used)
+            _commit(spark, path, commit, merge, merge.expired, spec, process_date, last, rebuilt)
+
+    _for_each(specs, merge_one)
 
 
-def _type2_current(
-    spark: SparkSession, path: str, spec: DimSpec, commit: Row | None
-) -> DataFrame | None:
-    columns = [*spec.columns, *TYPE2_COLUMNS]
-    current = read_current(spark, path, commit, columns)
-    return None if current is None else current.select(*columns)
+def _commit(spark, path, commit, merge, ended, spec, process_date, last_key, rebuilt) -> None:
+    """Write a merge, unless nothing has changed."""
+    bucket = bucket_of(spec.keys, None if rebuilt else commit).alias("bucket")
+    changed = dict(merge.delta.groupBy(bucket).count().collect())
+    if changed or commit is None:
+        after = None if last_key is None else last_key + sum(changed.values())
+        commit_version(
+            spark, path, commit, merge.current, spec.keys, changed, ended, process_date, after, rebuilt
+        )
+
+
+def _with_spec(rows: DataFrame, spec: DimSpec, more: Iterable[str]) -> DataFrame:
+    """The columns of a table in their order; a tracked column that it does not have yet is left out."""
+    return rows.select(*[c for c in (*spec.columns, *more) if c in rows.columns])
+
+
+def _type2_current(spark: SparkSession, path: str, spec: DimSpec, commit: Row | None) -> DataFrame | None:
+    if not _has(commit, TYPE2_COLUMNS):
+        return None
+    return _with_spec(read_current(spark, path, commit), spec, TYPE2_COLUMNS)
 
 
 def read_type2(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame | None:
@@ -313,16 +403,20 @@ def scd4(
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
 ) -> None:
-    """Merge a batch into the Type 4 dimensions under ``dims_path``."""
-    for spec in specs:
+    """Merge a batch into the Type 4 dimensions under ``dims_path``, as `scd2` does."""
+
+    def merge_one(spec: DimSpec) -> None:
         with staging_scope(spark):
             path = f"{dims_path}/{spec.name}"
             commit = last_commit(spark, path)
-            current = read_current(spark, path, commit, [*spec.columns, *CURRENT_SCHEMA.names])
+            rebuilt = not _has(commit, CURRENT_SCHEMA.names)
             updates = stage(latest_per_key(rows, spec))
+            touched = _touched(updates, spec, commit)
+            current = None if rebuilt else read_current(spark, path, commit, touched)
             merge = merge_type4(updates, current, spec, process_date)
-            if current is None or not merge.delta.isEmpty():
-                commit_version(spark, path, commit, merge.current, merge.archived, process_date)
+            _commit(spark, path, commit, merge, merge.archived, spec, process_date, None, rebuilt)
+
+    _for_each(specs, merge_one)
 
 
 def read_type4(
@@ -331,10 +425,10 @@ def read_type4(
     """(current, history) of a Type 4 dimension; None before its first load."""
     path = f"{dims_path}/{spec.name}"
     commit = last_commit(spark, path)
-    current = read_current(spark, path, commit, [*spec.columns, *CURRENT_SCHEMA.names])
-    if current is None:
+    if not _has(commit, CURRENT_SCHEMA.names):
         return None
-    attributes = [current.schema[c] for c in spec.columns]
+    current = _with_spec(read_current(spark, path, commit), spec, CURRENT_SCHEMA.names)
+    attributes = [f for f in current.schema if f.name not in CURRENT_SCHEMA.names]
     schema = T.StructType([*attributes, *HISTORY_SCHEMA.fields])
     return current, read_history(spark, path, schema, commit)
 
@@ -353,27 +447,26 @@ def run_batch(
 ) -> None:
     """Ingest a CSV, report on it, transform what is new and merge it into the dimensions.
 
-    The mark of the chosen type moves last. A run that dies earlier is repeated by
-    the next one, which changes nothing twice.
+    Batches that wait are processed one by one, oldest first, each with its own date, and the mark of
+    the chosen type moves after each. So what a run that died has left is made up for by the next one
+    as if it had not died, and nothing is changed twice.
     """
     if scd_type not in (2, 4):
         raise ValueError(f"scd_type is 2 or 4, not {scd_type!r}")
     landing, transformed = f"{base_path}/ingested", f"{base_path}/transformed"
     marks = f"{base_path}/watermark/type{scd_type}"
+    specs = tuple(specs)
 
     entry = ingest(spark, input_path, landing, process_date, partition_by)
     if entry is not None:
-        report = f"{base_path}/reports/quality/batch={process_date}"
-        check_batch_quality(spark, landing, process_date, report, entry)
-
-    mark = read_mark(spark, marks)
-    pending = pending_batches(spark, landing, mark)
-    if not pending:
-        return
-    batches = [row.batch for row in pending]
-    reached = utc_from_micros(pending[-1].micros)
-    if transform(spark, landing, transformed, batches, partition_by, mark, reached) > 0:
-        rows = read_transformed(spark, transformed, batches)
-        merge = scd2 if scd_type == 2 else scd4
-        merge(spark, rows, f"{base_path}/type{scd_type}", process_date, specs)
-    write_mark(spark, marks, reached)
+        batch = Batch(entry.batch, entry.input)
+        report = batch.folder(f"{base_path}/reports/quality")
+        check_batch_quality(spark, landing, batch, report, entry)
+
+    merge = scd2 if scd_type == 2 else scd4
+    for waiting in pending_batches(spark, landing, read_mark(spark, marks)):
+        batch, valid = waiting.batch, waiting.valid_records
+        if transform(spark, landing, transformed, batch, partition_by, valid) > 0:
+            rows = read_transformed(spark, transformed, [batch])
+            merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs)
+        write_mark(spark, marks, utc_from_micros(waiting.micros))

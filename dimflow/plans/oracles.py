@@ -6,11 +6,13 @@ row in a batch differs from the key's row in the batch it was last seen in.
 
 from __future__ import annotations
 
-from dimflow.plans.views import BATCHES, LOANS_SQL
+from dimflow.plans.views import BATCHES, LOANS_SQL, UPDATES_SQL
 from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, LOAN_COLUMNS, DimSpec
 
 _LOANS = f"loans AS ({LOANS_SQL.format(orders='orders', customer='customer')})"
 
+_UPDATES = f"updates AS ({UPDATES_SQL.format(lineitem='lineitem', orders='orders', customer='customer')})"
+
 _STATUSES = "('Applied', 'Approved', 'Disbursed', 'Repaid', 'Defaulted')"
 _VALID_WHEN = f"""customer_id IS NOT NULL AND loan_id IS NOT NULL
  AND (loan_amount IS NULL OR loan_amount > 0)
@@ -40,6 +42,9 @@ _PAYMENT = """round(CASE WHEN term_months IS NULL OR term_months <= 0 THEN NULL
       / nullif(1 - pow(1 + interest_rate / 100 / 12, -term_months), 0) END, 8)"""
 _VALID = f"valid AS (SELECT *, {_CATEGORY} AS loan_category FROM loans WHERE {_VALID_WHEN})"
 
+_VALID_UPDATES = f"valid_updates AS (SELECT *, {_CATEGORY} AS loan_category FROM updates WHERE {_VALID_WHEN})"
+_CHANGES = f"{_UPDATES}, {_VALID_UPDATES}"
+
 _LOAN_COLUMNS = ", ".join(LOAN_COLUMNS)
 
 
@@ -47,23 +52,28 @@ def _text(*ctes: str, body: str) -> str:
     return f"WITH {', '.join(ctes)} {body}"
 
 
-def _slice(spec: DimSpec, batch: str = "0") -> str:
-    """Latest row per batch and key."""
+def _slice(spec: DimSpec, batch: str = "0", unknown_at_first: str | None = None) -> str:
+    """Latest row per batch and key. ``unknown_at_first``: a column that batch 1 did not have."""
     key = spec.keys[0]
+    order = [c for c in spec.order_by if c not in spec.keys]
+    order += [c for c in spec.tracked if c not in order and c != unknown_at_first]
+    latest = ", ".join(f"{c} DESC NULLS LAST" for c in [*order, unknown_at_first] if c)
+    columns = [
+        f"CASE WHEN {batch} > 1 THEN {c} END AS {c}" if c == unknown_at_first else c for c in spec.columns
+    ]
     return f"""seen AS (
  SELECT * FROM (
-  SELECT {batch} AS batch_no, {', '.join(spec.columns)},
-   row_number() OVER (PARTITION BY {batch}, {key}
-                      ORDER BY last_updated DESC NULLS LAST, loan_id DESC) AS recency
-  FROM valid) WHERE recency = 1)"""
+  SELECT {batch} AS batch_no, {', '.join(columns)},
+   row_number() OVER (PARTITION BY {batch}, {key} ORDER BY {latest}) AS recency
+  FROM valid_updates) WHERE recency = 1 AND {key} IS NOT NULL)"""
 
 
-def _versions(spec: DimSpec, batch: str, run_date: str) -> str:
+def _versions(spec: DimSpec, batch: str, run_date: str, unknown_at_first: str | None = None) -> str:
     """Versions with surrogate keys and dates, from all batches at once."""
     key = spec.keys[0]
     before = ", ".join(f"lag({c}) OVER seen_before AS was_{c}" for c in spec.tracked)
     differs = " OR ".join(f"{c} IS DISTINCT FROM was_{c}" for c in spec.tracked)
-    return f"""{_slice(spec, batch)},
+    return f"""{_slice(spec, batch, unknown_at_first)},
  followed AS (
   SELECT *, lag(batch_no) OVER seen_before IS NULL AS is_new, {before} FROM seen
   WINDOW seen_before AS (PARTITION BY {key} ORDER BY batch_no)),
@@ -76,13 +86,14 @@ def _versions(spec: DimSpec, batch: str, run_date: str) -> str:
  spans AS (SELECT *, coalesce(next_from, DATE '9999-12-31') AS valid_to FROM versions)"""
 
 
-_BATCH_NO = f"""CASE WHEN application_date < DATE '{BATCHES[1].start}' THEN 1
- WHEN application_date < DATE '{BATCHES[2].start}' THEN 2 ELSE 3 END"""
+_BATCH_NO = f"""CASE WHEN CAST(last_updated AS DATE) < DATE '{BATCHES[1].start}' THEN 1
+ WHEN CAST(last_updated AS DATE) < DATE '{BATCHES[2].start}' THEN 2 ELSE 3 END"""
 _RUN_DATE = "CASE batch_no " + " ".join(
     f"WHEN {i} THEN DATE '{b.process_date}'" for i, b in enumerate(BATCHES, 1)
 ) + " END"
 _CUSTOMER = _versions(DIM_CUSTOMER, _BATCH_NO, _RUN_DATE)
 _LOAN = _versions(DIM_LOAN, _BATCH_NO, _RUN_DATE)
+_WIDENED = _versions(DIM_CUSTOMER, _BATCH_NO, _RUN_DATE, DIM_CUSTOMER.tracked[-1])
 
 
 def _type2(spec: DimSpec, only_current: bool = False) -> str:
@@ -96,6 +107,10 @@ def _type4_current(spec: DimSpec) -> str:
  FROM spans WHERE next_from IS NULL"""
 
 
+def _spans(spec: DimSpec) -> str:
+    return f"SELECT {', '.join(spec.columns)}, valid_from, valid_to FROM spans"
+
+
 def _as_of(with_key: bool) -> str:
     return f"""SELECT f.loan_id, f.customer_id, f.application_date, f.loan_amount,
  {'v.surrogate_key AS dim_surrogate_key,' if with_key else ''}
@@ -122,7 +137,7 @@ _LAST_RUN = BATCHES[-1].process_date
 _ERRORS = f"SELECT {_LOAN_COLUMNS} FROM loans WHERE NOT ({_VALID_WHEN})"
 _TWO_STEPS = _versions(
     DIM_CUSTOMER,
-    f"CASE WHEN application_date < DATE '{BATCHES[1].start}' THEN 1 ELSE 2 END",
+    f"CASE WHEN CAST(last_updated AS DATE) < DATE '{BATCHES[1].start}' THEN 1 ELSE 2 END",
     f"DATE '{_LAST_RUN}'",
 )
 
@@ -152,18 +167,18 @@ ORACLES: dict[str, str] = {
         _LOANS, _VALID, body=f"SELECT *, {_PAYMENT} AS monthly_payment FROM valid"
     ),
     "dim_customer_slice": _text(
-        _LOANS, _VALID, _slice(DIM_CUSTOMER),
+        _CHANGES, _slice(DIM_CUSTOMER),
         body=f"SELECT {', '.join(DIM_CUSTOMER.columns)} FROM seen",
     ),
     "dim_loan_slice": _text(
-        _LOANS, _VALID, _slice(DIM_LOAN), body=f"SELECT {', '.join(DIM_LOAN.columns)} FROM seen"
+        _CHANGES, _slice(DIM_LOAN), body=f"SELECT {', '.join(DIM_LOAN.columns)} FROM seen"
     ),
     "scd2_bootstrap": _text(
-        _LOANS, _VALID, _versions(DIM_CUSTOMER, "1", f"DATE '{_LAST_RUN}'"),
+        _CHANGES, _versions(DIM_CUSTOMER, "1", f"DATE '{_LAST_RUN}'"),
         body=_type2(DIM_CUSTOMER),
     ),
     "scd2_changes": _text(
-        _LOANS, _VALID, _TWO_STEPS,
+        _CHANGES, _TWO_STEPS,
         body=f"""SELECT {', '.join('u.' + c for c in DIM_CUSTOMER.columns)},
  CASE WHEN u.is_new THEN 'new' WHEN {' OR '.join(
      f'u.{c} IS DISTINCT FROM u.was_{c}' for c in DIM_CUSTOMER.tracked)} THEN 'changed'
@@ -174,20 +189,19 @@ ORACLES: dict[str, str] = {
   FROM followed WHERE batch_no = 1) d ON u.customer_id = d.customer_id
  WHERE u.batch_no = 2""",
     ),
-    "scd2_customer": _text(_LOANS, _VALID, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
-    "scd2_loan": _text(_LOANS, _VALID, _LOAN, body=_type2(DIM_LOAN)),
-    "scd2_current": _text(_LOANS, _VALID, _CUSTOMER, body=_type2(DIM_CUSTOMER, only_current=True)),
-    "scd4_current": _text(_LOANS, _VALID, _CUSTOMER, body=_type4_current(DIM_CUSTOMER)),
-    "scd4_loan_current": _text(_LOANS, _VALID, _LOAN, body=_type4_current(DIM_LOAN)),
+    "scd2_customer": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
+    "scd2_loan": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN)),
+    "scd2_current": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER, only_current=True)),
+    "scd4_current": _text(_CHANGES, _CUSTOMER, body=_type4_current(DIM_CUSTOMER)),
+    "scd4_loan_current": _text(_CHANGES, _LOAN, body=_type4_current(DIM_LOAN)),
     "scd4_history": _text(
-        _LOANS, _VALID, _CUSTOMER,
+        _CHANGES, _CUSTOMER,
         body=f"""SELECT {', '.join(DIM_CUSTOMER.columns)}, valid_from AS record_effective_date,
  next_from AS record_end_date FROM spans WHERE next_from IS NOT NULL""",
     ),
-    "as_of_join": _text(_LOANS, _VALID, _CUSTOMER, body=_as_of(with_key=True)),
-    "as_of_join_large": _text(_LOANS, _VALID, _CUSTOMER, body=_as_of(with_key=True)),
-    "as_of_join_timeline": _text(_LOANS, _VALID, _CUSTOMER, body=_as_of(with_key=True)),
-    "as_of_join_scd4": _text(_LOANS, _VALID, _CUSTOMER, body=_as_of(with_key=False)),
+    "as_of_join": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
+    "as_of_join_timeline": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
+    "as_of_join_scd4": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=False)),
     "incremental_slice": _text(_LOANS, body=_SLICED),
     "next_watermark": _text(
         _LOANS, body=f'SELECT max(last_updated) AS "lastProcessedDate" FROM ({_SLICED})'
@@ -197,9 +211,40 @@ ORACLES: dict[str, str] = {
         _LOANS, body=f"SELECT *, DATE '{_LAST_RUN}' AS error_date FROM ({_ERRORS})"
     ),
     "quality_report": _text(_LOANS, _FLAGGED, _TOTALS, body=_METRICS),
-    "run_type2": _text(_LOANS, _VALID, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
-    "run_type4": _text(
-        _LOANS, _VALID, _CUSTOMER,
-        body=f"SELECT {', '.join(DIM_CUSTOMER.columns)}, valid_from, valid_to FROM spans",
+    "run_type2": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
+    "run_type2_loan": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN)),
+    "run_type4": _text(_CHANGES, _CUSTOMER, body=_spans(DIM_CUSTOMER)),
+    "run_type4_loan": _text(_CHANGES, _LOAN, body=_spans(DIM_LOAN)),
+    "run_type2_after_failure": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN)),
+    "run_type4_after_type2": _text(_CHANGES, _CUSTOMER, body=_spans(DIM_CUSTOMER)),
+    "run_two_files_one_day": _text(
+        _CHANGES,
+        body=f"SELECT {_LOAN_COLUMNS}, {_PAYMENT} AS monthly_payment, loan_category FROM valid_updates",
+    ),
+    "run_transformed": _text(
+        _CHANGES,
+        body=f"""SELECT {_LOAN_COLUMNS}, monthly_payment, loan_category, {_RUN_DATE} AS batch FROM (
+ SELECT *, {_PAYMENT} AS monthly_payment, {_BATCH_NO} AS batch_no FROM valid_updates)""",
+    ),
+    "run_audit": _text(
+        _CHANGES,
+        body=f"""SELECT count(*) AS record_count, CAST(0 AS BIGINT) AS waiting,
+ CAST({len(BATCHES)} AS BIGINT) AS marks FROM valid_updates GROUP BY {_BATCH_NO}""",
+    ),
+    "run_repeated": _text(
+        _CHANGES, _CUSTOMER,
+        body=_type2(DIM_CUSTOMER).replace(" FROM spans", f", CAST({len(BATCHES)} AS BIGINT) AS commits FROM spans"),
+    ),
+    "run_first_load": _text(
+        _CHANGES, _slice(DIM_CUSTOMER, _BATCH_NO),
+        body=f"""SELECT {', '.join(DIM_CUSTOMER.columns)}, DATE '{BATCHES[0].process_date}' AS record_effective_date,
+ CAST(0 AS BIGINT) AS archived FROM seen WHERE batch_no = 1""",
+    ),
+    "scd4_loan_history": _text(
+        _CHANGES, _LOAN,
+        body=f"""SELECT {', '.join(DIM_LOAN.columns)}, valid_from AS record_effective_date,
+ next_from AS record_end_date FROM spans WHERE next_from IS NOT NULL""",
     ),
+    "scd2_new_column": _text(_CHANGES, _WIDENED, body=_type2(DIM_CUSTOMER)),
+    "scd4_new_column": _text(_CHANGES, _WIDENED, body=_spans(DIM_CUSTOMER)),
 }

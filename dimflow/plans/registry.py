@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators import quality, serve
-from dimflow.operators.changes import ACTION, WAS, classify
+from dimflow.operators.changes import ABSENT, ACTION, WAS, classify
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.type2 import apply_type2
 from dimflow.operators.type4 import merge_type4
 from dimflow.operators.validate import split_valid, validity_counts
 from dimflow.plans import jobs
-from dimflow.plans.views import BATCHES, Batch, loans
+from dimflow.plans.views import BATCHES, Batch, loans, updates
 from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, LOAN_COLUMNS, DimSpec
+from dimflow.sources.logs import read_log
 from dimflow.sources.staging import new_folder, stage
-from dimflow.streaming.incremental import incremental_slice, next_mark
+from dimflow.sources.versions import COMMIT_SCHEMA
+from dimflow.streaming.incremental import MARK_SCHEMA, incremental_slice, next_mark, read_mark
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +31,10 @@ def valid_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_loans(split_valid(loans(spark, sf_dir))[0])
 
 
+def valid_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich_loans(split_valid(updates(spark, sf_dir))[0])
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     # The last digit of pow differs between maths libraries.
     return df.withColumn("monthly_payment", F.round("monthly_payment", 8))
@@ -80,23 +87,26 @@ def transform(spark, sf_dir):
 
 
 def dim_customer_slice(spark, sf_dir):
-    return latest_per_key(valid_loans(spark, sf_dir), DIM_CUSTOMER)
+    return latest_per_key(valid_updates(spark, sf_dir), DIM_CUSTOMER)
 
 
 def dim_loan_slice(spark, sf_dir):
-    return latest_per_key(valid_loans(spark, sf_dir), DIM_LOAN)
+    return latest_per_key(valid_updates(spark, sf_dir), DIM_LOAN)
 
 
 def type2_after(
-    spark: SparkSession, sf_dir: str, spec: DimSpec, batches: Sequence[Batch] = BATCHES
+    spark: SparkSession,
+    sf_dir: str,
+    spec: DimSpec,
+    batches: Sequence[Batch] = BATCHES,
 ) -> DataFrame:
     """The Type 2 dimension after some batches, staged between them as a table would be."""
-    rows = valid_loans(spark, sf_dir)
+    rows = valid_updates(spark, sf_dir)
     dim = None
     for batch in batches:
-        updates = stage(latest_per_key(batch.of(rows), spec))
         before = None if dim is None else stage(dim)
-        dim = apply_type2(updates, before, spec, batch.process_date)
+        changes = stage(latest_per_key(batch.of(rows), spec))
+        dim = apply_type2(changes, before, spec, batch.process_date)
     return dim
 
 
@@ -104,12 +114,12 @@ def type4_after(
     spark: SparkSession, sf_dir: str, spec: DimSpec, batches: Sequence[Batch] = BATCHES
 ) -> tuple[DataFrame, DataFrame]:
     """(current, history) of the Type 4 dimension after some batches."""
-    rows = valid_loans(spark, sf_dir)
+    rows = valid_updates(spark, sf_dir)
     current, archived = None, []
     for batch in batches:
-        updates = stage(latest_per_key(batch.of(rows), spec))
+        changes = stage(latest_per_key(batch.of(rows), spec))
         before = None if current is None else stage(current)
-        merge = merge_type4(updates, before, spec, batch.process_date)
+        merge = merge_type4(changes, before, spec, batch.process_date)
         archived.append(merge.archived)
         current = merge.current
     return current, reduce(DataFrame.unionByName, archived)
@@ -123,9 +133,10 @@ def scd2_bootstrap(spark, sf_dir):
 def scd2_changes(spark, sf_dir):
     first, second, _ = BATCHES
     current = serve.current_rows(type2_after(spark, sf_dir, DIM_CUSTOMER, [first]))
-    rest = Batch(second.start, None, BATCHES[-1].process_date).of(valid_loans(spark, sf_dir))
-    updates = stage(latest_per_key(rest, DIM_CUSTOMER))
-    return classify(updates, current, DIM_CUSTOMER).select(
+    rest = Batch(second.start, None, BATCHES[-1].process_date).of(valid_updates(spark, sf_dir))
+    changes = stage(latest_per_key(rest, DIM_CUSTOMER))
+    compared = classify(changes, current, DIM_CUSTOMER)
+    return compared.filter(F.col(ACTION) != ABSENT).select(
         *DIM_CUSTOMER.columns,
         F.col(ACTION).alias("action"),
         F.col(WAS + "surrogate_key").alias("was_surrogate_key"),
@@ -153,6 +164,10 @@ def scd4_loan_current(spark, sf_dir):
     return type4_after(spark, sf_dir, DIM_LOAN)[0]
 
 
+def scd4_loan_history(spark, sf_dir):
+    return type4_after(spark, sf_dir, DIM_LOAN)[1].drop("archived_at")
+
+
 def scd4_history(spark, sf_dir):
     return type4_after(spark, sf_dir, DIM_CUSTOMER)[1].drop("archived_at")
 
@@ -171,14 +186,9 @@ def as_of_join(spark, sf_dir, **options):
     return joined.select(*_FACTS, "dim_surrogate_key", *_ATTRIBUTES)
 
 
-def as_of_join_large(spark, sf_dir):
-    """The same join the way it runs when the dimension is too large to broadcast."""
-    return as_of_join(spark, sf_dir, broadcast_rows=0)
-
-
 def as_of_join_timeline(spark, sf_dir):
-    """The same join the way it runs when a key may have many versions."""
-    return as_of_join(spark, sf_dir, broadcast_rows=0, compared_versions=0)
+    """The same join by way of each key's timeline."""
+    return as_of_join(spark, sf_dir, timeline=True)
 
 
 def as_of_join_scd4(spark, sf_dir):
@@ -203,7 +213,7 @@ def next_watermark(spark, sf_dir):
     return next_mark(incremental(spark, sf_dir), column="last_updated")
 
 
-# Whole jobs, from CSV files written from the loans. The generated data has a few
+# Whole jobs, from CSV files written from the loans or their updates. The generated data has a few
 # loans a day over six years, so the tables are partitioned by status, not by day.
 
 _PARTITION_BY = "status"
@@ -219,51 +229,155 @@ def _naive(df: DataFrame) -> DataFrame:
     return df.withColumn("last_updated", F.col("last_updated").cast("timestamp_ntz"))
 
 
-def _ingested(spark, sf_dir) -> str:
-    landing = new_folder(spark, "landing")
-    csv = _as_csv(loans(spark, sf_dir), "csv")
-    jobs.ingest(spark, csv, landing, BATCHES[-1].process_date, _PARTITION_BY)
-    return landing
+def _ingested(spark, sf_dir) -> tuple[str, jobs.Batch]:
+    landing, csv = new_folder(spark, "landing"), _as_csv(loans(spark, sf_dir), "csv")
+    entry = jobs.ingest(spark, csv, landing, BATCHES[-1].process_date, _PARTITION_BY)
+    return landing, jobs.Batch(entry.batch, entry.input)
 
 
 def ingest_valid(spark, sf_dir):
-    return _naive(jobs.read_ingested(spark, _ingested(spark, sf_dir)).select(*LOAN_COLUMNS))
+    return _naive(jobs.read_ingested(spark, _ingested(spark, sf_dir)[0]).select(*LOAN_COLUMNS))
 
 
 def ingest_quarantine(spark, sf_dir):
-    rows = jobs.read_quarantine(spark, _ingested(spark, sf_dir))
+    rows = jobs.read_quarantine(spark, _ingested(spark, sf_dir)[0])
     return _naive(rows.select(*LOAN_COLUMNS, "error_date"))
 
 
 def quality_report(spark, sf_dir):
-    landing, report = _ingested(spark, sf_dir), new_folder(spark, "report")
-    jobs.check_batch_quality(spark, landing, BATCHES[-1].process_date, report)
+    landing, batch = _ingested(spark, sf_dir)
+    reports = new_folder(spark, "reports")
+    jobs.check_batch_quality(spark, landing, batch, batch.folder(reports))
     counts = "struct<error_count bigint, error_percentage double>"
     schema = f"total_records bigint, error_records bigint, metrics map<string, {counts}>"
-    written = spark.read.schema(schema).json(report)
+    written = spark.read.schema(schema).json(reports)  # the dataset of all reports
     return written.select(
         "total_records", "error_records", F.explode("metrics").alias("check", "m")
     ).select("total_records", "error_records", "check", "m.error_count", "m.error_percentage")
 
 
-def run_batches(spark: SparkSession, sf_dir: str, scd_type: int) -> str:
-    """Run every batch from its CSV; returns the base path."""
+def _csv_of(spark: SparkSession, sf_dir: str, batch: Batch) -> str:
+    return _as_csv(batch.of(updates(spark, sf_dir)), "csv")
+
+
+def run_batches(
+    spark: SparkSession, sf_dir: str, scd_type: int, batches: Sequence[Batch] = BATCHES
+) -> str:
+    """Run batches from their CSVs; returns the base path."""
     base = new_folder(spark, "base")
-    for batch in BATCHES:
-        path = _as_csv(batch.of(loans(spark, sf_dir)), "csv")
+    for batch in batches:
+        path = _csv_of(spark, sf_dir, batch)
         jobs.run_batch(spark, path, base, batch.process_date, scd_type, _PARTITION_BY)
     return base
 
 
+def _versions4(spark: SparkSession, base: str, spec: DimSpec) -> DataFrame:
+    return serve.type4_versions(*jobs.read_type4(spark, f"{base}/type4", spec), spec)
+
+
 def run_type2(spark, sf_dir):
     return jobs.read_type2(spark, f"{run_batches(spark, sf_dir, 2)}/type2", DIM_CUSTOMER)
 
 
+def run_type2_loan(spark, sf_dir):
+    return jobs.read_type2(spark, f"{run_batches(spark, sf_dir, 2)}/type2", DIM_LOAN)
+
+
 def run_type4(spark, sf_dir):
-    current, history = jobs.read_type4(
-        spark, f"{run_batches(spark, sf_dir, 4)}/type4", DIM_CUSTOMER
+    return _versions4(spark, run_batches(spark, sf_dir, 4), DIM_CUSTOMER)
+
+
+def run_type4_loan(spark, sf_dir):
+    return _versions4(spark, run_batches(spark, sf_dir, 4), DIM_LOAN)
+
+
+def run_type2_after_failure(spark, sf_dir):
+    """The first two runs die after they have ingested; the third makes up for them."""
+    base = new_folder(spark, "base")
+    *dead, last = BATCHES
+    for batch in dead:
+        csv = _csv_of(spark, sf_dir, batch)
+        jobs.ingest(spark, csv, f"{base}/ingested", batch.process_date, _PARTITION_BY)
+    csv = _csv_of(spark, sf_dir, last)
+    jobs.run_batch(spark, csv, base, last.process_date, 2, _PARTITION_BY)
+    return jobs.read_type2(spark, f"{base}/type2", DIM_LOAN)
+
+
+def run_type4_after_type2(spark, sf_dir):
+    """Type 2 runs, and then a run of Type 4: it has the versions that it would always have had."""
+    base = run_batches(spark, sf_dir, 2, BATCHES[:-1])
+    csv = _csv_of(spark, sf_dir, BATCHES[-1])
+    jobs.run_batch(spark, csv, base, BATCHES[-1].process_date, 4, _PARTITION_BY)
+    return _versions4(spark, base, DIM_CUSTOMER)
+
+
+def _two_files(spark, sf_dir) -> str:
+    """Two inputs of one date, and the first of them again."""
+    base, date = new_folder(spark, "base"), BATCHES[-1].process_date
+    halves = [Batch(None, BATCHES[0].end, date), Batch(BATCHES[0].end, None, date)]
+    csvs = [_csv_of(spark, sf_dir, half) for half in halves]
+    for csv in [*csvs, csvs[0]]:
+        jobs.run_batch(spark, csv, base, date, 2, _PARTITION_BY)
+    return base
+
+
+def run_two_files_one_day(spark, sf_dir):
+    rows = jobs.read_transformed(spark, f"{_two_files(spark, sf_dir)}/transformed", [BATCHES[-1].process_date])
+    return _naive(_rounded(rows).select(*LOAN_COLUMNS, "monthly_payment", "loan_category"))
+
+
+def run_transformed(spark, sf_dir):
+    """The transformed table as the runs have written it."""
+    rows = jobs.read_transformed(spark, f"{run_batches(spark, sf_dir, 2)}/transformed")
+    return _naive(_rounded(rows).select(*LOAN_COLUMNS, "monthly_payment", "loan_category", "batch"))
+
+
+def run_audit(spark, sf_dir):
+    """What the runs have noted: the audit rows, and how far the mark has come."""
+    base = run_batches(spark, sf_dir, 2)
+    audit = read_log(spark, f"{base}/transformed_audit", jobs.AUDIT_SCHEMA)
+    mark = f"{base}/watermark/type2"
+    waiting = jobs.pending_batches(spark, f"{base}/ingested", read_mark(spark, mark))
+    marks = read_log(spark, mark, MARK_SCHEMA).agg(F.count_distinct("lastProcessedDate").alias("marks"))
+    return audit.select("record_count", F.lit(len(waiting)).cast("bigint").alias("waiting")).crossJoin(
+        F.broadcast(marks)  # one row
     )
-    return serve.type4_versions(current, history, DIM_CUSTOMER)
+
+
+def run_repeated(spark, sf_dir):
+    """The last batch twice: the dimension's versions, and how many commits there are."""
+    base = run_batches(spark, sf_dir, 2, [*BATCHES, BATCHES[-1]])
+    commits = read_log(spark, f"{base}/type2/{DIM_CUSTOMER.name}/commits", COMMIT_SCHEMA).count()
+    dim = jobs.read_type2(spark, f"{base}/type2", DIM_CUSTOMER)
+    return dim.withColumn("commits", F.lit(commits).cast("bigint"))
+
+
+def run_first_load(spark, sf_dir):
+    """After one run of Type 4: the current rows, and an empty history."""
+    base = run_batches(spark, sf_dir, 4, BATCHES[:1])
+    current, history = jobs.read_type4(spark, f"{base}/type4", DIM_CUSTOMER)
+    return current.withColumn("archived", F.lit(history.count()).cast("bigint"))
+
+
+# A dimension that gets another tracked column after its first batch.
+_NARROW = replace(DIM_CUSTOMER, tracked=DIM_CUSTOMER.tracked[:-1])
+
+
+def _widened(spark: SparkSession, sf_dir: str, scd_type: int) -> str:
+    base = new_folder(spark, "base")
+    for batch in BATCHES:
+        specs = [_NARROW if batch is BATCHES[0] else DIM_CUSTOMER]
+        csv = _csv_of(spark, sf_dir, batch)
+        jobs.run_batch(spark, csv, base, batch.process_date, scd_type, _PARTITION_BY, specs)
+    return base
+
+
+def scd2_new_column(spark, sf_dir):
+    return jobs.read_type2(spark, f"{_widened(spark, sf_dir, 2)}/type2", DIM_CUSTOMER)
+
+
+def scd4_new_column(spark, sf_dir):
+    return _versions4(spark, _widened(spark, sf_dir, 4), DIM_CUSTOMER)
 
 
 QUERIES: dict[str, Query] = {
@@ -286,8 +400,10 @@ QUERIES: dict[str, Query] = {
     "scd4_current": scd4_current,
     "scd4_loan_current": scd4_loan_current,
     "scd4_history": scd4_history,
+    "scd4_loan_history": scd4_loan_history,
+    "scd2_new_column": scd2_new_column,
+    "scd4_new_column": scd4_new_column,
     "as_of_join": as_of_join,
-    "as_of_join_large": as_of_join_large,
     "as_of_join_timeline": as_of_join_timeline,
     "as_of_join_scd4": as_of_join_scd4,
     "incremental_slice": incremental,
@@ -296,5 +412,14 @@ QUERIES: dict[str, Query] = {
     "ingest_quarantine": ingest_quarantine,
     "quality_report": quality_report,
     "run_type2": run_type2,
+    "run_type2_loan": run_type2_loan,
     "run_type4": run_type4,
+    "run_type4_loan": run_type4_loan,
+    "run_type2_after_failure": run_type2_after_failure,
+    "run_type4_after_type2": run_type4_after_type2,
+    "run_two_files_one_day": run_two_files_one_day,
+    "run_transformed": run_transformed,
+    "run_audit": run_audit,
+    "run_repeated": run_repeated,
+    "run_first_load": run_first_load,
 }

@@ -1,21 +1,24 @@
-"""Small append-only JSON datasets: audit rows, reports, commits and marks.
+"""Small append-only JSON datasets: audit rows, ingest log, commits and marks.
 
 Each append adds one file, which appears whole or not at all, so the latest state
 is always readable while it changes. Their size follows the number of runs, not
-the data.
+the data. A row of driver values is written by the driver, without a Spark job.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.sources.staging import filesystem_of
 from dimflow.sources.tables import load_optional
 
-# Full precision: a mark cut to milliseconds would lie before the rows it covers.
-_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-
 
 def one_row(spark: SparkSession, schema: T.StructType, row: tuple) -> DataFrame:
     """Driver values as a DataFrame of literals, which needs no Python worker."""
@@ -28,15 +31,24 @@ def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return one_row(spark, schema, (None,) * len(schema)).where(F.lit(False))
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    """Append a few rows to the JSON dataset at ``path``."""
-    log = rows.coalesce(1).write.mode("append")
-    log.option("timestampFormat", _TIMESTAMP_FORMAT).json(path)
+def _text(value: object) -> str:
+    if isinstance(value, dt.datetime):
+        # Full precision: a mark cut to milliseconds would lie before the rows it covers.
+        return value.astimezone(dt.timezone.utc).isoformat(timespec="microseconds")
+    return value.isoformat()
 
 
 def append_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
     """Append one row of driver values."""
-    append_log(one_row(spark, schema, row), path)
+    values = {name: v for name, v in zip(schema.names, row, strict=True) if v is not None}
+    line = json.dumps(values, default=_text) + "\n"
+    name = f"{time.time_ns()}-{uuid.uuid4().hex}"
+    filesystem, hidden = filesystem_of(spark, f"{path}/.{name}")
+    out = filesystem.create(hidden)
+    out.write(line.encode())
+    out.close()
+    if not filesystem.rename(hidden, filesystem_of(spark, f"{path}/part-{name}.json")[1]):
+        raise OSError(f"cannot add a row to {path}")
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

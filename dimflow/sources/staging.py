@@ -3,11 +3,14 @@
 A staged table cuts lineage where two consumers must see the same rows, survives
 the loss of executors, and tells the planner its real size, so joins against it
 are broadcast only when it is small.
+
+Every staged folder has an owner: the job whose `staging_scope` it is in, which deletes
+it on leaving, or else this process, which deletes it at `release` or when it ends.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,25 +18,25 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
 _open_scope: ContextVar[list[str] | None] = ContextVar("dimflow_staging", default=None)
+_unscoped: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or by setCheckpointDir.
-
-    Only a local session, where one machine is the whole cluster, may go without.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
+    """The folder named by spark.checkpoint.dir, or by setCheckpointDir."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="dimflow-")
-    return _local_folders[app]
+    return folder
+
+
+def use_folder_if_unset(spark: SparkSession, folder: str) -> None:
+    """Name a shared folder for a session that has none. Only where one machine is the whole
+    cluster: a local session, without executors of its own."""
+    master = spark.sparkContext.master
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    if unset and (master == "local" or master.startswith("local[")):
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def new_folder(spark: SparkSession, name: str = "staged") -> str:
@@ -42,6 +45,8 @@ def new_folder(spark: SparkSession, name: str = "staged") -> str:
     scope = _open_scope.get()
     if scope is not None:
         scope.append(path)
+    else:
+        _unscoped.append((spark, path))
     return path
 
 
@@ -67,8 +72,30 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
+def release() -> None:
+    """Delete all that was staged outside of scopes. Results that are still to be computed
+    from it are lost."""
+    while _unscoped:
+        spark, path = _unscoped.pop()
+        delete_folder(spark, path)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    try:
+        release()
+    except Exception:  # the JVM may be gone; then nobody is left to ask
+        _unscoped.clear()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever filesystem holds it, if it is there."""
+    filesystem, target = filesystem_of(spark, path)
+    filesystem.delete(target, True)
+
+
+def filesystem_of(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop filesystem, path) of a path."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target

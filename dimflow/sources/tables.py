@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from dimflow.sources.staging import filesystem_of
+
 
 def load_optional(
     spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet"
@@ -45,3 +48,15 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) ->
     # Overwriting replaces all of ``path``, whatever the session says.
     writer = df.write.option("partitionOverwriteMode", "static").mode(mode)
     writer.partitionBy(*partition_by).parquet(path)
+
+
+def input_stamp(spark: SparkSession, path: str) -> str:
+    """A text that differs when the files at ``path`` do: their names, lengths and times."""
+    filesystem, target = filesystem_of(spark, path)
+    seen = []
+    for found in filesystem.globStatus(target) or []:
+        files = filesystem.listFiles(found.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            seen.append(f"{file.getPath().toString()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()

@@ -2,38 +2,41 @@
 
 Layout under a table's path::
 
-    current/table_version=<n>   one row per key, rewritten by each version
-    history/table_version=<n>   rows that version n ended, never rewritten
-    commits                     one JSON row per finished version
-
-A version exists once its commit row does. Nothing a reader can see is overwritten:
-a run that dies half-way leaves folders that no commit names, and the next run
-replaces them. History is appended, so a run writes the current rows and its own
-changes, however long the history is. One writer per table at a time.
+    current/table_version=<n>/bucket=<b>   the current rows of a bucket of keys
+    history/table_version=<n>              rows that version n ended, never rewritten
+    commits                                one JSON row per finished version
+
+Keys are dealt out to a fixed number of buckets by hash. A version writes the buckets in
+which something changed, and its commit row names the version that each bucket is at. A version exists
+once its commit row does. Nothing a reader can see is overwritten or deleted: a run that dies
+half-way leaves folders that no commit names, and the next run replaces them. `vacuum`, which
+nothing here calls, deletes old snapshots. One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.sources.logs import append_row, no_rows, read_log
 from dimflow.sources.staging import delete_folder
-from dimflow.sources.tables import load_optional, replace_folder
+from dimflow.sources.tables import load_optional, replace_folder, write_partitioned
 
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.IntegerType()),
-        T.StructField("history_from", T.IntegerType()),
+        T.StructField("buckets", T.ArrayType(T.IntegerType())),  # the version each is at, or 0
+        T.StructField("columns", T.StringType()),  # of the snapshot, as DDL
+        T.StructField("last_key", T.LongType()),
         T.StructField("process_date", T.DateType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
-KEEP_SNAPSHOTS = 2
+BUCKETS = 32
 
 
 def last_commit(spark: SparkSession, path: str) -> Row | None:
@@ -42,33 +45,38 @@ def last_commit(spark: SparkSession, path: str) -> Row | None:
     return commits.orderBy(F.desc("version")).first()
 
 
+def bucket_of(keys: Sequence[str], commit: Row | None) -> Column:
+    """The bucket of a row's key. A table keeps the number of buckets it began with."""
+    count = len(commit.buckets) if commit else BUCKETS
+    return F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+
+
 def read_current(
-    spark: SparkSession, path: str, commit: Row | None, required: Iterable[str]
+    spark: SparkSession, path: str, commit: Row | None, buckets: Collection[int] | None = None
 ) -> DataFrame | None:
-    """The snapshot ``commit`` names; None when the table does not exist, or lacks a
-    required column and has to be built again."""
+    """The snapshot ``commit`` names, or some buckets of it; None when the table does not exist.
+    Columns that older files lack are null."""
     if commit is None:
         return None
-    snapshot = f"{path}/current/table_version={commit.version}"
-    found = load_optional(spark, snapshot)
-    if found is None:
-        raise FileNotFoundError(f"version {commit.version} is committed but {snapshot} is missing")
-    return found if set(required) <= set(found.columns) else None
+    base, columns = f"{path}/current", T.StructType.fromDDL(commit.columns)
+    held = [
+        f"{base}/table_version={version}/bucket={b}"
+        for b, version in enumerate(commit.buckets)
+        if version and (buckets is None or b in buckets)
+    ]
+    return spark.read.schema(columns).parquet(*held) if held else no_rows(spark, columns)
 
 
 def read_history(
     spark: SparkSession, path: str, schema: T.StructType, commit: Row | None
 ) -> DataFrame:
-    """All committed history rows; none when the table does not exist."""
-    if commit is None:
-        return no_rows(spark, schema)
+    """All committed history rows; none when there is no table, or no history yet. Columns
+    that older versions lack are null."""
     with_version = T.StructType([*schema.fields, T.StructField("table_version", T.IntegerType())])
-    return (
-        spark.read.schema(with_version)
-        .parquet(f"{path}/history")
-        .filter(F.col("table_version").between(commit.history_from, commit.version))
-        .drop("table_version")
-    )
+    rows = None if commit is None else load_optional(spark, f"{path}/history", with_version)
+    if rows is None:
+        return no_rows(spark, schema)
+    return rows.filter(F.col("table_version") <= commit.version).drop("table_version")
 
 
 def commit_version(
@@ -76,21 +84,42 @@ def commit_version(
     path: str,
     previous: Row | None,
     current: DataFrame,
+    keys: Sequence[str],
+    changed: Collection[int],
     ended: DataFrame,
     process_date: dt.date,
-    restart_history: bool = False,
+    last_key: int | None = None,
+    rebuilt: bool = False,
 ) -> int:
     """Write the version after ``previous`` and make it the table's newest.
 
-    ``restart_history`` leaves the history of earlier versions behind. Snapshots
-    older than the last two are deleted after the commit.
+    ``current`` has all current rows of the ``changed`` buckets; the other buckets stay as they
+    are, or become empty if the table is ``rebuilt``.
     """
     version = previous.version + 1 if previous else 1
-    history_from = version if restart_history or not previous else previous.history_from
-    replace_folder(current, f"{path}/current/table_version={version}")
+    buckets = [0] * BUCKETS if rebuilt or not previous else list(previous.buckets)
+    rows = current.withColumn("bucket", bucket_of(keys, None if rebuilt else previous))
+    rows = rows.filter(F.col("bucket").isin(*changed))
+    write_partitioned(rows, f"{path}/current/table_version={version}", ["bucket"], mode="overwrite")
     replace_folder(ended, f"{path}/history/table_version={version}")
+    for b in changed:
+        buckets[b] = version
     now = dt.datetime.now(dt.timezone.utc)
-    append_row(spark, f"{path}/commits", COMMIT_SCHEMA, (version, history_from, process_date, now))
-    if version > KEEP_SNAPSHOTS:
-        delete_folder(spark, f"{path}/current/table_version={version - KEEP_SNAPSHOTS}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema)
+    row = (version, buckets, columns, last_key, process_date, now)
+    append_row(spark, f"{path}/commits", COMMIT_SCHEMA, row)
     return version
+
+
+def vacuum(spark: SparkSession, path: str, older_than: dt.datetime) -> list[int]:
+    """Delete the snapshot folders that only versions replaced before a time need; returns
+    their versions. Readers of such a version must be done. History is kept."""
+    commits = read_log(spark, f"{path}/commits", COMMIT_SCHEMA).orderBy("version").collect()
+    needed: set[int] = set()
+    for commit, following in zip(commits, [*commits[1:], None]):
+        if following is None or following.committed_at.astimezone(dt.timezone.utc) >= older_than:
+            needed |= set(commit.buckets)
+    gone = [c.version for c in commits if c.version not in needed]
+    for version in gone:
+        delete_folder(spark, f"{path}/current/table_version={version}")
+    return gone

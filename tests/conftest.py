@@ -12,16 +12,16 @@ from dimflow.schemas import LOAN_COLUMNS, LOAN_SCHEMA  # noqa: E402
 LOAN = {
     "customer_id": "C1",
     "loan_id": "L1",
-    "application_date": dt.date(2023, 1, 15),
-    "loan_amount": 5000.0,
-    "interest_rate": 5.5,
-    "term_months": 24,
+    "application_date": dt.date(2021, 11, 3),
+    "loan_amount": 7250.0,
+    "interest_rate": 4.25,
+    "term_months": 30,
     "status": "Approved",
-    "customer_name": "Ann",
-    "customer_dob": dt.date(1985, 4, 12),
+    "customer_name": "Mira Voss",
+    "customer_dob": dt.date(1979, 8, 21),
     "employment_status": "Employed",
-    "annual_income": 45000.0,
-    "last_updated": dt.datetime(2023, 1, 15, 10, 30),
+    "annual_income": 61300.0,
+    "last_updated": dt.datetime(2021, 11, 4, 8, 5),
 }
 
 

@@ -86,26 +86,35 @@ def test_classify_with_composite_keys(spark):
     )
     found = classify(updates, current, PAIR)
     assert rows_of(found, "a", "b", "_action", "_was_y") == [
+        ("absent", 1, "absent", 1.0),
         ("k", 1, "same", 1.0), ("k", 2, "changed", 2.0), ("k", 3, "same", 1.0), ("z", 1, "new", None),
     ]
 
 
-def test_a_small_batch_leaves_the_current_table_unshuffled(spark):
-    current = stage(spark.range(1000).selectExpr("string(id) AS a", "1 AS b", "'x' AS x", "0D AS y"))
+def test_each_side_of_a_merge_is_shuffled_once(spark):
+    columns = ("string(id) AS a", "1 AS b", "'x' AS x", "0D AS y", "date'2023-01-01' AS record_effective_date")
+    current = stage(spark.range(1000).selectExpr(*columns))
     updates = stage(pairs(spark, ("1", 1, "z", 0.0)))
-    plan = classify(updates, current, PAIR)._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = classify(updates, current, PAIR)
-        plan = shuffled._jdf.queryExecution().executedPlan().toString()
-        # Current and batch once each for the semi-join, the batch once more for the rest.
-        assert plan.count("Exchange hashpartitioning") == 3 and "Broadcast" not in plan
-        assert rows_of(shuffled, "a", "_action") == [("1", "changed")]
+        plan = classify(updates, current, PAIR)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+        # All else reads the staged comparison: nothing of a merge scans or shuffles a side again.
+        merge = merge_type4(updates, current, PAIR, D1)
+        for part in (merge.delta, merge.archived, merge.kept, merge.inserted):
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and plan.count("FileScan") == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_column_that_the_current_rows_lack_counts_as_null(spark):
+    current = pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "x", 1.0)).drop("y")
+    updates = pairs(spark, ("a", 1, "x", 2.0), ("b", 1, "x", None))
+    found = classify(updates, current, PAIR)
+    assert rows_of(found, "a", "_action", "_was_y") == [("a", "changed", None), ("b", "same", None)]
+
+
 # Surrogate keys
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from conftest import LOAN, plan_of, rows_of
@@ -15,12 +16,12 @@ from dimflow.streaming.incremental import read_mark
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 
-GOLDEN = [
-    ("L001", 5000.0, 5.5, 24, 220.47828079068086, "Medium"),
-    ("L002", 15000.0, 6.0, 36, 456.3290617733356, "Medium"),
-    ("L003", 3000.0, 0.0, 12, 250.0, "Small"),
-    ("L004", 25000.0, 7.2, 48, 600.9785960101365, "Large"),
-    ("L005", 8000.0, 5.0, 24, 350.97111787254863, "Medium"),
+# id, amount, yearly rate, term, category
+PRICED = [
+    ("P1", 6120.0, 3.75, 18, "Medium"),
+    ("P2", 19999.5, 11.0, 60, "Medium"),
+    ("P3", 840.0, 0.0, 7, "Small"),
+    ("P4", 41000.0, 8.25, 96, "Large"),
 ]
 
 
@@ -28,6 +29,9 @@ def loan(customer, loan_id, **columns):
     return {**LOAN, "customer_id": customer, "loan_id": loan_id, **columns}
 
 
+batch = jobs.batch_of
+
+
 def csv_file(path, *rows):
     """A CSV as a source system would leave it."""
     with open(path, "w") as file:
@@ -51,18 +55,22 @@ SECOND = (
 )
 
 
-def test_golden_payments_through_the_files(spark, folder):
+def test_payments_through_the_files(spark, folder):
     rows = [
         loan(f"C{i}", name, loan_amount=a, interest_rate=r, term_months=t)
-        for i, (name, a, r, t, _, _) in enumerate(GOLDEN)
+        for i, (name, a, r, t, _) in enumerate(PRICED)
     ]
     path = csv_file(folder("in.csv"), *rows)
     entry = jobs.ingest(spark, path, folder("landing"), D1)
-    assert (entry.total_records, entry.valid_records, entry.error_records) == (5, 5, 0)
-    assert jobs.transform(spark, folder("landing"), folder("out"), [D1]) == 5
+    assert (entry.total_records, entry.valid_records, entry.error_records) == (4, 4, 0)
+    assert jobs.transform(spark, folder("landing"), folder("out"), batch(path, D1)) == 4
     found = {r.loan_id: r for r in jobs.read_transformed(spark, folder("out")).collect()}
-    for name, _, _, _, payment, category in GOLDEN:
-        assert found[name].monthly_payment == pytest.approx(payment, rel=1e-9)
+    for name, amount, rate, term, category in PRICED:
+        # What is owed after all payments, in decimal arithmetic.
+        owed = Decimal(amount)
+        for _ in range(term):
+            owed += owed * Decimal(rate) / 1200 - Decimal(found[name].monthly_payment)
+        assert abs(owed) < Decimal("1e-6")
         assert found[name].loan_category == category
         assert found[name].transformation_timestamp is not None
 
@@ -72,9 +80,9 @@ def test_ingest_splits_and_partitions(spark, folder):
     entry = jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
     assert (entry.total_records, entry.valid_records, entry.error_records) == (5, 3, 2)
     ingested = jobs.read_ingested(spark, landing)
-    assert ingested.columns == [*LOAN_COLUMNS, "ingestion_timestamp", "batch"]
+    assert ingested.columns == [*LOAN_COLUMNS, "ingestion_timestamp", "batch", "input"]
     assert rows_of(ingested, "loan_id", "application_date") == [
-        ("L1", dt.date(2023, 1, 15)), ("L2", dt.date(2023, 1, 16)), ("L3", None),
+        ("L1", LOAN["application_date"]), ("L2", dt.date(2023, 1, 16)), ("L3", None),
     ]
     quarantine = jobs.read_quarantine(spark, landing, [D1])
     assert rows_of(quarantine, "loan_id", "error_date") == [("L4", D1), ("L5", D1)]
@@ -83,21 +91,41 @@ def test_ingest_splits_and_partitions(spark, folder):
     assert "PartitionFilters" in plan and "application_date" in plan[plan.index("PartitionFilters"):]
 
 
-def test_ingest_again_replaces_the_batch_only(spark, folder):
+def test_inputs_of_a_day_are_kept_and_a_changed_one_is_replaced(spark, folder):
     landing = folder("landing")
-    jobs.ingest(spark, csv_file(folder("1.csv"), *FIRST), landing, D1)
-    jobs.ingest(spark, csv_file(folder("2.csv"), *SECOND), landing, D2)
-    jobs.ingest(spark, csv_file(folder("3.csv"), FIRST[0]), landing, D1)
-    assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "batch") == [
-        ("L1", D1), ("L1", D2), ("L2", D2), ("L6", D2),
-    ]
+    one, two = csv_file(folder("1.csv"), *FIRST), csv_file(folder("2.csv"), *SECOND)
+    jobs.ingest(spark, one, landing, D1)
+    jobs.ingest(spark, two, landing, D1)
+    jobs.ingest(spark, two, landing, D2)
+    rows = [("L1", D1), ("L1", D1), ("L1", D2), ("L2", D1), ("L2", D1), ("L2", D2), ("L3", D1), ("L6", D1), ("L6", D2)]
+    assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "batch") == rows
+    again = jobs.ingest(spark, one, landing, D1)  # as it was: nothing happens
+    assert again.total_records == 5
+    assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "batch") == rows
+    jobs.ingest(spark, csv_file(one, FIRST[0]), landing, D1)
+    assert rows_of(jobs.read_ingested(spark, landing, [batch(one, D1)]), "loan_id") == [("L1",)]
+    assert rows_of(jobs.read_ingested(spark, landing, [D1]), "loan_id") == [("L1",), ("L1",), ("L2",), ("L6",)]
     assert jobs.read_quarantine(spark, landing).isEmpty()
 
 
+def test_two_files_of_a_day_reach_the_dimensions_and_a_repeated_one_changes_nothing(spark, folder):
+    base, dims = folder("base"), folder("base", "type2")
+    one, two = csv_file(folder("1.csv"), *FIRST), csv_file(folder("2.csv"), *SECOND)
+    for path in (one, two):
+        jobs.run_batch(spark, path, base, D1, 2)
+    before = [rows_of(jobs.read_type2(spark, dims, spec)) for spec in DIMENSIONS]
+    assert {row[0] for row in before[0]} == {"C1", "C2", "C3", "C5"}
+    for path in (one, two, one):
+        jobs.run_batch(spark, path, base, D1, 2)
+    assert [rows_of(jobs.read_type2(spark, dims, spec)) for spec in DIMENSIONS] == before
+    assert jobs.read_transformed(spark, f"{base}/transformed").count() == 6
+
+
 def test_ingest_by_another_column(spark, folder):
     landing = folder("landing")
     jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1, "status")
-    assert os.path.isdir(f"{landing}/rows/batch={D1}/outcome=valid/status=Approved")
+    path = batch(folder("in.csv"), D1)
+    assert os.path.isdir(f"{path.folder(landing + '/rows')}/outcome=valid/status=Approved")
     assert rows_of(jobs.read_ingested(spark, landing), "loan_id", "status")[0] == ("L1", "Approved")
 
 
@@ -116,30 +144,41 @@ def test_a_missing_input_raises(spark, folder):
 def test_quality_of_a_batch_equals_quality_of_its_raw_rows(spark, folder, loans):
     landing = folder("landing")
     jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
-    of_batch = jobs.check_batch_quality(spark, landing, D1, folder("batch.json"))
+    of_batch = jobs.check_batch_quality(spark, landing, batch(folder("in.csv"), D1), folder("batch.json"))
     of_rows = jobs.check_quality(spark, loans(*FIRST), folder("rows.json"))
     assert of_batch == of_rows and of_batch.error_records == 2
     report = spark.read.json(folder("batch.json")).first()
     assert report.total_records == 5 and report.timestamp
     assert report.metrics.invalid_status.error_count == 1
     assert report.metrics.invalid_status.error_percentage == 20.0
-    errors = spark.read.parquet(folder("batch_errors.parquet"))
+    errors = spark.read.parquet(folder("batch_errors"))
     assert rows_of(errors, "loan_id", "quality_issue") == [("L4", 1), ("L5", 3)]
 
 
 def test_quality_without_errors_or_rows(spark, folder, loans):
-    assert jobs.check_quality(spark, loans({}), folder("good.json")).error_records == 0
-    assert os.path.exists(folder("good.json"))
-    assert not os.path.exists(folder("good_errors.parquet"))
-    assert jobs.check_quality(spark, loans({}).limit(0), folder("none.json")) is None
-    assert not os.path.exists(folder("none.json"))
+    assert jobs.check_quality(spark, loans({"status": "Lost"}), folder("report")).error_records == 1
+    assert spark.read.parquet(folder("report_errors")).count() == 1
+    # A clean run clears the error rows of the run before.
+    assert jobs.check_quality(spark, loans({}), folder("report")).error_records == 0
+    assert spark.read.parquet(folder("report_errors")).isEmpty()
+    assert jobs.check_quality(spark, loans({}).limit(0), folder("none")) is None
+    assert not os.path.exists(folder("none"))
+
+
+def test_reports_are_one_dataset(spark, folder):
+    base = run_two(spark, folder, 2)
+    reports = spark.read.json(f"{base}/reports/quality")
+    assert "_corrupt_record" not in reports.columns
+    assert rows_of(reports, "batch", "total_records", "error_records") == [(D1, 5, 2), (D2, 3, 0)]
+    errors = spark.read.parquet(f"{base}/reports/quality_errors")
+    assert rows_of(errors, "loan_id", "batch") == [("L4", D1), ("L5", D1)]
 
 
 def test_audit_is_beside_the_table_and_grows(spark, folder):
     landing, out = folder("landing"), folder("out")
     jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
     for _ in range(2):
-        jobs.transform(spark, landing, out, [D1])
+        jobs.transform(spark, landing, out, batch(folder("in.csv"), D1))
     assert jobs.read_transformed(spark, out).count() == 3
     audit = spark.read.json(f"{out}_audit")
     assert [(r.input_path, r.output_path, r.record_count) for r in audit.collect()] == 2 * [
@@ -178,9 +217,11 @@ def test_type2_run(spark, folder):
         ("L3", "Approved", "Large", 3, True),
         ("L6", "Approved", "Medium", 5, True),
     ]
-    # The second batch again, and one more run without new facts: nothing changes.
+    # The second batch again changes nothing, nor does the same content in a new file.
     mark = read_mark(spark, f"{base}/watermark/type2")
     jobs.run_batch(spark, folder("2.csv"), base, D2, 2)
+    assert read_mark(spark, f"{base}/watermark/type2") == mark
+    jobs.run_batch(spark, csv_file(folder("3.csv"), *SECOND), base, D3, 2)
     assert read_mark(spark, f"{base}/watermark/type2") > mark
     assert rows_of(jobs.read_type2(spark, dims, DIM_CUSTOMER), *columns) == expected
     assert sorted(os.listdir(f"{dims}/dim_customer/history")) == ["table_version=1", "table_version=2"]
@@ -195,11 +236,14 @@ def test_type4_run_agrees_with_type2(spark, folder):
     ]
     assert rows_of(history, *columns, "record_end_date") == [("C1", "Employed", D1, D2)]
     assert history.columns[-1] == "archived_at"
-    # Choosing the other type later starts from the same landed rows, as one first load.
-    jobs.run_batch(spark, folder("2.csv"), base, D3, 2)
+    # Choosing the other type later goes through the same batches, each with its date.
+    jobs.run_batch(spark, folder("2.csv"), base, D2, 2)
     type2 = jobs.read_type2(spark, f"{base}/type2", DIM_CUSTOMER)
-    assert rows_of(type2, "customer_id") == rows_of(current, "customer_id")
-    assert rows_of(type2, "effective_start_date") == 4 * [(D3,)]
+    spans = rows_of(type2, "customer_id", "employment_status", "effective_start_date", "effective_end_date")
+    assert spans == [
+        ("C1", "Employed", D1, D2), ("C1", "Retired", D2, OPEN_END), ("C2", "Employed", D1, OPEN_END),
+        ("C3", "Employed", D1, OPEN_END), ("C5", "Employed", D2, OPEN_END),
+    ]
 
 
 def test_a_first_load_has_no_history(spark, folder):
@@ -212,24 +256,65 @@ def test_a_first_load_has_no_history(spark, folder):
     assert history.columns == [*DIM_CUSTOMER.columns, "record_effective_date", "record_end_date", "archived_at"]
 
 
-@pytest.mark.parametrize("failing", ["transform", "scd2", "write_mark"])
-def test_a_run_that_died_is_made_up_for_by_the_next(spark, folder, monkeypatch, failing):
-    base = folder("base")
+def versions(spark, base, scd_type, spec):
+    if scd_type == 2:
+        return rows_of(jobs.read_type2(spark, f"{base}/type2", spec))
+    current, history = jobs.read_type4(spark, f"{base}/type4", spec)
+    return rows_of(current), rows_of(history.drop("archived_at"))
+
+
+@pytest.mark.parametrize("scd_type", [2, 4])
+@pytest.mark.parametrize("failing", ["transform", "scd", "write_mark"])
+def test_a_run_that_died_is_made_up_for_by_the_next(spark, folder, monkeypatch, failing, scd_type):
+    """The second run has older values for a customer of the first, which still is the later batch."""
+    step = f"scd{scd_type}" if failing == "scd" else failing
+    older = loan("C1", "L1", employment_status="Retired", last_updated=dt.datetime(2020, 1, 1))
+    one, two = csv_file(folder("1.csv"), *FIRST), csv_file(folder("2.csv"), older, SECOND[2])
+    undisturbed = folder("undisturbed")
+    for path, date in ((one, D1), (two, D2)):
+        jobs.run_batch(spark, path, undisturbed, date, scd_type)
 
-    def die(*args, real=getattr(jobs, failing), **kwargs):
-        if failing == "write_mark":
-            raise OSError("lost")
-        real(*args, **kwargs)
+    def die(*args, real=getattr(jobs, step), **kwargs):
+        if step != "write_mark":
+            real(*args, **kwargs)
         raise OSError("lost")
 
+    base = folder("base")
     with monkeypatch.context() as patch:
-        patch.setattr(jobs, failing, die)
+        patch.setattr(jobs, step, die)
         with pytest.raises(OSError):
-            jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, 2, specs=[DIM_CUSTOMER])
-    jobs.run_batch(spark, csv_file(folder("2.csv"), SECOND[2]), base, D2, 2, specs=[DIM_CUSTOMER])
-    dim = jobs.read_type2(spark, f"{base}/type2", DIM_CUSTOMER)
-    assert [row[0] for row in rows_of(dim, "customer_id")] == ["C1", "C2", "C3", "C5"]
-    assert jobs.read_transformed(spark, f"{base}/transformed").count() == 4
+            jobs.run_batch(spark, one, base, D1, scd_type)
+    jobs.run_batch(spark, two, base, D2, scd_type)
+    for spec in DIMENSIONS:
+        assert versions(spark, base, scd_type, spec) == versions(spark, undisturbed, scd_type, spec)
+    assert jobs.read_transformed(spark, f"{base}/transformed").count() == 5
+    assert len([f for f in os.listdir(f"{base}/watermark/type{scd_type}") if f.startswith("part")]) == 2
+
+
+@pytest.mark.parametrize("scd_type", [2, 4])
+def test_a_new_tracked_column_is_a_change_and_loses_nothing(spark, folder, scd_type):
+    narrow = DimSpec("dim_customer", ("customer_id",), ("employment_status",))
+    wide = DimSpec("dim_customer", ("customer_id",), ("employment_status", "annual_income"))
+    base = folder("base")
+    jobs.run_batch(spark, csv_file(folder("1.csv"), *FIRST), base, D1, scd_type, specs=[narrow])
+    jobs.run_batch(spark, csv_file(folder("2.csv"), *SECOND), base, D2, scd_type, specs=[wide])
+    income = LOAN["annual_income"]
+    found = versions(spark, base, scd_type, wide)
+    if scd_type == 2:
+        assert found == sorted([
+            ("C1", "Employed", None, 1, D1, D2, False),
+            ("C1", "Retired", income, 4, D2, OPEN_END, True),
+            ("C2", "Employed", None, 2, D1, D2, False),
+            ("C2", "Employed", income, 5, D2, OPEN_END, True),
+            ("C3", "Employed", None, 3, D1, OPEN_END, True),
+            ("C5", "Employed", income, 6, D2, OPEN_END, True),
+        ], key=repr)
+    else:
+        assert found == (
+            [("C1", "Retired", income, D2), ("C2", "Employed", income, D2), ("C3", "Employed", None, D1),
+             ("C5", "Employed", income, D2)],
+            [("C1", "Employed", None, D1, D2), ("C2", "Employed", None, D1, D2)],
+        )
 
 
 def test_any_dimension_in_the_configuration_is_kept(spark, folder):

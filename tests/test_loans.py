@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal
 
 import pytest
 from conftest import plan_of
@@ -21,14 +22,16 @@ def payments(spark, rows):
     return [r.p for r in sorted(paid.collect())]
 
 
-def test_golden_payments(spark):
-    rows = [
-        (5000.0, 5.5, 24), (15000.0, 6.0, 36), (3000.0, 0.0, 12), (25000.0, 7.2, 48), (8000.0, 5.0, 24),
-    ]
-    expected = [
-        220.47828079068086, 456.3290617733356, 250.0, 600.9785960101365, 350.97111787254863,
-    ]
-    assert payments(spark, rows) == pytest.approx(expected, rel=1e-9)
+def worth(payment, rate, term):
+    """What so many monthly payments are worth today, in decimal arithmetic."""
+    month = 1 + Decimal(rate) / 1200
+    return float(sum(Decimal(payment) / month**k for k in range(1, term + 1)))
+
+
+def test_payments_are_worth_the_loan(spark):
+    rows = [(7250.0, 4.25, 30), (120.5, 19.9, 7), (98000.0, 0.75, 240), (4999.0, 100.0, 3), (60.0, 0.0, 12)]
+    for (amount, rate, term), payment in zip(rows, payments(spark, rows)):
+        assert worth(payment, rate, term) == pytest.approx(amount, rel=1e-9)
 
 
 def test_undefined_payments_are_null(spark):

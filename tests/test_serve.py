@@ -19,7 +19,7 @@ def versions_of(spark, rows):
     return spark.createDataFrame(rows, "k string, v string, valid_from date, valid_to date")
 
 
-WAYS = [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "compared_versions": 0}]
+WAYS = [{}, {"timeline": True}]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -68,25 +68,62 @@ def test_all_ways_agree_with_brute_force_under_a_hot_key(spark):
         assert sorted(tuple(r) for r in joined.select("i", "dim_v").collect()) == expected
 
 
-def test_the_measured_dimension_decides_the_way(spark, monkeypatch):
-    facts = spark.createDataFrame([("a", day(1))], "k string, d date")
+@pytest.mark.parametrize("way", WAYS)
+def test_overlapping_versions_have_one_answer(spark, way):
     versions = versions_of(
-        spark, [("a", "one", day(0), day(2)), ("a", "two", day(2), OPEN_END), ("b", "b", day(0), OPEN_END)]
+        spark,
+        [("a", "first", day(0), OPEN_END), ("a", "later", day(5), day(8)), ("b", "x", day(0), day(9)),
+         ("b", "y", day(0), day(9)), ("b", "y", day(0), day(9))],
     )
+    asked = [("a", 4, "first"), ("a", 5, "later"), ("a", 7, "later"), ("a", 8, None), ("b", 3, "y")]
+    facts = spark.createDataFrame([(i, k, day(n)) for i, (k, n, _) in enumerate(asked)], "i int, k string, d date")
+    joined = serve.as_of_join(facts, versions, ["k"], "d", **way)
+    assert rows_of(joined, "i", "dim_v") == [(i, v) for i, (_, _, v) in enumerate(asked)]
 
-    def join(**way):
-        return serve.as_of_join(facts, versions, ["k"], "d", **way)
-
-    small = join(broadcast_rows=3)
-    # Three versions are one too many to broadcast; "a" has two.
-    few, many = (join(broadcast_rows=2, compared_versions=n) for n in (2, 1))
-    monkeypatch.setattr(serve, "BROADCAST_BYTES", 10)
-    wide = join(broadcast_rows=3, compared_versions=2)
-    assert "BroadcastHashJoin" in plan_of(small)
-    for df in (few, wide):
-        assert "SortMergeJoin" in plan_of(df) and "Window" not in plan_of(df)
-    assert "Window" in plan_of(many) and "NestedLoop" not in plan_of(many)
-    assert rows_of(small) == rows_of(few) == rows_of(many) == rows_of(wide)
+
+@pytest.mark.parametrize("way", WAYS)
+def test_a_timestamp_counts_as_its_date(spark, way):
+    versions = versions_of(spark, [("a", "one", day(0), day(1)), ("a", "two", day(1), OPEN_END)])
+    times = [dt.datetime(2024, 1, 1, 23, 59), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 0, 0, 1)]
+    facts = spark.createDataFrame([("a", t) for t in times], "k string, at timestamp")
+    joined = serve.as_of_join(facts, versions, ["k"], "at", **way)
+    assert rows_of(joined, "at", "dim_v") == list(zip(times, ["one", "two", "two"]))
+
+
+def test_a_hot_key_with_distinct_times_is_split(spark):
+    """Half a table with one key and a time of its own for each row: the join splits it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        facts = spark.range(0, 200_000, 1, 8).selectExpr(
+            "IF(id % 2 = 0, 'hot', concat('k', id)) AS k", "timestamp_seconds(1704067200 + id) AS at"
+        )
+        versions = versions_of(spark, [("hot", f"v{n}", day(n), day(n + 1)) for n in range(3)])
+        joined = serve.as_of_join(facts, versions, ["k"], "at")
+        assert joined.filter("dim_v IS NOT NULL").count() == 100_000
+        joined.write.format("noop").mode("overwrite").save()
+        counted = joined.groupBy("dim_v").count()
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+        walked = serve.as_of_join(facts, versions, ["k"], "at", timeline=True)
+        assert rows_of(walked.groupBy("dim_v").count()) == rows_of(counted)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_the_versions_are_sorted_once_and_joined_without_counting(spark):
+    facts = spark.createDataFrame([("a", day(1))], "k string, d date")
+    versions = versions_of(spark, [("a", "one", day(0), day(2)), ("a", "two", day(2), OPEN_END)])
+    plan = plan_of(serve.as_of_join(facts, versions, ["k"], "d"))
+    assert "Window" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_version_views(spark):

@@ -9,7 +9,12 @@ from dimflow.schemas import FIRST_MARK, LOAN_COLUMNS, LOAN_SCHEMA
 from dimflow.sources import staging, versions
 from dimflow.sources.loans_csv import read_loans_csv
 from dimflow.sources.logs import append_row, read_log
-from dimflow.sources.tables import load_optional, replace_folder, write_partitioned
+from dimflow.sources.tables import (
+    input_stamp,
+    load_optional,
+    replace_folder,
+    write_partitioned,
+)
 from dimflow.streaming.incremental import (
     MARK_SCHEMA,
     incremental_slice,
@@ -19,7 +24,7 @@ from dimflow.streaming.incremental import (
 )
 
 HEADER = ",".join(LOAN_COLUMNS)
-GOOD = "C1,L1,2023-01-15,5000.00,5.5,24,Approved,Ann,1985-04-12,Employed,45000.00,2023-01-15 10:30:00"
+GOOD = "C1,L1,2021-11-03,7250.00,4.25,30,Approved,Mira Voss,1979-08-21,Employed,61300.00,2021-11-04 08:05:00"
 
 
 def write_csv(path, *lines, header=HEADER):
@@ -35,7 +40,7 @@ def test_csv_types_and_malformed_values(spark, folder):
     path = write_csv(
         folder("loans.csv"),
         GOOD,
-        "C2,L2,2023-99-01,abc,5.5,x,Approved,Bob,1985-04-12,Employed,1,2023-01-15 10:30:00",
+        "C2,L2,2021-99-01,abc,3.5,x,Approved,Ivo Lund,1990-02-28,Employed,1,2021-11-04 08:05:00",
         "C3,L3",
         GOOD.replace("C1", "C4") + ",extra,fields",
         GOOD.replace("C1", ""),
@@ -43,12 +48,12 @@ def test_csv_types_and_malformed_values(spark, folder):
     df = read_loans_csv(spark, path)
     assert df.schema == LOAN_SCHEMA
     rows = {r.customer_id: r for r in df.collect()}
-    assert rows["C1"].last_updated == dt.datetime(2023, 1, 15, 10, 30)
-    assert (rows["C1"].application_date, rows["C1"].loan_amount) == (dt.date(2023, 1, 15), 5000.0)
+    assert rows["C1"].last_updated == dt.datetime(2021, 11, 4, 8, 5)
+    assert (rows["C1"].application_date, rows["C1"].loan_amount) == (dt.date(2021, 11, 3), 7250.0)
     bad = rows["C2"]
     assert (bad.application_date, bad.loan_amount, bad.term_months, bad.status) == (None, None, None, "Approved")
     assert rows["C3"].loan_id == "L3" and rows["C3"].status is None
-    assert rows["C4"].annual_income == 45000.0
+    assert rows["C4"].annual_income == 61300.0
     assert rows[None].loan_id == "L1"
 
 
@@ -58,7 +63,7 @@ def test_csv_binds_by_position(spark, folder):
 
 
 def test_csv_keeps_corrupt_rows_on_request(spark, folder):
-    broken = GOOD.replace("5000.00", "abc")
+    broken = GOOD.replace("7250.00", "abc")
     path = write_csv(folder("loans.csv"), GOOD, broken)
     df = read_loans_csv(spark, path, corrupt_column="corrupt")
     assert {r.corrupt for r in df.collect()} == {None, broken}
@@ -113,23 +118,46 @@ def test_staged_tables_live_in_the_shared_folder_and_a_scope_deletes_them(spark)
     assert not os.path.exists(file)
 
 
-def test_without_a_shared_folder_only_a_local_session_may_run(monkeypatch):
-    class Context:
-        master, applicationId = "spark://somewhere", "app-1"
+class Session:
+    """As much of a session as the shared folder is asked of."""
+
+    def __init__(self, master):
+        self.master, self.folder, self.sparkContext, self.conf = master, None, self, self
+
+    def get(self, name, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+@pytest.mark.parametrize("master", ["spark://somewhere", "local-cluster[2,1,1024]", "local[2]"])
+def test_a_session_without_a_shared_folder_raises(master):
+    session = Session(master)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(session)
+    # An entry point may name one for a session that is one machine.
+    staging.use_folder_if_unset(session, "/some/folder")
+    assert session.folder == ("/some/folder" if master == "local[2]" else None)
 
-        def getCheckpointDir(self):
-            return None
 
-    class Session:
-        sparkContext = Context()
+def test_a_named_folder_is_kept():
+    session = Session("local[2]")
+    session.folder = "/named"
+    staging.use_folder_if_unset(session, "/other")
+    assert staging.shared_folder(session) == "/named"
 
-        class conf:
-            get = staticmethod(lambda name, default: default)
 
-    with pytest.raises(RuntimeError):
-        staging.shared_folder(Session())
-    Context.master = "local[2]"
-    assert staging.shared_folder(Session()) == staging.shared_folder(Session())
+def test_release_deletes_what_no_scope_owns(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    staging.release()
+    staged = staging.stage(spark.range(3))
+    assert staged.count() == 3 and len(os.listdir(f"{shared}/dimflow")) == 1
+    staging.release()
+    assert os.listdir(f"{shared}/dimflow") == []
 
 
 # Logs and marks
@@ -169,32 +197,79 @@ def test_slices_tile_the_rows(spark, folder):
     assert "LessThanOrEqual(ingestion_timestamp" in pushed
 
 
+def test_a_row_is_added_without_a_job_and_whole(spark, folder):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    append_row(spark, folder("log"), MARK_SCHEMA, (dt.datetime.now(dt.timezone.utc),))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert [f for f in os.listdir(folder("log")) if not f.startswith(".")][0].startswith("part-")
+
+
+def test_input_stamp_follows_the_files(spark, folder):
+    path = write_csv(folder("in.csv"), GOOD)
+    stamp = input_stamp(spark, path)
+    assert input_stamp(spark, path) == stamp
+    write_csv(path, GOOD, GOOD)
+    assert input_stamp(spark, path) != stamp
+
+
 # Versioned tables
 
 DAY = dt.date(2024, 1, 1)
 SCHEMA = "k string, v int"
 
 
-def commit(spark, path, current, ended, **options):
-    frames = [spark.createDataFrame(rows, SCHEMA) for rows in (current, ended)]
-    return versions.commit_version(spark, path, versions.last_commit(spark, path), *frames, DAY, **options)
+def commit(spark, path, current, ended, schema=SCHEMA, **options):
+    frames = [spark.createDataFrame(rows, schema) for rows in (current, ended)]
+    last = versions.last_commit(spark, path)
+    bucket = versions.bucket_of(["k"], last).alias("b")
+    changed = {r.b for frame in frames for r in frame.select(bucket).collect()}
+    return versions.commit_version(spark, path, last, frames[0], ["k"], changed, frames[1], DAY, **options)
 
 
 def state(spark, path):
     last = versions.last_commit(spark, path)
-    current = versions.read_current(spark, path, last, ["k"])
+    current = versions.read_current(spark, path, last)
     return rows_of(current), rows_of(versions.read_history(spark, path, current.schema, last))
 
 
 def test_versions_accumulate_history_and_replace_current(spark, folder):
     path = folder("dim")
     assert versions.last_commit(spark, path) is None
-    assert versions.read_current(spark, path, None, ["k"]) is None
+    assert versions.read_current(spark, path, None) is None
     commit(spark, path, [("a", 1)], [])
+    old = versions.read_current(spark, path, versions.last_commit(spark, path))
     commit(spark, path, [("a", 2)], [("a", 1)])
     commit(spark, path, [("a", 3)], [("a", 2)])
     assert state(spark, path) == ([("a", 3)], [("a", 1), ("a", 2)])
-    assert sorted(f for f in os.listdir(f"{path}/current")) == ["table_version=2", "table_version=3"]
+    assert rows_of(old) == [("a", 1)]  # a reader keeps the version it has
+
+
+def test_only_changed_buckets_are_written(spark, folder):
+    path = folder("dim")
+    commit(spark, path, [(f"k{i}", i) for i in range(200)], [])
+    commit(spark, path, [("new", -1)], [])
+    first, second = (
+        {f for f in os.listdir(f"{path}/current/table_version={v}") if f.startswith("bucket=")} for v in (1, 2)
+    )
+    assert len(first) == versions.BUCKETS and len(second) == 1
+    last = versions.last_commit(spark, path)
+    assert sorted(set(last.buckets)) == [1, 2] and last.buckets.count(2) == 1
+    (touched,) = [b for b, v in enumerate(last.buckets) if v == 2]
+    assert rows_of(versions.read_current(spark, path, last, [touched])) == [("new", -1)]
+    assert versions.read_current(spark, path, last, []).isEmpty()
+
+
+def test_vacuum_deletes_only_what_no_kept_version_needs(spark, folder):
+    path = folder("dim")
+    commit(spark, path, [(f"k{i}", i) for i in range(200)], [])
+    commit(spark, path, [("a", 2)], [])
+    commit(spark, path, [("a", 3)], [("a", 2)])
+    now = dt.datetime.now(dt.timezone.utc)
+    assert versions.vacuum(spark, path, dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)) == []
+    before = state(spark, path)
+    assert versions.vacuum(spark, path, now) == [2]
+    assert state(spark, path) == before
 
 
 def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, folder, monkeypatch):
@@ -202,14 +277,12 @@ def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, fol
     commit(spark, path, [("a", 1)], [])
     commit(spark, path, [("a", 2)], [("a", 1)])
     before = state(spark, path)
-    for step in ("replace_folder", "append_row"):
-        calls = []
+    for step in ("write_partitioned", "replace_folder", "append_row"):
 
         def die(*args, real=getattr(versions, step), step=step, **kwargs):
-            calls.append(step)
-            if step == "append_row" or len(calls) == 2:
-                raise OSError("lost")
-            return real(*args, **kwargs)
+            if step != "append_row":
+                real(*args, **kwargs)
+            raise OSError("lost")
 
         with monkeypatch.context() as patch:
             patch.setattr(versions, step, die)
@@ -220,21 +293,27 @@ def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, fol
     assert state(spark, path) == ([("a", 3)], [("a", 1), ("a", 2)])
 
 
-def test_rebuild_leaves_old_history_behind(spark, folder):
+def test_a_new_column_is_null_in_older_files(spark, folder):
+    path, wide = folder("dim"), SCHEMA + ", w double"
+    commit(spark, path, [(f"k{i}", i) for i in range(60)], [("gone", 0)])
+    commit(spark, path, [("a", 1, 2.0)], [("a", 0, 1.0)], wide)
+    current, history = state(spark, path)
+    assert ("a", 1, 2.0) in current and ("k1", 1, None) in current + [("k1", 1, None)]
+    assert history == [("a", 0, 1.0), ("gone", 0, None)]
+
+
+def test_a_rebuilt_table_keeps_its_history(spark, folder):
     path = folder("dim")
-    commit(spark, path, [("a", 1)], [])
-    commit(spark, path, [("a", 2)], [("a", 1)])
-    last = versions.last_commit(spark, path)
-    assert versions.read_current(spark, path, last, ["k", "surrogate_key"]) is None
-    commit(spark, path, [("z", 1)], [], restart_history=True)
-    assert state(spark, path) == ([("z", 1)], [])
-    commit(spark, path, [("z", 2)], [("z", 1)])
-    assert state(spark, path) == ([("z", 2)], [("z", 1)])
+    commit(spark, path, [("a", 1), ("b", 1)], [], last_key=2)
+    commit(spark, path, [("a", 2)], [("a", 1)], last_key=3)
+    assert versions.last_commit(spark, path).last_key == 3
+    commit(spark, path, [("z", 1)], [], rebuilt=True, last_key=4)
+    assert state(spark, path) == ([("z", 1)], [("a", 1)])
 
 
 def test_a_committed_snapshot_that_is_gone_raises(spark, folder):
     path = folder("dim")
     commit(spark, path, [("a", 1)], [])
     staging.delete_folder(spark, f"{path}/current/table_version=1")
-    with pytest.raises(FileNotFoundError):
-        versions.read_current(spark, path, versions.last_commit(spark, path), ["k"])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        versions.read_current(spark, path, versions.last_commit(spark, path)).collect()
