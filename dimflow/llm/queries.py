@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dimflow.llm import ann, chat, decontaminate, html_text, licences, packing, quality, sharding, simhash, urls
+from dimflow.llm import ann, chat, decontaminate, html_text, licences, oracles, packing, quality, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,4 +80,4 @@ QUERIES = {
     "op10_quality": op10_quality,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
