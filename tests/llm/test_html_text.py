@@ -1,0 +1,75 @@
+import html
+import re
+import time
+
+import pytest
+from conftest import rows_of
+from llm_fixtures import sf, table  # noqa: F401
+
+from dimflow.llm.html_text import extract, extract_pages
+
+CASES = [
+    ("<p>a  b\n c</p><p>d", "a b c\n\nd"),
+    ("<div>a</div><div>b<br>c</div>d", "a\nb\nc\nd"),
+    ("<p>one<p>two<div>three</div>four", "one\n\ntwo\n\nthree\nfour"),
+    ("x<b>y</b> <i>z</i>", "xy z"),
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e", "- a\n- b\n  - c\n- d\n\ne"),
+    ("<ol start=9><li>a<li><p>b<p>c</ol>", "9. a\n\n10. b\n\n    c"),
+    ("<dl><dt>t<dd>d1<dd>d2</dl>", "t\n  d1\n  d2"),
+    ("<table><tr><th>Name<th>N<tr><td>a<td>1<tr><td>long name<td>22</table>", "Name       N\na          1\nlong name  22"),
+    ("<table><caption>C</caption><tr><td colspan=2>wide<td>x<tr><td>a<td>b<td>c</table>", "C\nwide     x\na     b  c"),
+    ("<table><tr><td rowspan=2>r<td>1<tr><td>2</table>", "r  1\n   2"),
+    ("<table><tr><td>a<br>b<td>c</table>", "a  c\nb"),
+    ("<table><tr><td><ul><li>x<li>y</ul><td><table><tr><td>in<td>ner</table></table>", "- x  in  ner\n- y"),
+    ("<pre>\n a\n  b</pre>c", " a\n  b\n\nc"),
+    ("<blockquote>q</blockquote>", "  q"),
+    ("<title>t</title><head><style>s</style></head><body>b<script>'</p>'</script></body>", "b"),
+    ("a<span hidden>b</span><p style='DISPLAY : none'>c</p><i style=visibility:hidden>d</i>e", "ae"),
+    ("<details><summary>s</summary>no</details><details open>yes</details><dialog>d</dialog>", "s\nyes"),
+    ("<!-- <p>c --> a <!doctype html><?x y?>b &lt;&eacute;&#233;&amp;lt;", "a b <éé&lt;"),
+    ("a </p> b </div> c < d <3 e", "a b c < d <3 e"),
+    ("<a title='x>y' href=\"q>r\">t</a>", "t"),
+    ("<b>cut off <i", "cut off"),
+    ("<select><option>a<option>b</select>", "a\nb"),
+    ("<textarea><b>x</textarea>y", "<b>xy"),
+    ("<noscript>n</noscript><template><p>t</template><svg><text>s</text></svg>v", "v"),
+    ("<li>loose<li>items", "- loose\n- items"),
+    ("<p><span>in<div>block</div></span>", "in\n\nblock"),
+    ("", ""),
+    ("   \n ", ""),
+    ("<p></p><ul><li></ul><table></table>", ""),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), CASES)
+def test_layout(page, text):
+    assert extract(page) == text
+
+
+def test_deep_long_and_broken_pages_take_linear_time():
+    start = time.process_time()
+    assert extract("<div>" * 30_000 + "deep").strip() == "deep"
+    assert extract("<ul><li>" * 300 + "x").strip().endswith("x")
+    assert len(extract("<p>word " * 50_000).split()) == 50_000
+    assert extract("<a " * 20_000).count("<") >= 0
+    assert extract("<td>" * 20_000 + "x").strip() == "x"
+    assert extract("</p>" * 50_000 + "y") == "y"
+    assert time.process_time() - start < 30
+
+
+def test_all_visible_words_of_the_pages(spark, sf):
+    """On pages with plain markup, the words are those of the page without tags, in order."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    text = dict(rows_of(extract_pages(pages), "page_id", "text"))
+    for row in pages.collect():
+        body = re.sub(r"(?s)<!--.*?-->|<(script|style|head)\b.*?</\1>", " ", row.html)
+        body = re.sub(r"(?s)</?(b|i|a|em|strong|span)\b[^>]*>", "", body)
+        words = html.unescape(re.sub(r"(?s)<[^>]*>", " ", body)).split()
+        assert [w for w in text[row.page_id].split() if w not in ("-",)] == [w for w in words if w != "-"]
+
+
+def test_nulls_empty_and_repeated(spark, table):
+    rows = [(1, None), (2, ""), (3, "<p>x"), (3, "<p>x"), (None, "y")]
+    found = rows_of(extract_pages(table(rows, "page_id long, html string")), "page_id", "text")
+    assert sorted(found, key=str) == [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "y")]
+    assert extract_pages(table([], "page_id long, html string")).count() == 0

@@ -1,0 +1,99 @@
+import zlib
+
+import numpy as np
+from conftest import rows_of
+from llm_fixtures import rng, table  # noqa: F401
+
+from dimflow.llm import quality
+
+
+def good(rng):
+    return " ".join(rng.choice(["the", "river", "stone", "and", "quiet", "was", "long"]) for _ in range(rng.randrange(20, 400))) + "."
+
+
+def junk(rng):
+    return "%%% ".join(rng.choice(["the", "river", "BUY", "stone!!"]) for _ in range(rng.randrange(20, 400)))
+
+
+def corpus(rng, n=240):
+    rows, labels = [], []
+    for i in range(n):
+        bad = rng.random() < 0.3
+        rows.append((i, junk(rng) if bad else good(rng)))
+        labels.append((i, 0 if bad else 1))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark, table, rng):
+    rows, labels = corpus(rng)
+    docs = table(rows)
+    truth = spark.createDataFrame(labels, "doc_id long, quality int")
+    out = quality.classify(docs, quality.train(docs, truth))
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    found = {r.doc_id: r for r in out.collect()}
+    assert len(found) == len(rows)
+    for doc, row in found.items():
+        assert row.held_out == (zlib.crc32(str(doc).encode()) % 5 == 0)
+        assert 0 <= row.score <= 1 and row.predicted == int(row.score >= 0.3)
+    held = [d for d, r in found.items() if r.held_out]
+    assert np.mean([found[d].predicted == dict(labels)[d] for d in held]) > 0.95
+    # Labels of held-out rows have no part in it.
+    turned = spark.createDataFrame([(d, 1 - q if found[d].held_out else q) for d, q in labels], "doc_id long, quality int")
+    again = quality.classify(docs, quality.train(docs, turned))
+    assert dict(rows_of(again, "doc_id", "score")) == {d: r.score for d, r in found.items()}
+
+
+def test_gradients(rng):
+    state = np.random.default_rng(0)
+    model = quality.Model()
+    x, of, y = state.normal(size=(7, quality.WIDTH)), np.array([0, 0, 0, 1, 2, 2, 2]), np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        _, h, _, _, e = model.encodings(x)
+        total = 0.0
+        for b in range(3):
+            z = (e[of == b, None] * h[of == b]).sum(0) / e[of == b].sum()
+            p = quality._sigmoid(z @ model.w["c"] + model.w["d"][0])
+            total -= y[b] * np.log(p) + (1 - y[b]) * np.log(1 - p)
+        return total / 3
+
+    found = model._gradients(x, of, y)
+    for name, w in model.w.items():
+        for _ in range(3):
+            at = tuple(state.integers(0, s) for s in w.shape)
+            kept, step = w[at], 1e-5
+            w[at] = kept + step
+            up = loss()
+            w[at] = kept - step
+            down = loss()
+            w[at] = kept
+            assert abs((up - down) / (2 * step) - found[name][at]) < 1e-6
+
+
+def test_slices_do_not_matter(rng, monkeypatch):
+    """A document's passages are all read, whatever the slices are."""
+    texts = [good(rng) * 20, None, "", junk(rng), "é" * 3000, "  \n ", good(rng)]
+    x, docs = zip(*quality.bags(texts))
+    assert set(np.concatenate(docs).tolist()) == set(range(len(texts)))
+    monkeypatch.setattr(quality, "SLICE", 1500)
+    y, small = zip(*quality.bags(texts))
+    assert set(np.concatenate(small).tolist()) == set(range(len(texts)))
+    scores = quality.Model().score(texts)
+    assert len(scores) == len(texts) and np.isfinite(scores).all()
+
+
+def test_nulls_empty_repeated_and_missing_labels(spark, table, rng):
+    rows, labels = corpus(rng, 60)
+    rows += [(None, "text"), (900, None), (901, ""), (902, "x" * 300_000), (7, "twice"), (7, "twice")]
+    labels += [(7, None), (None, 1), (8, 0), (8, 0), (9999, 1)]
+    docs = table(rows)
+    truth = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = quality.classify(docs, quality.train(docs, truth)).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (900, 901)}) == 1
+    assert [r.held_out for r in found if r.doc_id is None] == [True]
+    none = quality.classify(docs, quality.train(docs, truth.limit(0)))
+    assert {r.score for r in none.collect()} == {0.5}
+    ones = quality.train(docs, truth.filter("quality = 1"))
+    assert ones.constant == 1.0
+    assert quality.classify(docs.limit(0), ones).count() == 0
