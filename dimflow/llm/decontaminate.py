@@ -39,37 +39,38 @@ SHARE = 0.25
 #: Bits of the Bloom filter, and how many a window sets.
 FILTER_BITS, FILTER_SETS = 1 << 23, 2
 #: Words that a task remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 # Words for numbers, and units of measure.
-NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
+NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred
-thousand million billion half dozen""".split()
-UNITS = """mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec min h hr hrs ms w kw kwh v hz mph kmh usd eur gbp
+thousand million billion half dozen""".split())
+UNITS = frozenset("""mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec min h hr hrs ms w kw kwh v hz mph kmh usd eur gbp
 millimeter millimeters centimeter centimeters meter meters metre metres kilometer kilometers inch inches foot feet
 yard yards mile miles gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres gallon
 gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent
-cents euro euros percent degree degrees celsius fahrenheit watt watts volt volts""".split()
+cents euro euros percent degree degrees celsius fahrenheit watt watts volt volts""".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
 MARKS = string.punctuation + "“”‘’«»…–—¿¡"
+OUTER_MARKS = MARKS.translate(str.maketrans("", "", "$+-%"))  # those that no number begins or ends with
 WORD, NUM, NAME, UNIT, NONE = range(5)
 
+#: The hash of each kind of placeholder.
+PLACEHOLDERS = {kind: xxhash.xxh64_intdigest(f"<{kind}>", 2) for kind in (NUM, NAME, UNIT)}
+
 
 def template_tokens(word: str) -> list[tuple[int, str]]:
     """The template tokens of a word, as (kind, value): none, one, or a number and its unit."""
-    bare = word.strip(MARKS.replace("$", "").replace("+", "").replace("-", ""))
+    bare = word.strip(MARKS)
+    if not bare:
+        return []
     low = bare.lower()
-    number = NUMBER.match(bare)
-    if number:
-        value, unit = number[0].rstrip(".,:/"), low[number.end() :]
+    if not bare.isalpha() and (number := NUMBER.match(outer := word.strip(OUTER_MARKS))):
+        value, unit = number[0].rstrip(".,:/"), outer[number.end() :].lower()
         if not unit:
             return [(NUM, value)]
         if unit in UNITS:
             return [(NUM, value), (UNIT, unit)]
-    bare = word.strip(MARKS)
-    low = bare.lower()
-    if not bare:
-        return []
     if low in NUMBER_WORDS:
         return [(NUM, low)]
     if low in UNITS:
@@ -102,8 +103,9 @@ class Templates:
             tokens = template_tokens(word)
             for j, (kind, value) in enumerate(tokens):
                 kinds[k, j] = kind
-                hashes[k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else xxhash.xxh64_intdigest(f"<{kind}>", 2)
-            self.values += [tokens[j][1] if j < len(tokens) else "" for j in (0, 1)]
+                hashes[k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else PLACEHOLDERS[kind]
+                self.values.append(value)
+            self.values += [""] * (2 - len(tokens))
         self.kinds = np.concatenate([self.kinds, kinds])
         self.hashes = np.concatenate([self.hashes, hashes])
 
