@@ -59,9 +59,9 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     )
     order = [
         F.col("conv_id").asc_nulls_first(), F.col("perspective"), F.col("turn").asc_nulls_first(),
-        F.col("role").asc_nulls_first(), F.xxhash64("segment"),
+        F.col("role").asc_nulls_first(), F.col("_key"),
     ]
-    placed = place_in_order(segments.withColumn("_key", F.xxhash64("segment")), [*order[:-1], F.col("_key")])
+    placed = place_in_order(segments.withColumn("_key", F.xxhash64("segment")), order)
     placed = placed.withColumn("_part", F.shiftright("_spot", _POSITION_BITS))
     group = ["conv_id", "perspective"]
     piece = placed.groupBy("_part", *group).agg(

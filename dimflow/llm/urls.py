@@ -97,7 +97,6 @@ def learn(labelled: DataFrame) -> DataFrame:
     counted = stage(counted)  # at most 2 x 40**3 rows
     one = spark.createDataFrame([(s,) for s in SYMBOLS], "s string")
     chars = F.array(*[F.lit(s) for s in SYMBOLS])
-    kinds = spark.range(2).select((F.col("id") == 1).alias("accepted"))
     # Every trigram of the 40 symbols, a table of fixed size.
     every = (
         one.withColumnRenamed("s", "a")
@@ -120,8 +119,7 @@ def learn(labelled: DataFrame) -> DataFrame:
         )
         return pairs, totals
 
-    out = every.join(F.broadcast(kinds), "accepted")
-    p = F.lit(1.0 / len(SYMBOLS))
+    out, p = every, F.lit(1.0 / len(SYMBOLS))
     for name, order in (("n1", []), ("n2", ["b"]), ("n3", ["a", "b"])):
         pairs, totals = seen(order, name)
         out = out.join(F.broadcast(pairs), ["accepted", *order, "c"], "left")
