@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 TRAIN_DOCS = 4000
 TRAIN_PASSAGES = 16
 PASSAGE_BYTES = 1000
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Classes of bytes: 33 for marks and blanks, small, capital, digit, beyond ASCII, control.
 CLASSES, PAIRS, FIGURES = 38, 160, 6
 WIDTH = CLASSES + PAIRS + FIGURES
