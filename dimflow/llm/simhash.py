@@ -318,20 +318,39 @@ def features(text: str | None, words: int) -> tuple[bytes, int, list[int], bytes
     return xxhash.xxh3_128_digest(plain), int(fingerprint_of(counts, total)), bands, sketch.tobytes()
 
 
-def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity by the least hashes of the union: exact if both have all of theirs."""
-    both = np.concatenate([a, b])
-    both.sort()
-    twice = np.concatenate([both[1:] == both[:-1], [False]])
-    kinds = np.concatenate([[True], ~twice[:-1]])
-    if max(len(a), len(b)) >= SKETCH:
-        kept = np.cumsum(kinds) <= SKETCH
-        return float((twice & kept).sum() / max(1, (kinds & kept).sum()))
-    return float(twice.sum() / max(1, kinds.sum()))
+_NONE = np.uint64(1 << 32)  # above all hashes: fills short sketches
+
+
+def sketch_rows(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as the rows of a matrix, as wide as the longest."""
+    rows = np.full((len(sketches), max([1, *(len(s) // 4 for s in sketches)])), _NONE)
+    for k, sketch in enumerate(sketches):
+        found = np.frombuffer(sketch, np.uint32)
+        rows[k, : len(found)] = found
+    return rows
+
+
+def similarities(rows: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 2048) -> np.ndarray:
+    """Jaccard similarity of pairs of rows, by the least hashes of their union: exact if neither row
+    is full."""
+    out = np.zeros(len(a))
+    for at in range(0, len(a), step):
+        one, other = rows[a[at : at + step]], rows[b[at : at + step]]
+        both = np.concatenate([one, other], axis=1)
+        both.sort(axis=1, kind="stable")  # two sorted runs
+        twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != _NONE)
+        kinds = both != _NONE
+        kinds[:, 1:] &= ~twice
+        # A hash of both counts where it comes first, within the least of the union if a row is full.
+        full = (rows.shape[1] == SKETCH) & ((one[:, -1] != _NONE) | (other[:, -1] != _NONE))
+        kept = kinds & ((np.cumsum(kinds, axis=1) <= SKETCH) | ~full[:, None])
+        common = (kept[:, :-1] & twice).sum(axis=1)
+        out[at : at + step] = common / np.maximum(kept.sum(axis=1), 1)
+    return out
 
 
 def _similar(sketches: list[bytes], similarity: float) -> Callable:
-    known = [np.frombuffer(s, np.uint32) for s in sketches]
+    rows = sketch_rows(sketches)
 
     def check(classes: np.ndarray, q: np.ndarray, p: np.ndarray) -> None:
         order = np.lexsort((p, q))
@@ -340,8 +359,10 @@ def _similar(sketches: list[bytes], similarity: float) -> Callable:
         while len(q):
             apart = classes[q] != classes[p]
             q, p = q[apart], p[apart]
-            first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else []
-            good = [k for k in first if sketch_similarity(known[q[k]], known[p[k]]) >= similarity]
+            if not len(q):
+                return
+            first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+            good = first[similarities(rows, q[first], p[first]) >= similarity]
             merge(classes, q[good], p[good])
             later = np.ones(len(q), bool)
             later[first] = False

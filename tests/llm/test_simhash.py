@@ -137,12 +137,15 @@ def test_near_copies_of_nulls_empty_and_repeated(spark, table):
 
 
 def test_sketches(rng):
-    for a, b in ((100, 90), (256, 256), (3000, 2500), (3000, 100)):
+    for a, b in ((100, 90), (255, 200), (256, 256), (3000, 2500), (3000, 100)):
         one = {rng.getrandbits(32) for _ in range(a)}
         other = set(list(one)[: b - b // 10]) | {rng.getrandbits(32) for _ in range(b // 10)}
-        sketch = [np.array(sorted(s)[: simhash.SKETCH], np.uint32) for s in (one, other)]
-        error = abs(simhash.sketch_similarity(*sketch) - len(one & other) / len(one | other))
+        sketch = [np.array(sorted(s)[: simhash.SKETCH], np.uint32).tobytes() for s in (one, other)]
+        (found,) = simhash.similarities(simhash.sketch_rows(sketch), np.array([0]), np.array([1]))
+        error = abs(found - len(one & other) / len(one | other))
         assert error < 1e-9 if max(a, b) < simhash.SKETCH else error < 0.12
+    rows = simhash.sketch_rows([b"", b"", np.array([7], np.uint32).tobytes()])
+    assert simhash.similarities(rows, np.array([0, 0, 2]), np.array([1, 2, 2])).tolist() == [0, 0, 1]
 
 
 def test_components(spark, rng):
