@@ -8,8 +8,9 @@ A URL's score is the mean over its characters of log(accepted / rejected). Four
 the labelled URLs, by a hash, give the counts; the rest calibrate the score at which
 verdicts err least (all of them, where a part has no URLs of either kind).
 
-Characters are reduced to 40 classes, so a model has at most 40**3 rows whatever the
-input: it is small enough to broadcast, and counts are summed before they are shuffled.
+Characters are reduced to 49 symbols, each digit one of its own, so a model has 49**3 = 117,649
+rows whatever the input: it is small enough to broadcast, and counts are summed before they are
+shuffled. `learn` can also be given the 40 symbols in which all digits are one.
 Log ratios are whole millionths, so sums do not depend on the order of rows.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path, fits no rule and
@@ -30,11 +31,13 @@ from pyspark.sql import functions as F
 
 from dimflow.sources.staging import stage
 
-# Symbols of the model: letters, one for digits, punctuation, start, end and all others.
+# Symbols of a model: letters, one for digits, punctuation, start, end and all others.
 LETTERS = string.ascii_lowercase
 DIGIT, START, END, OTHER = "0", "^", "$", "~"
 MARKS = "./-_?=#:%&"
 SYMBOLS = LETTERS + DIGIT + MARKS + START + END + OTHER
+#: Those that `judge` takes: the ten digits apart.
+ALL_DIGITS = LETTERS + string.digits + MARKS + START + END + OTHER
 SCALE = 1_000_000
 #: Calibration looks at thresholds in steps of this many millionths, up to LIMIT steps.
 STEP, LIMIT = 5_000, 2_000
@@ -73,10 +76,12 @@ def longest_rule(rules: list[Rule]) -> Column:
     return chain
 
 
-def symbols(url: Column) -> Column:
-    """The URL as symbols of the model, with two starts and an end."""
+def symbols(url: Column, alphabet: str = SYMBOLS) -> Column:
+    """The URL as symbols of the alphabet, with two starts and an end."""
     lower = F.translate(F.coalesce(url, F.lit("")), string.ascii_uppercase, LETTERS)
-    known = F.regexp_replace(F.regexp_replace(lower, "[^a-z0-9./_?=#:%&-]", OTHER), "[0-9]", DIGIT)
+    known = F.regexp_replace(lower, "[^a-z0-9./_?=#:%&-]", OTHER)
+    if alphabet == SYMBOLS:
+        known = F.regexp_replace(known, "[0-9]", DIGIT)
     return F.concat(F.lit(START * 2), known, F.lit(END))
 
 
@@ -87,17 +92,17 @@ def trigrams(urls: DataFrame, *keep: str) -> DataFrame:
     return urls.select(*keep, F.explode(F.transform(places, lambda i: F.substr(text, i, F.lit(3)))).alias("gram"))
 
 
-def learn(labelled: DataFrame) -> DataFrame:
-    """From rows (_symbols, accepted boolean): (gram, ratio) for every possible trigram,
+def learn(labelled: DataFrame, alphabet: str = SYMBOLS) -> DataFrame:
+    """From rows (_symbols, accepted boolean): (gram, ratio) for every possible trigram of the alphabet,
     the log of its last character's probability as accepted over rejected, in millionths."""
     spark = labelled.sparkSession
     counted = (
         trigrams(labelled, "accepted").groupBy("accepted", "gram").agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = stage(counted)  # at most 2 x 40**3 rows
-    one = spark.createDataFrame([(s,) for s in SYMBOLS], "s string")
-    chars = F.array(*[F.lit(s) for s in SYMBOLS])
-    # Every trigram of the 40 symbols, a table of fixed size.
+    counted = stage(counted)  # at most 2 x 49**3 rows
+    one = spark.createDataFrame([(s,) for s in alphabet], "s string")
+    chars = F.array(*[F.lit(s) for s in alphabet])
+    # Every trigram of the alphabet, a table of fixed size.
     every = (
         one.withColumnRenamed("s", "a")
         .withColumn("b", F.explode(chars))
@@ -119,7 +124,7 @@ def learn(labelled: DataFrame) -> DataFrame:
         )
         return pairs, totals
 
-    out, p = every, F.lit(1.0 / len(SYMBOLS))
+    out, p = every, F.lit(1.0 / len(alphabet))
     for name, order in (("n1", []), ("n2", ["b"]), ("n3", ["a", "b"])):
         pairs, totals = seen(order, name)
         out = out.join(F.broadcast(pairs), ["accepted", *order, "c"], "left")
@@ -139,7 +144,7 @@ def score(urls: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
     ``urls`` (with a unique column `row`). The rows of a URL are summed where they are."""
     return (
         trigrams(urls, "row", *keep)
-        .join(F.broadcast(model), "gram")  # 40**3 rows
+        .join(F.broadcast(model), "gram")  # 49**3 rows
         .groupBy("row", *keep)
         .agg(F.floor(F.sum("ratio") / F.count(F.lit(1))).alias("score"))
     )
@@ -171,7 +176,7 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
         F.col(id_col).alias("page_id"),
         host.alias("host"),
         path.alias("path"),
-        symbols(url).alias("_symbols"),
+        symbols(url, ALL_DIGITS).alias("_symbols"),
     ).withColumn("_rule", longest_rule(rules))
     rows = stage(rows.select("*", "_rule.rule", F.col("_rule.verdict").alias("given")).drop("_rule"))
     labelled = rows.filter("given is not null").select(
@@ -179,7 +184,7 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
     )
     counts = {tuple(r[:2]): r[2] for r in labelled.groupBy("held", "accepted").count().collect()}  # four at most
     both = {held: (held, True) in counts and (held, False) in counts for held in (True, False)}
-    model = stage(learn(labelled.filter(~F.col("held")) if both[False] else labelled))
+    model = stage(learn(labelled.filter(~F.col("held")) if both[False] else labelled, ALL_DIGITS))
     if {accepted for _, accepted in counts} == {True, False}:
         # Held-out URLs calibrate, or all of them where either kind is not held out.
         threshold = calibrate(score(labelled.filter("held") if both[True] else labelled, model, "accepted"))

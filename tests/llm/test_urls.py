@@ -90,6 +90,16 @@ def test_the_method_learns_from_the_rules(spark, table, rng):
     assert (found[1000], found[1001]) == ("allow", "block")
 
 
+def test_digits_are_told_apart(spark, table):
+    rows = [(100 * d + i, f"http://example.org/en/{d}{i:02}") for d in range(1, 10) for i in range(40)]
+    rows += [(5000 + d, f"http://example.net/en/{d}77") for d in range(1, 10)]  # no rule
+    found = {r.page_id: r for r in urls.judge(table(rows, SCHEMA), URL_RULES).collect()}
+    assert found[5001].rule is None and found[5001].verdict == "block"
+    assert found[5001].score < min(found[5000 + d].score for d in range(2, 10))
+    assert max(found[100 + i].score for i in range(40)) < min(found[200 + i].score for i in range(40))
+    assert len(urls.ALL_DIGITS) == len(set(urls.ALL_DIGITS)) == 49
+
+
 def test_repeated_missing_classes_and_empty(spark, table):
     rows = [(1, "http://x.net/a"), (1, "http://x.net/a"), (2, "http://x.org/a"), (None, "http://é.net/" + "a" * 20_000)]
     out = urls.judge(table(rows, SCHEMA), URL_RULES)
