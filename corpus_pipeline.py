@@ -34,7 +34,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without questions of the benchmark."""
-    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

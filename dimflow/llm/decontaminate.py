@@ -5,6 +5,9 @@ placeholders, other words are taken in small letters without surrounding marks.
 WINDOW template tokens of the questions and of the documents are joined by hash; a question with
 fewer tokens is one window. A window counts only if half its tokens are words.
 
+With ``whole``, windows in which names are kept as their lower-cased words are cut as well, of questions and
+documents alike, and either form covers a question's window: so a copy in other case is found.
+
 Windows of a document that match a question at the same shift are one occurrence. In an occurrence
 the slots must be consistent: one value of the question always stands for one value in the document. A
 document is contaminated by a question if a consistent occurrence covers at least SHARE of the
@@ -54,6 +57,9 @@ NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
 MARKS = string.punctuation + "“”‘’«»…–—¿¡"
 OUTER_MARKS = MARKS.translate(str.maketrans("", "", "$+-%"))  # those that no number begins or ends with
 WORD, NUM, NAME, UNIT, NONE = range(5)
+#: Forms of a window: names as placeholders, or as words.
+TEMPLATE, FOLDED = range(2)
+FORMS = 2
 
 #: The hash of each kind of placeholder.
 PLACEHOLDERS = {kind: xxhash.xxh64_intdigest(f"<{kind}>", 2) for kind in (NUM, NAME, UNIT)}
@@ -90,27 +96,29 @@ class Templates:
         self.known: dict[str, int] = {}
         self.values: list[str] = []
         self.kinds = np.empty((0, 2), np.int8)
-        self.hashes = np.empty((0, 2), np.uint64)
+        self.hashes = np.empty((FORMS, 0, 2), np.uint64)
 
     def learn(self, words: list[str]) -> None:
         new = set(words) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = set(words)
-        kinds, hashes = np.full((len(new), 2), NONE, np.int8), np.zeros((len(new), 2), np.uint64)
+        kinds, hashes = np.full((len(new), 2), NONE, np.int8), np.zeros((FORMS, len(new), 2), np.uint64)
         for k, word in enumerate(new):
             self.known[word] = len(self.known)
             tokens = template_tokens(word)
             for j, (kind, value) in enumerate(tokens):
                 kinds[k, j] = kind
-                hashes[k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else PLACEHOLDERS[kind]
+                hashes[:, k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else PLACEHOLDERS[kind]
+                if kind == NAME:
+                    hashes[FOLDED, k, j] = xxhash.xxh64_intdigest(value, 1)
                 self.values.append(value)
             self.values += [""] * (2 - len(tokens))
         self.kinds = np.concatenate([self.kinds, kinds])
-        self.hashes = np.concatenate([self.hashes, hashes])
+        self.hashes = np.concatenate([self.hashes, hashes], axis=1)
 
     def __call__(self, texts: list[str | None]):
-        """(kind, hash, place of the value) of the tokens of all texts, and each token's text."""
+        """(kind, hashes in each form, place of the value) of the tokens of all texts, and each token's text."""
         split = [(t or "").split() for t in texts]
         words = [w for ws in split for w in ws]
         self.learn(words)
@@ -119,7 +127,7 @@ class Templates:
         kinds = self.kinds[ids].ravel()
         there = kinds != NONE
         value = (ids[:, None] * 2 + np.arange(2)).ravel()[there]
-        return kinds[there], self.hashes[ids].ravel()[there], value, np.repeat(owner, 2)[there]
+        return kinds[there], self.hashes[:, ids].reshape(FORMS, -1)[:, there], value, np.repeat(owner, 2)[there]
 
 
 BASE = 0x9E3779B97F4A7C15
@@ -147,10 +155,11 @@ def filter_places(window: np.ndarray) -> list[np.ndarray]:
 
 
 def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int] | None,
-            bloom=None) -> DataFrame:
+            bloom=None, whole: bool = False) -> DataFrame:
     """(key, pos, window, slots): the windows that count, and pass the filter if there is one.
 
     ``shorts``: further lengths of windows. None: a text of fewer tokens than ``length`` is one window.
+    ``whole``: windows with names also in the form that keeps them as words.
     """
     key_type = texts.schema[key].dataType.simpleString()
 
@@ -164,21 +173,31 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                 first = np.searchsorted(owner, np.arange(len(part)))
                 sizes = np.bincount(owner, minlength=len(part))
                 words = np.concatenate([[0], np.cumsum(kind == WORD)])
+                names = np.concatenate([[0], np.cumsum(kind == NAME)])
                 rows: list[tuple] = []
                 for n in [length, *(range(1, length) if shorts is None else shorts)]:
                     if n > len(kind):
                         continue
-                    window = window_hashes(hashes, n)
-                    at = np.arange(len(window))
-                    good = (owner[at] == owner[at + n - 1]) & (2 * (words[at + n] - words[at]) >= n)
+                    at = np.arange(len(kind) - n + 1)
+                    inside = owner[at] == owner[at + n - 1]
                     if shorts is None and n < length:
-                        good &= sizes[owner[at]] == n
-                    if bits is not None:
-                        for place in filter_places(window):
-                            good &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
-                    for k in np.flatnonzero(good).tolist():
-                        slots = [templates.values[v] for v in value[k : k + n][kind[k : k + n] != WORD]]
-                        rows.append((int(owner[k]), k - int(first[owner[k]]), int(window[k].view(np.int64)), n, slots))
+                        inside &= sizes[owner[at]] == n
+                    plain, named = words[n:] - words[:-n], names[n:] - names[:-n]
+                    counts = 2 * plain >= n
+                    forms = [(TEMPLATE, counts, kind != WORD)]
+                    if whole:
+                        # Of a question's windows those that count; a document's names may be words of the question.
+                        folded = (named > 0) & (counts if shorts is None else 2 * (plain + named) >= n)
+                        forms.append((FOLDED, folded, (kind == NUM) | (kind == UNIT)))
+                    for form, good, slot in forms:
+                        window = window_hashes(hashes[form], n)
+                        good = good & inside
+                        if bits is not None:
+                            for place in filter_places(window):
+                                good &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
+                        for k in np.flatnonzero(good).tolist():
+                            slots = [templates.values[v] for v in value[k : k + n][slot[k : k + n]]]
+                            rows.append((int(owner[k]), k - int(first[owner[k]]), int(window[k].view(np.int64)), n, slots))
                 of, pos, found, size, slots = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key").take(pa.array(of, pa.int64())), pa.array(pos, pa.int64()), pa.array(found, pa.int64()),
@@ -210,23 +229,23 @@ def bloom_filter(found: DataFrame):
 
 def occurrences(docs: DataFrame, questions: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 item_col: str = "item_id", item_text: str = "text", length: int = WINDOW,
-                share: float = SHARE) -> DataFrame:
+                share: float = SHARE, whole: bool = False) -> DataFrame:
     """One row per contaminated document and question: row (numbers the rows of ``docs``), doc_id, item_id,
     share (of the question's windows covered by its best occurrence), exact (no slot differs),
-    start and stop (template tokens of the document)."""
+    start and stop (template tokens of the document). ``whole``: see the module."""
     keyed = questions.select(
         F.struct(F.monotonically_increasing_id().alias("n"), F.col(item_col).alias("id")).alias("key"),
         F.col(item_text).alias("text"),
     )
-    asked = stage(windows(stage(keyed), "key", "text", length, None))
+    asked = stage(windows(stage(keyed), "key", "text", length, None, whole=whole))
     sizes = [r[0] for r in asked.select("size").distinct().collect()]  # at most `length` numbers
-    totals = asked.groupBy("key").agg(F.count(F.lit(1)).alias("windows"))
+    totals = asked.groupBy("key").agg(F.count_distinct("pos").alias("windows"))
     asked = stage(asked.join(totals, "key").withColumnsRenamed({"key": "item", "pos": "item_pos", "slots": "wanted"}))
     rows = docs.select(
         F.struct(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id")).alias("key"),
         F.col(text_col).alias("text"),
     )
-    found = stage(windows(rows, "key", "text", length, [n for n in sizes if n < length], bloom_filter(asked)))
+    found = stage(windows(rows, "key", "text", length, [n for n in sizes if n < length], bloom_filter(asked), whole))
     # Frequent windows are many rows of documents; the join splits them.
     matched = found.join(asked, ["window", "size"]).select(
         "key", "item", "windows", "pos", "size",

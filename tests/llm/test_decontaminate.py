@@ -28,6 +28,17 @@ def test_verbatim_and_reparameterised(spark, table):
     assert found == [(1, 1, 1.0, True), (2, 1, 1.0, False)]  # 4: one 12 has become two numbers
 
 
+def find_whole(spark, table, docs, questions=((1, QUESTION),)):
+    return d.occurrences(table(docs), spark.createDataFrame(list(questions), "item_id long, text string"), whole=True)
+
+
+def test_copies_in_other_case(spark, table):
+    docs = [(1, around(QUESTION)), (2, around(QUESTION.upper())), (3, around(QUESTION.lower())), (4, around(QUESTION.title())),
+            (5, around(QUESTION.upper().replace("12", "31"))), (6, around("nothing of the kind here"))]
+    found = rows_of(find_whole(spark, table, docs), "doc_id", "share", "exact")
+    assert found == [(1, 1.0, True), (2, 1.0, True), (3, 1.0, True), (4, 1.0, True), (5, 1.0, False)]
+
+
 def test_parts(spark, table):
     words = QUESTION.split()
     half, little = " ".join(words[: len(words) // 2]), " ".join(words[:11])
