@@ -6,7 +6,11 @@ WINDOW template tokens of the questions and of the documents are joined by hash;
 fewer tokens is one window. A window counts only if half its tokens are words.
 
 With ``whole``, windows in which names are kept as their lower-cased words are cut as well, of questions and
-documents alike, and either form covers a question's window: so a copy in other case is found.
+documents alike, and either form covers a question's window: so a copy in other case is found. A
+question's window of too few words counts if a document has it with the same values; the share is then the greater of
+that of the windows with words and that of all windows. And occurrences of a question whose shifts follow each
+other within its length are added up, the greatest first and each that is consistent with those before: so
+inserted or deleted words do not hide a question.
 
 Windows of a document that match a question at the same shift are one occurrence. In an occurrence
 the slots must be consistent: one value of the question always stands for one value in the document. A
@@ -18,7 +22,7 @@ windows. It has a fixed number of bits; if the benchmark outgrows it, more windo
 shuffled, and the join still decides.
 
 Defined cases: null and empty texts and questions have no windows. A question with no window
-that counts (nearly all placeholders) is never found. Repeated rows of documents are each found;
+that counts (nearly all placeholders) is found only with ``whole``, and then only with its own values. Repeated rows of documents are each found;
 repeated questions give one result per id and document. Texts of any length are read whole. Columns other than
 those named do not matter.
 """
@@ -32,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.sources.staging import stage
@@ -57,9 +61,9 @@ NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
 MARKS = string.punctuation + "“”‘’«»…–—¿¡"
 OUTER_MARKS = MARKS.translate(str.maketrans("", "", "$+-%"))  # those that no number begins or ends with
 WORD, NUM, NAME, UNIT, NONE = range(5)
-#: Forms of a window: names as placeholders, or as words.
-TEMPLATE, FOLDED = range(2)
-FORMS = 2
+#: Forms of a window: names as placeholders, or as words, or all with their values.
+TEMPLATE, FOLDED, EXACT = range(3)
+FORMS = 3
 
 #: The hash of each kind of placeholder.
 PLACEHOLDERS = {kind: xxhash.xxh64_intdigest(f"<{kind}>", 2) for kind in (NUM, NAME, UNIT)}
@@ -111,7 +115,9 @@ class Templates:
                 kinds[k, j] = kind
                 hashes[:, k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else PLACEHOLDERS[kind]
                 if kind == NAME:
-                    hashes[FOLDED, k, j] = xxhash.xxh64_intdigest(value, 1)
+                    hashes[FOLDED:, k, j] = xxhash.xxh64_intdigest(value, 1)
+                elif kind != WORD:
+                    hashes[EXACT, k, j] = xxhash.xxh64_intdigest(value.lower(), 3)
                 self.values.append(value)
             self.values += [""] * (2 - len(tokens))
         self.kinds = np.concatenate([self.kinds, kinds])
@@ -156,10 +162,11 @@ def filter_places(window: np.ndarray) -> list[np.ndarray]:
 
 def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int] | None,
             bloom=None, whole: bool = False) -> DataFrame:
-    """(key, pos, window, slots): the windows that count, and pass the filter if there is one.
+    """(key, pos, window, size, slots, form): the windows that count, and pass the filter if there is one.
 
     ``shorts``: further lengths of windows. None: a text of fewer tokens than ``length`` is one window.
-    ``whole``: windows with names also in the form that keeps them as words.
+    ``whole``: windows with names also in the form that keeps them as words, and those of too few words
+    with their values.
     """
     key_type = texts.schema[key].dataType.simpleString()
 
@@ -189,6 +196,9 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                         # Of a question's windows those that count; a document's names may be words of the question.
                         folded = (named > 0) & (counts if shorts is None else 2 * (plain + named) >= n)
                         forms.append((FOLDED, folded, (kind == NUM) | (kind == UNIT)))
+                        # Without numbers and units, a document has this as another form.
+                        exact = ~counts if shorts is None else plain + named < n
+                        forms.append((EXACT, exact, np.zeros(len(kind), bool)))
                     for form, good, slot in forms:
                         window = window_hashes(hashes[form], n)
                         good = good & inside
@@ -197,16 +207,16 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                                 good &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
                         for k in np.flatnonzero(good).tolist():
                             slots = [templates.values[v] for v in value[k : k + n][slot[k : k + n]]]
-                            rows.append((int(owner[k]), k - int(first[owner[k]]), int(window[k].view(np.int64)), n, slots))
-                of, pos, found, size, slots = zip(*rows) if rows else ((),) * 5
+                            rows.append((int(owner[k]), k - int(first[owner[k]]), int(window[k].view(np.int64)), n, slots, form))
+                of, pos, found, size, slots, form = zip(*rows) if rows else ((),) * 6
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key").take(pa.array(of, pa.int64())), pa.array(pos, pa.int64()), pa.array(found, pa.int64()),
-                     pa.array(size, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                    ["key", "pos", "window", "size", "slots"],
+                     pa.array(size, pa.int32()), pa.array(slots, pa.list_(pa.string())), pa.array(form, pa.int32())],
+                    ["key", "pos", "window", "size", "slots", "form"],
                 )
 
     chosen = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return chosen.mapInArrow(cut, f"key {key_type}, pos long, window long, size int, slots array<string>")
+    return chosen.mapInArrow(cut, f"key {key_type}, pos long, window long, size int, slots array<string>, form int")
 
 
 def bloom_filter(found: DataFrame):
@@ -227,6 +237,52 @@ def bloom_filter(found: DataFrame):
     return found.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
+def consistent(pairs: Column) -> Column:
+    """Whether one value of the question always stands for one value in the document."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda p: p["wanted"]))) == F.size(pairs)
+
+
+def covered_share(covered: Column, words: Column, windows: Column, worded: Column) -> Column:
+    """The share of a question's windows covered: of all, or of those with words, whichever is more."""
+    return F.greatest(
+        F.size(covered) / windows, F.when(worded > 0, F.size(words) / F.greatest(worded, F.lit(1))).otherwise(0.0)
+    )
+
+
+def added_up(found: DataFrame) -> DataFrame:
+    """Occurrences whose shifts follow each other within the question's length as one: the greatest, and
+    in turn each other that is consistent with those before."""
+    group = ["key", "item", "windows", "worded"]
+    in_order = Window.partitionBy(*group).orderBy("shift", "form")  # occurrences of one question in one document
+    gap = F.col("shift") - F.lag("shift").over(in_order)
+    far = F.coalesce(gap >= F.col("windows") + F.col("size") - 1, F.lit(True))
+    parts = ["covered", "words", "pairs", "start", "stop"]
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("less"), "shift", "form", *parts)))
+
+    def add(sum_: Column, one: Column) -> Column:
+        pairs = F.array_union(sum_["pairs"], one["pairs"])
+        both = F.struct(
+            F.array_union(sum_["covered"], one["covered"]).alias("covered"),
+            F.array_union(sum_["words"], one["words"]).alias("words"),
+            pairs.alias("pairs"),
+            F.least(sum_["start"], one["start"]).alias("start"),
+            F.greatest(sum_["stop"], one["stop"]).alias("stop"),
+        )
+        more = F.size(F.array_except(one["covered"], sum_["covered"])) > 0
+        return F.when(more & consistent(pairs), both).otherwise(sum_)
+
+    one = F.col("ones")
+    first = F.struct(*[one[0][c].alias(c) for c in parts])
+    return (
+        found.withColumn("near", F.sum(far.cast("int")).over(in_order))
+        .groupBy(*group, "near")
+        .agg(ordered.alias("ones"))
+        .select(*group, F.aggregate(F.slice(one, 2, F.greatest(F.size(one) - 1, F.lit(0))), first, add).alias("sum"))
+        .select(*group, "sum.*")
+        .withColumn("share", covered_share(F.col("covered"), F.col("words"), F.col("windows"), F.col("worded")))
+    )
+
+
 def occurrences(docs: DataFrame, questions: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 item_col: str = "item_id", item_text: str = "text", length: int = WINDOW,
                 share: float = SHARE, whole: bool = False) -> DataFrame:
@@ -239,8 +295,16 @@ def occurrences(docs: DataFrame, questions: DataFrame, id_col: str = "doc_id", t
     )
     asked = stage(windows(stage(keyed), "key", "text", length, None, whole=whole))
     sizes = [r[0] for r in asked.select("size").distinct().collect()]  # at most `length` numbers
-    totals = asked.groupBy("key").agg(F.count_distinct("pos").alias("windows"))
-    asked = stage(asked.join(totals, "key").withColumnsRenamed({"key": "item", "pos": "item_pos", "slots": "wanted"}))
+    totals = asked.groupBy("key").agg(
+        F.count_distinct("pos").alias("windows"),
+        F.count_distinct(F.when(F.col("form") != EXACT, F.col("pos"))).alias("worded"),
+    )
+    asked = stage(
+        asked.withColumn("words", F.col("form") != EXACT)
+        .drop("form")
+        .join(totals, "key")
+        .withColumnsRenamed({"key": "item", "pos": "item_pos", "slots": "wanted"})
+    )
     rows = docs.select(
         F.struct(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id")).alias("key"),
         F.col(text_col).alias("text"),
@@ -248,26 +312,31 @@ def occurrences(docs: DataFrame, questions: DataFrame, id_col: str = "doc_id", t
     found = stage(windows(rows, "key", "text", length, [n for n in sizes if n < length], bloom_filter(asked), whole))
     # Frequent windows are many rows of documents; the join splits them.
     matched = found.join(asked, ["window", "size"]).select(
-        "key", "item", "windows", "pos", "size",
+        "key", "item", "windows", "worded", "form", "pos", "size",
         (F.col("pos") - F.col("item_pos")).alias("shift"),
-        "item_pos",
+        "item_pos", "words",
         F.arrays_zip("wanted", "slots").alias("pairs"),
     )
-    per_occurrence = matched.groupBy("key", "item", "windows", "shift").agg(
-        F.count_distinct("item_pos").alias("covered"),
+    # Each form is an occurrence of its own: one that is inconsistent does not take another with it.
+    per_occurrence = matched.groupBy("key", "item", "windows", "worded", "shift", "form").agg(
+        F.collect_set("item_pos").alias("covered"),
+        F.collect_set(F.when(F.col("words"), F.col("item_pos"))).alias("words"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
         F.min("pos").alias("start"),
         F.max(F.col("pos") + F.col("size")).alias("stop"),
+        F.max("size").alias("size"),
     )
-    pairs = F.col("pairs")
-    values = F.array_distinct(F.transform(pairs, lambda p: p["wanted"]))
-    consistent = per_occurrence.filter(F.size(values) == F.size(pairs)).select(
-        "key", "item", "start", "stop",
-        (F.col("covered") / F.col("windows")).alias("share"),
-        F.forall(pairs, lambda p: p["wanted"] == p["slots"]).alias("exact"),
+    per_occurrence = per_occurrence.withColumn(
+        "share", covered_share(F.col("covered"), F.col("words"), F.col("windows"), F.col("worded"))
+    ).filter(consistent(F.col("pairs")))
+    if whole:
+        per_occurrence = added_up(per_occurrence)
+    consistent_ones = per_occurrence.select(
+        "key", "item", "start", "stop", "share",
+        F.forall("pairs", lambda p: p["wanted"] == p["slots"]).alias("exact"),
     )
     best = (
-        consistent.filter(F.col("share") >= share)
+        consistent_ones.filter(F.col("share") >= share)
         .groupBy(F.col("key.n").alias("row"), F.col("key.id").alias("doc_id"), F.col("item.id").alias("item_id"))
         .agg(F.max(F.struct("share", "exact", (-F.col("start")).alias("start"), "stop")).alias("best"))
     )

@@ -39,6 +39,32 @@ def test_copies_in_other_case(spark, table):
     assert found == [(1, 1.0, True), (2, 1.0, True), (3, 1.0, True), (4, 1.0, True), (5, 1.0, False)]
 
 
+def test_questions_of_few_words(spark, table):
+    questions = [(1, "What is 17 times 23?"), (2, "Add 3 kg 4 kg 5 kg 6 kg and 7 kg 8 kg 9 kg, Bob Eve Ann!")]
+    docs = [(1, around(questions[0][1])), (2, around("What is 18 times 23?")), (3, around(questions[0][1].lower())),
+            (4, around(questions[1][1])), (5, around(questions[1][1].replace("5", "2"))), (6, around(questions[1][1].upper()))]
+    found = rows_of(find_whole(spark, table, docs, questions), "doc_id", "item_id", "share", "exact")
+    assert [r for r in found if r[0] != 5] == [(1, 1, 1.0, True), (3, 1, 1.0, True), (4, 2, 1.0, True), (6, 2, 1.0, True)]
+    assert rows_of(find(spark, table, docs, questions), "doc_id") == []  # as before without `whole`
+
+
+def test_inserted_words(spark, table):
+    words = QUESTION.split()
+    third = len(words) // 3
+    split = " ".join([*words[:third], "brown", *words[third : 2 * third], "fine", "old", *words[2 * third :]])
+    other = split.replace("12", "31").replace("Alice", "Eve")
+    apart = (" " + "word " * 300).join([" ".join(words[:12]), " ".join(words[12:24]), " ".join(words[24:])])
+    inconsistent = split.replace("the 12 cows", "the 13 cows")
+    docs = [(1, around(split)), (2, around(other)), (3, around(apart)), (4, around(inconsistent)), (5, around("nothing"))]
+    found = {r.doc_id: r for r in find_whole(spark, table, docs).collect()}
+    assert found[1].share > 0.3 and found[1].exact and found[1].stop - found[1].start == len(words) + 3
+    assert found[2].share == found[1].share and not found[2].exact
+    assert 5 not in found
+    alone = {r.doc_id: r.share for r in find(spark, table, docs).collect()}
+    assert alone.get(1, 0) < found[1].share
+    assert 3 not in found or found[3].share == alone[3]  # parts that are far from each other are not added up
+
+
 def test_parts(spark, table):
     words = QUESTION.split()
     half, little = " ".join(words[: len(words) // 2]), " ".join(words[:11])
