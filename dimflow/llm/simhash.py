@@ -11,7 +11,8 @@ Shards. For exact search within radius r, 64 bits are cut into more blocks than
 fingerprints within r agree on all but r blocks, so each choice of agreeing blocks is a table of
 shards (r = 3, five blocks: ten tables with keys of 25 or 26 bits). For near copies by
 similarity, shards are keyed by bands of minhashes, and a pair that the tree finds is
-checked against the Jaccard similarity of its shingles.
+checked against the Jaccard similarity of its shingles: measured on the least shingle hashes and, where
+that is a sample and the result is within DOUBT of the limit, counted over all shingles in a join of the pairs.
 
 A shard of more than LIMIT members is cut into blocks, and each pair of blocks is a task of
 its own: a tree of one, queried by the other. No link is lost and no task grows. Tasks join
@@ -51,6 +52,8 @@ BANDS, BAND_ROWS = 8, 3
 NEAR_RADIUS = 22
 #: Least shingle hashes kept of a text to measure similarity: exact for texts with no more.
 SKETCH = 256
+#: A sample's deviation is 0.025; a pair measured within six deviations of the limit is counted exactly.
+DOUBT = 0.15
 
 
 def shingle_hashes(text: str | None, words: int, step: int = 1 << 18) -> Iterator[np.ndarray]:
@@ -250,20 +253,24 @@ def whole_shards(batches: Iterator[pa.RecordBatch], least: int = 50_000) -> Iter
 
 
 def links(dealt: DataFrame, node: str, radius: int, similarity: float | None = None) -> DataFrame:
-    """Links (a, b) that join, in each shard, what is within the radius (and similar)."""
+    """Links (a, b, sure) that join, in each shard, what is within the radius (and similar). Not sure:
+    pairs whose similarity is yet to be counted."""
     sorted_shards = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", node)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in whole_shards(batches):
-            check = None if similarity is None else _similar(chunk["sketch"].tolist(), similarity)
+            doubtful: list[np.ndarray] = []
+            check = None if similarity is None else _similar(chunk["sketch"].tolist(), similarity, doubtful)
             classes = link_chunk(chunk, radius, check)
             names = chunk[node].to_numpy(np.int64)
             linked = np.flatnonzero(classes != np.arange(len(classes)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[linked]), pa.array(names[classes[linked]])], ["a", "b"]
-            )
+            pairs = np.concatenate([np.empty((2, 0), np.int64), *doubtful], axis=1)
+            pairs = np.sort(names[pairs[:, classes[pairs[0]] != classes[pairs[1]]]], axis=0)
+            a, b = np.concatenate([np.stack([names[linked], names[classes[linked]]]), pairs], axis=1)
+            sure = np.arange(len(a)) < len(linked)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], ["a", "b", "sure"])
 
-    found = sorted_shards.mapInArrow(find, "a long, b long")
+    found = sorted_shards.mapInArrow(find, "a long, b long, sure boolean")
     return found.filter("a != b").distinct()
 
 
@@ -277,7 +284,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stage(with_fingerprints(docs, id_col, text_col, words))
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     members = prints.select(F.explode(block_keys(F.col("fp"), radius, blocks)).alias("key"), "fp")
-    found = components(links(deal(members, "fp", limit), "fp", radius))
+    found = components(links(deal(members, "fp", limit), "fp", radius).select("a", "b"))
     found = stage(prints.join(found, prints["fp"] == found["node"]).select("fp", "root", "first"))
     least = stage(found.groupBy("root").agg(F.min("first").alias("least")))
     linked = found.join(least, "root").select("fp", "least")
@@ -297,25 +304,31 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return a, rng.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64)
 
 
+def distinct_shingles(text: str | None, words: int) -> np.ndarray:
+    """The hashes of a text's shingles, sorted, each once."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words, 1 << 16)]))
+
+
 def features(text: str | None, words: int) -> tuple[bytes, int, list[int], bytes]:
-    """(digest of the words, fingerprint, band keys, sketch of least shingle hashes)."""
+    """(digest of the words, fingerprint, band keys, sketch of least shingle hashes), all of distinct shingles."""
     plain = b" ".join((text or "").encode("utf-8", "replace").lower().split())
-    counts, total = np.zeros(64, np.int64), 0
+    hashes = distinct_shingles(text, words)
+    counts = np.zeros(64, np.int64)
     a, b = _multipliers()
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    sketch = np.empty(0, np.uint32)
-    for hashes in shingle_hashes(text, words, 1 << 16):
-        counts += bit_counts(hashes)
-        total += len(hashes)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        counts += bit_counts(part)
         for k in range(len(a)):
-            mixed = hashes * a[k] + b[k]
+            mixed = part * a[k] + b[k]
             least[k] = min(least[k], (mixed ^ (mixed >> np.uint64(29))).min())
-        sketch = np.unique(np.concatenate([sketch, (hashes >> np.uint64(32)).astype(np.uint32)]))[:SKETCH]
+    high = (hashes >> np.uint64(32)).astype(np.uint32)  # sorted, as the hashes are
+    sketch = high[np.concatenate((high[:1] == high[:1], high[1:] != high[:-1]))][:SKETCH]
     bands = [
         xxhash.xxh64_intdigest(least[k * BAND_ROWS : (k + 1) * BAND_ROWS].tobytes(), k) - (1 << 63)
         for k in range(BANDS)
     ]
-    return xxhash.xxh3_128_digest(plain), int(fingerprint_of(counts, total)), bands, sketch.tobytes()
+    return xxhash.xxh3_128_digest(plain), int(fingerprint_of(counts, len(hashes))), bands, sketch.tobytes()
 
 
 _NONE = np.uint64(1 << 32)  # above all hashes: fills short sketches
@@ -349,8 +362,9 @@ def similarities(rows: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 204
     return out
 
 
-def _similar(sketches: list[bytes], similarity: float) -> Callable:
+def _similar(sketches: list[bytes], similarity: float, doubtful: list[np.ndarray]) -> Callable:
     rows = sketch_rows(sketches)
+    sampled = np.array([len(sketch) // 4 >= SKETCH for sketch in sketches])
 
     def check(classes: np.ndarray, q: np.ndarray, p: np.ndarray) -> None:
         order = np.lexsort((p, q))
@@ -362,7 +376,10 @@ def _similar(sketches: list[bytes], similarity: float) -> Callable:
             if not len(q):
                 return
             first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
-            good = first[similarities(rows, q[first], p[first]) >= similarity]
+            measured = similarities(rows, q[first], p[first])
+            doubt = (sampled[q[first]] | sampled[p[first]]) & (np.abs(measured - similarity) <= DOUBT)
+            doubtful.append(np.stack([q[first[doubt]], p[first[doubt]]]))
+            good = first[(measured >= similarity) & ~doubt]
             merge(classes, q[good], p[good])
             later = np.ones(len(q), bool)
             later[first] = False
@@ -371,6 +388,30 @@ def _similar(sketches: list[bytes], similarity: float) -> Callable:
     return check
 
 
+def similar_pairs(texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Of pairs (a, b) of rows of ``texts`` (_row, _text) those whose shingles have the similarity, counted in full."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = [distinct_shingles(t, words).view(np.int64) for t in part.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_row"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
+                )
+
+    pairs = stage(pairs)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
+    asked = texts.select("_row", "_text").join(nodes, "_row", "left_semi")
+    sets = stage(asked.mapInArrow(cut, "node long, shingles array<long>"))
+    both = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
+        sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"
+    )
+    common = F.size(F.array_intersect("x", "y"))
+    counted = both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
+    return counted.filter(F.col("common") / (F.col("sizes") - F.col("common")) >= similarity).select("a", "b")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                 similarity: float = 0.8, limit: int = LIMIT) -> DataFrame:
     """``docs`` with `_row`, a number of its own for each row, and `_keeper`, the row to keep of
@@ -398,7 +439,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = distinct.select(F.explode("keys").alias("key"), F.col("_row").alias("node"), "fp")
     dealt = deal(members, "node", limit)
     sketches = measured.select(F.col("_row").alias("node"), "sketch")
-    found = components(links(dealt.join(sketches, "node"), "node", NEAR_RADIUS, similarity))
+    linked = stage(links(dealt.join(sketches, "node"), "node", NEAR_RADIUS, similarity))
+    counted = similar_pairs(chosen, linked.filter("not sure").select("a", "b"), words, similarity)
+    found = components(linked.filter("sure").select("a", "b").union(counted))
     found = stage(texts.join(found, "node").select("node", "root", "first"))
     least = stage(found.groupBy("root").agg(F.min("first").alias("least")))
     linked = found.join(least, "root").select("node", "least")

@@ -129,6 +129,28 @@ def test_near_copies_equal_brute_force(spark, table, rng):
         assert found.columns[:2] == ["doc_id", "text"] or "doc_id" in found.columns
 
 
+def test_near_copies_of_long_texts_are_counted_exactly(spark, table, rng):
+    word = lambda: f"w{rng.randrange(10**9)}"
+    rows, wanted = [], []
+    for i in range(24):
+        text = [word() for _ in range(2000)]
+        changed = 205 if i % 2 else 227  # of 1996 shingles: similarity 0.814 or 0.796
+        other = text[:-changed] + [word() for _ in range(changed)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+        wanted += [2 * i] if i % 2 else [2 * i, 2 * i + 1]
+    found = simhash.near_copies(table(rows)).filter("_row = _keeper")
+    assert sorted(r.doc_id for r in found.collect()) == wanted
+
+
+def test_repeated_lines_do_not_hide_near_copies(spark, table, rng):
+    rows = []
+    for i in range(20):
+        text = [f"w{rng.randrange(10**9)}" for _ in range(500)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text + text[-12:] * 50))]
+    found = simhash.near_copies(table(rows)).filter("_row = _keeper")
+    assert sorted(r.doc_id for r in found.collect()) == list(range(0, 40, 2))
+
+
 def test_near_copies_of_nulls_empty_and_repeated(spark, table):
     rows = [(4, None), (2, ""), (None, "x y"), (3, "X  y"), (3, "X  y"), (9, "alone here"), (None, "no other")]
     found = simhash.near_copies(table(rows)).filter("_row = _keeper")
