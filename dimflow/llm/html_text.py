@@ -11,7 +11,8 @@ aligned in columns, with their spans. All visible text comes out, in document or
 Each page is rendered on its own, without recursion, in time linear in its length.
 
 Defined cases: null HTML gives a null text; empty HTML, or a page without visible text, an empty one. A column of a table
-that has a cell wider than WIDEST is not padded. Markup that is cut off is read as far as it
+that has columns to its right is WIDEST wide at most: longer lines are wrapped at spaces, and a longer word stands whole, with the
+cells to its right below it. Of a drawing (svg) the text elements and foreign objects are visible, but not in its definitions. Markup that is cut off is read as far as it
 goes. Repeated rows are rendered each. Columns other than the two named do not matter.
 """
 
@@ -32,8 +33,11 @@ MOST_SPAN = 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 INVISIBLE = frozenset(
-    "head script style template noscript iframe noembed noframes object svg canvas audio video datalist param title".split()
+    "head script style template noscript iframe noembed noframes object canvas audio video datalist param title".split()
 )
+#: In a drawing: elements whose text is shown, and those that are not shown.
+SVG_TEXT = frozenset(("text", "foreignobject"))
+SVG_UNSEEN = frozenset("defs symbol desc metadata clippath mask pattern marker lineargradient radialgradient filter".split())
 BLOCKS = frozenset(
     """address article aside body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary
@@ -59,9 +63,9 @@ CLOSES = {
     "body": ({"head"}, set()),
 }
 CLOSES_P = (BLOCKS - {"caption", "html", "body", "legend", "option", "optgroup", "summary"} - CELLS - SECTIONS) - {"tr"}
-P_SCOPE = frozenset({"td", "th", "table", "button", "caption", "html", "body"})
+P_SCOPE = frozenset({"td", "th", "table", "button", "caption", "html", "body", "foreignobject"})
 #: End tags of others do not reach beyond these.
-END_SCOPE = frozenset({"td", "th", "table", "caption"})
+END_SCOPE = frozenset({"td", "th", "table", "caption", "foreignobject"})
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|"
@@ -117,18 +121,23 @@ def parse(page: str) -> Node:
             if last:
                 pop_to(last)
 
+    def add_text(text: str) -> None:
+        if stack[-1].tag == "head" and html.unescape(text).strip(" \t\n\r\f"):
+            close(("head",), ())
+        stack[-1].children.append(text)
+
     at, find = 0, page.find
     while at < len(page):
         opens = find("<", at)
         if opens < 0:
             opens = len(page)
         if opens > at:
-            stack[-1].children.append(page[at:opens])
+            add_text(page[at:opens])
         if opens == len(page):
             break
         found = MARKUP.match(page, opens)
         if not found:
-            stack[-1].children.append("<")
+            add_text("<")
             at = opens + 1
             continue
         at = found.end()
@@ -158,6 +167,9 @@ def parse(page: str) -> Node:
             close(("head",), ())
         node = Node(tag, found[3])
         stack[-1].children.append(node)
+        drawing = count.get("svg") and not count.get("foreignobject")
+        if drawing and found[3].endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
             stop = end.start() if end else len(page)
@@ -219,6 +231,25 @@ class Flow:
         return "\n".join(self.lines).strip("\n")
 
 
+def wrapped(line: str) -> list[str]:
+    """A line in parts of WIDEST characters at most, or of one longer word."""
+    out, at = [], 0
+    while len(line) - at > WIDEST:
+        start = at
+        while start < len(line) and line[start] == " ":
+            start += 1
+        cut = line.rfind(" ", start, at + WIDEST + 1)
+        if cut < 0:
+            cut = line.find(" ", max(start, at + WIDEST))
+        if cut < 0:
+            break
+        out.append(line[at:cut].rstrip())
+        at = cut
+        while at < len(line) and line[at] == " ":
+            at += 1
+    return [*out, line[at:]]
+
+
 class Table:
     def __init__(self):
         self.rows: list[list[tuple[str, int, int]]] = []
@@ -240,19 +271,29 @@ class Table:
                 column += across
             taken = left
             grid.append(cells)
+        last = max((c for cells in grid for c, text in cells.items() if text), default=0)
         widths: dict[int, int] = {}
+        split_rows = []
         for cells in grid:
-            for column, text in cells.items():
-                widths[column] = max(widths.get(column, 0), *(len(x) for x in text.split("\n")))
+            split: dict[int, list[str]] = {}
+            below = 0  # lines down to the last one that runs into the columns to its right
+            for column, text in sorted(cells.items()):
+                lines = text.split("\n")
+                if column < last:
+                    lines = [part for line in lines for part in wrapped(line)]
+                widths[column] = max(widths.get(column, 0), *(min(len(x), WIDEST) for x in lines))
+                split[column] = [""] * below + lines if text else lines
+                if column < last:
+                    below = max([below, *(k + 1 for k, x in enumerate(split[column]) if len(x) > WIDEST)])
+            split_rows.append(split)
         columns = sorted(c for c, w in widths.items() if w)
         out = []
-        for cells in grid:
-            split = {c: cells[c].split("\n") for c in cells}
+        for split in split_rows:
             for k in range(max((len(s) for s in split.values()), default=0)):
                 line = ""
                 for c in columns:
                     part = split[c][k] if c in split and k < len(split[c]) else ""
-                    line += part.ljust(widths[c] if widths[c] <= WIDEST else 0) + "  "
+                    line += part.ljust(widths[c] if c < last else 0) + "  "
                 if line.strip():
                     out.append(line.rstrip())
         return out
@@ -262,11 +303,12 @@ def _number(value: str | None) -> int:
     return min(max(int(value), 1), MOST_SPAN) if value and value.isdigit() and len(value) < 9 else 1
 
 
-def render(root: Node) -> str:
-    """The visible text of a tree."""
+def render(root: Node, drawings: bool = False) -> str:
+    """The visible text of a tree; ``drawings``: also the text in svg."""
     flow = Flow()
     flows, tables, lists = [flow], [], []  # flows of cells, open tables, item counts of open lists
     pre = 0
+    drawn: list[bool] = []  # open drawings and what shows text in them: whether text is left out
     # Elements to enter, and (None, element, indentation) where one ends.
     work: list = [root]
     while work:
@@ -276,8 +318,13 @@ def render(root: Node) -> str:
             continue
         if isinstance(node, Node):
             tag, flow = node.tag, flows[-1]
-            if node.hidden():
+            if node.hidden() or tag == "svg" and not drawings:
+                continue
+            if drawn and (tag in SVG_UNSEEN or node.get("display") == "none" or node.get("visibility") in ("hidden", "collapse")):
                 continue
+            if tag == "svg" or drawn and tag in SVG_TEXT:
+                drawn.append(tag == "svg")
+                flow.space = True
             if tag == "br":
                 flow.flush(True)
                 continue
@@ -312,10 +359,15 @@ def render(root: Node) -> str:
             children = node.children
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+            if drawn and drawn[-1]:
+                children = [c for c in children if isinstance(c, Node)]
             work.extend(reversed(children))
             continue
         _, node, kept = node
         tag = node.tag
+        if tag == "svg" or drawn and tag in SVG_TEXT:
+            drawn.pop()
+            flows[-1].space = True
         if tag in CELLS and tables:
             text = flows.pop().whole()
             table = tables[-1][0]
@@ -346,8 +398,8 @@ def render(root: Node) -> str:
     return flows[0].whole()
 
 
-def extract(page: str | None) -> str | None:
-    return None if page is None else render(parse(page))
+def extract(page: str | None, drawings: bool = False) -> str | None:
+    return None if page is None else render(parse(page), drawings)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -355,6 +407,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
 
     @F.pandas_udf("string")
     def visible_text(htmls: pd.Series) -> pd.Series:
-        return pd.Series([extract(h) if isinstance(h, str) else None for h in htmls], dtype=object)
+        return pd.Series([extract(h, drawings=True) if isinstance(h, str) else None for h in htmls], dtype=object)
 
     return pages.select(F.col(id_col).alias("page_id"), visible_text(F.col(html_col)).alias("text"))

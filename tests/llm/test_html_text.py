@@ -73,3 +73,31 @@ def test_nulls_empty_and_repeated(spark, table):
     found = rows_of(extract_pages(table(rows, "page_id long, html string")), "page_id", "text")
     assert sorted(found, key=str) == [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "y")]
     assert extract_pages(table([], "page_id long, html string")).count() == 0
+
+
+def test_text_ends_the_head():
+    from dimflow.llm.html_text import extract
+
+    assert extract("<head><title>t</title>Hello <p>more") == "Hello\n\nmore"
+    assert extract("<head> <title>t</title>\n<style>x</style> <body>Hello</body>") == "Hello"
+    assert extract("<head><meta charset=x> &amp; so</head><body>on") == "& so\non"
+
+
+def test_text_in_drawings():
+    from dimflow.llm.html_text import extract
+
+    page = """<p>A <svg><title>no</title><title/><desc>no</desc><defs><text>no</text></defs><rect/>no<g><text x=1>one <tspan>two</tspan></text>
+    <text>three</text></g><foreignObject><div>four</div></foreignObject><text display="none">no</text></svg> B</p><p>C"""
+    assert extract(page, drawings=True).split() == ["A", "one", "two", "three", "four", "B", "C"]
+
+
+def test_columns_beside_wide_cells():
+    from dimflow.llm.html_text import WIDEST, extract
+
+    long, word = "many words " * 20, "x" * 100
+    page = "<table>" + "".join(f"<tr><td>{a}<td>{b}<td>{c}" for a, b, c in (
+        ("a", "b", "c"), (long, "d", "e"), ("f", word, "g"), ("h", "i", long))) + "</table>"
+    lines = extract(page).split("\n")
+    assert " ".join(x[:WIDEST].strip() for x in lines[1:5]) == long.strip()
+    assert {x.index(c) for c in "ceg" for x in lines if x.rstrip().endswith("  " + c) or x.strip() == c} == {2 * (WIDEST + 2)}
+    assert word in extract(page) and long.strip() in extract(page)
