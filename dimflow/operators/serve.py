@@ -54,13 +54,15 @@ def as_of_join(
     on_date: str,
     prefix: str = "dim_",
     timeline: bool = False,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """Left join: each fact with the version whose [valid_from, valid_to) holds its date.
 
     Version attributes get ``prefix``. A timestamp counts as its date. Where versions of a key overlap, the one that
     began last answers (see `without_overlaps`); empty ones (changed twice on a day) never match.
     The versions are sorted once and written, then joined on the keys with the dates as a
-    condition: Spark broadcasts them if they are small, and splits a key that holds many facts.
+    condition: Spark broadcasts them if they are small, and splits a key that holds many facts. ``join_hint``
+    (such as "merge") on the versions asks for another join.
 
     ``timeline`` is another way to the same rows, for keys with very many versions: the version is
     looked up once per distinct (key, date) and joined back on both. Facts combine to distinct pairs before
@@ -82,7 +84,8 @@ def as_of_join(
             F.col(day) >= F.col(prefix + "valid_from"),
             F.col(day) < F.col(prefix + "valid_to"),
         ]
-        joined = dated.join(renamed.withColumnsRenamed(theirs), on, "left")
+        right = renamed.withColumnsRenamed(theirs)
+        joined = dated.join(right.hint(join_hint) if join_hint else right, on, "left")
     return joined.select(*facts.columns, *[prefix + c for c in attributes])
 
 

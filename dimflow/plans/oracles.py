@@ -200,6 +200,7 @@ ORACLES: dict[str, str] = {
  next_from AS record_end_date FROM spans WHERE next_from IS NOT NULL""",
     ),
     "as_of_join": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
+    "as_of_join_large": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
     "as_of_join_timeline": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
     "as_of_join_scd4": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=False)),
     "incremental_slice": _text(_LOANS, body=_SLICED),

@@ -186,6 +186,11 @@ def as_of_join(spark, sf_dir, **options):
     return joined.select(*_FACTS, "dim_surrogate_key", *_ATTRIBUTES)
 
 
+def as_of_join_large(spark, sf_dir):
+    """The same join shuffled, as for versions too many to broadcast."""
+    return as_of_join(spark, sf_dir, join_hint="merge")
+
+
 def as_of_join_timeline(spark, sf_dir):
     """The same join by way of each key's timeline."""
     return as_of_join(spark, sf_dir, timeline=True)
@@ -404,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "scd2_new_column": scd2_new_column,
     "scd4_new_column": scd4_new_column,
     "as_of_join": as_of_join,
+    "as_of_join_large": as_of_join_large,
     "as_of_join_timeline": as_of_join_timeline,
     "as_of_join_scd4": as_of_join_scd4,
     "incremental_slice": incremental,

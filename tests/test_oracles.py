@@ -72,3 +72,8 @@ def test_the_tables_hold_every_case(spark):
         for column in spec.tracked:
             if column not in ("customer_dob", "annual_income"):  # these come and go
                 assert changed.filter(F.col(column) > 1).count() > 0
+
+
+def test_large_as_of_join_is_shuffled(spark):
+    plan = queries()["as_of_join_large"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert any("SortMergeJoin" in line and "LeftOuter" in line for line in plan.split("\n"))
