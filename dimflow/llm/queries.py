@@ -6,7 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dimflow.llm import ann, chat, decontaminate, html_text, licences, oracles, packing, quality, sharding, simhash, urls
+from dimflow.llm import (
+    ann,
+    chat,
+    decontaminate,
+    html_text,
+    licences,
+    oracles,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    trie,
+    urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +81,10 @@ def op10_quality(spark, sf_dir):
     return quality.classify(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_trie(spark, sf_dir):
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_sharding": op2_sharding,
@@ -79,6 +96,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_trie": op11_trie,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = oracles.ORACLES

@@ -1,0 +1,103 @@
+"""The prefix trie against a brute-force one."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from conftest import plan_of
+from llm_fixtures import sf, table  # noqa: F401
+
+from dimflow.llm import trie
+from dimflow.llm.queries import op11_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    by_conv = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            tid = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            by_conv[conv].append((turn is not None, turn or 0, role, tid, text))
+    convs = {c: [(t[2], t[4]) for t in sorted(ts)] for c, ts in by_conv.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(convs):
+        h = zlib.crc32(str(c).encode()) % 9
+        made = tuple(convs.get(c - c % 5, [])[:h] + convs[c][h:])
+        for d in range(len(made) + 1):
+            members[made[:d]].append(c)
+        ends[made].append(c)
+    kids = defaultdict(list)
+    for node in members:
+        if node:
+            kids[node[:-1]].append(node)
+    out, leaves, saved = [], {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in kids[node]) or 1
+        size = len(node[-1][1].encode()) if node else 0
+        saved[node] = (len(members[node]) - 1) * size + sum(saved[k] for k in kids[node])
+        listed = ",".join(map(str, ends[node]))
+        out.append((members[node][0], len(node), members[node[:-1]][0] if node else None, len(members[node]),
+                    len(kids[node]), leaves[node], saved[node], hashlib.sha256(listed.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    assert df.columns == COLUMNS
+    assert [t for _, t in df.dtypes] == ["bigint"] * 7 + ["string"]
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def some(rng, convs, turns, kinds):
+    return [(c, t, rng.choice(["user", "assistant"]), f"é{rng.randrange(kinds)}" * 3)
+            for c in range(convs) for t in range(rng.randrange(1, turns))]
+
+
+@pytest.mark.parametrize("capacity", [1, 40, 10**6])
+def test_equals_brute_force(table, capacity):  # noqa: F811
+    rows = some(random.Random(capacity), 60, 14, 2)
+    rows += [(c, t, "user", f"same {t}") for c in range(100, 140) for t in range(12)]  # one hot conversation
+    rows += [(c, t, "user", f"same {t}") for c in range(140, 150) for t in range(c - 138)]  # ends within it
+    assert found(trie.prefix_trie(table(rows, SCHEMA), capacity)) == brute(rows)
+
+
+def test_long_shared_start_bursts_at_once(table):  # noqa: F811
+    """Two conversations that part after 9000 turns: one head, whose chain is summed by blocks."""
+    rows = [(c, t, "user", "abc" if t < 9000 else f"own {c} {t}") for c in (5, 10) for t in range(9003)]
+    nodes = found(trie.prefix_trie(table(rows, SCHEMA), 100))
+    assert nodes == brute(rows)
+
+
+def test_defined_cases(table):  # noqa: F811
+    rows = [
+        (None, 0, "user", "nobody's"), (1, None, None, None), (1, None, "user", ""), (1, 1, "a", "bc"), (1, 1, "ab", "c"),
+        (2, 3, "user", "x"), (2, 3, "user", "x"), (2, 0, "user", "x" * 50_000), (-7, 0, "user", "x"), (10**15, 0, "", "é"),
+        (4, 0, "user", "only one"),
+    ]
+    for capacity in (1, 1000):
+        got = found(trie.prefix_trie(table(rows, SCHEMA), capacity))
+        # Python's % differs for negative ids: -7 is the start of a group of its own there or not, and takes nothing either way.
+        assert got == brute(rows)
+    assert trie.prefix_trie(table([(None, 0, "user", "x")], SCHEMA)).count() == 0
+    assert trie.prefix_trie(table([], SCHEMA)).count() == 0
+
+
+def test_turnless_conversations_are_members_of_the_root(table):  # noqa: F811
+    turnless = next(c for c in range(10**6) if c % 5 and zlib.crc32(str(c).encode()) % 9 == 8)
+    rows = [(turnless, t, "user", f"{t}") for t in range(3)]  # its first 8 turns go, and there is no base
+    assert found(trie.prefix_trie(table(rows, SCHEMA))) == brute(rows)
+
+
+def test_the_whole_table(spark, sf):  # noqa: F811
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    rows = [tuple(r) for r in turns.select("conv_id", "turn", "role", "text").collect()]
+    assert found(op11_trie(spark, sf)) == brute(rows)
+
+
+def test_turns_are_not_collected(table):  # noqa: F811
+    plan = plan_of(trie.conversations(table([(1, 0, "user", "x")], SCHEMA)))
+    assert "Window" not in plan and "collect_list" not in plan
