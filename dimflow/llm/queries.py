@@ -10,8 +10,10 @@ from dimflow.llm import (
     ann,
     chat,
     decontaminate,
+    hard_negatives,
     html_text,
     licences,
+    line_rules,
     oracles,
     packing,
     quality,
@@ -85,6 +87,17 @@ def op11_trie(spark, sf_dir):
     return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_line_rules(spark, sf_dir):
+    judged = line_rules.clean(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_sharding": op2_sharding,
@@ -97,6 +110,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_trie": op11_trie,
+    "op12_line_rules": op12_line_rules,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = oracles.ORACLES
