@@ -243,10 +243,13 @@ def trie(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def same(value: int | None):
         return F.lit(value).cast("bigint")
 
-    members = seqs.select(
-        "seq", "n", "last", same(0).alias("first"), same(whole[0]).alias("top"), same(None).alias("parent_conv"),
-        same(None).alias("above_first"), same(None).alias("above_top"), same(whole[1]).alias("seqs"),
-        same(whole[2]).alias("turns"),
+    # Staged, so that the first join has keys and not constants.
+    members = stage(
+        seqs.select(
+            "seq", "n", "last", same(0).alias("first"), same(whole[0]).alias("top"), same(None).alias("parent_conv"),
+            same(None).alias("above_first"), same(None).alias("above_top"), same(whole[1]).alias("seqs"),
+            same(whole[2]).alias("turns"),
+        )
     )
     settled, heads = [], []
     while True:
