@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.schemas import DimSpec
 
 
-def latest_per_key(batch: DataFrame, spec: DimSpec) -> DataFrame:
-    """Keys and tracked columns of the latest row of every key.
+def latest_per_key(batch: DataFrame, spec: DimSpec, within: Sequence[str] = ()) -> DataFrame:
+    """Keys and tracked columns of the latest row of every key, or of every key within each value of some columns.
 
     Latest means greatest ``spec.order_by``, then greatest remaining columns, so
     the choice never depends on row order. Rows with a null key are left out: they
@@ -23,7 +25,7 @@ def latest_per_key(batch: DataFrame, spec: DimSpec) -> DataFrame:
     latest = F.max(F.struct(*order, *rest)).alias("_latest")
     return (
         batch.dropna(subset=list(spec.keys))
-        .groupBy(*spec.keys)
+        .groupBy(*within, *spec.keys)
         .agg(latest)
-        .select(*spec.keys, *[F.col(f"_latest.{c}").alias(c) for c in spec.tracked])
+        .select(*within, *spec.keys, *[F.col(f"_latest.{c}").alias(c) for c in spec.tracked])
     )

@@ -28,8 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.operators import quality as q
+from dimflow.operators.changes import with_tracked
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
+from dimflow.operators.splice import Splice, observations, splice
+from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.operators.type2 import TYPE2_COLUMNS, merge_type2
 from dimflow.operators.type4 import CURRENT_SCHEMA, HISTORY_SCHEMA, merge_type4
 from dimflow.operators.validate import with_outcome
@@ -40,6 +43,7 @@ from dimflow.schemas import (
     LOAN_COLUMNS,
     LOAN_SCHEMA,
     VALID,
+    OPEN_END,
     DimSpec,
 )
 from dimflow.sources.loans_csv import read_loans_csv
@@ -102,6 +106,10 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+# The columns of a Type 2 version's start and end.
+TYPE2_DATES = ("effective_start_date", "effective_end_date")
+
+
 class Batch(NamedTuple):
     """One input on one process date."""
 
@@ -213,6 +221,12 @@ def pending_batches(spark: SparkSession, landing_path: str, after: dt.datetime)
     return [Pending(Batch(r.batch, r.input), r.newest.micros, r.newest.valid_records) for r in rows]
 
 
+def latest_date(spark: SparkSession, landing_path: str, up_to: dt.datetime) -> dt.date:
+    """The latest date of the batches that have arrived up to a time. The log has a row per run."""
+    log = read_log(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA)
+    return log.filter(F.col("ingestion_timestamp") <= F.lit(up_to)).agg(F.max("batch")).first()[0]
+
+
 # Quality
 
 
@@ -329,17 +343,26 @@ def _has(commit: Row | None, names: Iterable[str]) -> bool:
     return commit is not None and set(names) <= set(T.StructType.fromDDL(commit.columns).names)
 
 
+def _refuse_if_late(commit: Row | None, process_date: dt.date) -> None:
+    """A batch must not end versions that began after it."""
+    if commit is not None and process_date < commit.process_date:
+        raise ValueError(f"{process_date} lies before {commit.process_date}: give `seen`, the rows of the batches since")
+
+
 def scd2(
     spark: SparkSession,
     rows: DataFrame,
     dims_path: str,
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
+    seen: DataFrame | None = None,
 ) -> None:
     """Merge a batch into the Type 2 dimensions under ``dims_path``.
 
     Only buckets of keys in which something changes are written again. A tracked column that is
-    new to a dimension is null in all versions before.
+    new to a dimension is null in all versions before. A late batch, one with a date before that of a batch merged earlier, is
+    spliced in: ``seen`` has the rows of all merged batches from its date on, its own among them, with ``batch`` and
+    ``ingestion_timestamp``. Versions that stay keep their surrogate keys.
     """
 
     def merge_one(spec: DimSpec) -> None:
@@ -347,6 +370,10 @@ def scd2(
             path = f"{dims_path}/{spec.name}"
             commit = last_commit(spark, path)
             rebuilt = not _has(commit, TYPE2_COLUMNS)
+            if seen is not None and not rebuilt:
+                _splice_type2(spark, path, commit, rows, seen, spec, process_date)
+                return
+            _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
             current = None if rebuilt else read_current(spark, path, commit, touched)
@@ -369,6 +396,72 @@ def _commit(spark, path, commit, merge, ended, spec, process_date, last_key, reb
         )
 
 
+def _spliced(
+    spark: SparkSession, path: str, commit: Row, rows: DataFrame, seen: DataFrame, spec: DimSpec, since: dt.date,
+    current: DataFrame, history: DataFrame, names: tuple[str, str], carried: tuple[str, ...] = (),
+) -> tuple[Splice, DataFrame, list[int]]:
+    """(splice, current rows of other keys in the touched buckets, touched buckets). ``names``: the columns of start and end."""
+    touched = stage(latest_per_key(rows, spec).select(*spec.keys))
+    buckets = _touched(touched, spec, commit)
+    start, end = names
+    inside = bucket_of(spec.keys, commit).isin(*buckets)
+    renamed = {start: "valid_from", end: "valid_to"}
+    older = history.filter(inside).unionByName(current.filter(inside), allowMissingColumns=True)
+    old = older.withColumnsRenamed(renamed).select(
+        *[c for c in spec.columns if c in older.columns], "valid_from", "valid_to", *carried
+    )
+    made = splice(touched, old, observations(seen, spec, since), spec, since, carried)
+    others = with_tracked(current, rows, spec).join(touched, list(spec.keys), "left_anti").filter(inside)
+    return made, others, buckets
+
+
+def _splice_type2(spark, path, commit, rows, seen, spec, since) -> None:
+    current = read_current(spark, path, commit)
+    history = read_history(spark, path, current.schema, commit, spec.keys, TYPE2_DATES[0])
+    made, others, buckets = _spliced(
+        spark, path, commit, rows, seen, spec, since, current, history, TYPE2_DATES, ("surrogate_key",)
+    )
+    renamed = dict(zip(("valid_from", "valid_to", "_open"), (*TYPE2_DATES, "is_current")))
+    versions = made.versions.withColumnsRenamed(renamed)
+    columns = [*spec.columns, *TYPE2_COLUMNS]
+    fresh = versions.filter("surrogate_key is null").drop("surrogate_key")
+    last = commit.last_key or 0
+    last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
+    placed = place_in_order(fresh, [F.col(TYPE2_DATES[0]), *map(F.col, spec.keys), F.col(TYPE2_DATES[1])])
+    numbered = stage(number_densely(placed, last_used).select(*columns))
+    every = versions.filter("surrogate_key is not null").select(*columns).unionByName(numbered)
+    after = last + numbered.count()
+    _commit_splice(spark, path, commit, made, every, "is_current", others.select(*columns), buckets, spec, since, after)
+
+
+def _splice_type4(spark, path, commit, rows, seen, spec, since) -> None:
+    current = read_current(spark, path, commit)
+    attributes = [f for f in current.schema if f.name not in CURRENT_SCHEMA.names]
+    schema = T.StructType([*attributes, *HISTORY_SCHEMA.fields])
+    start, end = HISTORY_SCHEMA.names[:2]
+    history = read_history(spark, path, schema, commit, spec.keys, start)
+    live = current.withColumn(end, F.lit(OPEN_END))
+    made, others, buckets = _spliced(spark, path, commit, rows, seen, spec, since, live, history, (start, end))
+    every = made.versions.withColumnsRenamed({"valid_from": start, "valid_to": end})
+    every = every.withColumn("archived_at", F.current_timestamp())
+    _commit_splice(spark, path, commit, made, every, "_open", others.drop(end), buckets, spec, since, None)
+
+
+def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, spec, since, last_key) -> None:
+    """Write the touched buckets, the closed versions and what they replace as one version."""
+    live = [c for c in others.columns]
+    ended = every.filter(~F.col(is_open))
+    ended = ended.drop(*[c for c in ("_open",) if c in ended.columns])
+    current = others.unionByName(every.filter(is_open).select(*live))
+    names = made.outdated.columns
+    start = TYPE2_DATES[0] if TYPE2_DATES[0] in live else CURRENT_SCHEMA.names[0]
+    outdated = made.outdated.withColumnRenamed(names[-1], start)
+    commit_version(
+        spark, path, commit, current, spec.keys, buckets, ended, max(since, commit.process_date), last_key,
+        outdated=outdated,
+    )
+
+
 def _with_spec(rows: DataFrame, spec: DimSpec, more: Iterable[str]) -> DataFrame:
     """The columns of a table in their order; a tracked column that it does not have yet is left out."""
     return rows.select(*[c for c in (*spec.columns, *more) if c in rows.columns])
@@ -387,7 +480,7 @@ def read_type2(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame
     current = _type2_current(spark, path, spec, commit)
     if current is None:
         return None
-    return read_history(spark, path, current.schema, commit).unionByName(current)
+    return read_history(spark, path, current.schema, commit, spec.keys, TYPE2_DATES[0]).unionByName(current)
 
 
 def read_type2_current(spark: SparkSession, dims_path: str, spec: DimSpec) -> DataFrame | None:
@@ -402,6 +495,7 @@ def scd4(
     dims_path: str,
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
+    seen: DataFrame | None = None,
 ) -> None:
     """Merge a batch into the Type 4 dimensions under ``dims_path``, as `scd2` does."""
 
@@ -410,6 +504,10 @@ def scd4(
             path = f"{dims_path}/{spec.name}"
             commit = last_commit(spark, path)
             rebuilt = not _has(commit, CURRENT_SCHEMA.names)
+            if seen is not None and not rebuilt:
+                _splice_type4(spark, path, commit, rows, seen, spec, process_date)
+                return
+            _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
             current = None if rebuilt else read_current(spark, path, commit, touched)
@@ -430,7 +528,7 @@ def read_type4(
     current = _with_spec(read_current(spark, path, commit), spec, CURRENT_SCHEMA.names)
     attributes = [f for f in current.schema if f.name not in CURRENT_SCHEMA.names]
     schema = T.StructType([*attributes, *HISTORY_SCHEMA.fields])
-    return current, read_history(spark, path, schema, commit)
+    return current, read_history(spark, path, schema, commit, spec.keys, HISTORY_SCHEMA.names[0])
 
 
 # The whole run
@@ -449,7 +547,8 @@ def run_batch(
 
     Batches that wait are processed one by one, oldest first, each with its own date, and the mark of
     the chosen type moves after each. So what a run that died has left is made up for by the next one
-    as if it had not died, and nothing is changed twice.
+    as if it had not died, and nothing is changed twice. A batch with a date before that of one that arrived
+    earlier is spliced into the dimensions, so they hold what they would if batches had come in the order of their dates.
     """
     if scd_type not in (2, 4):
         raise ValueError(f"scd_type is 2 or 4, not {scd_type!r}")
@@ -468,5 +567,9 @@ def run_batch(
         batch, valid = waiting.batch, waiting.valid_records
         if transform(spark, landing, transformed, batch, partition_by, valid) > 0:
             rows = read_transformed(spark, transformed, [batch])
-            merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs)
+            arrived = utc_from_micros(waiting.micros)
+            seen = None
+            if batch.date < latest_date(spark, landing, arrived):
+                seen = read_transformed(spark, transformed).filter(F.col("ingestion_timestamp") <= F.lit(arrived))
+            merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs, seen)
         write_mark(spark, marks, utc_from_micros(waiting.micros))

@@ -246,6 +246,9 @@ ORACLES: dict[str, str] = {
         body=f"""SELECT {', '.join(DIM_LOAN.columns)}, valid_from AS record_effective_date,
  next_from AS record_end_date FROM spans WHERE next_from IS NOT NULL""",
     ),
+    "scd2_late_batch": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER).replace("surrogate_key, ", "")),
+    "scd2_loan_late_batch": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN).replace("surrogate_key, ", "")),
+    "scd4_late_batch": _text(_CHANGES, _CUSTOMER, body=_spans(DIM_CUSTOMER)),
     "scd2_new_column": _text(_CHANGES, _WIDENED, body=_type2(DIM_CUSTOMER)),
     "scd4_new_column": _text(_CHANGES, _WIDENED, body=_spans(DIM_CUSTOMER)),
 }

@@ -4,6 +4,7 @@ Layout under a table's path::
 
     current/table_version=<n>/bucket=<b>   the current rows of a bucket of keys
     history/table_version=<n>              rows that version n ended, never rewritten
+    outdated/table_version=<n>             keys and starts of older history rows that do not hold from version n on
     commits                                one JSON row per finished version
 
 Keys are dealt out to a fixed number of buckets by hash. A version writes the buckets in
@@ -68,15 +69,34 @@ def read_current(
 
 
 def read_history(
-    spark: SparkSession, path: str, schema: T.StructType, commit: Row | None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    commit: Row | None,
+    keys: Sequence[str] = (),
+    start: str | None = None,
 ) -> DataFrame:
     """All committed history rows; none when there is no table, or no history yet. Columns
-    that older versions lack are null."""
-    with_version = T.StructType([*schema.fields, T.StructField("table_version", T.IntegerType())])
+    that older versions lack are null. With ``keys`` and the column of ``start``, rows that a late batch has
+    outdated are left out; without late batches nothing is joined."""
+    version = T.StructField("table_version", T.IntegerType())
+    with_version = T.StructType([*schema.fields, version])
     rows = None if commit is None else load_optional(spark, f"{path}/history", with_version)
     if rows is None:
         return no_rows(spark, schema)
-    return rows.filter(F.col("table_version") <= commit.version).drop("table_version")
+    rows = rows.filter(F.col("table_version") <= commit.version)
+    if start is not None:
+        named = T.StructType([*[schema[k] for k in keys], T.StructField(start, T.DateType()), version])
+        gone = load_optional(spark, f"{path}/outdated", named)
+        if gone is not None:
+            theirs = {c: f"_gone_{c}" for c in named.names}
+            gone = gone.filter(F.col("table_version") <= commit.version)
+            gone = gone.groupBy(*keys, start).agg(F.max("table_version").alias("table_version"))
+            gone = gone.withColumnsRenamed(theirs)
+            on = [F.col(c) == F.col(theirs[c]) for c in (*keys, start)]
+            on.append(F.col("table_version") < F.col(theirs["table_version"]))
+            rows = rows.join(gone, on, "left_anti")
+    return rows.drop("table_version")
 
 
 def commit_version(
@@ -90,11 +110,13 @@ def commit_version(
     process_date: dt.date,
     last_key: int | None = None,
     rebuilt: bool = False,
+    outdated: DataFrame | None = None,
 ) -> int:
     """Write the version after ``previous`` and make it the table's newest.
 
     ``current`` has all current rows of the ``changed`` buckets; the other buckets stay as they
-    are, or become empty if the table is ``rebuilt``.
+    are, or become empty if the table is ``rebuilt``. ``outdated`` (keys and starts) are the history rows of
+    earlier versions that this one replaces.
     """
     version = previous.version + 1 if previous else 1
     buckets = [0] * BUCKETS if rebuilt or not previous else list(previous.buckets)
@@ -102,6 +124,8 @@ def commit_version(
     rows = rows.filter(F.col("bucket").isin(*changed))
     write_partitioned(rows, f"{path}/current/table_version={version}", ["bucket"], mode="overwrite")
     replace_folder(ended, f"{path}/history/table_version={version}")
+    if outdated is not None:
+        replace_folder(outdated, f"{path}/outdated/table_version={version}")
     for b in changed:
         buckets[b] = version
     now = dt.datetime.now(dt.timezone.utc)
