@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.schemas import OPEN_END, DimSpec
 from dimflow.sources.staging import stage
 
+#: Versions from which a key is cut into bins, and the days of a bin, at least.
+CROWDED, BIN_DAYS = 64, 32
+BIN = "bin_"
+
 
 def current_rows(dim: DataFrame) -> DataFrame:
     """The current version of every key of a Type 2 dimension."""
@@ -55,6 +59,8 @@ def as_of_join(
     prefix: str = "dim_",
     timeline: bool = False,
     join_hint: str | None = None,
+    binned: bool = False,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Left join: each fact with the version whose [valid_from, valid_to) holds its date.
 
@@ -68,6 +74,10 @@ def as_of_join(
     looked up once per distinct (key, date) and joined back on both. Facts combine to distinct pairs before
     the shuffle, and a key has at most one pair and one version per calendar day, so a hot
     key is a short timeline, walked once, and its facts spread over dates.
+
+    ``binned`` is a third way, for keys with many versions and many facts: such a key (with more than ``crowded``
+    versions) is joined on its bins of dates too, so it is spread over tasks and a fact meets the versions of its bin
+    only, not all of its key (see `with_bins`). Other keys are joined as without.
     """
     keys = list(keys)
     attributes = [c for c in versions.columns if c not in keys]
@@ -75,6 +85,9 @@ def as_of_join(
     renamed = stage(spans.select(*keys, *[F.col(c).alias(prefix + c) for c in attributes]))
     day = prefix + "day_"
     dated = facts.withColumn(day, F.col(on_date).cast("date"))
+    if binned:
+        dated, renamed = with_bins(dated, renamed, keys, day, prefix, crowded)
+        keys = [*keys, prefix + BIN]
     if timeline:
         found = _versions_on(dated.select(*keys, day), renamed, keys, day, prefix)
         joined = dated.join(found, [*keys, day], "left")
@@ -89,6 +102,49 @@ def as_of_join(
     return joined.select(*facts.columns, *[prefix + c for c in attributes])
 
 
+def with_bins(
+    facts: DataFrame, versions: DataFrame, keys: list[str], day: str, prefix: str, crowded: int = CROWDED
+) -> tuple[DataFrame, DataFrame]:
+    """(facts, versions) with the bin of their dates: facts are in one bin each, versions in all that they reach into.
+
+    A key with up to ``crowded`` versions has one bin. The versions of another must not overlap; from its first start to
+    its last it is cut into bins of BIN_DAYS days, or of the mean length of a version if that is more, so its versions come to at most
+    twice as many rows, whatever they are like; the last version, which may be open, has a bin of its own. A bin has no
+    more versions than days. So a fact meets at most max(``crowded``, BIN_DAYS, the root of the key's days) versions.
+    """
+    start, end = F.col(prefix + "valid_from"), F.col(prefix + "valid_to")
+    theirs = {k: f"{prefix}bin_key_{k}" for k in keys}
+    spread = versions.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"{prefix}bin_n_"), F.min(start).alias(f"{prefix}bin_lo_"), F.max(start).alias(f"{prefix}bin_hi_")
+    )
+    mean = F.ceil(F.date_diff(f"{prefix}bin_hi_", f"{prefix}bin_lo_") / F.col(f"{prefix}bin_n_"))
+    # One row per crowded key; staged, so that Spark knows its size when it joins.
+    hot = stage(
+        spread.filter(F.col(f"{prefix}bin_n_") > crowded)
+        .select(*keys, f"{prefix}bin_lo_", f"{prefix}bin_hi_", F.greatest(F.lit(BIN_DAYS), mean).alias(f"{prefix}bin_width_"))
+        .withColumnsRenamed(theirs)
+    )
+
+    def bin_of(date: Column) -> Column:
+        return F.floor(F.date_diff(date, F.col(f"{prefix}bin_lo_")) / F.col(f"{prefix}bin_width_"))
+
+    def with_hot(rows: DataFrame) -> DataFrame:
+        return rows.join(hot, [F.col(k) == F.col(theirs[k]) for k in keys], "left")
+
+    helpers = [f"{prefix}bin_lo_", f"{prefix}bin_hi_", f"{prefix}bin_width_", *theirs.values()]
+    one, last = F.lit(0).cast("bigint"), F.lit(-1).cast("bigint")
+    of_fact = F.when(F.col(f"{prefix}bin_width_").isNull(), one).when(F.col(day) >= F.col(f"{prefix}bin_hi_"), last).otherwise(bin_of(F.col(day)))
+    of_version = (
+        F.when(F.col(f"{prefix}bin_width_").isNull(), F.array(one))
+        .when(start == F.col(f"{prefix}bin_hi_"), F.array(last))
+        .otherwise(F.sequence(bin_of(start), bin_of(F.date_sub(end, 1))))
+    )
+    return (
+        with_hot(facts).withColumn(prefix + BIN, of_fact).drop(*helpers),
+        with_hot(versions).withColumn(prefix + BIN, F.explode(of_version)).drop(*helpers),
+    )
+
+
 def _versions_on(
     facts: DataFrame, versions: DataFrame, keys: list[str], on_date: str, prefix: str
 ) -> DataFrame:

@@ -202,6 +202,7 @@ ORACLES: dict[str, str] = {
     "as_of_join": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
     "as_of_join_large": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
     "as_of_join_timeline": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
+    "as_of_join_binned": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=True)),
     "as_of_join_scd4": _text(_LOANS, _VALID, _CHANGES, _CUSTOMER, body=_as_of(with_key=False)),
     "incremental_slice": _text(_LOANS, body=_SLICED),
     "next_watermark": _text(

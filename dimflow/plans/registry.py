@@ -198,6 +198,11 @@ def as_of_join_timeline(spark, sf_dir):
     return as_of_join(spark, sf_dir, timeline=True)
 
 
+def as_of_join_binned(spark, sf_dir):
+    """The same join by bins of dates, for every key with more than one version."""
+    return as_of_join(spark, sf_dir, binned=True, crowded=1)
+
+
 def as_of_join_scd4(spark, sf_dir):
     current, history = map(stage, type4_after(spark, sf_dir, DIM_CUSTOMER))
     versions = serve.type4_versions(current, history, DIM_CUSTOMER)
@@ -432,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "as_of_join": as_of_join,
     "as_of_join_large": as_of_join_large,
     "as_of_join_timeline": as_of_join_timeline,
+    "as_of_join_binned": as_of_join_binned,
     "as_of_join_scd4": as_of_join_scd4,
     "incremental_slice": incremental,
     "next_watermark": next_watermark,

@@ -19,7 +19,7 @@ def versions_of(spark, rows):
     return spark.createDataFrame(rows, "k string, v string, valid_from date, valid_to date")
 
 
-WAYS = [{}, {"timeline": True}]
+WAYS = [{}, {"timeline": True}, {"binned": True}, {"binned": True, "crowded": 1}]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -159,3 +159,19 @@ def test_composite_keys(spark):
             ("a", 1, day(1), "a1"), ("a", 2, day(1), None), ("a", 2, day(5), "a2"),
             ("b", 1, day(3), None), ("b", None, day(1), None),
         ]
+
+
+def test_bins_bound_what_a_fact_meets(spark):
+    """A key with 3000 versions of a day, one with 200 versions over 30 years, and one with 3."""
+    rows = [("daily", f"d{n}", day(n), day(n + 1)) for n in range(3000)]
+    rows += [("rare", f"r{n}", day(55 * n), OPEN_END if n == 199 else day(55 * n + 55)) for n in range(200)]
+    rows += [("few", f"f{n}", day(n), OPEN_END if n == 2 else day(n + 1)) for n in range(3)]
+    asked = [(k, day(n)) for k in ("daily", "rare", "few", "none") for n in range(-3, 3003, 7)]
+    facts = spark.createDataFrame(asked, "k string, day date")
+    versions = versions_of(spark, rows).withColumnsRenamed({"valid_from": "dim_valid_from", "valid_to": "dim_valid_to"})
+    binned, cut = serve.with_bins(facts, versions, ["k"], "day", "dim_")
+    assert binned.columns == ["k", "day", "dim_bin_"] and cut.count() <= 2 * len(rows)
+    met = binned.join(cut, ["k", "dim_bin_"]).groupBy("k", "day").count()
+    assert met.agg({"count": "max"}).first()[0] <= serve.CROWDED
+    per_task = binned.groupBy("k", "dim_bin_").count().filter("k = 'daily'")
+    assert per_task.count() > 90  # the hot key is spread over its bins
