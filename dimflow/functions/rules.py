@@ -50,6 +50,11 @@ def flags() -> dict[str, Column]:
     return {rule.check: F.when(rule.holds(), 0).otherwise(1) for rule in RULES}
 
 
+def broken_rules() -> Column:
+    """The checks of the rules that a row breaks, in the order of the table; empty for a valid row."""
+    return F.array_compact(F.array(*[F.when(~rule.holds(), F.lit(rule.check)) for rule in RULES]))
+
+
 def issue_count() -> Column:
     """Sum of the flag columns of a row."""
     return reduce(add, (F.col(check) for check in CHECKS))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.functions.rules import broken_rules
 from dimflow.operators import quality as q
 from dimflow.operators.changes import with_tracked
 from dimflow.operators.enrich import enrich_loans
@@ -46,7 +47,7 @@ from dimflow.schemas import (
     OPEN_END,
     DimSpec,
 )
-from dimflow.sources.loans_csv import read_loans_csv
+from dimflow.sources.loans_csv import read_loans_csv, with_source
 from dimflow.sources.logs import append_row, one_row, read_log
 from dimflow.sources.staging import delete_folder, stage, staging_scope
 from dimflow.sources.tables import input_stamp, replace_folder, write_partitioned
@@ -68,6 +69,10 @@ LANDED_SCHEMA = T.StructType(
     [
         *LOAN_SCHEMA.fields,
         T.StructField("ingestion_timestamp", T.TimestampType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("source_start", T.LongType()),  # of the file's split
+        T.StructField("malformed", T.StringType()),  # the text of a row with a value that does not parse
+        T.StructField("broken_rules", T.ArrayType(T.StringType())),
         T.StructField("batch", T.DateType()),
         T.StructField("input", T.StringType()),
         T.StructField("outcome", T.StringType()),
@@ -137,23 +142,24 @@ def ingest(
 ) -> Row | None:
     """CSV -> landed rows, valid and quarantined apart; returns the batch's log row.
 
-    The CSV is parsed once: one write sends every row to its outcome's directory. The numbers
-    of rows come from the written files. An empty input writes nothing and returns None. An input
+    The CSV is parsed once: one write sends every row to its outcome's directory, and counts it. Each row keeps the file it
+    came from, a row with values that do not parse its text, and a quarantined row the rules that it breaks. An empty
+    input writes nothing and returns None. An input
     whose files are as they were when this batch was ingested is not read again.
     """
     batch, now = batch_of(input_path, date), dt.datetime.now(dt.timezone.utc)
     stamp, known = input_stamp(spark, input_path), _log_entry(spark, landing_path, batch)
     if known is not None and known.stamp == stamp:
         return known
-    raw = read_loans_csv(spark, input_path)
+    raw = with_source(read_loans_csv(spark, input_path, corrupt_column="malformed"))
     if raw.isEmpty():
         return None
-    rows = with_outcome(raw).withColumn("ingestion_timestamp", F.lit(now))
+    extra = {"ingestion_timestamp": F.lit(now), "broken_rules": broken_rules()}
+    rows = with_outcome(raw).withColumns(extra)
     folder = batch.folder(f"{landing_path}/rows")
-    write_partitioned(rows, folder, ["outcome", partition_by], mode="overwrite")
-    landed = _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, [batch])
-    counts = dict(landed.groupBy("outcome").count().collect())
-    valid, errors = counts.get(VALID, 0), counts.get(ERROR, 0)
+    counts = {outcome: F.count_if(F.col("outcome") == outcome) for outcome in (VALID, ERROR)}
+    counted = write_partitioned(rows, folder, ["outcome", partition_by], mode="overwrite", counts=counts)
+    valid, errors = counted[VALID], counted[ERROR]
     entry = (date, batch.input, now, valid + errors, valid, errors, stamp)
     append_row(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA, entry)
     return Row(*INGEST_LOG_SCHEMA.names)(*entry)
@@ -183,13 +189,18 @@ def read_ingested(
 def read_quarantine(
     spark: SparkSession, landing_path: str, batches: Iterable[Batch | dt.date] | None = None
 ) -> DataFrame:
-    """Rows that failed validation, with the time and the date they failed on."""
+    """Rows that failed validation, with the time and the date they failed on, the rules that they break and where
+    they come from."""
     rows = _batches_of(spark, f"{landing_path}/rows", LANDED_SCHEMA, batches)
     return rows.filter(F.col("outcome") == ERROR).select(
         *LOAN_COLUMNS,
         F.col("ingestion_timestamp").alias("error_timestamp"),
         F.col("batch").alias("error_date"),
         "input",
+        "broken_rules",
+        "source_file",
+        "source_start",
+        "malformed",
     )
 
 
@@ -257,7 +268,8 @@ def check_batch_quality(
     entry = entry or _log_entry(spark, landing_path, batch)
     if entry is None:
         return None
-    errors = q.flag_rows(read_quarantine(spark, landing_path, [batch]).drop("input"))
+    errors = read_quarantine(spark, landing_path, [batch])
+    errors = q.flag_rows(errors.select(*LOAN_COLUMNS, "error_timestamp", "error_date"))
     return _write_report(spark, errors, entry.total_records, report_path)
 
 

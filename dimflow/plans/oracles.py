@@ -212,6 +212,12 @@ ORACLES: dict[str, str] = {
     "ingest_quarantine": _text(
         _LOANS, body=f"SELECT *, DATE '{_LAST_RUN}' AS error_date FROM ({_ERRORS})"
     ),
+    "quarantine_reasons": _text(
+        _LOANS,
+        body=f"""SELECT customer_id, loan_id, application_date, last_updated, concat_ws(',', {', '.join(
+            f"CASE WHEN {w} THEN '{n}' END" for n, w in _FLAGS.items())}) AS broken_rules, true AS known_source
+ FROM loans WHERE NOT ({_VALID_WHEN})""",
+    ),
     "quality_report": _text(_LOANS, _FLAGGED, _TOTALS, body=_METRICS),
     "run_type2": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
     "run_type2_loan": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN)),

@@ -256,6 +256,18 @@ def ingest_quarantine(spark, sf_dir):
     return _naive(rows.select(*LOAN_COLUMNS, "error_date"))
 
 
+def quarantine_reasons(spark, sf_dir):
+    """What each quarantined row breaks, and whether it names the file that it came from."""
+    landing, csv = new_folder(spark, "landing"), _as_csv(loans(spark, sf_dir), "csv")
+    jobs.ingest(spark, csv, landing, BATCHES[-1].process_date, _PARTITION_BY)
+    rows = jobs.read_quarantine(spark, landing)
+    known = F.col("source_file").contains(csv) & (F.col("source_start") >= 0) & F.col("malformed").isNull()
+    return _naive(rows).select(
+        "customer_id", "loan_id", "application_date", "last_updated",
+        F.array_join("broken_rules", ",").alias("broken_rules"), known.alias("known_source"),
+    )
+
+
 def quality_report(spark, sf_dir):
     landing, batch = _ingested(spark, sf_dir)
     reports = f"{new_folder(spark, 'reports')}/quality"  # error rows lie beside it
@@ -443,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "next_watermark": next_watermark,
     "ingest_valid": ingest_valid,
     "ingest_quarantine": ingest_quarantine,
+    "quarantine_reasons": quarantine_reasons,
     "quality_report": quality_report,
     "run_type2": run_type2,
     "run_type2_loan": run_type2_loan,

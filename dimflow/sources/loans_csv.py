@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.schemas import LOAN_SCHEMA
@@ -21,3 +22,12 @@ def read_loans_csv(spark: SparkSession, path: str, corrupt_column: str | None =
         schema = T.StructType([*LOAN_SCHEMA.fields, T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.schema(schema).csv(path)
+
+
+def with_source(rows: DataFrame) -> DataFrame:
+    """Rows of a file scan with the file each came from and the byte that its split of the file starts at."""
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("source_start"),
+    )

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from dimflow.sources.staging import filesystem_of
@@ -29,14 +29,23 @@ def load_optional(
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append"
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append", counts: Mapping[str, Column] | None = None
+) -> dict[str, int]:
     """Write ``df`` with one directory per value of the ``partition_by`` columns.
 
     Rebalancing gathers each value into few files; a value that holds a large
     share of the rows is split over as many tasks as its size calls for.
+
+    ``counts`` are aggregates that are observed in the write and returned. They are taken after the rebalancing,
+    in the tasks that write: each of them counts once, however often a task or a stage before it is tried.
     """
-    _write(df.hint("rebalance", *partition_by), path, partition_by, mode)
+    rows = df.hint("rebalance", *partition_by)
+    if not counts:
+        _write(rows, path, partition_by, mode)
+        return {}
+    observation = Observation()
+    _write(rows.observe(observation, *[c.alias(name) for name, c in counts.items()]), path, partition_by, mode)
+    return observation.get
 
 
 def replace_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

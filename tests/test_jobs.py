@@ -91,6 +91,32 @@ def test_ingest_splits_and_partitions(spark, folder):
     assert "PartitionFilters" in plan and "application_date" in plan[plan.index("PartitionFilters"):]
 
 
+def test_quarantined_rows_say_why_and_where_from(spark, folder):
+    landing = folder("landing")
+    path = csv_file(folder("in.csv"), *FIRST, loan("C6", "L7", loan_amount="much"), loan("C7", "L8", term_months=0))
+    jobs.ingest(spark, path, landing, D1)
+    rows = jobs.read_quarantine(spark, landing)
+    assert rows_of(rows, "loan_id", "broken_rules", "malformed") == [
+        ("L4", ["invalid_loan_amount"], None),
+        ("L5", ["missing_customer_id", "invalid_interest_rate", "invalid_status"], None),
+        ("L8", ["invalid_term"], None),
+    ]
+    assert {os.path.basename(r.source_file) for r in rows.collect()} == {"in.csv"}
+    assert rows.filter("source_start < 0 or source_start is null").isEmpty()
+    # A value that does not parse is null, which passes; the text of its row stays with it.
+    landed = spark.read.schema(jobs.LANDED_SCHEMA).parquet(f"{landing}/rows")
+    assert [r.loan_id for r in landed.filter("malformed like '%much%'").collect()] == ["L7"]
+    assert landed.filter("outcome = 'valid' and size(broken_rules) > 0").isEmpty()
+
+
+def test_rows_are_counted_in_the_write(spark, folder, monkeypatch):
+    """Ingest reads nothing of what it has written."""
+    monkeypatch.setattr(jobs, "_batches_of", None)
+    rows = [loan(f"C{n}", f"L{n}", loan_amount=-1.0 if n % 7 == 0 else 1.0) for n in range(500)]
+    entry = jobs.ingest(spark, csv_file(folder("in.csv"), *rows), folder("landing"), D1)
+    assert (entry.total_records, entry.valid_records, entry.error_records) == (500, 428, 72)
+
+
 def test_inputs_of_a_day_are_kept_and_a_changed_one_is_replaced(spark, folder):
     landing = folder("landing")
     one, two = csv_file(folder("1.csv"), *FIRST), csv_file(folder("2.csv"), *SECOND)
