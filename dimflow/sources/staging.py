@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -58,6 +58,15 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """Stage what ``build`` makes, and delete what was staged to make it."""
+    path = new_folder(spark)
+    with staging_scope(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving what was staged inside. For jobs, whose results are written

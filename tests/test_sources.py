@@ -151,6 +151,15 @@ def test_a_named_folder_is_kept():
     assert staging.shared_folder(session) == "/named"
 
 
+def test_what_was_staged_on_the_way_is_deleted(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    staging.release()
+    made = staging.stage_alone(spark, lambda: staging.stage(spark.range(5)).filter("id > 1"))
+    assert rows_of(made) == [(2,), (3,), (4,)] and len(os.listdir(f"{shared}/dimflow")) == 1
+    staging.release()
+    assert os.listdir(f"{shared}/dimflow") == []
+
+
 def test_release_deletes_what_no_scope_owns(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     staging.release()
