@@ -2,7 +2,7 @@
 
 STAGES are (name, function) of (spark, docs, sf_dir). Each works on all that the one before has kept;
 all but the last return the columns of documents. `run` writes what a stage returns as
-Parquet in the shared folder and reads it again for the next.
+Parquet in the shared folder and reads it again for the next; what a stage has staged on the way is deleted then.
 
 Null, empty and repeated rows, and further columns of documents pass through a stage as its operator
 defines; helper columns start with `_` and are dropped. Empty tables give empty tables.
@@ -10,11 +10,13 @@ defines; helper columns start with `_` and are dropped. Empty tables give empty
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.llm import decontaminate, packing, quality, simhash
-from dimflow.sources.staging import stage
+from dimflow.sources.staging import stage_alone
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +30,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies."""
-    return simhash.near_copies(docs).filter("_row = _keeper").drop("_row", "_keeper")
+    """The document with the least id of each group of near copies: fingerprints of three-word shingles that
+    lie within three bits, directly or through others."""
+    return simhash.representatives(docs)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for _, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir))
+        docs = stage_alone(spark, functools.partial(function, spark, docs, sf_dir))
     return docs

@@ -9,10 +9,9 @@ of all trees would grow with the data.
 
 Shards. For exact search within radius r, 64 bits are cut into more blocks than r: two
 fingerprints within r agree on all but r blocks, so each choice of agreeing blocks is a table of
-shards (r = 3, five blocks: ten tables with keys of 25 or 26 bits). For near copies by
-similarity, shards are keyed by bands of minhashes, and a pair that the tree finds is
-checked against the Jaccard similarity of its shingles: measured on the least shingle hashes and, where
-that is a sample and the result is within DOUBT of the limit, counted over all shingles in a join of the pairs.
+shards (r = 3, four blocks: four tables with keys of 16 bits; five: ten tables with keys of 25 or 26 bits). The number of
+blocks follows the number of fingerprints, so that a shard's tree has some hundred nodes at most on average; any number
+finds the same.
 
 A shard of more than LIMIT members is cut into blocks, and each pair of blocks is a task of
 its own: a tree of one, queried by the other. No link is lost and no task grows. Tasks join
@@ -29,7 +28,7 @@ Columns other than the two named do not matter.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,21 +38,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.components import components
-from dimflow.sources.staging import stage
+from dimflow.sources.staging import stage, stage_alone
 
 #: Members of a shard that one tree holds, on average, before it is cut into blocks.
 LIMIT = 256
 #: Pairs of query and node that a search has open at once.
 OPEN_PAIRS = 1 << 20
 SEED = 42
-#: Bands of minhashes for near copies: a pair of similarity 0.8 shares a band in 99.7 % of cases.
-BANDS, BAND_ROWS = 8, 3
-#: Of 64 bits, a pair of similarity 0.8 differs in 9.7 on average, with a deviation of 2.9.
-NEAR_RADIUS = 22
-#: Least shingle hashes kept of a text to measure similarity: exact for texts with no more.
-SKETCH = 256
-#: A sample's deviation is 0.025; a pair measured within six deviations of the limit is counted exactly.
-DOUBT = 0.15
 
 
 def shingle_hashes(text: str | None, words: int, step: int = 1 << 18) -> Iterator[np.ndarray]:
@@ -198,7 +189,7 @@ def merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = up
 
 
-def link_chunk(chunk: pd.DataFrame, radius: int, check: Callable | None = None) -> np.ndarray:
+def link_chunk(chunk: pd.DataFrame, radius: int) -> np.ndarray:
     """The class (least row) of each row of a chunk of whole shards, sorted by shard."""
     fps = chunk["fp"].to_numpy(np.int64).view(np.uint64)
     n = len(fps)
@@ -223,10 +214,7 @@ def link_chunk(chunk: pd.DataFrame, radius: int, check: Callable | None = None)
     for part in np.split(asking, np.flatnonzero(np.diff(cost)) + 1):
         for q, p in search(fps, part, roots[shard[part]], tree, radius):
             other = q != p
-            if check is None:
-                merge(classes, q[other], p[other])
-            else:
-                check(classes, q[other], p[other])
+            merge(classes, q[other], p[other])
     return classes
 
 
@@ -252,201 +240,88 @@ def whole_shards(batches: Iterator[pa.RecordBatch], least: int = 50_000) -> Iter
         yield pa.Table.from_batches(held).to_pandas()
 
 
-def links(dealt: DataFrame, node: str, radius: int, similarity: float | None = None) -> DataFrame:
-    """Links (a, b, sure) that join, in each shard, what is within the radius (and similar). Not sure:
-    pairs whose similarity is yet to be counted."""
+def links(dealt: DataFrame, node: str, radius: int) -> DataFrame:
+    """Links (a, b) that join, in each shard, what is within the radius: one per member at most."""
     sorted_shards = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", node)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in whole_shards(batches):
-            doubtful: list[np.ndarray] = []
-            check = None if similarity is None else _similar(chunk["sketch"].tolist(), similarity, doubtful)
-            classes = link_chunk(chunk, radius, check)
+            classes = link_chunk(chunk, radius)
             names = chunk[node].to_numpy(np.int64)
             linked = np.flatnonzero(classes != np.arange(len(classes)))
-            pairs = np.concatenate([np.empty((2, 0), np.int64), *doubtful], axis=1)
-            pairs = np.sort(names[pairs[:, classes[pairs[0]] != classes[pairs[1]]]], axis=0)
-            a, b = np.concatenate([np.stack([names[linked], names[classes[linked]]]), pairs], axis=1)
-            sure = np.arange(len(a)) < len(linked)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], ["a", "b", "sure"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(names[classes[linked]])], ["a", "b"])
 
-    found = sorted_shards.mapInArrow(find, "a long, b long, sure boolean")
-    return found.filter("a != b").distinct()
+    return sorted_shards.mapInArrow(find, "a long, b long").filter("a != b").distinct()
 
 
 # Exact search within a radius
 
 
-def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
-               radius: int = 3, blocks: int = 5, limit: int = LIMIT) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id (the least doc_id reachable by
-    fingerprints that differ in at most ``radius`` bits)."""
-    rows = stage(with_fingerprints(docs, id_col, text_col, words))
+def blocks_for(fingerprints: int, radius: int, limit: int = LIMIT) -> int:
+    """The least number of blocks whose shards hold up to ``limit`` of so many fingerprints on average."""
+    blocks = radius + 1
+    while blocks < 16 and fingerprints > limit << (64 * (blocks - radius) // blocks):
+        blocks += 1
+    return blocks
+
+
+def groups(rows: DataFrame, radius: int, blocks: int | None = None, limit: int = LIMIT) -> DataFrame:
+    """(fp, root, component_id) of the fingerprints of ``rows`` (doc_id, fp): the least fingerprint and the least
+    doc_id of its component."""
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    blocks = blocks or blocks_for(prints.count(), radius, limit)
     members = prints.select(F.explode(block_keys(F.col("fp"), radius, blocks)).alias("key"), "fp")
-    found = components(links(deal(members, "fp", limit), "fp", radius).select("a", "b"))
+    found = components(links(deal(members, "fp", limit), "fp", radius))
     found = stage(prints.join(found, prints["fp"] == found["node"]).select("fp", "root", "first"))
     least = stage(found.groupBy("root").agg(F.min("first").alias("least")))
-    linked = found.join(least, "root").select("fp", "least")
-    # One row per fingerprint; a fingerprint's many documents are split by the join.
-    of_print = stage(
-        prints.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    linked = found.join(least, "root").select("fp", "root", "least")
+    return prints.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id")
     )
+
+
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+               radius: int = 3, blocks: int | None = None, limit: int = LIMIT) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id (the least doc_id reachable by
+    fingerprints that differ in at most ``radius`` bits)."""
+    rows = stage(with_fingerprints(docs, id_col, text_col, words))
+    # One row per fingerprint; a fingerprint's many documents are split by the join.
+    of_print = stage(groups(rows, radius, blocks, limit).select("fp", "component_id"))
     return rows.join(of_print, "fp").select("doc_id", hex16("fp").alias("fingerprint"), "component_id")
 
 
-# Near copies by similarity
-
-
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(11)
-    a = rng.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, rng.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64)
-
-
-def distinct_shingles(text: str | None, words: int) -> np.ndarray:
-    """The hashes of a text's shingles, sorted, each once."""
-    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words, 1 << 16)]))
-
-
-def features(text: str | None, words: int) -> tuple[bytes, int, list[int], bytes]:
-    """(digest of the words, fingerprint, band keys, sketch of least shingle hashes), all of distinct shingles."""
-    plain = b" ".join((text or "").encode("utf-8", "replace").lower().split())
-    hashes = distinct_shingles(text, words)
-    counts = np.zeros(64, np.int64)
-    a, b = _multipliers()
-    least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        counts += bit_counts(part)
-        for k in range(len(a)):
-            mixed = part * a[k] + b[k]
-            least[k] = min(least[k], (mixed ^ (mixed >> np.uint64(29))).min())
-    high = (hashes >> np.uint64(32)).astype(np.uint32)  # sorted, as the hashes are
-    sketch = high[np.concatenate((high[:1] == high[:1], high[1:] != high[:-1]))][:SKETCH]
-    bands = [
-        xxhash.xxh64_intdigest(least[k * BAND_ROWS : (k + 1) * BAND_ROWS].tobytes(), k) - (1 << 63)
-        for k in range(BANDS)
-    ]
-    return xxhash.xxh3_128_digest(plain), int(fingerprint_of(counts, len(hashes))), bands, sketch.tobytes()
-
-
-_NONE = np.uint64(1 << 32)  # above all hashes: fills short sketches
-
-
-def sketch_rows(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as the rows of a matrix, as wide as the longest."""
-    rows = np.full((len(sketches), max([1, *(len(s) // 4 for s in sketches)])), _NONE)
-    for k, sketch in enumerate(sketches):
-        found = np.frombuffer(sketch, np.uint32)
-        rows[k, : len(found)] = found
-    return rows
-
-
-def similarities(rows: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 2048) -> np.ndarray:
-    """Jaccard similarity of pairs of rows, by the least hashes of their union: exact if neither row
-    is full."""
-    out = np.zeros(len(a))
-    for at in range(0, len(a), step):
-        one, other = rows[a[at : at + step]], rows[b[at : at + step]]
-        both = np.concatenate([one, other], axis=1)
-        both.sort(axis=1, kind="stable")  # two sorted runs
-        twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != _NONE)
-        kinds = both != _NONE
-        kinds[:, 1:] &= ~twice
-        # A hash of both counts where it comes first, within the least of the union if a row is full.
-        full = (rows.shape[1] == SKETCH) & ((one[:, -1] != _NONE) | (other[:, -1] != _NONE))
-        kept = kinds & ((np.cumsum(kinds, axis=1) <= SKETCH) | ~full[:, None])
-        common = (kept[:, :-1] & twice).sum(axis=1)
-        out[at : at + step] = common / np.maximum(kept.sum(axis=1), 1)
-    return out
-
-
-def _similar(sketches: list[bytes], similarity: float, doubtful: list[np.ndarray]) -> Callable:
-    rows = sketch_rows(sketches)
-    sampled = np.array([len(sketch) // 4 >= SKETCH for sketch in sketches])
-
-    def check(classes: np.ndarray, q: np.ndarray, p: np.ndarray) -> None:
-        order = np.lexsort((p, q))
-        q, p = q[order], p[order]
-        # Each query in turn with its least point that is not in its class yet.
-        while len(q):
-            apart = classes[q] != classes[p]
-            q, p = q[apart], p[apart]
-            if not len(q):
-                return
-            first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
-            measured = similarities(rows, q[first], p[first])
-            doubt = (sampled[q[first]] | sampled[p[first]]) & (np.abs(measured - similarity) <= DOUBT)
-            doubtful.append(np.stack([q[first[doubt]], p[first[doubt]]]))
-            good = first[(measured >= similarity) & ~doubt]
-            merge(classes, q[good], p[good])
-            later = np.ones(len(q), bool)
-            later[first] = False
-            q, p = q[later], p[later]
-
-    return check
-
-
-def similar_pairs(texts: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of pairs (a, b) of rows of ``texts`` (_row, _text) those whose shingles have the similarity, counted in full."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                found = [distinct_shingles(t, words).view(np.int64) for t in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_row"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
-                )
-
-    pairs = stage(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
-    asked = texts.select("_row", "_text").join(nodes, "_row", "left_semi")
-    sets = stage(asked.mapInArrow(cut, "node long, shingles array<long>"))
-    both = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
-        sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    counted = both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
-    return counted.filter(F.col("common") / (F.col("sizes") - F.col("common")) >= similarity).select("a", "b")
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                similarity: float = 0.8, limit: int = LIMIT) -> DataFrame:
-    """``docs`` with `_row`, a number of its own for each row, and `_keeper`, the row to keep of
-    its group: texts with the same words, or linked by similarity, directly or through others.
-    The row with the least id is kept."""
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()))
-    chosen = rows.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    schema = f"_row long, _id {chosen.schema['_id'].dataType.simpleString()}, digest binary, fp long, keys array<long>, sketch binary"
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t, words) for t in batch.column("_text").to_pylist()]
-            digest, fp, keys, sketch = zip(*found) if found else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("_id"), pa.array(digest, pa.binary()), pa.array(fp, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                ["_row", "_id", "digest", "fp", "keys", "sketch"],
-            )
-
-    measured = stage(chosen.mapInArrow(measure, schema))
-    # The first row of each text, by id; a null id comes last.
-    order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    texts = stage(measured.groupBy("digest").agg(F.min(order).alias("first")).select("digest", "first", F.col("first.r").alias("node")))
-    distinct = measured.join(texts.select(F.col("node").alias("_row")), "_row", "left_semi")
-    members = distinct.select(F.explode("keys").alias("key"), F.col("_row").alias("node"), "fp")
-    dealt = deal(members, "node", limit)
-    sketches = measured.select(F.col("_row").alias("node"), "sketch")
-    linked = stage(links(dealt.join(sketches, "node"), "node", NEAR_RADIUS, similarity))
-    counted = similar_pairs(chosen, linked.filter("not sure").select("a", "b"), words, similarity)
-    found = components(linked.filter("sure").select("a", "b").union(counted))
-    found = stage(texts.join(found, "node").select("node", "root", "first"))
-    least = stage(found.groupBy("root").agg(F.min("first").alias("least")))
-    linked = found.join(least, "root").select("node", "least")
-    of_text = stage(
-        texts.join(linked, "node", "left").select("digest", F.coalesce("least", "first")["r"].alias("_keeper"))
-    )
-    keeper = measured.select("_row", "digest").join(of_text, "digest").select("_row", "_keeper")
-    return rows.join(stage(keeper), "_row")
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                    radius: int = 3) -> DataFrame:
+    """``docs`` with one row of each component: the one with the least id (of several with that id, one).
+
+    Texts are read once for the fingerprints and once for the result, and not written: rows are known by
+    their ids. Only rows whose id is null or repeated are written with numbers of their own.
+    """
+    spark = docs.sparkSession
+    id_, row = (_unused(name, docs) for name in ("_id", "_row"))
+    found = stage_alone(spark, lambda: _with_groups(docs, id_col, text_col, words, radius))
+    often = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    often = stage(often.select(F.col("doc_id").alias(id_)))
+    once = found.filter("doc_id = component_id").select(F.col("doc_id").alias(id_)).join(often, id_, "left_anti")
+    kept = docs.join(once, F.col(id_col) == F.col(id_), "left_semi")
+    if often.isEmpty():
+        return kept
+    unclear = docs.join(often, F.col(id_col).eqNullSafe(F.col(id_)), "left_semi")
+    unclear = stage(unclear.withColumn(row, F.monotonically_increasing_id()))
+    prints = with_fingerprints(unclear, row, text_col, words).select(F.col("doc_id").alias(row), "fp")
+    of_print = found.select("fp", "root", "component_id").distinct()
+    named = prints.join(unclear.select(row, F.col(id_col).alias(id_)), row).join(of_print, "fp")
+    first = named.filter(F.col(id_).eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(row).alias(row))
+    return kept.unionByName(unclear.join(stage(first.select(row)), row, "left_semi").drop(row))
+
+
+def _unused(name: str, df: DataFrame) -> str:
+    """A column name that a table does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def _with_groups(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> DataFrame:
+    rows = stage(with_fingerprints(docs, id_col, text_col, words))
+    return rows.join(stage(groups(rows, radius)), "fp").select("doc_id", "fp", "root", "component_id")

@@ -99,75 +99,65 @@ def test_nulls_empty_ties_repeated_and_long(spark, table):
     assert simhash.duplicates(table([])).count() == 0
 
 
-def jaccard(a, b, n=5):
-    sets = []
-    for t in (a, b):
-        w = t.lower().split()
-        sets.append({" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_near_copies_equal_brute_force(spark, table, rng):
-    texts = []
-    for _ in range(12):
-        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([40, 120, 240]))]
-        texts.append(" ".join(base))
-        for changes in (0, 1, 2, 3, 9):
-            copy = list(base)
+def kept_by_hand(rows):
+    """The (id, text) that stay, where ids are not repeated."""
+    prints = [by_hand(text, 3) for _, text in rows]
+    linked = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if (prints[i] ^ prints[j]).bit_count() <= 3]
+    root = reach(range(len(rows)), linked)
+    best = {}
+    for i, (doc, _) in enumerate(rows):
+        known = doc is not None
+        best[root[i]] = min(best.get(root[i], (not known, doc or 0, i)), (not known, doc or 0, i))
+    return sorted(rows[i][0] if known else None for _, _, i in best.values() for known in [rows[i][0] is not None])
+
+
+def test_one_row_of_each_group_stays(spark, table, rng):
+    rows = []
+    for i in range(12):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([200, 2000]))]
+        for changes in (0, 0, 1, 1, 30):
+            copy = list(text)
             for k in rng.sample(range(len(copy)), changes):
-                copy[k] = f"n{rng.randrange(9999)}"
-            texts.append(" ".join(copy))
-    rng.shuffle(texts)
-    rows = list(enumerate(texts))
-    linked = [(a, b) for (a, s), (b, t) in itertools.combinations(rows, 2) if jaccard(s, t) >= 0.8]
-    assert linked and not [1 for (a, s), (b, t) in itertools.combinations(rows, 2) if 0.79 < jaccard(s, t) < 0.8]
-    root = reach([a for a, _ in rows], linked)
-    for limit in (3, 256):
-        found = simhash.near_copies(table(rows), limit=limit)
-        kept = {r.doc_id for r in found.filter("_row = _keeper").collect()}
-        assert kept == {a for a, r in root.items() if a == r}
-        assert found.columns[:2] == ["doc_id", "text"] or "doc_id" in found.columns
-
-
-def test_near_copies_of_long_texts_are_counted_exactly(spark, table, rng):
-    word = lambda: f"w{rng.randrange(10**9)}"
-    rows, wanted = [], []
-    for i in range(24):
-        text = [word() for _ in range(2000)]
-        changed = 205 if i % 2 else 227  # of 1996 shingles: similarity 0.814 or 0.796
-        other = text[:-changed] + [word() for _ in range(changed)]
-        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
-        wanted += [2 * i] if i % 2 else [2 * i, 2 * i + 1]
-    found = simhash.near_copies(table(rows)).filter("_row = _keeper")
-    assert sorted(r.doc_id for r in found.collect()) == wanted
-
-
-def test_repeated_lines_do_not_hide_near_copies(spark, table, rng):
+                copy[k] = "other"
+            rows.append((len(rows), " ".join(copy)))
+    rng.shuffle(rows)
+    kept = simhash.representatives(table(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == kept_by_hand(rows)
+    assert len(rows) > kept.count() >= 12 and "score" in kept.columns
+
+
+def test_a_large_group_of_long_near_copies(spark, table, rng):
+    """300 copies of a text of 2000 words with a word changed each: links grow with the members, not with pairs."""
+    text = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
     rows = []
-    for i in range(20):
-        text = [f"w{rng.randrange(10**9)}" for _ in range(500)]
-        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text + text[-12:] * 50))]
-    found = simhash.near_copies(table(rows)).filter("_row = _keeper")
-    assert sorted(r.doc_id for r in found.collect()) == list(range(0, 40, 2))
-
-
-def test_near_copies_of_nulls_empty_and_repeated(spark, table):
-    rows = [(4, None), (2, ""), (None, "x y"), (3, "X  y"), (3, "X  y"), (9, "alone here"), (None, "no other")]
-    found = simhash.near_copies(table(rows)).filter("_row = _keeper")
-    assert sorted(rows_of(found, "doc_id"), key=str) == [(2,), (3,), (9,), (None,)]
-    assert simhash.near_copies(table([])).count() == 0
-
-
-def test_sketches(rng):
-    for a, b in ((100, 90), (255, 200), (256, 256), (3000, 2500), (3000, 100)):
-        one = {rng.getrandbits(32) for _ in range(a)}
-        other = set(list(one)[: b - b // 10]) | {rng.getrandbits(32) for _ in range(b // 10)}
-        sketch = [np.array(sorted(s)[: simhash.SKETCH], np.uint32).tobytes() for s in (one, other)]
-        (found,) = simhash.similarities(simhash.sketch_rows(sketch), np.array([0]), np.array([1]))
-        error = abs(found - len(one & other) / len(one | other))
-        assert error < 1e-9 if max(a, b) < simhash.SKETCH else error < 0.12
-    rows = simhash.sketch_rows([b"", b"", np.array([7], np.uint32).tobytes()])
-    assert simhash.similarities(rows, np.array([0, 0, 2]), np.array([1, 2, 2])).tolist() == [0, 0, 1]
+    for i in range(300):
+        copy = list(text)
+        copy[rng.randrange(2000)] = f"n{i}"
+        rows.append((i, " ".join(copy)))
+    df = table(rows)
+    fps = simhash.with_fingerprints(df, "doc_id", "text", 3).select("fp").distinct()
+    members = fps.select(simhash.F.explode(simhash.block_keys(simhash.F.col("fp"), 3, 4)).alias("key"), "fp")
+    found = simhash.links(simhash.deal(members, "fp", 16), "fp", 3)
+    assert found.count() <= simhash.deal(members, "fp", 16).count()
+    assert sorted(r.doc_id for r in simhash.representatives(df).collect()) == kept_by_hand(rows)
+
+
+def test_representatives_of_nulls_empty_and_repeated(spark, table):
+    rows = [(4, None), (2, ""), (None, "x y"), (3, "X  y"), (3, "X  y"), (9, "alone here"), (None, "no other"),
+            (None, "no  other"), (7, "one id"), (7, "two texts"), (8, "one id")]
+    found = rows_of(simhash.representatives(table(rows)), "doc_id", "text")
+    assert [(d, " ".join(t.split()).lower()) for d, t in found] == [
+        (2, ""), (3, "x y"), (7, "one id"), (7, "two texts"), (9, "alone here"), (None, "no other"),
+    ]
+    assert simhash.representatives(table([])).count() == 0
+
+
+def test_any_number_of_blocks_finds_the_same(spark, table, rng):
+    assert [simhash.blocks_for(n, 3) for n in (0, 16 << 20, (16 << 20) + 1, 10**11)] == [4, 4, 5, 6]
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(30))) for i in range(200)]
+    df = table(rows)
+    results = [rows_of(simhash.duplicates(df, blocks=blocks)) for blocks in (4, 5, 6, None)]
+    assert all(r == results[0] for r in results)
 
 
 def test_components(spark, rng):
