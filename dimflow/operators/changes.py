@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow.functions.compare import any_differs
 from dimflow.schemas import DimSpec
@@ -43,6 +44,37 @@ def with_tracked(current: DataFrame, updates: DataFrame, spec: DimSpec) -> DataF
     return current.withColumns({c: F.lit(None).cast(updates.schema[c].dataType) for c in missing})
 
 
+# Numeric types from the narrowest: a value of one has the same value in each after it (integers up to 2**53 in a double).
+_WIDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType)
+
+
+def wider(name: str, one: T.DataType, other: T.DataType) -> T.DataType:
+    """The type of a column that has had both types; raises where a value of one may not fit."""
+    if one == other:
+        return one
+    kinds = [T.DoubleType if isinstance(t, T.FloatType) else type(t) for t in (one, other)]
+    if all(kind in _WIDER for kind in kinds):
+        return max(kinds, key=_WIDER.index)()
+    raise TypeError(f"{name} cannot change from {one.simpleString()} to {other.simpleString()}")
+
+
+def of_one_type(updates: DataFrame, current: DataFrame | None, spec: DimSpec) -> tuple[DataFrame, DataFrame | None]:
+    """Both sides with tracked columns of the wider type, where a source has begun to send another."""
+    if current is None:
+        return updates, None
+    types = {
+        c: wider(c, current.schema[c].dataType, updates.schema[c].dataType)
+        for c in spec.tracked
+        if c in current.columns
+    }
+
+    def cast(df: DataFrame) -> DataFrame:
+        other = {c: F.col(c).cast(t) for c, t in types.items() if df.schema[c].dataType != t}
+        return df.withColumns(other) if other else df
+
+    return cast(updates), cast(current)
+
+
 def to_apply(classified: DataFrame) -> DataFrame:
     """Rows that alter the dimension: changed and new keys."""
     return classified.filter(F.col(ACTION).isin(CHANGED, NEW))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from dimflow.functions.rules import broken_rules
 from dimflow.operators import quality as q
-from dimflow.operators.changes import with_tracked
+from dimflow.operators.changes import of_one_type, with_tracked
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.splice import Splice, observations, splice
@@ -53,10 +53,13 @@ from dimflow.sources.staging import delete_folder, stage, staging_scope
 from dimflow.sources.tables import input_stamp, replace_folder, write_partitioned
 from dimflow.sources.versions import (
     bucket_of,
+    commit_at,
     commit_version,
+    is_merged,
     last_commit,
     read_current,
     read_history,
+    read_outdated,
 )
 from dimflow.streaming.incremental import (
     incremental_slice,
@@ -368,43 +371,48 @@ def scd2(
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
     seen: DataFrame | None = None,
+    source: str | None = None,
 ) -> None:
     """Merge a batch into the Type 2 dimensions under ``dims_path``.
 
     Only buckets of keys in which something changes are written again. A tracked column that is
     new to a dimension is null in all versions before. A late batch, one with a date before that of a batch merged earlier, is
     spliced in: ``seen`` has the rows of all merged batches from its date on, its own among them, with ``batch`` and
-    ``ingestion_timestamp``. Versions that stay keep their surrogate keys.
+    ``ingestion_timestamp``. Versions that stay keep their surrogate keys. A ``source`` is named in the commit row, and merged
+    once: a dimension whose commits name it already is left as it is, without a look at the rows.
     """
 
     def merge_one(spec: DimSpec) -> None:
         with staging_scope(spark):
             path = f"{dims_path}/{spec.name}"
+            if source is not None and is_merged(spark, path, source):
+                return
             commit = last_commit(spark, path)
             rebuilt = not _has(commit, TYPE2_COLUMNS)
             if seen is not None and not rebuilt:
-                _splice_type2(spark, path, commit, rows, seen, spec, process_date)
+                _splice_type2(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
             current = None if rebuilt else read_current(spark, path, commit, touched)
+            updates, current = of_one_type(updates, current, spec)
             last = (commit.last_key if commit else 0) or 0
             last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
             merge = merge_type2(updates, current, spec, process_date, last_used)
-            _commit(spark, path, commit, merge, merge.expired, spec, process_date, last, rebuilt)
+            _commit(spark, path, commit, merge, merge.expired, spec, process_date, last, rebuilt, source)
 
     _for_each(specs, merge_one)
 
 
-def _commit(spark, path, commit, merge, ended, spec, process_date, last_key, rebuilt) -> None:
+def _commit(spark, path, commit, merge, ended, spec, process_date, last_key, rebuilt, source) -> None:
     """Write a merge, unless nothing has changed."""
     bucket = bucket_of(spec.keys, None if rebuilt else commit).alias("bucket")
     changed = dict(merge.delta.groupBy(bucket).count().collect())
     if changed or commit is None:
         after = None if last_key is None else last_key + sum(changed.values())
         commit_version(
-            spark, path, commit, merge.current, spec.keys, changed, ended, process_date, after, rebuilt
+            spark, path, commit, merge.current, spec.keys, changed, ended, process_date, after, rebuilt, source=source
         )
 
 
@@ -418,6 +426,8 @@ def _spliced(
     start, end = names
     inside = bucket_of(spec.keys, commit).isin(*buckets)
     renamed = {start: "valid_from", end: "valid_to"}
+    seen, current = of_one_type(seen, current, spec)
+    _, history = of_one_type(seen, history, spec)
     older = history.filter(inside).unionByName(current.filter(inside), allowMissingColumns=True)
     old = older.withColumnsRenamed(renamed).select(
         *[c for c in spec.columns if c in older.columns], "valid_from", "valid_to", *carried
@@ -427,7 +437,7 @@ def _spliced(
     return made, others, buckets
 
 
-def _splice_type2(spark, path, commit, rows, seen, spec, since) -> None:
+def _splice_type2(spark, path, commit, rows, seen, spec, since, source) -> None:
     current = read_current(spark, path, commit)
     history = read_history(spark, path, current.schema, commit, spec.keys, TYPE2_DATES[0])
     made, others, buckets = _spliced(
@@ -443,10 +453,10 @@ def _splice_type2(spark, path, commit, rows, seen, spec, since) -> None:
     numbered = stage(number_densely(placed, last_used).select(*columns))
     every = versions.filter("surrogate_key is not null").select(*columns).unionByName(numbered)
     after = last + numbered.count()
-    _commit_splice(spark, path, commit, made, every, "is_current", others.select(*columns), buckets, spec, since, after)
+    _commit_splice(spark, path, commit, made, every, "is_current", others.select(*columns), buckets, spec, since, after, source)
 
 
-def _splice_type4(spark, path, commit, rows, seen, spec, since) -> None:
+def _splice_type4(spark, path, commit, rows, seen, spec, since, source) -> None:
     current = read_current(spark, path, commit)
     attributes = [f for f in current.schema if f.name not in CURRENT_SCHEMA.names]
     schema = T.StructType([*attributes, *HISTORY_SCHEMA.fields])
@@ -456,10 +466,10 @@ def _splice_type4(spark, path, commit, rows, seen, spec, since) -> None:
     made, others, buckets = _spliced(spark, path, commit, rows, seen, spec, since, live, history, (start, end))
     every = made.versions.withColumnsRenamed({"valid_from": start, "valid_to": end})
     every = every.withColumn("archived_at", F.current_timestamp())
-    _commit_splice(spark, path, commit, made, every, "_open", others.drop(end), buckets, spec, since, None)
+    _commit_splice(spark, path, commit, made, every, "_open", others.drop(end), buckets, spec, since, None, source)
 
 
-def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, spec, since, last_key) -> None:
+def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, spec, since, last_key, source) -> None:
     """Write the touched buckets, the closed versions and what they replace as one version."""
     live = [c for c in others.columns]
     ended = every.filter(~F.col(is_open))
@@ -470,7 +480,7 @@ def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, s
     outdated = made.outdated.withColumnRenamed(names[-1], start)
     commit_version(
         spark, path, commit, current, spec.keys, buckets, ended, max(since, commit.process_date), last_key,
-        outdated=outdated,
+        outdated=outdated, source=source,
     )
 
 
@@ -501,6 +511,41 @@ def read_type2_current(spark: SparkSession, dims_path: str, spec: DimSpec) -> Da
     return _type2_current(spark, path, spec, last_commit(spark, path))
 
 
+def type2_changes(
+    spark: SparkSession, dims_path: str, spec: DimSpec, after: int, up_to: int | None = None
+) -> DataFrame:
+    """What versions of a table have changed in a Type 2 dimension, from one to another (the newest, by default).
+
+    ``change`` is begun (rows that are new, as they stand at ``up_to``), ended (rows of ``after`` that have an end, or
+    another one) or removed (rows of ``after`` that a late batch has replaced). Surrogate keys are dealt out in order, so what is
+    new is known by its key: only the buckets and the history of the versions in between are read, and no snapshots compared.
+    """
+    path = f"{dims_path}/{spec.name}"
+    old, new = commit_at(spark, path, after), commit_at(spark, path, up_to) if up_to else last_commit(spark, path)
+    buckets = [b for b, version in enumerate(new.buckets) if version > after]
+    current = read_current(spark, path, new, buckets)
+    schema = current.schema
+    start = TYPE2_DATES[0]
+    closed = read_history(spark, path, schema, new, spec.keys, start, after)
+    began = F.col("surrogate_key") > F.lit(old.last_key or 0)
+    rows = closed.unionByName(current.filter(began))
+    change = F.when(began, "begun").otherwise("ended").alias("change")
+    out = rows.select(change, *schema.names)
+    gone = read_outdated(spark, path, schema, spec.keys, start, after, new.version)
+    if gone is not None:
+        # Few keys: those that late batches have touched.
+        before = read_history(spark, path, schema, old, spec.keys, start).unionByName(
+            with_tracked(read_current(spark, path, old), current, spec)
+        )
+        stays = read_history(spark, path, schema, new, spec.keys, start).unionByName(read_current(spark, path, new))
+        named = gone.select(*spec.keys, start).distinct()
+        removed = before.join(named, [*spec.keys, start], "left_semi").join(
+            stays.join(named, [*spec.keys], "left_semi").select("surrogate_key"), "surrogate_key", "left_anti"
+        )
+        out = out.unionByName(removed.select(F.lit("removed").alias("change"), *schema.names))
+    return out
+
+
 def scd4(
     spark: SparkSession,
     rows: DataFrame,
@@ -508,23 +553,27 @@ def scd4(
     process_date: dt.date,
     specs: Iterable[DimSpec] = DIMENSIONS,
     seen: DataFrame | None = None,
+    source: str | None = None,
 ) -> None:
     """Merge a batch into the Type 4 dimensions under ``dims_path``, as `scd2` does."""
 
     def merge_one(spec: DimSpec) -> None:
         with staging_scope(spark):
             path = f"{dims_path}/{spec.name}"
+            if source is not None and is_merged(spark, path, source):
+                return
             commit = last_commit(spark, path)
             rebuilt = not _has(commit, CURRENT_SCHEMA.names)
             if seen is not None and not rebuilt:
-                _splice_type4(spark, path, commit, rows, seen, spec, process_date)
+                _splice_type4(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
             current = None if rebuilt else read_current(spark, path, commit, touched)
+            updates, current = of_one_type(updates, current, spec)
             merge = merge_type4(updates, current, spec, process_date)
-            _commit(spark, path, commit, merge, merge.archived, spec, process_date, None, rebuilt)
+            _commit(spark, path, commit, merge, merge.archived, spec, process_date, None, rebuilt, source)
 
     _for_each(specs, merge_one)
 

@@ -256,6 +256,20 @@ ORACLES: dict[str, str] = {
     "scd2_late_batch": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER).replace("surrogate_key, ", "")),
     "scd2_loan_late_batch": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN).replace("surrogate_key, ", "")),
     "scd4_late_batch": _text(_CHANGES, _CUSTOMER, body=_spans(DIM_CUSTOMER)),
+    "dim_changes_between": _text(
+        _CHANGES, _CUSTOMER,
+        body=f"""SELECT CASE WHEN valid_from > DATE '{BATCHES[0].process_date}' THEN 'begun' ELSE 'ended' END AS change, *
+ EXCLUDE (valid_from, next_from, valid_to), valid_from AS effective_start_date, valid_to AS effective_end_date,
+ next_from IS NULL AS is_current FROM spans
+ WHERE valid_from > DATE '{BATCHES[0].process_date}' OR next_from IS NOT NULL""",
+    ),
+    "stream_type2": _text(
+        _CHANGES, _CUSTOMER,
+        body=_type2(DIM_CUSTOMER).replace(" FROM spans", f", CAST({len(BATCHES)} AS BIGINT) AS commits FROM spans"),
+    ),
+    "scd2_widened_type": _text(
+        _CHANGES, _LOAN, body=_type2(DIM_LOAN).replace("term_months,", "CAST(term_months AS DOUBLE) AS term_months,")
+    ),
     "scd2_new_column": _text(_CHANGES, _WIDENED, body=_type2(DIM_CUSTOMER)),
     "scd4_new_column": _text(_CHANGES, _WIDENED, body=_spans(DIM_CUSTOMER)),
 }

@@ -20,8 +20,9 @@ from dimflow.plans import jobs
 from dimflow.plans.views import BATCHES, Batch, loans, updates
 from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, LOAN_COLUMNS, DimSpec
 from dimflow.sources.logs import read_log
-from dimflow.sources.staging import new_folder, stage
+from dimflow.sources.staging import delete_folder, new_folder, stage
 from dimflow.sources.versions import COMMIT_SCHEMA
+from dimflow.streaming.follow import merge_arrived
 from dimflow.streaming.incremental import MARK_SCHEMA, incremental_slice, next_mark, read_mark
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,6 +403,33 @@ def scd4_late_batch(spark, sf_dir):
     return _versions4(spark, run_batches(spark, sf_dir, 4, _OUT_OF_ORDER), DIM_CUSTOMER)
 
 
+def dim_changes_between(spark, sf_dir):
+    """What the second and the third batch have changed."""
+    return jobs.type2_changes(spark, f"{run_batches(spark, sf_dir, 2)}/type2", DIM_CUSTOMER, after=1)
+
+
+def stream_type2(spark, sf_dir):
+    """The batches as a file stream whose last micro-batch is replayed, as after a failure."""
+    base = new_folder(spark, "base")
+    landing, dims, checkpoint = f"{base}/ingested", f"{base}/type2", f"{base}/checkpoint"
+    for batch in BATCHES:
+        jobs.ingest(spark, _csv_of(spark, sf_dir, batch), landing, batch.process_date, _PARTITION_BY)
+        merge_arrived(spark, landing, dims, checkpoint)
+    delete_folder(spark, f"{checkpoint}/commits/{len(BATCHES) - 1}")
+    merge_arrived(spark, landing, dims, checkpoint)
+    commits = read_log(spark, f"{dims}/{DIM_CUSTOMER.name}/commits", COMMIT_SCHEMA).count()
+    return jobs.read_type2(spark, dims, DIM_CUSTOMER).withColumn("commits", F.lit(commits).cast("bigint"))
+
+
+def scd2_widened_type(spark, sf_dir):
+    """A tracked column is an integer at first, then a long one, then a double."""
+    dims, rows = new_folder(spark, "dims"), valid_updates(spark, sf_dir)
+    for batch, type_ in zip(BATCHES, ("int", "bigint", "double")):
+        typed = batch.of(rows).withColumn("term_months", F.col("term_months").cast(type_))
+        jobs.scd2(spark, typed, dims, batch.process_date, [DIM_LOAN])
+    return jobs.read_type2(spark, dims, DIM_LOAN)
+
+
 # A dimension that gets another tracked column after its first batch.
 _NARROW = replace(DIM_CUSTOMER, tracked=DIM_CUSTOMER.tracked[:-1])
 
@@ -471,4 +499,7 @@ QUERIES: dict[str, Query] = {
     "scd2_late_batch": scd2_late_batch,
     "scd2_loan_late_batch": scd2_loan_late_batch,
     "scd4_late_batch": scd4_late_batch,
+    "dim_changes_between": dim_changes_between,
+    "stream_type2": stream_type2,
+    "scd2_widened_type": scd2_widened_type,
 }

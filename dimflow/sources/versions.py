@@ -17,9 +17,10 @@ nothing here calls, deletes old snapshots. One writer per table at a time.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("last_key", T.LongType()),
         T.StructField("process_date", T.DateType()),
         T.StructField("committed_at", T.TimestampType()),
+        T.StructField("source", T.StringType()),  # what was merged, where the caller names it
     ]
 )
 BUCKETS = 32
@@ -46,6 +48,19 @@ def last_commit(spark: SparkSession, path: str) -> Row | None:
     return commits.orderBy(F.desc("version")).first()
 
 
+def is_merged(spark: SparkSession, path: str, source: str) -> bool:
+    """Whether a commit has merged a named source already."""
+    return not read_log(spark, f"{path}/commits", COMMIT_SCHEMA).filter(F.col("source") == source).isEmpty()
+
+
+def commit_at(spark: SparkSession, path: str, version: int) -> Row:
+    """The commit row of a version."""
+    row = read_log(spark, f"{path}/commits", COMMIT_SCHEMA).filter(F.col("version") == version).first()
+    if row is None:
+        raise ValueError(f"{path} has no version {version}")
+    return row
+
+
 def bucket_of(keys: Sequence[str], commit: Row | None) -> Column:
     """The bucket of a row's key. A table keeps the number of buckets it began with."""
     count = len(commit.buckets) if commit else BUCKETS
@@ -60,12 +75,39 @@ def read_current(
     if commit is None:
         return None
     base, columns = f"{path}/current", T.StructType.fromDDL(commit.columns)
-    held = [
-        f"{base}/table_version={version}/bucket={b}"
-        for b, version in enumerate(commit.buckets)
-        if version and (buckets is None or b in buckets)
-    ]
-    return spark.read.schema(columns).parquet(*held) if held else no_rows(spark, columns)
+    held: dict[int, list[str]] = {}
+    for b, version in enumerate(commit.buckets):
+        if version and (buckets is None or b in buckets):
+            held.setdefault(version, []).append(f"{base}/table_version={version}/bucket={b}")
+    return _as_written(spark, path, columns, held, lambda reader, paths: reader.parquet(*paths))
+
+
+def _as_written(
+    spark: SparkSession, path: str, columns: T.StructType, held: dict[int, list[str]],
+    load: Callable[[DataFrameReader, list[str]], DataFrame],
+) -> DataFrame:
+    """Folders by version, each read with the types that its version was written with, as ``columns``. Versions
+    of one schema, which is the rule, are one scan."""
+    written = _written_as(spark, path, columns, held) if held else {}
+    parts = []
+    for ddl in dict.fromkeys(written.values()):
+        theirs = {f.name: f.dataType for f in T.StructType.fromDDL(ddl)}
+        schema = T.StructType([T.StructField(f.name, theirs.get(f.name, f.dataType)) for f in columns])
+        folders = [folder for version, paths in held.items() if written[version] == ddl for folder in paths]
+        rows = load(spark.read.schema(schema), folders)
+        parts.append(rows.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in columns if schema[f.name].dataType != f.dataType}))
+    return reduce(DataFrame.unionByName, parts) if parts else no_rows(spark, columns)
+
+
+def _written_as(spark: SparkSession, path: str, columns: T.StructType, versions: Iterable[int]) -> dict[int, str]:
+    """The columns of each version as DDL: one text for all that differ in nothing but columns that they lack."""
+    now = {f.name: f.dataType for f in columns}
+    commits = read_log(spark, f"{path}/commits", COMMIT_SCHEMA).filter(F.col("version").isin(*versions))
+    out = {}
+    for row in commits.select("version", "columns").collect():  # a row per run
+        other = [f for f in T.StructType.fromDDL(row["columns"]) if f.name in now and f.dataType != now[f.name]]
+        out[row.version] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in other) or "`_` int"
+    return out
 
 
 def read_history(
@@ -75,22 +117,26 @@ def read_history(
     commit: Row | None,
     keys: Sequence[str] = (),
     start: str | None = None,
+    after: int = 0,
 ) -> DataFrame:
-    """All committed history rows; none when there is no table, or no history yet. Columns
+    """All committed history rows (of versions later than ``after``); none when there is no table, or no history yet. Columns
     that older versions lack are null. With ``keys`` and the column of ``start``, rows that a late batch has
     outdated are left out; without late batches nothing is joined."""
     version = T.StructField("table_version", T.IntegerType())
     with_version = T.StructType([*schema.fields, version])
-    rows = None if commit is None else load_optional(spark, f"{path}/history", with_version)
-    if rows is None:
+    if commit is None or load_optional(spark, f"{path}/history", with_version) is None:
         return no_rows(spark, schema)
-    rows = rows.filter(F.col("table_version") <= commit.version)
+    # Versions are filtered as partitions, not listed: there is one scan for each schema that they have.
+    held = {n: [n] for n in range(after + 1, commit.version + 1)}
+
+    def load(reader: DataFrameReader, versions: list[int]) -> DataFrame:
+        return reader.parquet(f"{path}/history").filter(F.col("table_version").isin(*versions))
+
+    rows = _as_written(spark, path, with_version, held, load)
     if start is not None:
-        named = T.StructType([*[schema[k] for k in keys], T.StructField(start, T.DateType()), version])
-        gone = load_optional(spark, f"{path}/outdated", named)
+        gone = read_outdated(spark, path, schema, keys, start, 0, commit.version)
         if gone is not None:
-            theirs = {c: f"_gone_{c}" for c in named.names}
-            gone = gone.filter(F.col("table_version") <= commit.version)
+            theirs = {c: f"_gone_{c}" for c in gone.columns}
             gone = gone.groupBy(*keys, start).agg(F.max("table_version").alias("table_version"))
             gone = gone.withColumnsRenamed(theirs)
             on = [F.col(c) == F.col(theirs[c]) for c in (*keys, start)]
@@ -99,6 +145,17 @@ def read_history(
     return rows.drop("table_version")
 
 
+def read_outdated(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], start: str, after: int, up_to: int
+) -> DataFrame | None:
+    """Keys and starts of history rows that some versions have replaced, with ``table_version``; None if no
+    batch has come late."""
+    version = T.StructField("table_version", T.IntegerType())
+    named = T.StructType([*[schema[k] for k in keys], T.StructField(start, T.DateType()), version])
+    gone = load_optional(spark, f"{path}/outdated", named)
+    return None if gone is None else gone.filter(F.col("table_version").between(after + 1, up_to))
+
+
 def commit_version(
     spark: SparkSession,
     path: str,
@@ -111,6 +168,7 @@ def commit_version(
     last_key: int | None = None,
     rebuilt: bool = False,
     outdated: DataFrame | None = None,
+    source: str | None = None,
 ) -> int:
     """Write the version after ``previous`` and make it the table's newest.
 
@@ -130,7 +188,7 @@ def commit_version(
         buckets[b] = version
     now = dt.datetime.now(dt.timezone.utc)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema)
-    row = (version, buckets, columns, last_key, process_date, now)
+    row = (version, buckets, columns, last_key, process_date, now, source)
     append_row(spark, f"{path}/commits", COMMIT_SCHEMA, row)
     return version
 

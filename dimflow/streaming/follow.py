@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators.enrich import enrich_loans
-from dimflow.plans.jobs import LANDED_SCHEMA, scd2, scd4
+from dimflow.plans.jobs import LANDED_SCHEMA, latest_date, read_ingested, scd2, scd4
 from dimflow.schemas import DIMENSIONS, VALID, DimSpec
+from dimflow.streaming.incremental import utc_from_micros
 
 
 def merge_arrived(
@@ -18,21 +20,38 @@ def merge_arrived(
     landing_path: str,
     dims_path: str,
     checkpoint_path: str,
-    process_date: dt.date,
+    process_date: dt.date | None = None,
     scd_type: int = 2,
     specs: Iterable[DimSpec] = DIMENSIONS,
 ) -> None:
     """Merge the valid rows of landed files not seen before, then stop.
 
-    All files waiting form one batch, so the latest row of a key is chosen among
-    all of them. A batch replayed after a failure finds its changes already made
-    and changes nothing.
+    The batches waiting are merged one by one in the order of their arrival, each with its own date, as `run_batch` does, and
+    late ones are spliced in. With a ``process_date`` all files waiting form one batch of that date instead, so
+    the latest row of a key is chosen among all of them.
+
+    Each merge happens once: the commit row names the stream, its micro-batch and the batch in it. When the stream replays a
+    micro-batch after a failure, a dimension that has committed a batch of it is not compared with it again.
     """
     specs = tuple(specs)
     merge = {2: scd2, 4: scd4}[scd_type]
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
 
-    def apply(rows: DataFrame, _batch_id: int) -> None:
-        merge(rows.sparkSession, enrich_loans(rows), dims_path, process_date, specs)
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        session, source = rows.sparkSession, f"{stream}/{batch_id}"
+        rows = enrich_loans(rows)
+        if process_date is not None:
+            merge(session, rows, dims_path, process_date, specs, source=source)
+            return
+        arrival = F.unix_micros("ingestion_timestamp").alias("micros")
+        # A row per input that has landed since the last run.
+        for part in rows.select(arrival, "batch", "input").distinct().orderBy("micros", "batch", "input").collect():
+            arrived, seen = utc_from_micros(part.micros), None
+            if part.batch < latest_date(session, landing_path, arrived):
+                seen = enrich_loans(read_ingested(session, landing_path))
+                seen = seen.filter(F.col("ingestion_timestamp") <= F.lit(arrived))
+            own = rows.filter((F.col("batch") == F.lit(part.batch)) & (F.col("input") == part.input))
+            merge(session, own, dims_path, part.batch, specs, seen, f"{source}/{part.batch}/{part.input}")
 
     arrived = spark.readStream.schema(LANDED_SCHEMA).parquet(f"{landing_path}/rows")
     query = (

@@ -1,0 +1,114 @@
+"""Changes between versions, merges that happen once, and columns whose type widens."""
+
+import datetime as dt
+
+import pytest
+from conftest import LOAN, rows_of
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from test_splice import BATCHES, csv_file, day, run
+
+from dimflow.operators.changes import wider
+from dimflow.plans import jobs
+from dimflow.schemas import DIM_CUSTOMER, OPEN_END, DimSpec
+from dimflow.sources import versions
+from dimflow.streaming import follow
+
+NAMES = ["change", "customer_id", "customer_name", "effective_start_date", "effective_end_date"]
+
+
+def test_changes_between_versions(spark, folder):
+    base = run(spark, folder, (0, 1, 2), 2, "feed")
+    dims = f"{base}/type2"
+    assert rows_of(jobs.type2_changes(spark, dims, DIM_CUSTOMER, 1, 2), *NAMES) == [
+        ("begun", "C1", "B", day(1), OPEN_END), ("begun", "C3", "New", day(1), OPEN_END), ("ended", "C1", "A", day(0), day(1)),
+    ]
+    assert rows_of(jobs.type2_changes(spark, dims, DIM_CUSTOMER, 1), *NAMES) == [
+        ("begun", "C1", "A", day(2), OPEN_END), ("begun", "C1", "B", day(1), day(2)), ("begun", "C3", "New", day(1), OPEN_END),
+        ("ended", "C1", "A", day(0), day(1)),
+    ]
+    assert jobs.type2_changes(spark, dims, DIM_CUSTOMER, 3).isEmpty()
+    with pytest.raises(ValueError, match="no version 9"):
+        jobs.type2_changes(spark, dims, DIM_CUSTOMER, 9)
+
+
+def test_changes_by_a_late_batch(spark, folder):
+    """C3 is seen earlier than it was: its version is replaced by one that begins before."""
+    base = run(spark, folder, (0, 2, 1), 2, "late")
+    changes = jobs.type2_changes(spark, f"{base}/type2", DIM_CUSTOMER, 2)
+    assert rows_of(changes, *NAMES) == [
+        ("begun", "C1", "A", day(2), OPEN_END), ("begun", "C1", "B", day(1), day(2)), ("begun", "C3", "New", day(1), OPEN_END),
+        ("ended", "C1", "A", day(0), day(1)), ("removed", "C3", "New", day(2), OPEN_END),
+    ]
+
+
+def test_a_named_source_is_merged_once(spark, loans, folder, monkeypatch):
+    dims = folder("dims")
+    jobs.scd2(spark, loans({}), dims, day(0), [DIM_CUSTOMER], source="s/0")
+    jobs.scd2(spark, loans({"customer_name": "other"}), dims, day(1), [DIM_CUSTOMER], source="s/0")
+    assert rows_of(jobs.read_type2(spark, dims, DIM_CUSTOMER), "customer_name") == [(LOAN["customer_name"],)]
+    monkeypatch.setattr(jobs, "latest_per_key", None)  # the rows are not looked at
+    jobs.scd2(spark, loans({"customer_name": "other"}), dims, day(1), [DIM_CUSTOMER], source="s/0")
+
+
+def test_streamed_batches_have_their_own_dates(spark, folder):
+    """Three inputs wait, one of them late: one run of the stream merges each with its date."""
+    landing, dims, seen = folder("landing"), folder("dims"), folder("checkpoint")
+    for n in (0, 2, 1):
+        jobs.ingest(spark, csv_file(folder(f"{n}.csv"), *BATCHES[n]), landing, day(n))
+    follow.merge_arrived(spark, landing, dims, seen, specs=[DIM_CUSTOMER])
+    names = NAMES[1:]
+    expected = [("C1", "A", day(0), day(1)), ("C1", "A", day(2), OPEN_END), ("C1", "B", day(1), day(2)),
+                ("C2", "Z", day(0), OPEN_END), ("C3", "New", day(1), OPEN_END)]
+    assert rows_of(jobs.read_type2(spark, dims, DIM_CUSTOMER), *names) == expected
+    log = versions.read_log(spark, f"{dims}/dim_customer/commits", versions.COMMIT_SCHEMA)
+    assert log.filter("source is null").isEmpty() and log.select("source").distinct().count() == 3
+    follow.merge_arrived(spark, landing, folder("dims"), folder("checkpoint"), specs=[DIM_CUSTOMER])
+    assert log.count() == 3
+
+
+COUNTED = DimSpec("dim_counted", keys=("customer_id",), tracked=("n",), order_by=("last_updated",))
+
+
+def test_types_widen_and_never_narrow(spark, loans, folder):
+    dims = folder("dims")
+    for at, (type_, rows) in enumerate([
+        ("int", {"C1": "1", "C2": "2"}), ("bigint", {"C2": str(2**40)}), ("double", {"C3": "0.5"}), ("int", {"C1": "1", "C3": "7"}),
+    ]):
+        batch = loans(*[{"customer_id": c, "customer_name": n} for c, n in rows.items()])
+        jobs.scd2(spark, batch.withColumn("n", F.col("customer_name").cast(type_)), dims, day(at), [COUNTED])
+    dim = jobs.read_type2(spark, dims, COUNTED)
+    assert dim.schema["n"].dataType == T.DoubleType()
+    assert sorted(rows_of(dim, "customer_id", "n", "effective_start_date")) == [
+        ("C1", 1.0, day(0)), ("C2", 2.0, day(0)), ("C2", float(2**40), day(1)), ("C3", 0.5, day(2)), ("C3", 7.0, day(3)),
+    ]
+    with pytest.raises(TypeError, match="n cannot change from double to string"):
+        jobs.scd2(spark, loans({}).withColumn("n", F.lit("x")), dims, day(9), [COUNTED])
+
+
+def test_the_lattice_of_types():
+    order = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()]
+    for i, one in enumerate(order):
+        for j, other in enumerate(order):
+            assert wider("c", one, other) == order[max(i, j)]
+    assert wider("c", T.FloatType(), T.LongType()) == T.DoubleType() and wider("c", T.FloatType(), T.FloatType()) == T.FloatType()
+    for other in (T.StringType(), T.DateType(), T.DecimalType(10, 2)):
+        with pytest.raises(TypeError):
+            wider("c", T.LongType(), other)
+
+
+def test_late_batches_of_another_type(spark, loans, folder):
+    dims, rows = folder("dims"), []
+    for at, name, value, type_ in ((0, "C1", "1", "int"), (2, "C1", "3", "bigint"), (1, "C1", "2.5", "double")):
+        df = loans({"customer_id": name, "customer_name": value}).withColumn("n", F.col("customer_name").cast(type_))
+        came = F.lit(dt.datetime(2025, 1, 1, 0, len(rows)))
+        rows.append(df.withColumns({"batch": F.lit(day(at)), "ingestion_timestamp": came}))
+        seen = None
+        if at == 1:
+            seen = rows[0].withColumn("n", F.col("n").cast("double"))
+            for more in rows[1:]:
+                seen = seen.unionByName(more)
+        jobs.scd2(spark, df, dims, day(at), [COUNTED], seen)
+    assert rows_of(jobs.read_type2(spark, dims, COUNTED), "n", "effective_start_date", "effective_end_date") == [
+        (1.0, day(0), day(1)), (2.5, day(1), day(2)), (3.0, day(2), OPEN_END),
+    ]
