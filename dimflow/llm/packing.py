@@ -6,11 +6,10 @@ bitset has one bit for each free space that some open sequence has, so the best
 lowest bit from the piece's length on. There is a fixed number of open sequences: if a
 piece fits none and all are open, the fullest is closed first.
 
-Spark deals the pieces (id, length and checksum, no tokens) out to tasks in an order by
+Spark deals the pieces (id, length and checksum, no tokens) out to tasks, where they arrive in an order by
 hash. A task writes what it has closed; the pieces of its still open sequences are
-packed again, in a quarter as many tasks, until one task remains. That one takes them longest
-first. A task holds the pieces of its open sequences only, and the last task what four
-left at most, whatever the input.
+packed again, in a quarter as many tasks, until one task remains. All tasks work alike at every size of the input, and hold
+the pieces of their open sequences only.
 
 Defined cases: a null text is an empty one, whose only id is the end id. Repeated rows are
 packed each for itself. A null id stays null. An empty table gives no rows. Texts of any
@@ -34,8 +33,8 @@ from pyspark.sql import functions as F
 
 from dimflow.sources.staging import stage
 
-OPEN_SEQUENCES = 4096
-ROWS_PER_TASK = 200_000
+OPEN_SEQUENCES = 256
+ROWS_PER_TASK = 50_000
 #: Parts of words whose ids a tokenising task remembers before it forgets them all.
 REMEMBERED = 200_000
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -208,9 +207,8 @@ class BestFit:
 
 def _pack_level(rows: DataFrame, level: int, tasks: int, length: int, open_sequences: int) -> DataFrame:
     last = tasks == 1
-    order = [F.col("length").desc(), "spot"] if last else [F.xxhash64("spot"), "spot"]
     dealt = rows.coalesce(1) if last else rows.repartition(tasks, "spot")
-    dealt = dealt.sortWithinPartitions(*order)
+    dealt = dealt.sortWithinPartitions(F.xxhash64("spot"), "spot")
     schema = "spot long, length long, sequence_id long, offset long"
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

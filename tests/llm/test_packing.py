@@ -119,6 +119,21 @@ def test_best_fit_equals_brute_force(rng):
         assert fit.count == len(open_) <= most
 
 
+@pytest.mark.parametrize("rows", [20_000, 150_000])
+def test_both_sizes_go_one_way_with_little_waste(spark, rows):
+    """One task, and four tasks and then one: pieces arrive in turn, and few sequences are open."""
+    from pyspark.sql import functions as F
+
+    length = F.when(F.col("id") % 40 == 0, 4096).otherwise(1 + F.pmod(F.xxhash64("id"), F.lit(900)))
+    cut = spark.range(0, rows, 1, 4).select("id", F.lit(0).alias("piece"), length.cast("long").alias("length"))
+    found = packing.pack(cut)
+    used = found.select("sequence_id").distinct().count()
+    total = found.agg(F.sum("length")).first()[0]
+    assert found.count() == rows and used <= 1.02 * total / 4096
+    full = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert full.filter("n != end or n > 4096").isEmpty()
+
+
 def test_repeated_null_ids_and_nothing(spark, table):
     rows = [(1, "same text"), (1, "same text"), (None, "no id"), (None, None)]
     found = packing.pack_documents(table(rows), PATH)
