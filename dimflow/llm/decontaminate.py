@@ -107,19 +107,29 @@ class Templates:
         if len(self.known) + len(new) > REMEMBERED:
             self.forget()
             new = set(words)
-        kinds, hashes = np.full((len(new), 2), NONE, np.int8), np.zeros((FORMS, len(new), 2), np.uint64)
+        # Most words are words: their tokens are gathered in lists, and the arrays made at once.
+        digest, at = xxhash.xxh64_intdigest, len(self.known)
+        first, plain, others = [], [], []
         for k, word in enumerate(new):
-            self.known[word] = len(self.known)
             tokens = template_tokens(word)
+            kind, value = tokens[0] if tokens else (NONE, "")
+            first.append(kind)
+            plain.append(digest(value, 1) if kind == WORD or kind == NAME else 0)
+            self.values.append(value)
+            self.values.append(tokens[1][1] if len(tokens) > 1 else "")
+            if kind != WORD and tokens:
+                others.append((k, tokens))
+        self.known.update(zip(new, range(at, at + len(new))))
+        kinds, hashes = np.full((len(new), 2), NONE, np.int8), np.zeros((FORMS, len(new), 2), np.uint64)
+        kinds[:, 0] = first
+        hashes[:, :, 0] = np.array(plain, np.uint64)
+        for k, tokens in others:
             for j, (kind, value) in enumerate(tokens):
                 kinds[k, j] = kind
-                hashes[:, k, j] = xxhash.xxh64_intdigest(value, 1) if kind == WORD else PLACEHOLDERS[kind]
-                if kind == NAME:
-                    hashes[FOLDED:, k, j] = xxhash.xxh64_intdigest(value, 1)
-                elif kind != WORD:
-                    hashes[EXACT, k, j] = xxhash.xxh64_intdigest(value.lower(), 3)
-                self.values.append(value)
-            self.values += [""] * (2 - len(tokens))
+                hashes[TEMPLATE, k, j] = PLACEHOLDERS[kind]
+                if kind != NAME:
+                    hashes[FOLDED, k, j] = PLACEHOLDERS[kind]
+                    hashes[EXACT, k, j] = digest(value.lower(), 3)
         self.kinds = np.concatenate([self.kinds, kinds])
         self.hashes = np.concatenate([self.hashes, hashes], axis=1)
 
@@ -140,24 +150,39 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    """The hash of each window of ``length`` tokens: a polynomial modulo 2**64."""
-    n = len(hashes)
-    up = np.full(n + 1, BASE, np.uint64)
-    up[0] = 1
-    up = np.multiply.accumulate(up)
-    down = np.full(n + 1, BASE_INVERSE, np.uint64)
-    down[0] = 1
-    down = np.multiply.accumulate(down)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
-    found = (sums[length:] - sums[: n - length + 1]) * down[: n - length + 1]
-    return found ^ np.uint64((length * BASE) & (2**64 - 1))
+class Powers:
+    """Powers of BASE and of its inverse modulo 2**64, made once for as many tokens as there have been."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            self.up, self.down = (
+                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]))
+                for base in (BASE, BASE_INVERSE)
+            )
+        return self.up, self.down
+
+
+class WindowHashes:
+    """Hashes of windows of tokens: a polynomial modulo 2**64, from sums that are made once for all lengths."""
+
+    def __init__(self, hashes: np.ndarray, powers: Powers):
+        n = len(hashes)
+        up, self.down = powers(n + 1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
+
+    def at(self, starts: np.ndarray, length: int) -> np.ndarray:
+        """The hash of the window of ``length`` tokens at each start."""
+        found = (self.sums[starts + length] - self.sums[starts]) * self.down[starts]
+        return found ^ np.uint64((length * BASE) & (2**64 - 1))
 
 
-def filter_places(window: np.ndarray) -> list[np.ndarray]:
-    """Where a window's bits are in the Bloom filter."""
-    w = window.astype(np.uint64)
-    return [(w >> np.uint64(20 * k)) & np.uint64(FILTER_BITS - 1) for k in range(FILTER_SETS)]
+def filter_places(window: np.ndarray, k: int) -> np.ndarray:
+    """Where the k-th of a window's bits is in the Bloom filter."""
+    return (window >> np.uint64(20 * k)) & np.uint64(FILTER_BITS - 1)
 
 
 def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int] | None,
@@ -171,7 +196,7 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
     key_type = texts.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates()
+        templates, powers = Templates(), Powers()
         bits = None if bloom is None else np.frombuffer(bloom.value, np.uint8)
         for batch in batches:
             for start in range(0, len(batch), 256):
@@ -181,6 +206,7 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                 sizes = np.bincount(owner, minlength=len(part))
                 words = np.concatenate([[0], np.cumsum(kind == WORD)])
                 names = np.concatenate([[0], np.cumsum(kind == NAME)])
+                sums: dict[int, WindowHashes] = {}
                 rows: list[tuple] = []
                 for n in [length, *(range(1, length) if shorts is None else shorts)]:
                     if n > len(kind):
@@ -200,14 +226,20 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                         exact = ~counts if shorts is None else plain + named < n
                         forms.append((EXACT, exact, np.zeros(len(kind), bool)))
                     for form, good, slot in forms:
-                        window = window_hashes(hashes[form], n)
-                        good = good & inside
+                        starts = np.flatnonzero(good & inside)
+                        if not len(starts):
+                            continue
+                        if form not in sums:
+                            sums[form] = WindowHashes(hashes[form], powers)
+                        window = sums[form].at(starts, n)
                         if bits is not None:
-                            for place in filter_places(window):
-                                good &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
-                        for k in np.flatnonzero(good).tolist():
+                            for k in range(FILTER_SETS):
+                                place = filter_places(window, k)
+                                hit = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
+                                starts, window = starts[hit], window[hit]
+                        for k, w in zip(starts.tolist(), window.view(np.int64).tolist()):
                             slots = [templates.values[v] for v in value[k : k + n][slot[k : k + n]]]
-                            rows.append((int(owner[k]), k - int(first[owner[k]]), int(window[k].view(np.int64)), n, slots, form))
+                            rows.append((int(owner[k]), k - int(first[owner[k]]), w, n, slots, form))
                 of, pos, found, size, slots, form = zip(*rows) if rows else ((),) * 6
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key").take(pa.array(of, pa.int64())), pa.array(pos, pa.int64()), pa.array(found, pa.int64()),

@@ -83,7 +83,7 @@ def test_template_tokens():
 def test_window_hashes(rng):
     hashes = np.array([rng.getrandbits(64) for _ in range(50)], np.uint64)
     hashes[30:40] = hashes[5:15]
-    found = d.window_hashes(hashes, 10)
+    found = d.WindowHashes(hashes, d.Powers()).at(np.arange(41), 10)
     by_hand = [sum(int(hashes[k + j]) * pow(d.BASE, j, 2**64) for j in range(10)) % 2**64 for k in range(41)]
     assert (found ^ np.uint64(10 * d.BASE % 2**64)).tolist() == by_hand
     assert found[30] == found[5] and len(set(found.tolist())) == 40
