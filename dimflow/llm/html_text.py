@@ -3,7 +3,8 @@
 A small tree builder supplies what HTML implies: void elements, end tags left out (p, li, dt, dd, option,
 rows and cells and sections of tables), end tags that close what is open within them, and stray end tags that are
 ignored. Then the tree is rendered: invisible elements are left out (scripts, styles, templates, the
-head, `hidden`, `display:none`, `visibility:hidden`, closed details and dialogs); white space
+head, `hidden`, `display:none`, closed details and dialogs), and so is text whose `visibility` is hidden, which
+elements inherit and can undo (rules of style sheets are not read, only `style` attributes); white space
 collapses but in preformatted text; blocks start new lines, and paragraphs, headings, lists, tables and quotes stand
 apart by a blank line; list items get bullets or numbers and nest by indentation; the cells of a table are
 aligned in columns, with their spans. All visible text comes out, in document order.
@@ -73,7 +74,8 @@ MARKUP = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
+HIDING = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"visibility\s*:\s*(visible|initial|hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -299,6 +301,18 @@ class Table:
         return out
 
 
+def leave_out_unseen(root: Node) -> None:
+    """Take away the text that `visibility` hides. Unlike `display` it is inherited and can be undone further in."""
+    work = [(root, True)]
+    while work:
+        node, seen = work.pop()
+        if node.attributes and (said := VISIBILITY.findall(node.get("style") or "")):
+            seen = said[-1].lower() in ("visible", "initial")
+        if not seen:
+            node.children = [child for child in node.children if isinstance(child, Node)]
+        work += [(child, seen) for child in node.children if isinstance(child, Node)]
+
+
 def _number(value: str | None) -> int:
     return min(max(int(value), 1), MOST_SPAN) if value and value.isdigit() and len(value) < 9 else 1
 
@@ -399,7 +413,12 @@ def render(root: Node, drawings: bool = False) -> str:
 
 
 def extract(page: str | None, drawings: bool = False) -> str | None:
-    return None if page is None else render(parse(page), drawings)
+    if page is None:
+        return None
+    tree = parse(page)
+    if "visibility" in page.lower():
+        leave_out_unseen(tree)
+    return render(tree, drawings)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

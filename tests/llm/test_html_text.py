@@ -24,6 +24,8 @@ CASES = [
     ("<pre>\n a\n  b</pre>c", " a\n  b\n\nc"),
     ("<blockquote>q</blockquote>", "  q"),
     ("<title>t</title><head><style>s</style></head><body>b<script>'</p>'</script></body>", "b"),
+    ("a<div style='visibility:hidden'>b<span style='visibility:visible'>C<i>D</i></span>e<p style='VISIBILITY : collapse; visibility:initial'>F", "a\nCD\n\nF"),
+    ("a<span style='display:none'>b<i style='visibility:visible'>c</i></span>", "a"),
     ("a<span hidden>b</span><p style='DISPLAY : none'>c</p><i style=visibility:hidden>d</i>e", "ae"),
     ("<details><summary>s</summary>no</details><details open>yes</details><dialog>d</dialog>", "s\nyes"),
     ("<!-- <p>c --> a <!doctype html><?x y?>b &lt;&eacute;&#233;&amp;lt;", "a b <éé&lt;"),
