@@ -6,8 +6,8 @@ about words go through a dense layer. A gated attention (tanh times sigmoid) giv
 passage a weight, and the weighted mean of the encodings is scored by a logistic
 layer. Encoder, attention and classifier are learnt together from document labels alone.
 
-Training takes the TRAIN_DOCS labelled documents with the least hash of their id, and of each at most
-TRAIN_PASSAGES evenly spaced passages: that bound is the only sample. Scoring reads all
+Training takes labelled documents in the order of the hash of their id, TRAIN_DOCS at most, up to the one with which
+their texts come to TRAIN_BYTES: that bound on rows is the only sample, and every passage of them counts. Scoring reads all
 passages of all documents, in slices of SLICE bytes, so memory does not depend on a text's
 length. Attention is a sum over passages, so slices add up.
 
@@ -23,11 +23,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAIN_DOCS = 4000
-TRAIN_PASSAGES = 16
+TRAIN_BYTES = 1 << 25
 PASSAGE_BYTES = 1000
 SLICE = 1 << 19
 #: Classes of bytes: 33 for marks and blanks, small, capital, digit, beyond ASCII, control.
@@ -212,8 +212,8 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", train_docs: int = TRAIN_DOCS) -> Model:
-    """A model of the label from at most ``train_docs`` labelled documents."""
+          label_col: str = "quality", train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> Model:
+    """A model of the label from at most ``train_docs`` labelled documents, of ``train_bytes`` or one text more."""
     key = F.col(id_col)
     chosen = (
         labels.select(key.alias("_id"), F.col(label_col).alias("_label"))
@@ -230,6 +230,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy("_id")
         .agg(F.min("_text").alias("_text"), F.first("_label").alias("_label"))
     )
+    # At most train_docs rows here too.
+    earlier = Window.orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("_text")).over(earlier), F.lit(0))
+    bag = bag.withColumn("_before", before).filter(F.col("_before") < train_bytes).drop("_before")
+    bag = bag.repartition(F.xxhash64("_id"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -239,9 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     found.setdefault(int(k), []).append(x[of == k])
             rows = {}
             for k, parts in found.items():
-                x = np.concatenate(parts)
-                evenly = np.unique(np.linspace(0, len(x) - 1, min(len(x), TRAIN_PASSAGES)).round().astype(int))
-                rows[k] = x[evenly].astype(np.float32).tobytes()
+                rows[k] = np.concatenate(parts).astype(np.float32).tobytes()
             yield pd.DataFrame(
                 {"id": batch["_id"].astype(str), "label": batch["_label"], "x": [rows[k] for k in range(len(batch))]}
             )
