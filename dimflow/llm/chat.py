@@ -11,7 +11,7 @@ Rows are sorted over the whole table, so one long conversation is split like any
 running length is summed within a partition, and what earlier partitions hold of the same
 rendering, at most one row per partition, is added.
 
-Defined cases: a null turn comes first; equal turns are ordered by role, then by a hash of the text; repeated
+Defined cases: a null turn comes first; equal turns are ordered by role, then by text; repeated
 rows are turns of their own. A null text is empty. A null role is a user named `unknown` and no
 participant. A conversation without participants gives no rows. A null conversation is one like others.
 `<|` in names and texts becomes `< |`, so no text can pass for a mark. Extra columns do not matter.
@@ -59,9 +59,9 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     )
     order = [
         F.col("conv_id").asc_nulls_first(), F.col("perspective"), F.col("turn").asc_nulls_first(),
-        F.col("role").asc_nulls_first(), F.col("_key"),
+        F.col("role").asc_nulls_first(), F.col("segment"),
     ]
-    placed = place_in_order(segments.withColumn("_key", F.xxhash64("segment")), order)
+    placed = place_in_order(segments, order)
     placed = placed.withColumn("_part", F.shiftright("_spot", _POSITION_BITS))
     group = ["conv_id", "perspective"]
     piece = placed.groupBy("_part", *group).agg(

@@ -65,3 +65,9 @@ def test_nulls_empty_ties_and_repeated(spark, table):
             (None, 1, "b", "y"), (3, 5, "a", "same"), (3, 5, "a", "same"), (3, 5, "b", "tie"), (4, 0, "", "z" * 200_000)]
     check(rows, chat.rotate(table(rows, SCHEMA)))
     assert chat.rotate(table([], SCHEMA)).count() == 0
+
+
+def test_equal_turns_are_ordered_by_text(spark, table):  # noqa: F811
+    rows = [(1, 0, "user", text) for text in ("b", "a", "c", "a")]
+    found = chat.rotate(table(rows, "conv_id long, turn long, role string, text string"))
+    assert [r.segment for r in found.orderBy("position").collect()] == [f"<|assistant|>\n{t}<|end|>\n" for t in "aabc"]
