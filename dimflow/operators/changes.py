@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.functions.compare import any_differs
+from dimflow.functions.compare import any_differs, digestible, row_digest
 from dimflow.schemas import DimSpec
+from dimflow.sources.staging import stage
 
 NEW, CHANGED, SAME, ABSENT = "new", "changed", "same", "absent"
 ACTION, WAS = "_action", "_was_"
+DIGEST = "_digest_"  # how names of digest columns begin
 
 
 def classify(updates: DataFrame, current: DataFrame, spec: DimSpec) -> DataFrame:
@@ -89,3 +94,69 @@ def as_they_were(classified: DataFrame, spec: DimSpec, more: list[str | Column])
 def untouched(classified: DataFrame) -> DataFrame:
     """Rows that stay as they are, keys missing from the batch included."""
     return classified.filter(F.col(ACTION).isin(SAME, ABSENT))
+
+
+class Compared(NamedTuple):
+    """A batch against the current rows: changed and new keys with their new values (staged), and the current rows of changed keys and
+    of all others."""
+
+    apply: DataFrame
+    changed: DataFrame
+    kept: DataFrame
+
+
+def compare(updates: DataFrame, current: DataFrame, spec: DimSpec) -> Compared:
+    """Compare by digests if the batch has them (current rows that have none get theirs from their attributes), else by attributes."""
+    digest = digest_of(updates)
+    if digest is not None:
+        if digest not in current.columns:
+            current = with_digest(with_tracked(current, updates, spec), spec)
+        return _by_digest(updates, current, spec, digest)
+    compared = stage(classify(updates, current, spec))
+    was = [F.col(WAS + c).alias(c) for c in current.columns if c not in spec.columns]
+    changed = compared.filter(F.col(ACTION) == CHANGED)
+    return Compared(
+        apply=to_apply(compared).select(*spec.columns, ACTION),
+        changed=as_they_were(changed, spec, was),
+        kept=as_they_were(untouched(compared), spec, was),
+    )
+
+
+def _by_digest(updates: DataFrame, current: DataFrame, spec: DimSpec, digest: str) -> Compared:
+    """Of the current rows, only keys and digests are read and shuffled to find what changes. Their attributes are read once that is
+    known: of changed keys, and of the others to be written beside them, which meet the few changed keys without a wide shuffle."""
+    keys = list(spec.keys)
+    before = current.select(*keys, F.col(digest).alias("_was_digest"), F.lit(True).alias("_was_there"))
+    action = F.when(F.col("_was_there").isNull(), NEW).when(
+        ~F.col(digest).eqNullSafe(F.col("_was_digest")), CHANGED
+    )
+    joined = updates.join(before, keys, "left").withColumn(ACTION, action)
+    apply = stage(to_apply(joined).select(*spec.columns, digest, ACTION))
+    changed = apply.filter(F.col(ACTION) == CHANGED).select(*keys)
+    current = with_tracked(current, updates, spec)
+    return Compared(apply, current.join(changed, keys, "left_semi"), current.join(changed, keys, "left_anti"))
+
+
+def digest_name(rows: DataFrame, spec: DimSpec) -> str | None:
+    """The name of the column with the digests of the tracked columns, by their names and types: digests of one name can be
+    compared. None where the types have no digest."""
+    types = [rows.schema[c].dataType for c in spec.tracked]
+    if not digestible(types):
+        return None
+    text = ",".join(f"{c}:{t.simpleString()}" for c, t in zip(spec.tracked, types))
+    return DIGEST + hashlib.sha256(text.encode()).hexdigest()[:12]
+
+
+def with_digest(rows: DataFrame, spec: DimSpec) -> DataFrame:
+    """``rows`` with digests by the types that they have now, and no other ones."""
+    name, rows = digest_name(rows, spec), without_digests(rows)
+    return rows if name is None else rows.withColumn(name, row_digest(spec.tracked))
+
+
+def without_digests(rows: DataFrame) -> DataFrame:
+    return rows.drop(*[c for c in rows.columns if c.startswith(DIGEST)])
+
+
+def digest_of(rows: DataFrame) -> str | None:
+    """The name of the digest column that rows have."""
+    return next((c for c in rows.columns if c.startswith(DIGEST)), None)

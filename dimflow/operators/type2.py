@@ -9,20 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import (
-    ACTION,
-    CHANGED,
-    NEW,
-    WAS,
-    as_they_were,
-    classify,
-    to_apply,
-    untouched,
-    with_tracked,
-)
+from dimflow.operators.changes import ACTION, NEW, compare, digest_of, with_tracked
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.schemas import OPEN_END, DimSpec
-from dimflow.sources.staging import stage
 
 # The columns a Type 2 table adds to its keys and attributes.
 TYPE2_SCHEMA = T.StructType(
@@ -74,17 +63,19 @@ def merge_type2(
     A version covers [effective_start_date, effective_end_date). Changed keys get
     surrogate keys before new ones, each in key order, after ``last_used`` (one row; by
     default the largest current key). The comparison of both sides is staged once, and all
-    parts of the merge read that copy. Older versions are not needed and not read.
+    parts of the merge agree on that copy. Digests that both sides have (`with_digest`) are compared in
+    place of attributes, and go on into the current rows. Older versions are not needed and not read.
     """
     if current is None:
         current = no_type2(updates, spec)
     if last_used is None:
         last_used = last_key(current)
+    digest = [c for c in (digest_of(updates),) if c]
     columns = [*spec.columns, *TYPE2_COLUMNS]
     run_date = F.lit(process_date).cast("date")
-    compared = stage(classify(updates, current, spec))
+    compared = compare(updates, current, spec)
     changes_first = [F.col(ACTION) == NEW, *[F.col(k) for k in spec.keys]]
-    delta = place_in_order(to_apply(compared).select(*spec.columns, ACTION), changes_first)
+    delta = place_in_order(compared.apply, changes_first)
 
     inserted = number_densely(delta, last_used).withColumns(
         {
@@ -93,18 +84,12 @@ def merge_type2(
             "is_current": F.lit(True),
         }
     )
-    was = {c: F.col(WAS + c).alias(c) for c in TYPE2_COLUMNS}
-    ended = {
-        **was,
-        "effective_end_date": run_date.alias("effective_end_date"),
-        "is_current": F.lit(False).alias("is_current"),
-    }
-    changed = compared.filter(F.col(ACTION) == CHANGED)
+    ended = {"effective_end_date": run_date, "is_current": F.lit(False)}
     return Type2Merge(
         delta=delta,
-        expired=as_they_were(changed, spec, list(ended.values())),
-        kept=as_they_were(untouched(compared), spec, list(was.values())),
-        inserted=inserted.select(*columns),
+        expired=compared.changed.withColumns(ended).select(*columns),
+        kept=compared.kept.select(*columns, *digest),
+        inserted=inserted.select(*columns, *digest),
     )
 
 

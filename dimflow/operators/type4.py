@@ -9,17 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import (
-    ACTION,
-    CHANGED,
-    WAS,
-    as_they_were,
-    classify,
-    to_apply,
-    untouched,
-)
+from dimflow.operators.changes import compare, digest_of
 from dimflow.schemas import DimSpec
-from dimflow.sources.staging import stage
 
 # The columns the two Type 4 tables add.
 CURRENT_SCHEMA = T.StructType([T.StructField("record_effective_date", T.DateType())])
@@ -64,20 +55,18 @@ def merge_type4(
     """Apply a slice (one row per key) to a current table; ``None`` means first load.
 
     The comparison of both sides is staged once: the archive and the rebuilt table read that
-    copy, so they agree.
+    copy, so they agree. Digests are compared as `merge_type2` does.
     """
     if current is None:
         current = no_type4(updates, spec)
     columns = [*spec.columns, *CURRENT_SCHEMA.names]
+    digest = [c for c in (digest_of(updates),) if c]
     run_date = F.lit(process_date).cast("date")
-    compared = stage(classify(updates, current, spec))
-    delta = to_apply(compared).select(*spec.columns, ACTION)
-    since = F.col(WAS + "record_effective_date").alias("record_effective_date")
-    changed = compared.filter(F.col(ACTION) == CHANGED)
-    stamps = [run_date.alias("record_end_date"), F.current_timestamp().alias("archived_at")]
+    compared = compare(updates, current, spec)
+    stamps = {"record_end_date": run_date, "archived_at": F.current_timestamp()}
     return Type4Merge(
-        delta=delta,
-        archived=as_they_were(changed, spec, [since, *stamps]),
-        kept=as_they_were(untouched(compared), spec, [since]),
-        inserted=delta.withColumn("record_effective_date", run_date).select(*columns),
+        delta=compared.apply,
+        archived=compared.changed.select(*columns).withColumns(stamps),
+        kept=compared.kept.select(*columns, *digest),
+        inserted=compared.apply.withColumn("record_effective_date", run_date).select(*columns, *digest),
     )

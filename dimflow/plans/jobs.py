@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from dimflow.functions.rules import broken_rules
 from dimflow.operators import quality as q
-from dimflow.operators.changes import of_one_type, with_tracked
+from dimflow.operators.changes import digest_of, of_one_type, with_digest, with_tracked, without_digests
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.splice import Splice, observations, splice
@@ -55,6 +55,7 @@ from dimflow.sources.versions import (
     bucket_of,
     commit_at,
     commit_version,
+    holds_column,
     is_merged,
     last_commit,
     read_current,
@@ -352,6 +353,29 @@ def _touched(updates: DataFrame, spec: DimSpec, commit: Row | None) -> list[int]
     return [r.bucket for r in updates.select(bucket).distinct().collect()]
 
 
+def _current(
+    spark: SparkSession, path: str, commit: Row, buckets: Iterable[int] | None = None
+) -> DataFrame:
+    """The current rows as readers see them, without the digests that merges keep beside them."""
+    return without_digests(read_current(spark, path, commit, buckets))
+
+
+def _to_compare(
+    spark: SparkSession, path: str, commit: Row | None, buckets: list[int], rebuilt: bool, updates: DataFrame, spec: DimSpec
+) -> tuple[DataFrame, DataFrame | None]:
+    """(slice, current rows), of one type, the slice with digests. Those stored with the current rows stay there if all files of the
+    buckets have them by today's tracked columns and types; else they are left out, and the merge makes them from the attributes."""
+    if rebuilt:
+        return with_digest(updates, spec), None
+    stored = read_current(spark, path, commit, buckets)
+    updates, current = of_one_type(updates, without_digests(stored), spec)
+    updates = with_digest(updates, spec)
+    digest = digest_of(updates)
+    if digest in stored.columns and holds_column(spark, path, commit, digest, buckets):
+        return updates, stored
+    return updates, current
+
+
 def _has(commit: Row | None, names: Iterable[str]) -> bool:
     """Whether a table's snapshot has the columns that its type adds. One that has not is built
     again: its history stays readable and its keys go on."""
@@ -395,8 +419,7 @@ def scd2(
             _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
-            current = None if rebuilt else read_current(spark, path, commit, touched)
-            updates, current = of_one_type(updates, current, spec)
+            updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
             last = (commit.last_key if commit else 0) or 0
             last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
             merge = merge_type2(updates, current, spec, process_date, last_used)
@@ -438,7 +461,7 @@ def _spliced(
 
 
 def _splice_type2(spark, path, commit, rows, seen, spec, since, source) -> None:
-    current = read_current(spark, path, commit)
+    current = _current(spark, path, commit)
     history = read_history(spark, path, current.schema, commit, spec.keys, TYPE2_DATES[0])
     made, others, buckets = _spliced(
         spark, path, commit, rows, seen, spec, since, current, history, TYPE2_DATES, ("surrogate_key",)
@@ -457,7 +480,7 @@ def _splice_type2(spark, path, commit, rows, seen, spec, since, source) -> None:
 
 
 def _splice_type4(spark, path, commit, rows, seen, spec, since, source) -> None:
-    current = read_current(spark, path, commit)
+    current = _current(spark, path, commit)
     attributes = [f for f in current.schema if f.name not in CURRENT_SCHEMA.names]
     schema = T.StructType([*attributes, *HISTORY_SCHEMA.fields])
     start, end = HISTORY_SCHEMA.names[:2]
@@ -474,7 +497,7 @@ def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, s
     live = [c for c in others.columns]
     ended = every.filter(~F.col(is_open))
     ended = ended.drop(*[c for c in ("_open",) if c in ended.columns])
-    current = others.unionByName(every.filter(is_open).select(*live))
+    current = with_digest(others.unionByName(every.filter(is_open).select(*live)), spec)
     names = made.outdated.columns
     start = TYPE2_DATES[0] if TYPE2_DATES[0] in live else CURRENT_SCHEMA.names[0]
     outdated = made.outdated.withColumnRenamed(names[-1], start)
@@ -523,7 +546,7 @@ def type2_changes(
     path = f"{dims_path}/{spec.name}"
     old, new = commit_at(spark, path, after), commit_at(spark, path, up_to) if up_to else last_commit(spark, path)
     buckets = [b for b, version in enumerate(new.buckets) if version > after]
-    current = read_current(spark, path, new, buckets)
+    current = _current(spark, path, new, buckets)
     schema = current.schema
     start = TYPE2_DATES[0]
     closed = read_history(spark, path, schema, new, spec.keys, start, after)
@@ -535,9 +558,9 @@ def type2_changes(
     if gone is not None:
         # Few keys: those that late batches have touched.
         before = read_history(spark, path, schema, old, spec.keys, start).unionByName(
-            with_tracked(read_current(spark, path, old), current, spec)
+            with_tracked(_current(spark, path, old), current, spec)
         )
-        stays = read_history(spark, path, schema, new, spec.keys, start).unionByName(read_current(spark, path, new))
+        stays = read_history(spark, path, schema, new, spec.keys, start).unionByName(_current(spark, path, new))
         named = gone.select(*spec.keys, start).distinct()
         removed = before.join(named, [*spec.keys, start], "left_semi").join(
             stays.join(named, [*spec.keys], "left_semi").select("surrogate_key"), "surrogate_key", "left_anti"
@@ -570,8 +593,7 @@ def scd4(
             _refuse_if_late(commit, process_date)
             updates = stage(latest_per_key(rows, spec))
             touched = _touched(updates, spec, commit)
-            current = None if rebuilt else read_current(spark, path, commit, touched)
-            updates, current = of_one_type(updates, current, spec)
+            updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
             merge = merge_type4(updates, current, spec, process_date)
             _commit(spark, path, commit, merge, merge.archived, spec, process_date, None, rebuilt, source)
 

@@ -110,6 +110,16 @@ def _written_as(spark: SparkSession, path: str, columns: T.StructType, versions:
     return out
 
 
+def holds_column(
+    spark: SparkSession, path: str, commit: Row, name: str, buckets: Collection[int] | None = None
+) -> bool:
+    """Whether all files of a snapshot, or of some buckets of it, were written with a column of this name."""
+    versions = {v for b, v in enumerate(commit.buckets) if v and (buckets is None or b in buckets)}
+    commits = read_log(spark, f"{path}/commits", COMMIT_SCHEMA).filter(F.col("version").isin(*versions))
+    rows = commits.select("columns").collect() if versions else []  # a row per run
+    return all(name in T.StructType.fromDDL(row["columns"]).names for row in rows)
+
+
 def read_history(
     spark: SparkSession,
     path: str,

@@ -10,8 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from dimflow.functions.compare import any_differs
-from dimflow.operators.changes import classify
+from dimflow.functions.compare import any_differs, digestible, row_digest
+from dimflow.operators import changes
+from dimflow.operators.changes import classify, digest_of, with_digest, without_digests
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.operators.type2 import TYPE2_COLUMNS, apply_type2, last_key, merge_type2
@@ -289,3 +290,69 @@ def test_merges_equal_a_replay_by_hand(spark, batches):
     assert texts(archived) == texts((*v[:4], v[5], v[6]) for v in versions)
     # The largest key is always a current one, which lets merges leave history unread.
     assert rows_of(last_key(dim)) == rows_of(last_key(dim.filter("is_current")))
+
+
+# Digests
+
+
+def test_digests_agree_with_the_comparison(spark):
+    """Over all pairs of rows of special values, moved ones and types."""
+    values = [
+        (None, None, None, None), ("", None, None, None), (None, NAN, None, None), ("x", 0.0, 1, D1), ("x", -0.0, 1, D1),
+        ("x", None, 1, D1), (None, 1.0, 1, D1), ("1", None, None, None), (None, 1.0, None, None), (None, None, 1, None),
+        ("x", 0.0, 0, D1), ("x", 0.0, None, D1), ("x", 0.0, 1, D2), ("x,", 0.0, 1, D1), ("0:x", 0.0, 1, D1),
+    ]
+    names = ["s", "x", "n", "d"]
+    rows = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "i int, s string, x double, n int, d date")
+    rows = rows.withColumn("digest", row_digest(names))
+    pairs = rows.join(rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns]), F.col("i") <= F.col("_i"))
+    both = pairs.select(any_differs((c, f"_{c}") for c in names).alias("differs"), (F.col("digest") != F.col("_digest")).alias("told"))
+    assert rows_of(both.distinct()) == [(False, False), (True, True)]
+    assert both.filter("not differs").count() == len(values) + 1
+
+
+def test_what_has_no_digest(spark):
+    schema = spark.createDataFrame([], "a int, s string, d decimal(9,2), l array<int>, c string collate utf8_lcase").schema
+    assert [digestible([f.dataType]) for f in schema] == [True, True, True, False, False]
+    nested = DimSpec("dim", keys=("k",), tracked=("l",), order_by=())
+    rows = spark.createDataFrame([(1, [1]), (2, [1])], "k int, l array<int>")
+    assert digest_of(with_digest(rows, nested)) is None
+    later = with_digest(spark.createDataFrame([(1, [1, None]), (2, [1])], "k int, l array<int>"), nested)
+    assert merge_type4(later, merge_type4(rows, None, nested, D1).current, nested, D2).archived.count() == 1
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_merges_by_digest_equal_merges_by_attributes(spark, seed):
+    rng = random.Random(seed)
+
+    def batch():
+        return pairs(spark, *[
+            (a, b, rng.choice(["", "x", None]), rng.choice([0.0, -0.0, NAN, None])) for a in "pqr" for b in range(8) if rng.random() < 0.7
+        ])
+
+    def shown(df):  # NaN does not equal itself
+        return list(map(repr, rows_of(df)))
+
+    plain = digested = plain4 = digested4 = None
+    for date in (D1, D2, D3):
+        rows = stage(batch())
+        one, two = merge_type2(rows, plain, PAIR, date), merge_type2(with_digest(rows, PAIR), digested, PAIR, date)
+        assert shown(two.expired) == shown(one.expired) and two.expired.columns == one.expired.columns
+        plain, digested = stage(one.current), stage(two.current)
+        assert digest_of(digested) and shown(without_digests(digested)) == shown(plain)
+        one, two = merge_type4(rows, plain4, PAIR, date), merge_type4(with_digest(rows, PAIR), digested4, PAIR, date)
+        assert shown(two.archived.drop("archived_at")) == shown(one.archived.drop("archived_at"))
+        plain4, digested4 = stage(one.current), stage(two.current)
+        assert shown(without_digests(digested4)) == shown(plain4)
+
+
+def test_comparing_reads_keys_and_digests_only(spark, monkeypatch):
+    current = stage(with_digest(pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "x", 1.0)), PAIR))
+    staged = []
+    monkeypatch.setattr(changes, "stage", lambda df: staged.append(df) or stage(df))
+    updates = with_digest(pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "y", 1.0), ("c", 1, "x", 1.0)), PAIR)
+    compared = changes.compare(updates, current, PAIR)
+    digest = digest_of(current)
+    assert f"ReadSchema: struct<a:string,b:int,{digest}:binary>" in plan_of(staged[0])
+    assert rows_of(compared.apply, "a", changes.ACTION) == [("b", "changed"), ("c", "new")]
+    assert rows_of(compared.changed, "a") == [("b",)] and rows_of(compared.kept, "a") == [("a",)]
