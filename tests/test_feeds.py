@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_splice import BATCHES, csv_file, day, run
 
-from dimflow.operators.changes import wider
+from dimflow.operators import type2
+from dimflow.operators.changes import digest_of, wider
 from dimflow.plans import jobs
 from dimflow.schemas import DIM_CUSTOMER, OPEN_END, DimSpec
 from dimflow.sources import versions
@@ -112,3 +113,26 @@ def test_late_batches_of_another_type(spark, loans, folder):
     assert rows_of(jobs.read_type2(spark, dims, COUNTED), "n", "effective_start_date", "effective_end_date") == [
         (1.0, day(0), day(1)), (2.5, day(1), day(2)), (3.0, day(2), OPEN_END),
     ]
+
+
+def test_stored_digests_are_used_until_a_type_changes(spark, folder, monkeypatch):
+    spec = DimSpec("dim", keys=("k",), tracked=("v",), order_by=())
+    path, given = folder("dims"), []
+    compare = type2.compare
+    monkeypatch.setattr(type2, "compare", lambda u, c, s: given.append(digest_of(c) == digest_of(u)) or compare(u, c, s))
+
+    def merge(rows, schema, date):
+        jobs.scd2(spark, spark.createDataFrame(rows, schema), path, date, [spec])
+
+    merge([(k, k) for k in range(40)], "k int, v int", dt.date(2024, 1, 1))
+    merge([(1, 1), (2, 7)], "k int, v int", dt.date(2024, 1, 2))
+    merge([(1, 1), (3, 2**40)], "k int, v long", dt.date(2024, 1, 3))  # other buckets keep the digests of the old type
+    merge([(1, 1), (2, 7), (3, 5), (4, None)], "k int, v long", dt.date(2024, 1, 4))
+    assert given == [False, True, False, False]
+    rows = jobs.read_type2(spark, path, spec)
+    assert rows.columns == ["k", "v", *type2.TYPE2_COLUMNS]
+    assert rows_of(rows.filter("k < 5"), "k", "v", "is_current") == [
+        (0, 0, True), (1, 1, True), (2, 2, False), (2, 7, True), (3, 2**40, False), (3, 3, False), (3, 5, True),
+        (4, 4, False), (4, None, True),
+    ]
+    assert rows.count() == 44
