@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.sources.staging import stage
 
-FIT_ROWS = 20_000
+FIT_ROWS = 8_000
 FIT_QUERIES = 400
 FIT_SHARE = 0.98
 BITS, WIDTH = 512, 8
@@ -60,10 +60,14 @@ class Coder:
         return np.packbits(z > 0, axis=1, bitorder="little")
 
 
-def apart(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Bits by which codes differ from another."""
-    words = np.ascontiguousarray(codes).view(np.uint64) ^ np.ascontiguousarray(code).view(np.uint64)
-    return np.bitwise_count(words).sum(axis=-1, dtype=np.int64)
+def words(codes: np.ndarray) -> np.ndarray:
+    """Codes as words of 64 bits, the first words of all codes before the second ones."""
+    return np.ascontiguousarray(np.moveaxis(np.ascontiguousarray(codes).view(np.uint64), -1, 0))
+
+
+def apart(some: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Bits by which codes, given as words, differ from others."""
+    return np.bitwise_count(some ^ other).sum(axis=0, dtype=np.int16)
 
 
 def fit(x: np.ndarray, norm: float, k: int, seed: int = 3) -> Coder:
@@ -75,10 +79,10 @@ def fit(x: np.ndarray, norm: float, k: int, seed: int = 3) -> Coder:
     y = whole - centre
     _, axes = np.linalg.eigh(y.T @ y)
     axes = axes[:, ::-1][:, :BITS]
+    v = y @ axes
     turns = []
     while sum(t.shape[1] for t in turns) < BITS:  # short vectors: several rotations
         r, _ = np.linalg.qr(rng.normal(size=(axes.shape[1], axes.shape[1])))
-        v = y @ axes
         for _ in range(30):
             u, _, w = np.linalg.svd(np.where(v @ r > 0, 1.0, -1.0).T @ v)
             r = (u @ w).T
@@ -90,7 +94,7 @@ def fit(x: np.ndarray, norm: float, k: int, seed: int = 3) -> Coder:
     score = chosen @ x.T
     score[np.arange(len(chosen)), np.arange(len(chosen))] = -np.inf
     near = np.argsort(-score, axis=1)[:, : min(k, len(x) - 1)]
-    bits = apart(coder.codes(x, False)[near], coder.codes(chosen, True)[:, None])
+    bits = apart(words(coder.codes(x, False))[:, near], words(coder.codes(chosen, True))[:, :, None])
     if bits.size:
         coder.radius = int(np.quantile(bits, FIT_SHARE, method="higher"))
     return coder
@@ -100,7 +104,7 @@ class Index:
     """The substring indexes of a batch: for each substring and value, the rows as a bitset."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes, self.n = codes, len(codes)
+        self.words, self.n = words(codes), len(codes)
         values = np.arange(1 << WIDTH)[:, None]
         self.buckets = [np.packbits(values == part, axis=1) for part in codes.T]
         self.balls: dict[tuple[int, int], np.ndarray] = {}
@@ -129,9 +133,9 @@ class Index:
 
     def within(self, codes: np.ndarray, radius: int) -> Iterator[np.ndarray]:
         """For each code all rows whose code is within the radius, in order."""
-        for code, found in zip(codes, self.probe(codes, radius)):
+        for code, found in zip(words(codes).T, self.probe(codes, radius)):
             rows = np.flatnonzero(np.unpackbits(found, count=self.n))
-            yield rows[apart(self.codes[rows], code) <= radius]
+            yield rows[apart(np.take(self.words, rows, axis=1), code[:, None]) <= radius]
 
 
 @dataclass
