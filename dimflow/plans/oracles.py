@@ -218,6 +218,19 @@ ORACLES: dict[str, str] = {
             f"CASE WHEN {w} THEN '{n}' END" for n, w in _FLAGS.items())}) AS broken_rules, true AS known_source
  FROM loans WHERE NOT ({_VALID_WHEN})""",
     ),
+    "ingest_empty_sides": _text(
+        _LOANS,
+        body=" UNION ALL ".join(
+            f"SELECT '{side}' AS side, '{place}' AS place,"
+            f" {'least(count(*), 1)' if place == 'log' else 'count(*)'} AS n_rows,"
+            f" CAST(0 AS BIGINT) AS untimed, CAST(1 AS BIGINT) AS times FROM loans WHERE {which}"
+            for side, which, places in (
+                ("clean", f"({_VALID_WHEN})", ("ingested", "transformed", "log")),
+                ("broken", f"NOT ({_VALID_WHEN})", ("quarantined", "log")),
+            )
+            for place in places
+        ),
+    ),
     "quality_report": _text(_LOANS, _FLAGGED, _TOTALS, body=_METRICS),
     "run_type2": _text(_CHANGES, _CUSTOMER, body=_type2(DIM_CUSTOMER)),
     "run_type2_loan": _text(_CHANGES, _LOAN, body=_type2(DIM_LOAN)),

@@ -269,6 +269,35 @@ def quarantine_reasons(spark, sf_dir):
     )
 
 
+def ingest_empty_sides(spark, sf_dir):
+    """A file of valid rows only, one of broken rows only and an empty one: the rows that each leaves in each
+    table, those of them without a time, and their times, which are one for each run."""
+    landing, transformed, date = new_folder(spark, "landing"), new_folder(spark, "transformed"), BATCHES[-1].process_date
+    valid, broken = split_valid(loans(spark, sf_dir))
+    side_of = []
+    for side, rows in {"clean": valid, "broken": broken, "empty": valid.filter("false")}.items():
+        csv = _as_csv(rows, "csv")
+        batch = jobs.batch_of(csv, date)
+        jobs.ingest(spark, csv, landing, date, _PARTITION_BY)
+        jobs.transform(spark, landing, transformed, batch, _PARTITION_BY)
+        side_of += [F.lit(batch.input), F.lit(side)]
+    tables = {
+        "ingested": (jobs.read_ingested(spark, landing), "ingestion_timestamp"),
+        "quarantined": (jobs.read_quarantine(spark, landing), "error_timestamp"),
+        "transformed": (jobs.read_transformed(spark, transformed), "transformation_timestamp"),
+        "log": (read_log(spark, f"{landing}/log", jobs.INGEST_LOG_SCHEMA), "ingestion_timestamp"),
+    }
+    counted = [
+        rows.groupBy(F.create_map(*side_of)[F.col("input")].alias("side"), F.lit(place).alias("place")).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(time).isNull()).alias("untimed"),
+            F.count_distinct(time).alias("times"),
+        )
+        for place, (rows, time) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def quality_report(spark, sf_dir):
     landing, batch = _ingested(spark, sf_dir)
     reports = f"{new_folder(spark, 'reports')}/quality"  # error rows lie beside it
@@ -484,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "ingest_valid": ingest_valid,
     "ingest_quarantine": ingest_quarantine,
     "quarantine_reasons": quarantine_reasons,
+    "ingest_empty_sides": ingest_empty_sides,
     "quality_report": quality_report,
     "run_type2": run_type2,
     "run_type2_loan": run_type2_loan,
