@@ -47,6 +47,45 @@ SENTENCES = {
     "cc-by-sa-4-notice": "Licensed under CC BY-SA 4.0",
     "cc0-notice": "Released under CC0 1.0",
     "all-rights": "All rights reserved",
+    "gpl-2-notice": "This work is licensed under the GNU General Public License, version 2",
+    "agpl-3-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl-details": "See the GNU Affero General Public License for more details",
+    "agpl-received": "You should have received a copy of the GNU Affero General Public License along with this program",
+    "lgpl-2.1-grant": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl-3-grant": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "gnu-library-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "lgpl-details": "See the GNU Lesser General Public License for more details",
+    "lgpl-received": "You should have received a copy of the GNU Lesser General Public License along with this library",
+    "mpl-2-version": "2.0",
+    "mpl-2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    "mpl-2-copy-2": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    "bsd-no-liability": "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+    "bsd-2-notice": "Licensed under the BSD 2-Clause License",
+    "bsd-3-notice": "Licensed under the BSD 3-Clause License",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS",
+    "isc-no-liability": "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE",
+    "isc-notice": "Licensed under the ISC License",
+    "unlicense-public": "This is free and unencumbered software released into the public domain",
+    "unlicense-grant": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-no-liability": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0",
+    "cc-by-nd-4-notice": "Licensed under CC BY-ND 4.0",
+    "cc-by-nc-sa-4-notice": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-nc-nd-4-notice": "Licensed under CC BY-NC-ND 4.0",
+    "cc-by-4-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-sa-4-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc-4-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nd-4-work": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-nc-sa-4-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nc-nd-4-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
 }
 
 #: (licence, rule): identifiers of neighbouring sentences. Earlier rules win.
@@ -57,6 +96,21 @@ RULES = [
     ("GPL-2.0-or-later", ("gpl-2-grant", "gnu-hope", "gpl-details", "gpl-received")),
     ("GPL-3.0-or-later", ("gpl-3-grant", "gnu-hope", "gpl-details")),
     ("GPL-2.0-or-later", ("gpl-2-grant", "gnu-hope", "gpl-details")),
+    ("AGPL-3.0-or-later", ("agpl-3-grant", "gnu-hope", "agpl-details", "agpl-received")),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-grant", "gnu-library-hope", "lgpl-details", "lgpl-received")),
+    ("LGPL-3.0-or-later", ("lgpl-3-grant", "gnu-library-hope", "lgpl-details", "lgpl-received")),
+    ("AGPL-3.0-or-later", ("agpl-3-grant", "gnu-hope", "agpl-details")),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-grant", "gnu-library-hope", "lgpl-details")),
+    ("LGPL-3.0-or-later", ("lgpl-3-grant", "gnu-library-hope", "lgpl-details")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-no-liability")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-no-liability")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("ISC", ("isc-grant", "isc-as-is", "isc-no-liability")),
+    ("MPL-2.0", ("mpl-2-notice", "mpl-2-version", "mpl-2-copy")),
+    ("MPL-2.0", ("mpl-2-notice", "mpl-2-version", "mpl-2-copy-2")),
+    ("Zlib", ("zlib-as-is", "zlib-no-liability", "zlib-grant")),
+    ("Unlicense", ("unlicense-public", "unlicense-grant")),
     ("MIT", ("mit-grant",)),
     ("GPL-3.0-or-later", ("gpl-3-grant",)),
     ("GPL-2.0-or-later", ("gpl-2-grant",)),
@@ -72,6 +126,27 @@ RULES = [
     ("CC-BY-4.0", ("cc-by-4-notice",)),
     ("CC0-1.0", ("cc0-notice",)),
     ("all-rights-reserved", ("all-rights",)),
+    ("GPL-2.0", ("gpl-2-notice",)),
+    ("AGPL-3.0-or-later", ("agpl-3-grant",)),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-grant",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-grant",)),
+    ("MPL-2.0", ("mpl-2-copy",)),
+    ("MPL-2.0", ("mpl-2-copy-2",)),
+    ("BSD-2-Clause", ("bsd-2-notice",)),
+    ("BSD-3-Clause", ("bsd-3-notice",)),
+    ("ISC", ("isc-grant",)),
+    ("ISC", ("isc-notice",)),
+    ("Unlicense", ("unlicense-public",)),
+    ("BSL-1.0", ("boost-notice",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4-notice",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4-notice",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4-notice",)),
+    ("CC-BY-4.0", ("cc-by-4-work",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4-work",)),
+    ("CC-BY-NC-4.0", ("cc-by-nc-4-work",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4-work",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4-work",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4-work",)),
 ]
 
 WRAPPED = "\\n[ \\t]*([a-z(\"])"
@@ -134,24 +209,27 @@ def scan(
         return F.concat(F.when(follows, "").otherwise(GAP), F.lit("<"), x["id"], F.lit(">"))
 
     left = F.array_join(F.transform(hit, marked), "")
-    # Each rule counts its sequence in what earlier rules have left, then takes it out.
-    steps = per_text.select("doc_id", left.alias("left0"))
-    every = [*rules, (UNKNOWN, (UNKNOWN,))]
-    counts = []
-    for k, (licence, ids) in enumerate(every):
-        wanted = "".join(f"<{i}>" for i in ids)
-        rest = F.replace(F.col(f"left{k}"), F.lit(wanted), F.lit(GAP))
-        taken = F.length(f"left{k}") - F.length(f"left{k + 1}")
-        steps = steps.withColumn(f"left{k + 1}", rest)
-        counts.append(
+    # Each rule counts its sequence in what earlier rules have left, then takes it out. The rules are an array of
+    # constants that is folded, so the plan stays as small with any number of them.
+    every = F.array(
+        *(
             F.struct(
                 F.lit(licence).alias("licence"),
                 F.lit("+".join(ids)).alias("rule"),
-                (taken / (len(wanted) - len(GAP))).cast("int").alias("matches"),
+                F.lit("".join(f"<{i}>" for i in ids)).alias("wanted"),
             )
+            for licence, ids in [*rules, (UNKNOWN, (UNKNOWN,))]
         )
-    return (
-        steps.select("doc_id", F.explode(F.array(*counts)).alias("m"))
-        .select("doc_id", "m.licence", "m.rule", "m.matches")
-        .filter("matches > 0")
     )
+    nothing = F.struct(left.alias("left"), F.lit([]).cast("array<struct<licence: string, rule: string, matches: int>>").alias("found"))
+
+    def applied(state, rule):
+        rest = F.replace(state["left"], rule["wanted"], F.lit(GAP))
+        each = F.length(rule["wanted"]) - len(GAP)
+        matches = ((F.length(state["left"]) - F.length(rest)) / each).cast("int").alias("matches")
+        one = F.array(F.struct(rule["licence"].alias("licence"), rule["rule"].alias("rule"), matches))
+        found = F.when(F.contains(state["left"], rule["wanted"]), F.concat(state["found"], one)).otherwise(state["found"])
+        return F.struct(rest.alias("left"), found.alias("found"))
+
+    matched = F.aggregate(every, nothing, applied)["found"]
+    return per_text.select("doc_id", F.explode(matched).alias("m")).select("doc_id", "m.licence", "m.rule", "m.matches")

@@ -38,6 +38,32 @@ def test_sequences_and_the_order_of_rules(spark, table):
     ]
 
 
+def test_longer_texts_of_other_licences(spark, table):
+    """Sequences that share their first sentences: the longest rule takes them."""
+    def text(*ids):
+        return "\n".join(f"{SENTENCES[i]}." for i in ids)
+
+    bsd = ("bsd-grant", "bsd-source", "bsd-binary")
+    tail = ("bsd-as-is", "bsd-no-liability")
+    found = scan(
+        table,
+        text(*bsd, "bsd-endorse", *tail),
+        text(*bsd, *tail),
+        text("isc-grant", "isc-as-is", "isc-no-liability"),
+        text("lgpl-2.1-grant", "gnu-library-hope", "lgpl-details", "lgpl-received"),
+        text("agpl-3-grant", "gnu-hope", "agpl-details"),
+        "This Source Code Form is subject\nto the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "version\n2.0\nof something",
+        text("cc-by-nc-sa-4-work", "cc-by-4-work", "cc-by-4-work"),
+    )
+    assert found[5][2] == "mpl-2-notice+mpl-2-version+mpl-2-copy-2"
+    assert [(doc, licence, matches) for doc, licence, _, matches in found] == [
+        (0, "BSD-3-Clause", 1), (1, "BSD-2-Clause", 1), (2, "ISC", 1), (3, "LGPL-2.1-or-later", 1),
+        (4, "AGPL-3.0-or-later", 1), (5, "MPL-2.0", 1), (7, "CC-BY-4.0", 2), (7, "CC-BY-NC-SA-4.0", 1),
+    ]
+
+
 def test_brute_force(spark, table, rng):
     """The same by hand: sentences to ids, and rules taken out of the sequence in their order."""
     known = {licences.plain(s): i for i, s in SENTENCES.items()}
