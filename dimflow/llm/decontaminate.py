@@ -45,7 +45,7 @@ WINDOW = 10
 SHARE = 0.25
 #: Bits of the Bloom filter, and how many a window sets.
 FILTER_BITS, FILTER_SETS = 1 << 23, 2
-#: Words that a task remembers at most.
+#: A task that remembers more words than this forgets them.
 REMEMBERED = 200_000
 
 # Words for numbers, and units of measure.
@@ -57,6 +57,7 @@ millimeter millimeters centimeter centimeters meter meters metre metres kilomete
 yard yards mile miles gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres gallon
 gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent
 cents euro euros percent degree degrees celsius fahrenheit watt watts volt volts""".split())
+NOT_PLAIN = NUMBER_WORDS | UNITS
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
 MARKS = string.punctuation + "“”‘’«»…–—¿¡"
 OUTER_MARKS = MARKS.translate(str.maketrans("", "", "$+-%"))  # those that no number begins or ends with
@@ -90,6 +91,18 @@ def template_tokens(word: str) -> list[tuple[int, str]]:
     return [(WORD, low)]
 
 
+class Vocabulary(dict):
+    """Numbers of words, in the order in which they were first asked for; `new` has those not analysed yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        self.new.append(word)
+        return at
+
+
 class Templates:
     """Template tokens of many texts at once. Words are analysed once and remembered."""
 
@@ -97,53 +110,68 @@ class Templates:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Vocabulary()
+        #: Each word's first token and how many it has.
+        self.first, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        #: Of each token.
         self.values: list[str] = []
-        self.kinds = np.empty((0, 2), np.int8)
-        self.hashes = np.empty((FORMS, 0, 2), np.uint64)
-
-    def learn(self, words: list[str]) -> None:
-        new = set(words) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.forget()
-            new = set(words)
-        # Most words are words: their tokens are gathered in lists, and the arrays made at once.
-        digest, at = xxhash.xxh64_intdigest, len(self.known)
-        first, plain, others = [], [], []
-        for k, word in enumerate(new):
-            tokens = template_tokens(word)
-            kind, value = tokens[0] if tokens else (NONE, "")
-            first.append(kind)
-            plain.append(digest(value, 1) if kind == WORD or kind == NAME else 0)
-            self.values.append(value)
-            self.values.append(tokens[1][1] if len(tokens) > 1 else "")
-            if kind != WORD and tokens:
-                others.append((k, tokens))
-        self.known.update(zip(new, range(at, at + len(new))))
-        kinds, hashes = np.full((len(new), 2), NONE, np.int8), np.zeros((FORMS, len(new), 2), np.uint64)
-        kinds[:, 0] = first
-        hashes[:, :, 0] = np.array(plain, np.uint64)
-        for k, tokens in others:
-            for j, (kind, value) in enumerate(tokens):
-                kinds[k, j] = kind
-                hashes[TEMPLATE, k, j] = PLACEHOLDERS[kind]
-                if kind != NAME:
-                    hashes[FOLDED, k, j] = PLACEHOLDERS[kind]
-                    hashes[EXACT, k, j] = digest(value.lower(), 3)
+        self.kinds = np.empty(0, np.int8)
+        self.hashes = np.empty((FORMS, 0), np.uint64)
+
+    def learn(self) -> None:
+        """Analyse the words that are new."""
+        new, self.known.new = self.known.new, []
+        if not new:
+            return
+        # Most words are plain ones, in small letters but for marks around them: what they are is seen without a search.
+        digest, begin = xxhash.xxh64_intdigest, len(self.values)
+        values = [word.strip(MARKS) for word in new]
+        kinds = np.full(len(new), WORD, np.int8)
+        others = [k for k, v in enumerate(values) if not (v.isalpha() and v.islower()) or v in NOT_PLAIN]
+        kinds[others] = NONE
+        plain = np.array([digest(v, 1) for v in values], np.uint64)
+        first, count = np.arange(begin, begin + len(new)), np.ones(len(new), np.int64)
+        more: list[tuple[int, str]] = []
+        for k in others:
+            tokens = template_tokens(new[k])
+            count[k] = len(tokens)
+            if len(tokens) == 1:
+                kinds[k], values[k] = tokens[0]
+                plain[k] = digest(values[k], 1)
+            elif tokens:
+                first[k] = begin + len(new) + len(more)
+                more += tokens
+        kinds = np.concatenate([kinds, np.array([kind for kind, _ in more], np.int8)])
+        values += [value for _, value in more]
+        plain = np.concatenate([plain, np.array([digest(value, 1) for _, value in more], np.uint64)])
+        hashes = np.stack([plain] * FORMS)
+        for k in np.flatnonzero((kinds != WORD) & (kinds != NONE)).tolist():
+            kind = int(kinds[k])
+            hashes[TEMPLATE, k] = PLACEHOLDERS[kind]
+            if kind != NAME:
+                hashes[FOLDED, k] = PLACEHOLDERS[kind]
+                hashes[EXACT, k] = digest(values[k].lower(), 3)
+        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
+        self.values += values
         self.kinds = np.concatenate([self.kinds, kinds])
         self.hashes = np.concatenate([self.hashes, hashes], axis=1)
 
-    def __call__(self, texts: list[str | None]):
-        """(kind, hashes in each form, place of the value) of the tokens of all texts, and each token's text."""
-        split = [(t or "").split() for t in texts]
-        words = [w for ws in split for w in ws]
-        self.learn(words)
-        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
-        kinds = self.kinds[ids].ravel()
-        there = kinds != NONE
-        value = (ids[:, None] * 2 + np.arange(2)).ravel()[there]
-        return kinds[there], self.hashes[:, ids].reshape(FORMS, -1)[:, there], value, np.repeat(owner, 2)[there]
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all texts, as places in `kinds`, `hashes` and `values`, and each token's text."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        ids, owner = [], []
+        for text in texts:
+            words = (text or "").split()
+            owner.append(len(words))
+            ids.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+        self.learn()
+        ids, owner = np.concatenate(ids), np.repeat(np.arange(len(texts)), owner)
+        first, count = self.first[ids], self.count[ids]
+        if (count != 1).any():
+            within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            return np.repeat(first, count) + within, np.repeat(owner, count)
+        return first, owner
 
 
 BASE = 0x9E3779B97F4A7C15
@@ -201,7 +229,8 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
-                kind, hashes, value, owner = templates(part.column("text").to_pylist())
+                token, owner = templates(part.column("text").to_pylist())
+                kind = templates.kinds[token]
                 first = np.searchsorted(owner, np.arange(len(part)))
                 sizes = np.bincount(owner, minlength=len(part))
                 words = np.concatenate([[0], np.cumsum(kind == WORD)])
@@ -230,7 +259,7 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                         if not len(starts):
                             continue
                         if form not in sums:
-                            sums[form] = WindowHashes(hashes[form], powers)
+                            sums[form] = WindowHashes(templates.hashes[form][token], powers)
                         window = sums[form].at(starts, n)
                         if bits is not None:
                             for k in range(FILTER_SETS):
@@ -238,7 +267,7 @@ def windows(texts: DataFrame, key: str, text: str, length: int, shorts: list[int
                                 hit = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) == 1
                                 starts, window = starts[hit], window[hit]
                         for k, w in zip(starts.tolist(), window.view(np.int64).tolist()):
-                            slots = [templates.values[v] for v in value[k : k + n][slot[k : k + n]]]
+                            slots = [templates.values[v] for v in token[k : k + n][slot[k : k + n]]]
                             rows.append((int(owner[k]), k - int(first[owner[k]]), w, n, slots, form))
                 of, pos, found, size, slots, form = zip(*rows) if rows else ((),) * 6
                 yield pa.RecordBatch.from_arrays(
