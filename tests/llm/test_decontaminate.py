@@ -127,6 +127,78 @@ def test_equals_brute_force(spark, table, rng):
     assert sorted(found) == brute_force(docs, questions, d.SHARE)
 
 
+def brute_force_whole(docs, questions):
+    """As the module states it for ``whole``: every window of a question against every place of a document, token by token."""
+    tokens = lambda t: [x for w in (t or "").split() for x in d.template_tokens(w)]
+    numeric = (d.NUM, d.UNIT)
+
+    def forms(part, of_question):
+        """(form, what is compared, values of its slots) of a window."""
+        plain, named = (sum(k == kind for k, _ in part) for kind in (d.WORD, d.NAME))
+        counts = 2 * plain >= len(part)
+        if counts:
+            yield (d.TEMPLATE, [(k, v if k == d.WORD else "") for k, v in part], [v for k, v in part if k != d.WORD])
+        if named and (counts if of_question else 2 * (plain + named) >= len(part)):
+            text = [(k, "") if k in numeric else (d.WORD, v) for k, v in part]
+            yield d.FOLDED, text, [v for k, v in part if k in numeric]
+        if not counts if of_question else plain + named < len(part):
+            yield d.EXACT, [("value", v.lower()) if k in numeric else (d.WORD, v) for k, v in part], []
+
+    def consistent(pairs):
+        return len({wanted for wanted, _ in pairs}) == len(pairs)
+
+    out = set()
+    for item, q in questions:
+        asked = tokens(q)
+        n = min(len(asked), d.WINDOW)
+        wanted = {k: list(forms(asked[k : k + n], True)) for k in range(len(asked) - n + 1)} if n else {}
+        worded = sum(any(form != d.EXACT for form, _, _ in fs) for fs in wanted.values())
+        share = lambda covered, words: max(len(covered) / len(wanted), len(words) / worded if worded else 0)
+        for doc, t in docs:
+            text, found = tokens(t), {}
+            for pos in range(len(text) - n + 1) if n else ():
+                for form, theirs, slots in forms(text[pos : pos + n], False):
+                    for k, fs in wanted.items():
+                        for asked_form, ours, values in fs:
+                            if ours == theirs:
+                                covered, words, pairs = found.setdefault((pos - k, form), (set(), set(), set()))
+                                covered.add(k)
+                                pairs |= set(zip(values, slots))
+                                if asked_form != d.EXACT:
+                                    words.add(k)
+            near, last = [], None
+            for (shift, form), (covered, words, pairs) in sorted(found.items()):
+                if consistent(pairs):
+                    if last is None or shift - last >= len(wanted) + n - 1:
+                        near.append([])
+                    near[-1].append((-share(covered, words), shift, form, covered, words, pairs))
+                    last = shift
+            for group in near:
+                covered, words, pairs = set(), set(), set()
+                for *_, more, more_words, more_pairs in sorted(group, key=lambda o: o[:3]):
+                    if more - covered and consistent(pairs | more_pairs):
+                        covered, words, pairs = covered | more, words | more_words, pairs | more_pairs
+                if share(covered, words) >= d.SHARE:
+                    out.add((doc, item))
+    return sorted(out)
+
+
+def test_whole_equals_brute_force(spark, table, rng):
+    vocabulary = ["the", "cow", "Bob", "bob", "BOB", "Eve", "ran", "3", "44", "km", "Two", "and", "house", "Tall", "sat", "5kg"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    questions = [(i, text(rng.choice([2, 5, 9, 14, 30]))) for i in range(20)] + [(50, "3 Bob 44"), (51, None), (52, "")]
+    docs = [(200, None), (201, ""), (202, "--"), (203, "long text " * 20_000 + questions[3][1]), (203, "3 Bob 44")]
+    for i in range(60):
+        words = rng.choice(questions[:20])[1].replace("44", rng.choice(["44", "45"])).split()
+        for _ in range(rng.randrange(3)):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["calm", "7", "Ann"]))
+        copy = " ".join(words)
+        docs.append((i, " ".join([text(rng.randrange(30)), rng.choice([copy, copy.upper(), copy.lower()]), text(5)])))
+    found = rows_of(find_whole(spark, table, docs, questions), "doc_id", "item_id")
+    expected = brute_force_whole(docs, questions)
+    assert sorted(set(found)) == expected and len(expected) > 30
+
+
 def test_clean_and_special_rows(spark, table):
     docs = [(1, around(QUESTION)), (2, None), (3, ""), (4, "kept"), (4, "kept"), (None, around(QUESTION)),
             (5, "long words here " * 30_000 + QUESTION)]
