@@ -16,6 +16,7 @@ from dimflow.sources.staging import stage
 NEW, CHANGED, SAME, ABSENT = "new", "changed", "same", "absent"
 ACTION, WAS = "_action", "_was_"
 DIGEST = "_digest_"  # how names of digest columns begin
+FEW_KEYS = 500_000  # so many changed keys are broadcast
 
 
 def classify(updates: DataFrame, current: DataFrame, spec: DimSpec) -> DataFrame:
@@ -111,6 +112,12 @@ def compare(updates: DataFrame, current: DataFrame, spec: DimSpec) -> Compared:
     if digest is not None:
         if digest not in current.columns:
             current = with_digest(with_tracked(current, updates, spec), spec)
+    if current.isEmpty():
+        # A first load, for one: all keys are new, and there is nothing to agree on.
+        now = [*spec.columns, *([digest] if digest else []), F.lit(NEW).alias(ACTION)]
+        none = with_tracked(current, updates, spec)
+        return Compared(updates.select(*now), none, none)
+    if digest is not None:
         return _by_digest(updates, current, spec, digest)
     compared = stage(classify(updates, current, spec))
     was = [F.col(WAS + c).alias(c) for c in current.columns if c not in spec.columns]
@@ -124,7 +131,8 @@ def compare(updates: DataFrame, current: DataFrame, spec: DimSpec) -> Compared:
 
 def _by_digest(updates: DataFrame, current: DataFrame, spec: DimSpec, digest: str) -> Compared:
     """Of the current rows, only keys and digests are read and shuffled to find what changes. Their attributes are read once that is
-    known: of changed keys, and of the others to be written beside them, which meet the few changed keys without a wide shuffle."""
+    known: of changed keys, and of the others to be written beside them. They meet few changed keys without a wide shuffle, and many
+    in one, which is staged."""
     keys = list(spec.keys)
     before = current.select(*keys, F.col(digest).alias("_was_digest"), F.lit(True).alias("_was_there"))
     action = F.when(F.col("_was_there").isNull(), NEW).when(
@@ -134,6 +142,10 @@ def _by_digest(updates: DataFrame, current: DataFrame, spec: DimSpec, digest: st
     apply = stage(to_apply(joined).select(*spec.columns, digest, ACTION))
     changed = apply.filter(F.col(ACTION) == CHANGED).select(*keys)
     current = with_tracked(current, updates, spec)
+    if changed.count() > FEW_KEYS:
+        # Too many to broadcast: the current rows meet them in one wide shuffle, not in one for each part.
+        met = stage(current.join(changed.withColumn("_met", F.lit(True)), keys, "left"))
+        return Compared(apply, met.filter("_met").drop("_met"), met.filter("_met is null").drop("_met"))
     return Compared(apply, current.join(changed, keys, "left_semi"), current.join(changed, keys, "left_anti"))
 
 

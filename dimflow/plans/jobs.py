@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from dimflow.functions.rules import broken_rules
 from dimflow.operators import quality as q
-from dimflow.operators.changes import digest_of, of_one_type, with_digest, with_tracked, without_digests
+from dimflow.operators.changes import digest_name, digest_of, of_one_type, with_digest, with_tracked, without_digests
 from dimflow.operators.enrich import enrich_loans
 from dimflow.operators.slices import latest_per_key
 from dimflow.operators.splice import Splice, observations, splice
@@ -115,6 +115,9 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+# A column that has so many values at most in the first rows of an input is taken to have few.
+FIRST_ROWS, FEW_VALUES = 1000, 16
+
 # The columns of a Type 2 version's start and end.
 TYPE2_DATES = ("effective_start_date", "effective_end_date")
 
@@ -146,7 +149,8 @@ def ingest(
 ) -> Row | None:
     """CSV -> landed rows, valid and quarantined apart; returns the batch's log row.
 
-    The CSV is parsed once: one write sends every row to its outcome's directory, and counts it. Each row keeps the file it
+    The CSV is parsed once: one write sends every row to its outcome's directory, and counts it. Rows are shuffled to gather the
+    values of ``partition_by`` only if the first rows show many of them; that decides on the number of files, on nothing else. Each row keeps the file it
     came from, a row with values that do not parse its text, and a quarantined row the rules that it breaks. An empty
     input writes nothing and returns None. An input
     whose files are as they were when this batch was ingested is not read again.
@@ -156,13 +160,15 @@ def ingest(
     if known is not None and known.stamp == stamp:
         return known
     raw = with_source(read_loans_csv(spark, input_path, corrupt_column="malformed"))
-    if raw.isEmpty():
+    first = raw.select(partition_by).head(FIRST_ROWS)
+    if not first:
         return None
     extra = {"ingestion_timestamp": F.lit(now), "broken_rules": broken_rules()}
     rows = with_outcome(raw).withColumns(extra)
     folder = batch.folder(f"{landing_path}/rows")
     counts = {outcome: F.count_if(F.col("outcome") == outcome) for outcome in (VALID, ERROR)}
-    counted = write_partitioned(rows, folder, ["outcome", partition_by], mode="overwrite", counts=counts)
+    gather = len({row[0] for row in first}) > FEW_VALUES
+    counted = write_partitioned(rows, folder, ["outcome", partition_by], mode="overwrite", counts=counts, gather=gather)
     valid, errors = counted[VALID], counted[ERROR]
     entry = (date, batch.input, now, valid + errors, valid, errors, stamp)
     append_row(spark, f"{landing_path}/log", INGEST_LOG_SCHEMA, entry)
@@ -363,14 +369,15 @@ def _current(
 def _to_compare(
     spark: SparkSession, path: str, commit: Row | None, buckets: list[int], rebuilt: bool, updates: DataFrame, spec: DimSpec
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(slice, current rows), of one type, the slice with digests. Those stored with the current rows stay there if all files of the
+    """(slice, current rows), of one type, the slice with digests: those it has, or others if its types are widened. Those stored with the current rows stay there if all files of the
     buckets have them by today's tracked columns and types; else they are left out, and the merge makes them from the attributes."""
     if rebuilt:
-        return with_digest(updates, spec), None
+        return updates, None
     stored = read_current(spark, path, commit, buckets)
     updates, current = of_one_type(updates, without_digests(stored), spec)
-    updates = with_digest(updates, spec)
-    digest = digest_of(updates)
+    digest = digest_name(updates, spec)
+    if digest != digest_of(updates):
+        updates = with_digest(updates, spec)
     if digest in stored.columns and holds_column(spark, path, commit, digest, buckets):
         return updates, stored
     return updates, current
@@ -417,7 +424,7 @@ def scd2(
                 _splice_type2(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
-            updates = stage(latest_per_key(rows, spec))
+            updates = stage(with_digest(latest_per_key(rows, spec), spec))
             touched = _touched(updates, spec, commit)
             updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
             last = (commit.last_key if commit else 0) or 0
@@ -591,7 +598,7 @@ def scd4(
                 _splice_type4(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
-            updates = stage(latest_per_key(rows, spec))
+            updates = stage(with_digest(latest_per_key(rows, spec), spec))
             touched = _touched(updates, spec, commit)
             updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
             merge = merge_type4(updates, current, spec, process_date)

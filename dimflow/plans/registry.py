@@ -20,7 +20,7 @@ from dimflow.plans import jobs
 from dimflow.plans.views import BATCHES, Batch, loans, updates
 from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, LOAN_COLUMNS, DimSpec
 from dimflow.sources.logs import read_log
-from dimflow.sources.staging import delete_folder, new_folder, stage
+from dimflow.sources.staging import delete_folder, filesystem_of, new_folder, stage
 from dimflow.sources.versions import COMMIT_SCHEMA
 from dimflow.streaming.follow import merge_arrived
 from dimflow.streaming.incremental import MARK_SCHEMA, incremental_slice, next_mark, read_mark
@@ -310,8 +310,23 @@ def quality_report(spark, sf_dir):
     ).select("total_records", "error_records", "check", "m.error_count", "m.error_percentage")
 
 
-def _csv_of(spark: SparkSession, sf_dir: str, batch: Batch) -> str:
-    return _as_csv(batch.of(updates(spark, sf_dir)), "csv")
+def _csvs_of(spark: SparkSession, sf_dir: str, batches: Sequence[Batch]) -> list[str]:
+    """The updates of each batch as an input of its own, also of one that is named twice or has no rows. All are written in one
+    pass, as the tables are joined once for them."""
+    path = new_folder(spark, "csv")
+    rows = updates(spark, sf_dir)
+    places = F.array(*[F.when(batch.holds(), F.lit(i)) for i, batch in enumerate(batches)])
+    # Dates and times are made text by the query: the CSV writer's formatters take much longer.
+    texts = {c: F.col(c).cast("string") for c, type_ in rows.dtypes if type_ in ("date", "timestamp_ntz")}
+    placed = rows.select(*LOAN_COLUMNS, F.explode(places).alias("place")).filter("place is not null").withColumns(texts)
+    # Compressed files are read by one task each, so they are kept small.
+    options = {"header": True, "compression": "snappy", "maxRecordsPerFile": 200_000}
+    placed.write.partitionBy("place").options(**options).csv(path)
+    csvs = [f"{path}/place={i}" for i in range(len(batches))]
+    for csv in csvs:
+        filesystem, folder = filesystem_of(spark, csv)
+        filesystem.mkdirs(folder)
+    return csvs
 
 
 def run_batches(
@@ -319,8 +334,7 @@ def run_batches(
 ) -> str:
     """Run batches from their CSVs; returns the base path."""
     base = new_folder(spark, "base")
-    for batch in batches:
-        path = _csv_of(spark, sf_dir, batch)
+    for batch, path in zip(batches, _csvs_of(spark, sf_dir, batches)):
         jobs.run_batch(spark, path, base, batch.process_date, scd_type, _PARTITION_BY)
     return base
 
@@ -348,20 +362,18 @@ def run_type4_loan(spark, sf_dir):
 def run_type2_after_failure(spark, sf_dir):
     """The first two runs die after they have ingested; the third makes up for them."""
     base = new_folder(spark, "base")
-    *dead, last = BATCHES
-    for batch in dead:
-        csv = _csv_of(spark, sf_dir, batch)
+    *dead, last = zip(BATCHES, _csvs_of(spark, sf_dir, BATCHES))
+    for batch, csv in dead:
         jobs.ingest(spark, csv, f"{base}/ingested", batch.process_date, _PARTITION_BY)
-    csv = _csv_of(spark, sf_dir, last)
-    jobs.run_batch(spark, csv, base, last.process_date, 2, _PARTITION_BY)
+    jobs.run_batch(spark, last[1], base, last[0].process_date, 2, _PARTITION_BY)
     return jobs.read_type2(spark, f"{base}/type2", DIM_LOAN)
 
 
 def run_type4_after_type2(spark, sf_dir):
     """Type 2 runs, and then a run of Type 4: it has the versions that it would always have had."""
-    base = run_batches(spark, sf_dir, 2, BATCHES[:-1])
-    csv = _csv_of(spark, sf_dir, BATCHES[-1])
-    jobs.run_batch(spark, csv, base, BATCHES[-1].process_date, 4, _PARTITION_BY)
+    base = new_folder(spark, "base")
+    for batch, csv, scd_type in zip(BATCHES, _csvs_of(spark, sf_dir, BATCHES), (2, 2, 4)):
+        jobs.run_batch(spark, csv, base, batch.process_date, scd_type, _PARTITION_BY)
     return _versions4(spark, base, DIM_CUSTOMER)
 
 
@@ -369,7 +381,7 @@ def _two_files(spark, sf_dir) -> str:
     """Two inputs of one date, and the first of them again."""
     base, date = new_folder(spark, "base"), BATCHES[-1].process_date
     halves = [Batch(None, BATCHES[0].end, date), Batch(BATCHES[0].end, None, date)]
-    csvs = [_csv_of(spark, sf_dir, half) for half in halves]
+    csvs = _csvs_of(spark, sf_dir, halves)
     for csv in [*csvs, csvs[0]]:
         jobs.run_batch(spark, csv, base, date, 2, _PARTITION_BY)
     return base
@@ -441,8 +453,8 @@ def stream_type2(spark, sf_dir):
     """The batches as a file stream whose last micro-batch is replayed, as after a failure."""
     base = new_folder(spark, "base")
     landing, dims, checkpoint = f"{base}/ingested", f"{base}/type2", f"{base}/checkpoint"
-    for batch in BATCHES:
-        jobs.ingest(spark, _csv_of(spark, sf_dir, batch), landing, batch.process_date, _PARTITION_BY)
+    for batch, csv in zip(BATCHES, _csvs_of(spark, sf_dir, BATCHES)):
+        jobs.ingest(spark, csv, landing, batch.process_date, _PARTITION_BY)
         merge_arrived(spark, landing, dims, checkpoint)
     delete_folder(spark, f"{checkpoint}/commits/{len(BATCHES) - 1}")
     merge_arrived(spark, landing, dims, checkpoint)
@@ -465,9 +477,8 @@ _NARROW = replace(DIM_CUSTOMER, tracked=DIM_CUSTOMER.tracked[:-1])
 
 def _widened(spark: SparkSession, sf_dir: str, scd_type: int) -> str:
     base = new_folder(spark, "base")
-    for batch in BATCHES:
+    for batch, csv in zip(BATCHES, _csvs_of(spark, sf_dir, BATCHES)):
         specs = [_NARROW if batch is BATCHES[0] else DIM_CUSTOMER]
-        csv = _csv_of(spark, sf_dir, batch)
         jobs.run_batch(spark, csv, base, batch.process_date, scd_type, _PARTITION_BY, specs)
     return base
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # One text for both engines; ``{orders}`` and ``{customer}`` name the tables.
@@ -105,13 +105,16 @@ class Batch:
     end: dt.date | None
     process_date: dt.date
 
-    def of(self, df: DataFrame) -> DataFrame:
-        day = F.col("last_updated").cast("date")
+    def holds(self) -> Column:
+        day, holds = F.col("last_updated").cast("date"), F.lit(True)
         if self.start:
-            df = df.filter(day >= F.lit(self.start))
+            holds &= day >= F.lit(self.start)
         if self.end:
-            df = df.filter(day < F.lit(self.end))
-        return df
+            holds &= day < F.lit(self.end)
+        return holds
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return df.filter(self.holds())
 
 
 # Three batches that together hold every update.

@@ -356,3 +356,25 @@ def test_comparing_reads_keys_and_digests_only(spark, monkeypatch):
     assert f"ReadSchema: struct<a:string,b:int,{digest}:binary>" in plan_of(staged[0])
     assert rows_of(compared.apply, "a", changes.ACTION) == [("b", "changed"), ("c", "new")]
     assert rows_of(compared.changed, "a") == [("b",)] and rows_of(compared.kept, "a") == [("a",)]
+
+
+def test_many_changed_keys_meet_the_current_rows_once(spark, monkeypatch):
+    current = stage(with_digest(pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "x", 1.0), ("d", 1, None, None)), PAIR))
+    updates = stage(with_digest(pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "y", 1.0), ("c", 1, "x", 1.0)), PAIR))
+    few = changes.compare(updates, current, PAIR)
+    monkeypatch.setattr(changes, "FEW_KEYS", 0)
+    many = changes.compare(updates, current, PAIR)
+    for one, other in zip(few, many):
+        assert rows_of(one) == rows_of(other) and one.columns == other.columns
+    assert "Join" not in plan_of(many.changed) + plan_of(many.kept)
+
+
+def test_a_first_load_is_not_compared(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(changes, "stage", lambda df: staged.append(df) or stage(df))
+    updates = stage(with_digest(pairs(spark, ("a", 1, "x", 1.0), ("b", 1, "x", None)), PAIR))
+    for rows in (updates, without_digests(updates)):
+        merge = merge_type4(rows, None, PAIR, D1)
+        assert rows_of(merge.current, "a", "y") == [("a", 1.0), ("b", None)] and merge.archived.isEmpty()
+        assert digest_of(merge.current) == digest_of(rows)
+    assert staged == []

@@ -369,3 +369,23 @@ def test_stream_form_equals_the_stored_mark(spark, folder):
         assert rows_of(jobs.read_type2(spark, dims, spec)) == rows_of(
             jobs.read_type2(spark, f"{base}/type2", spec)
         )
+
+
+def test_few_values_are_landed_without_a_shuffle(spark, folder, loans, monkeypatch):
+    asked, write = [], jobs.write_partitioned
+
+    def noted(*args, gather, **kwargs):
+        asked.append(gather)
+        return write(*args, gather=gather, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_partitioned", noted)
+    days = [dt.date(2021, 1, 1) + dt.timedelta(n) for n in range(jobs.FEW_VALUES + 1)]
+    csv = folder("csv")
+    rows = [{"loan_id": f"L{n}", "application_date": d, "loan_amount": -1.0 if n % 5 == 0 else 1.0} for n, d in enumerate(days)]
+    loans(*rows).write.option("header", True).csv(csv)
+    for by in ("status", "application_date"):
+        landing = folder(by)
+        entry = jobs.ingest(spark, csv, landing, dt.date(2025, 1, 1), by)
+        assert (entry.valid_records, entry.error_records) == (13, 4)
+        assert jobs.read_ingested(spark, landing).count() == 13 and jobs.read_quarantine(spark, landing).count() == 4
+    assert asked == [False, True]

@@ -1,7 +1,7 @@
 import pytest
 from conftest import plan_of, rows_of
 
-from dimflow.functions.rules import CHECKS
+from dimflow.functions.rules import CHECKS, broken_rules
 from dimflow.operators import quality
 from dimflow.operators.validate import split_valid, validity_counts, with_outcome
 from dimflow.schemas import LOAN_STATUSES
@@ -109,3 +109,12 @@ def test_rules_reach_the_parquet_scan(spark, cases, folder):
     pushed = plan[plan.index("PushedFilters"):].splitlines()[0]
     for part in ("IsNotNull(customer_id)", "GreaterThan(loan_amount,0.0)", "GreaterThan(term_months,0)"):
         assert part in pushed
+
+
+def test_valid_rows_have_an_empty_list_of_broken_rules(loans):
+    rows = loans({"loan_id": "a"}, {"loan_id": "b", "customer_id": None, "loan_amount": -1.0})
+    found = rows.select("loan_id", broken_rules().alias("broken"))
+    assert found.schema["broken"].dataType.simpleString() == "array<string>"
+    assert rows_of(found) == [("a", []), ("b", ["missing_customer_id", "invalid_loan_amount"])]
+    # array_compact is not compiled; what most rows need does not go through it.
+    assert "CASE WHEN" in plan_of(found)
