@@ -272,7 +272,9 @@ def quarantine_reasons(spark, sf_dir):
 def ingest_empty_sides(spark, sf_dir):
     """A file of valid rows only, one of broken rows only and an empty one: the rows that each leaves in each
     table, those of them without a time, and their times, which are one for each run."""
-    landing, transformed, date = new_folder(spark, "landing"), new_folder(spark, "transformed"), BATCHES[-1].process_date
+    # One folder for both, as the audit rows lie beside the transformed ones: it is deleted as a whole.
+    base, date = new_folder(spark, "base"), BATCHES[-1].process_date
+    landing, transformed = f"{base}/ingested", f"{base}/transformed"
     valid, broken = split_valid(loans(spark, sf_dir))
     side_of = []
     for side, rows in {"clean": valid, "broken": broken, "empty": valid.filter("false")}.items():

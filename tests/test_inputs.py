@@ -1,6 +1,7 @@
 """The CSVs that queries of whole runs write for themselves."""
 
 import datetime as dt
+import os
 
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from dimflow.plans import registry
 from dimflow.plans.views import Batch
 from dimflow.schemas import LOAN_COLUMNS
+from dimflow.sources import staging
 from dimflow.sources.loans_csv import read_loans_csv
 
 
@@ -25,3 +27,12 @@ def test_all_inputs_are_written_in_one_pass(spark, loans, monkeypatch):
     assert found == [["L0"], ["L1", "L2"], [], ["L1", "L2"], ["L0", "L1", "L2", "L3"]]
     whole = read_loans_csv(spark, csvs[-1]).withColumn("last_updated", F.col("last_updated").cast("timestamp_ntz"))
     assert rows_of(whole, *LOAN_COLUMNS) == rows_of(rows, *LOAN_COLUMNS)
+
+
+def test_empty_sides_leave_nothing_behind(spark, loans, monkeypatch):
+    rows = loans({}, {"loan_id": "L2", "loan_amount": -1.0})
+    monkeypatch.setattr(registry, "loans", lambda *_: rows)
+    staging.release()
+    assert registry.ingest_empty_sides(spark, "").count() == 5
+    staging.release()
+    assert os.listdir(f"{spark.conf.get('spark.checkpoint.dir')}/dimflow") == []
