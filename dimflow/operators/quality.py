@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions import rules
@@ -18,13 +18,15 @@ def error_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("quality_issue") > 0)
 
 
+def totals() -> dict[str, Column]:
+    """The aggregates of `quality_totals` by name, for an aggregation or a write that observes them."""
+    sums = {c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint") for c in rules.CHECKS}
+    return {"total_records": F.count(F.lit(1)), "error_records": F.count_if(F.col("quality_issue") > 0), **sums}
+
+
 def quality_totals(flagged: DataFrame) -> DataFrame:
     """One row: total_records, error_records and the sum of every flag, in one pass."""
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("quality_issue") > 0).alias("error_records"),
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in rules.CHECKS],
-    )
+    return flagged.agg(*[c.alias(name) for name, c in totals().items()])
 
 
 def _percentage(count):

@@ -295,10 +295,9 @@ def _write_report(
             return None
         replace_folder(q.error_rows(flagged), errors_path(report_path))
     else:
-        # All flagged rows are error rows: they are written once, and counted as written.
-        replace_folder(q.error_rows(flagged), errors_path(report_path))
-        written = spark.read.schema(flagged.schema).parquet(errors_path(report_path))
-        counted = q.quality_totals(written).withColumn("total_records", F.lit(total)).first()
+        # All flagged rows are error rows: they are counted in the tasks that write them, and not read again.
+        observed = replace_folder(q.error_rows(flagged), errors_path(report_path), counts=q.totals())
+        counted = Row(*totals.columns)(*[{**observed, "total_records": total}[c] for c in totals.columns])
     report = q.quality_report(one_row(spark, totals.schema, counted))
     report.coalesce(1).write.mode("overwrite").json(report_path)
     return counted
@@ -327,15 +326,19 @@ def transform(
     if valid_records == 0:
         delete_folder(spark, folder)
         return 0
-    rows = read_ingested(spark, landing_path, [batch]).drop("batch", "input")
-    enriched = enrich_loans(rows).withColumn("transformation_timestamp", F.current_timestamp())
-    replace_folder(enriched, folder, [partition_by])
+    replace_folder(_enriched(spark, landing_path, batch).drop("batch", "input"), folder, [partition_by])
     now = dt.datetime.now(dt.timezone.utc).isoformat()
     audit = (now, landing_path, output_path, valid_records)
     append_row(spark, f"{output_path}_audit", AUDIT_SCHEMA, audit)
     return valid_records
 
 
+def _enriched(spark: SparkSession, landing_path: str, batch: Batch) -> DataFrame:
+    """The rows of a batch as they are transformed, from the landed ones."""
+    rows = enrich_loans(read_ingested(spark, landing_path, [batch]))
+    return rows.withColumn("transformation_timestamp", F.current_timestamp())
+
+
 def read_transformed(
     spark: SparkSession, path: str, batches: Iterable[Batch | dt.date] | None = None
 ) -> DataFrame:
@@ -639,6 +642,10 @@ def run_batch(
     the chosen type moves after each. So what a run that died has left is made up for by the next one
     as if it had not died, and nothing is changed twice. A batch with a date before that of one that arrived
     earlier is spliced into the dimensions, so they hold what they would if batches had come in the order of their dates.
+
+    The report is made beside the rest, which has no use for it, and a batch that is not late is merged from the landed rows while they are
+    transformed: small jobs and the last tasks of large ones do not keep the cluster waiting. A mark moves once
+    both are done. A report that fails raises when the batches are merged, and is made again by the same run.
     """
     if scd_type not in (2, 4):
         raise ValueError(f"scd_type is 2 or 4, not {scd_type!r}")
@@ -647,19 +654,26 @@ def run_batch(
     specs = tuple(specs)
 
     entry = ingest(spark, input_path, landing, process_date, partition_by)
-    if entry is not None:
-        batch = Batch(entry.batch, entry.input)
-        report = batch.folder(f"{base_path}/reports/quality")
-        check_batch_quality(spark, landing, batch, report, entry)
-
     merge = scd2 if scd_type == 2 else scd4
-    for waiting in pending_batches(spark, landing, read_mark(spark, marks)):
-        batch, valid = waiting.batch, waiting.valid_records
-        if transform(spark, landing, transformed, batch, partition_by, valid) > 0:
-            rows = read_transformed(spark, transformed, [batch])
-            arrived = utc_from_micros(waiting.micros)
-            seen = None
-            if batch.date < latest_date(spark, landing, arrived):
-                seen = read_transformed(spark, transformed).filter(F.col("ingestion_timestamp") <= F.lit(arrived))
-            merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs, seen)
-        write_mark(spark, marks, utc_from_micros(waiting.micros))
+    with ThreadPoolExecutor(2) as beside:
+        report = None
+        if entry is not None:
+            batch = Batch(entry.batch, entry.input)
+            folder = batch.folder(f"{base_path}/reports/quality")
+            report = beside.submit(check_batch_quality, spark, landing, batch, folder, entry)
+        for waiting in pending_batches(spark, landing, read_mark(spark, marks)):
+            batch, valid = waiting.batch, waiting.valid_records
+            transforming = beside.submit(transform, spark, landing, transformed, batch, partition_by, valid)
+            if valid > 0:
+                arrived, seen = utc_from_micros(waiting.micros), None
+                if batch.date < latest_date(spark, landing, arrived):
+                    transforming.result()
+                    rows = read_transformed(spark, transformed, [batch])
+                    seen = read_transformed(spark, transformed).filter(F.col("ingestion_timestamp") <= F.lit(arrived))
+                else:
+                    rows = _enriched(spark, landing, batch)
+                merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs, seen)
+            transforming.result()
+            write_mark(spark, marks, utc_from_micros(waiting.micros))
+        if report is not None:
+            report.result()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import threading
 from decimal import Decimal
 
 import pytest
@@ -389,3 +390,49 @@ def test_few_values_are_landed_without_a_shuffle(spark, folder, loans, monkeypat
         assert (entry.valid_records, entry.error_records) == (13, 4)
         assert jobs.read_ingested(spark, landing).count() == 13 and jobs.read_quarantine(spark, landing).count() == 4
     assert asked == [False, True]
+
+
+@pytest.mark.parametrize("scd_type", [2, 4])
+def test_a_batch_is_merged_and_reported_on_while_it_is_transformed(spark, folder, monkeypatch, scd_type):
+    """The transformation waits until the merge has begun and the report is there; a late batch is merged after it."""
+    merged, reported, waited = threading.Event(), threading.Event(), []
+    transform, merge, report = jobs.transform, getattr(jobs, f"scd{scd_type}"), jobs.check_batch_quality
+
+    def late(*args):
+        waited.append(merged.wait(60) and reported.wait(60))
+        return transform(*args)
+
+    monkeypatch.setattr(jobs, "transform", late)
+    monkeypatch.setattr(jobs, f"scd{scd_type}", lambda *args: merged.set() or merge(*args))
+    monkeypatch.setattr(jobs, "check_batch_quality", lambda *args: (report(*args), reported.set()))
+    base = folder("base")
+    jobs.run_batch(spark, csv_file(folder("in.csv"), *FIRST), base, D2, scd_type)
+    jobs.run_batch(spark, csv_file(folder("late.csv"), *SECOND), base, D1, scd_type)
+    assert waited == [True, True]
+    assert jobs.read_transformed(spark, f"{base}/transformed").count() == 6
+
+
+def test_a_report_that_fails_raises_and_is_made_by_the_next_run(spark, folder, monkeypatch):
+    base, csv = folder("base"), csv_file(folder("in.csv"), *FIRST)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "check_batch_quality", lost)
+        with pytest.raises(OSError, match="lost"):
+            jobs.run_batch(spark, csv, base, D1)
+    before = versions(spark, base, 2, DIM_LOAN)
+    assert len(before) == 3
+    jobs.run_batch(spark, csv, base, D1)
+    assert versions(spark, base, 2, DIM_LOAN) == before
+    assert rows_of(spark.read.json(f"{base}/reports/quality"), "total_records", "error_records") == [(5, 2)]
+
+
+def test_error_rows_are_counted_as_they_are_written(spark, folder, monkeypatch):
+    landing, asked, counted = folder("landing"), [], jobs.q.quality_totals
+    jobs.ingest(spark, csv_file(folder("in.csv"), *FIRST), landing, D1)
+    monkeypatch.setattr(jobs.q, "quality_totals", lambda rows: asked.append(rows.inputFiles()) or counted(rows))
+    report = jobs.check_batch_quality(spark, landing, batch(folder("in.csv"), D1), folder("report"))
+    assert (report.total_records, report.error_records, report.invalid_status) == (5, 2, 1)
+    assert not [file for files in asked for file in files if "report" in file]
