@@ -118,6 +118,9 @@ AUDIT_SCHEMA = T.StructType(
 # A column that has so many values at most in the first rows of an input is taken to have few.
 FIRST_ROWS, FEW_VALUES = 1000, 16
 
+# So many rows of a batch are looked at first, for whether it has keys of all buckets.
+FIRST_KEYS = 10_000
+
 # The columns of a Type 2 version's start and end.
 TYPE2_DATES = ("effective_start_date", "effective_end_date")
 
@@ -362,6 +365,22 @@ def _touched(updates: DataFrame, spec: DimSpec, commit: Row | None) -> list[int]
     return [r.bucket for r in updates.select(bucket).distinct().collect()]
 
 
+def _slice_to_merge(
+    spark: SparkSession, path: str, commit: Row | None, rebuilt: bool, rows: DataFrame, spec: DimSpec
+) -> tuple[DataFrame, DataFrame | None]:
+    """(slice with digests, current rows), as they are compared. A batch whose first rows have keys of every bucket, as those of large
+    ones do, is compared with all of them and not staged: the one join with the current rows takes the slice as the aggregate leaves it, by
+    key, and what comes of the join is staged. Else the slice is, as its buckets are to be known, or all of it is new."""
+    updates = with_digest(latest_per_key(rows, spec), spec)
+    if rebuilt:
+        return stage(updates), None
+    touched = _touched(rows.dropna(subset=list(spec.keys)).limit(FIRST_KEYS), spec, commit)
+    if len(touched) < len(commit.buckets) or not any(commit.buckets):
+        updates = stage(updates)
+        touched = _touched(updates, spec, commit)
+    return _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
+
+
 def _current(
     spark: SparkSession, path: str, commit: Row, buckets: Iterable[int] | None = None
 ) -> DataFrame:
@@ -427,9 +446,7 @@ def scd2(
                 _splice_type2(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
-            updates = stage(with_digest(latest_per_key(rows, spec), spec))
-            touched = _touched(updates, spec, commit)
-            updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
+            updates, current = _slice_to_merge(spark, path, commit, rebuilt, rows, spec)
             last = (commit.last_key if commit else 0) or 0
             last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
             merge = merge_type2(updates, current, spec, process_date, last_used)
@@ -601,9 +618,7 @@ def scd4(
                 _splice_type4(spark, path, commit, rows, seen, spec, process_date, source)
                 return
             _refuse_if_late(commit, process_date)
-            updates = stage(with_digest(latest_per_key(rows, spec), spec))
-            touched = _touched(updates, spec, commit)
-            updates, current = _to_compare(spark, path, commit, touched, rebuilt, updates, spec)
+            updates, current = _slice_to_merge(spark, path, commit, rebuilt, rows, spec)
             merge = merge_type4(updates, current, spec, process_date)
             _commit(spark, path, commit, merge, merge.archived, spec, process_date, None, rebuilt, source)
 

@@ -32,10 +32,19 @@ def valid_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_loans(split_valid(loans(spark, sf_dir))[0])
 
 
-def valid_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+# What the rules and the enrichment read.
+_RULED = ("customer_id", "loan_id", "loan_amount", "interest_rate", "term_months", "status")
+
+
+def valid_updates(spark: SparkSession, sf_dir: str, spec: DimSpec | None = None) -> DataFrame:
+    """The valid updates, enriched; with a ``spec`` only columns that its dimension, the rules and the enrichment read."""
     # Staged, as landed rows are: the rules would be inlined over the view's expressions, and what is generated
-    # from both is more than the JVM compiles.
-    return enrich_loans(split_valid(stage(updates(spark, sf_dir)))[0])
+    # from both is more than the JVM compiles. Columns are chosen before, as none is left out once they are written.
+    rows = updates(spark, sf_dir)
+    if spec is not None:
+        needed = {*_RULED, *spec.columns, *spec.order_by}
+        rows = rows.select(*[c for c in rows.columns if c in needed])
+    return enrich_loans(split_valid(stage(rows))[0])
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -90,11 +99,11 @@ def transform(spark, sf_dir):
 
 
 def dim_customer_slice(spark, sf_dir):
-    return latest_per_key(valid_updates(spark, sf_dir), DIM_CUSTOMER)
+    return latest_per_key(valid_updates(spark, sf_dir, DIM_CUSTOMER), DIM_CUSTOMER)
 
 
 def dim_loan_slice(spark, sf_dir):
-    return latest_per_key(valid_updates(spark, sf_dir), DIM_LOAN)
+    return latest_per_key(valid_updates(spark, sf_dir, DIM_LOAN), DIM_LOAN)
 
 
 def type2_after(
@@ -104,7 +113,7 @@ def type2_after(
     batches: Sequence[Batch] = BATCHES,
 ) -> DataFrame:
     """The Type 2 dimension after some batches, staged between them as a table would be."""
-    rows = valid_updates(spark, sf_dir)
+    rows = valid_updates(spark, sf_dir, spec)
     dim = None
     for batch in batches:
         before = None if dim is None else stage(dim)
@@ -117,7 +126,7 @@ def type4_after(
     spark: SparkSession, sf_dir: str, spec: DimSpec, batches: Sequence[Batch] = BATCHES
 ) -> tuple[DataFrame, DataFrame]:
     """(current, history) of the Type 4 dimension after some batches."""
-    rows = valid_updates(spark, sf_dir)
+    rows = valid_updates(spark, sf_dir, spec)
     current, archived = None, []
     for batch in batches:
         changes = stage(latest_per_key(batch.of(rows), spec))
@@ -136,7 +145,7 @@ def scd2_bootstrap(spark, sf_dir):
 def scd2_changes(spark, sf_dir):
     first, second, _ = BATCHES
     current = serve.current_rows(type2_after(spark, sf_dir, DIM_CUSTOMER, [first]))
-    rest = Batch(second.start, None, BATCHES[-1].process_date).of(valid_updates(spark, sf_dir))
+    rest = Batch(second.start, None, BATCHES[-1].process_date).of(valid_updates(spark, sf_dir, DIM_CUSTOMER))
     changes = stage(latest_per_key(rest, DIM_CUSTOMER))
     compared = classify(changes, current, DIM_CUSTOMER)
     return compared.filter(F.col(ACTION) != ABSENT).select(
@@ -466,7 +475,7 @@ def stream_type2(spark, sf_dir):
 
 def scd2_widened_type(spark, sf_dir):
     """A tracked column is an integer at first, then a long one, then a double."""
-    dims, rows = new_folder(spark, "dims"), valid_updates(spark, sf_dir)
+    dims, rows = new_folder(spark, "dims"), valid_updates(spark, sf_dir, DIM_LOAN)
     for batch, type_ in zip(BATCHES, ("int", "bigint", "double")):
         typed = batch.of(rows).withColumn("term_months", F.col("term_months").cast(type_))
         jobs.scd2(spark, typed, dims, batch.process_date, [DIM_LOAN])

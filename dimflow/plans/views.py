@@ -34,7 +34,7 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 
 # Updates of the loans: a loan has one for each of its line items, on its shipping date. Values
 # of both dimensions change, and are missing at times.
-UPDATES_SQL = """
+_UPDATES_SELECT = """
 SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL
             ELSE concat('C', CAST(o_custkey AS STRING)) END AS customer_id,
        CASE WHEN (o_orderkey + l_linenumber) % 103 = 0 THEN NULL
@@ -64,7 +64,13 @@ SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL
        CASE WHEN (o_orderkey + l_linenumber) % 10 = 0 THEN NULL
             ELSE c_acctbal * 10e0 END AS annual_income,
        l_shipdate AS last_updated
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+"""
+UPDATES_SQL = f"""{_UPDATES_SELECT}\
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey
+"""
+# The same rows, joined in another order: line items, of which there are most, are shuffled once, not again by customer.
+_UPDATES_JOINED = f"""{_UPDATES_SELECT}\
+FROM {{lineitem}} JOIN ({{orders}} JOIN {{customer}} ON o_custkey = c_custkey) ON l_orderkey = o_orderkey
 """
 
 
@@ -86,7 +92,7 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All updates of the loans, several rows each."""
     lineitem = spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet")
     orders, customer = _orders(spark, sf_dir), _customer(spark, sf_dir)
-    return spark.sql(UPDATES_SQL, lineitem=lineitem, orders=orders, customer=customer)
+    return spark.sql(_UPDATES_JOINED, lineitem=lineitem, orders=orders, customer=customer)
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
