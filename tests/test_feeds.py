@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import LOAN, rows_of
+from conftest import LOAN, plan_of, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_splice import BATCHES, csv_file, day, run
@@ -68,6 +68,47 @@ def test_streamed_batches_have_their_own_dates(spark, folder):
     assert log.count() == 3
 
 
+def test_a_streamed_merge_reads_the_columns_of_its_dimension(spark, folder, monkeypatch):
+    """Also with one date for all that waits, and where nothing valid does."""
+    landing, given = folder("landing"), []
+    monkeypatch.setattr(follow, "scd2", lambda session, rows, *rest, **named: given.append(rows))
+    jobs.ingest(spark, csv_file(folder("0.csv"), *BATCHES[0]), landing, day(0))
+    follow.merge_arrived(spark, landing, folder("dims"), folder("one"))
+    follow.merge_arrived(spark, landing, folder("dims"), folder("all"), day(5))
+    for rows in given:
+        plan = plan_of(rows.select("customer_id"))
+        assert "ExistingRDD" not in plan and "ReadSchema: struct<customer_id:string,ingestion_timestamp:timestamp>" in plan
+    jobs.ingest(spark, csv_file(folder("1.csv"), {"customer_id": "C1", "loan_amount": -1.0}), landing, day(1))
+    follow.merge_arrived(spark, landing, folder("dims"), folder("one"))
+    expected = [(row["customer_id"],) for row in BATCHES[0]]
+    assert len(given) == 2 and all(rows_of(rows, "customer_id") == sorted(expected) for rows in given)
+
+
+def test_a_batch_with_keys_of_all_buckets_is_not_staged(spark, loans, folder, monkeypatch):
+    """It goes into the join as it is aggregated; the versions are those that a batch of few keys leaves."""
+    staged, stage = [], jobs.stage
+    monkeypatch.setattr(jobs, "stage", lambda df: staged.append(df) or stage(df))
+    first = loans(*[{"customer_id": f"C{n}", "customer_name": "A"} for n in range(600)])
+    second = loans(*[{"customer_id": f"C{n}", "customer_name": "AB"[n % 2]} for n in range(300, 900)], {"customer_id": None})
+    third = loans({"customer_id": "C0", "customer_name": "B"}, {"customer_id": None})
+    for scd_type, merge in ((2, jobs.scd2), (4, jobs.scd4)):
+        counts = []
+        for at, rows in enumerate((first, second, third)):
+            merge(spark, rows, folder(str(scd_type)), day(at), [DIM_CUSTOMER])
+            counts.append(len(staged))
+            staged.clear()
+        assert counts == [1, 0, 1]
+    changed = [0, *range(301, 600, 2)]
+    dim = jobs.read_type2(spark, folder("2"), DIM_CUSTOMER)
+    assert rows_of(dim.filter("not is_current"), "customer_id", "customer_name") == sorted((f"C{n}", "A") for n in changed)
+    current, history = jobs.read_type4(spark, folder("4"), DIM_CUSTOMER)
+    expected = [(f"C{n}", "B" if n == 0 or n > 300 and n % 2 else "A") for n in range(900)]
+    assert rows_of(current, "customer_id", "customer_name") == sorted(expected)
+    assert rows_of(dim.filter("is_current"), "customer_id", "customer_name") == sorted(expected)
+    assert rows_of(history, "customer_id", "customer_name") == sorted((f"C{n}", "A") for n in changed)
+    assert rows_of(dim.select("surrogate_key")) == sorted([(n + 1,) for n in range(dim.count())], key=repr)
+
+
 COUNTED = DimSpec("dim_counted", keys=("customer_id",), tracked=("n",), order_by=("last_updated",))
 
 
