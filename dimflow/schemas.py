@@ -33,6 +33,12 @@ FIRST_MARK = dt.datetime(1900, 1, 1, tzinfo=dt.timezone.utc)
 
 VALID, ERROR = "valid", "error"
 
+# Columns with so many values that a dictionary of them, which parquet makes of every column at first, is mostly given up again.
+# Digests are not among them: few values of tracked columns give few digests.
+MANY_VALUES = (
+    "customer_id", "loan_id", "loan_amount", "monthly_payment", "customer_name", "annual_income", "surrogate_key",
+)
+
 
 @dataclass(frozen=True)
 class DimSpec:

@@ -18,6 +18,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimflow.schemas import MANY_VALUES
+
 _open_scope: ContextVar[list[str] | None] = ContextVar("dimflow_staging", default=None)
 _unscoped: list[tuple[SparkSession, str]] = []
 
@@ -50,11 +52,16 @@ def new_folder(spark: SparkSession, name: str = "staged") -> str:
     return path
 
 
+def plain_columns(df: DataFrame) -> dict[str, str]:
+    """Write options by which columns of many values get no dictionary: to make one and give it up takes a good part of a write."""
+    return {f"parquet.enable.dictionary#{c}": "false" for c in df.columns if c in MANY_VALUES}
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of the copy."""
     spark = df.sparkSession
     path = new_folder(spark)
-    df.write.parquet(path)
+    df.write.options(**plain_columns(df)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,7 +70,7 @@ def stage_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFram
     path = new_folder(spark)
     with staging_scope(spark):
         df = build()
-        df.write.parquet(path)
+        df.write.options(**plain_columns(df)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
@@ -160,6 +161,34 @@ def test_what_was_staged_on_the_way_is_deleted(spark):
     assert os.listdir(f"{shared}/dimflow") == []
 
 
+def _with_dictionary(path):
+    """The columns of the files in a folder that are written by a dictionary."""
+    found = set()
+    for at, _, names in os.walk(path):
+        for name in (n for n in names if n.endswith(".parquet")):
+            group = pq.ParquetFile(f"{at}/{name}").metadata.row_group(0)
+            columns = [group.column(i) for i in range(group.num_columns)]
+            found |= {c.path_in_schema for c in columns if c.has_dictionary_page}
+    return found
+
+
+def test_columns_of_many_values_are_written_without_a_dictionary(spark, folder):
+    # Equal values, so that the dictionaries of the other columns are kept.
+    rows = spark.range(200).selectExpr(
+        "'L1' AS loan_id", "'C1' AS customer_id", "1e0 AS monthly_payment", "'Repaid' AS status", "id % 2 AS half"
+    )
+    replace_folder(rows, folder("flat"))
+    write_partitioned(rows, folder("parts"), ["half"], mode="overwrite")
+    staged = staging.stage(rows)
+    alone = staging.stage_alone(spark, lambda: rows)
+    assert _with_dictionary(folder("flat")) == {"status", "half"}
+    assert _with_dictionary(folder("parts")) == {"status"}
+    for df in (staged, alone):
+        (at,) = {os.path.dirname(f.removeprefix("file://")) for f in df.inputFiles()}
+        assert _with_dictionary(at) == {"status", "half"}
+        assert rows_of(df, "loan_id", "status", "half") == rows_of(rows, "loan_id", "status", "half")
+
+
 def test_release_deletes_what_no_scope_owns(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     staging.release()
