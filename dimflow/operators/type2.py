@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.operators.changes import ACTION, NEW, compare, digest_of, with_tracked
+from dimflow.operators.changes import ACTION, NEW, compare, digest_of, with_digest, with_tracked, without_digests
 from dimflow.operators.surrogate import number_densely, place_in_order
 from dimflow.schemas import OPEN_END, DimSpec
 
@@ -75,9 +75,10 @@ def merge_type2(
     run_date = F.lit(process_date).cast("date")
     compared = compare(updates, current, spec)
     changes_first = [F.col(ACTION) == NEW, *[F.col(k) for k in spec.keys]]
-    delta = place_in_order(compared.apply, changes_first)
+    delta = place_in_order(without_digests(compared.apply), changes_first)
 
-    inserted = number_densely(delta, last_used).withColumns(
+    numbered = number_densely(delta, last_used)
+    inserted = (with_digest(numbered, spec) if digest else numbered).withColumns(
         {
             "effective_start_date": run_date,
             "effective_end_date": F.lit(OPEN_END),

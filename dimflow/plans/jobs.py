@@ -49,7 +49,7 @@ from dimflow.schemas import (
 )
 from dimflow.sources.loans_csv import read_loans_csv, with_source
 from dimflow.sources.logs import append_row, one_row, read_log
-from dimflow.sources.staging import delete_folder, stage, staging_scope
+from dimflow.sources.staging import delete_folder, free_shuffles, stage, staging_scope
 from dimflow.sources.tables import input_stamp, replace_folder, write_partitioned
 from dimflow.sources.versions import (
     bucket_of,
@@ -456,14 +456,15 @@ def scd2(
 
 
 def _commit(spark, path, commit, merge, ended, spec, process_date, last_key, rebuilt, source) -> None:
-    """Write a merge, unless nothing has changed."""
+    """Write a merge, unless nothing has changed. Digests are made again where the rows are written: to shuffle them takes more."""
     bucket = bucket_of(spec.keys, None if rebuilt else commit).alias("bucket")
     changed = dict(merge.delta.groupBy(bucket).count().collect())
     if changed or commit is None:
         after = None if last_key is None else last_key + sum(changed.values())
         commit_version(
-            spark, path, commit, merge.current, spec.keys, changed, ended, process_date, after, rebuilt, source=source
-        )
+            spark, path, commit, without_digests(merge.current), spec.keys, changed, ended, process_date, after, rebuilt,
+            source=source, finish=lambda rows: with_digest(rows, spec),
+        )
 
 
 def _spliced(
@@ -483,6 +484,7 @@ def _spliced(
         *[c for c in spec.columns if c in older.columns], "valid_from", "valid_to", *carried
     )
     made = splice(touched, old, observations(seen, spec, since), spec, since, carried)
+    free_shuffles(spark)
     others = with_tracked(current, rows, spec).join(touched, list(spec.keys), "left_anti").filter(inside)
     return made, others, buckets
 
@@ -500,9 +502,9 @@ def _splice_type2(spark, path, commit, rows, seen, spec, since, source) -> None:
     last = commit.last_key or 0
     last_used = one_row(spark, T.StructType([T.StructField("last_key", T.LongType())]), (last,))
     placed = place_in_order(fresh, [F.col(TYPE2_DATES[0]), *map(F.col, spec.keys), F.col(TYPE2_DATES[1])])
-    numbered = stage(number_densely(placed, last_used).select(*columns))
+    numbered = number_densely(placed, last_used).select(*columns)
     every = versions.filter("surrogate_key is not null").select(*columns).unionByName(numbered)
-    after = last + numbered.count()
+    after = last + placed.count()
     _commit_splice(spark, path, commit, made, every, "is_current", others.select(*columns), buckets, spec, since, after, source)
 
 
@@ -524,13 +526,13 @@ def _commit_splice(spark, path, commit, made, every, is_open, others, buckets, s
     live = [c for c in others.columns]
     ended = every.filter(~F.col(is_open))
     ended = ended.drop(*[c for c in ("_open",) if c in ended.columns])
-    current = with_digest(others.unionByName(every.filter(is_open).select(*live)), spec)
+    current = others.unionByName(every.filter(is_open).select(*live))
     names = made.outdated.columns
     start = TYPE2_DATES[0] if TYPE2_DATES[0] in live else CURRENT_SCHEMA.names[0]
     outdated = made.outdated.withColumnRenamed(names[-1], start)
     commit_version(
         spark, path, commit, current, spec.keys, buckets, ended, max(since, commit.process_date), last_key,
-        outdated=outdated, source=source,
+        outdated=outdated, source=source, finish=lambda rows: with_digest(rows, spec),
     )
 
 
@@ -690,5 +692,6 @@ def run_batch(
                 merge(spark, rows, f"{base_path}/type{scd_type}", batch.date, specs, seen)
             transforming.result()
             write_mark(spark, marks, utc_from_micros(waiting.micros))
+            free_shuffles(spark)
         if report is not None:
             report.result()

@@ -20,7 +20,8 @@ from dimflow.plans import jobs
 from dimflow.plans.views import BATCHES, Batch, loans, updates
 from dimflow.schemas import DIM_CUSTOMER, DIM_LOAN, LOAN_COLUMNS, DimSpec
 from dimflow.sources.logs import read_log
-from dimflow.sources.staging import delete_folder, filesystem_of, new_folder, stage
+from dimflow.sources.staging import delete_folder, filesystem_of, free_shuffles, new_folder, stage
+from dimflow.sources.tables import unsorted
 from dimflow.sources.versions import COMMIT_SCHEMA
 from dimflow.streaming.follow import merge_arrived
 from dimflow.streaming.incremental import MARK_SCHEMA, incremental_slice, next_mark, read_mark
@@ -332,7 +333,9 @@ def _csvs_of(spark: SparkSession, sf_dir: str, batches: Sequence[Batch]) -> list
     placed = rows.select(*LOAN_COLUMNS, F.explode(places).alias("place")).filter("place is not null").withColumns(texts)
     # Compressed files are read by one task each, so they are kept small.
     options = {"header": True, "compression": "snappy", "maxRecordsPerFile": 200_000}
-    placed.write.partitionBy("place").options(**options).csv(path)
+    with unsorted(spark):
+        placed.write.partitionBy("place").options(**options).csv(path)
+    free_shuffles(spark)
     csvs = [f"{path}/place={i}" for i in range(len(batches))]
     for csv in csvs:
         filesystem, folder = filesystem_of(spark, csv)
@@ -343,10 +346,11 @@ def _csvs_of(spark: SparkSession, sf_dir: str, batches: Sequence[Batch]) -> list
 def run_batches(
     spark: SparkSession, sf_dir: str, scd_type: int, batches: Sequence[Batch] = BATCHES
 ) -> str:
-    """Run batches from their CSVs; returns the base path."""
+    """Run batches from their CSVs, each of which is deleted once its run is over; returns the base path."""
     base = new_folder(spark, "base")
     for batch, path in zip(batches, _csvs_of(spark, sf_dir, batches)):
         jobs.run_batch(spark, path, base, batch.process_date, scd_type, _PARTITION_BY)
+        delete_folder(spark, path)
     return base
 
 

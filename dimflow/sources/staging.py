@@ -110,6 +110,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     filesystem.delete(target, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files deleted that no query can read any more. Spark does so once the driver's JVM has collected garbage, for which one
+    with memory to spare may wait half an hour, while the files of every step fill the disks."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def filesystem_of(spark: SparkSession, path: str) -> tuple:
     """(Hadoop filesystem, path) of a path."""
     context = spark.sparkContext

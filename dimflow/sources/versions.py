@@ -179,25 +179,26 @@ def commit_version(
     rebuilt: bool = False,
     outdated: DataFrame | None = None,
     source: str | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Write the version after ``previous`` and make it the table's newest.
 
     ``current`` has all current rows of the ``changed`` buckets; the other buckets stay as they
     are, or become empty if the table is ``rebuilt``. ``outdated`` (keys and starts) are the history rows of
-    earlier versions that this one replaces.
+    earlier versions that this one replaces. ``finish`` adds columns to current rows once they lie in their buckets.
     """
     version = previous.version + 1 if previous else 1
     buckets = [0] * BUCKETS if rebuilt or not previous else list(previous.buckets)
     rows = current.withColumn("bucket", bucket_of(keys, None if rebuilt else previous))
     rows = rows.filter(F.col("bucket").isin(*changed))
-    write_partitioned(rows, f"{path}/current/table_version={version}", ["bucket"], mode="overwrite")
+    write_partitioned(rows, f"{path}/current/table_version={version}", ["bucket"], mode="overwrite", finish=finish)
     replace_folder(ended, f"{path}/history/table_version={version}")
     if outdated is not None:
         replace_folder(outdated, f"{path}/outdated/table_version={version}")
     for b in changed:
         buckets[b] = version
     now = dt.datetime.now(dt.timezone.utc)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (finish(current) if finish else current).schema)
     row = (version, buckets, columns, last_key, process_date, now, source)
     append_row(spark, f"{path}/commits", COMMIT_SCHEMA, row)
     return version

@@ -30,6 +30,17 @@ def test_all_inputs_are_written_in_one_pass(spark, loans, monkeypatch):
     assert rows_of(whole, *LOAN_COLUMNS) == rows_of(rows, *LOAN_COLUMNS)
 
 
+def test_inputs_are_deleted_once_their_runs_are_over(spark, folder, monkeypatch):
+    csvs, there = [folder("first"), folder("second")], []
+    for csv in csvs:
+        os.mkdir(csv)
+    monkeypatch.setattr(registry, "_csvs_of", lambda *_: csvs)
+    monkeypatch.setattr(registry.jobs, "run_batch", lambda *_: there.append([os.path.exists(csv) for csv in csvs]))
+    registry.run_batches(spark, "", 2, views.BATCHES[:2])
+    assert there == [[True, True], [False, True]]
+    assert not any(os.path.exists(csv) for csv in csvs)
+
+
 def test_empty_sides_leave_nothing_behind(spark, loans, monkeypatch):
     rows = loans({}, {"loan_id": "L2", "loan_amount": -1.0})
     monkeypatch.setattr(registry, "loans", lambda *_: rows)

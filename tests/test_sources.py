@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -11,9 +12,11 @@ from dimflow.sources import staging, versions
 from dimflow.sources.loans_csv import read_loans_csv
 from dimflow.sources.logs import append_row, read_log
 from dimflow.sources.tables import (
+    OPEN_FILES,
     input_stamp,
     load_optional,
     replace_folder,
+    unsorted,
     write_partitioned,
 )
 from dimflow.streaming.incremental import (
@@ -189,6 +192,64 @@ def test_columns_of_many_values_are_written_without_a_dictionary(spark, folder):
         assert rows_of(df, "loan_id", "status", "half") == rows_of(rows, "loan_id", "status", "half")
 
 
+def test_tables_are_written_compactly(spark, folder):
+    rows = spark.range(1000).selectExpr("id", "id % 4 AS part")
+    write_partitioned(rows, folder("parts"), ["part"], mode="overwrite")
+    codecs = set()
+    for at, _, names in os.walk(folder("parts")):
+        for name in (n for n in names if n.endswith(".parquet")):
+            codecs.add(pq.ParquetFile(f"{at}/{name}").metadata.row_group(0).column(0).compression)
+    assert codecs == {"ZSTD"}
+    assert rows_of(spark.read.parquet(folder("parts")), "id", "part") == rows_of(rows, "id", "part")
+
+
+SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def test_partitioned_writes_need_no_sort(spark, folder):
+    """Writes inside keep files open; the setting is taken back by the last one out, and one that the session has stays. What
+    has more values than files open is written whole."""
+    with unsorted(spark):
+        with unsorted(spark):
+            assert spark.conf.get(SETTING) == str(OPEN_FILES)
+        assert spark.conf.get(SETTING) == str(OPEN_FILES)
+    assert spark.conf.get(SETTING) == "0"
+    rows = spark.range(3000).selectExpr("id", f"id % {3 * OPEN_FILES} AS part")
+    write_partitioned(rows, folder("many"), ["part"], mode="overwrite", gather=False)
+    assert rows_of(spark.read.parquet(folder("many")), "id", "part") == rows_of(rows, "id", "part")
+    spark.conf.set(SETTING, "5")
+    try:
+        with unsorted(spark):
+            assert spark.conf.get(SETTING) == "5"
+        assert spark.conf.get(SETTING) == "5"
+    finally:
+        spark.conf.unset(SETTING)
+
+
+def test_shuffle_files_of_finished_queries_are_deleted(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def blocks():
+        return {b for b in disk.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_")}
+
+    before = blocks()
+    spark.range(10_000).groupBy(F.col("id") % 7).count().write.format("noop").mode("overwrite").save()
+    made = blocks() - before
+    assert made
+    for _ in range(50):
+        staging.free_shuffles(spark)
+        if not made & blocks():
+            break
+        time.sleep(0.2)
+    assert not made & blocks()
+
+
+def test_what_is_made_of_other_columns_is_not_shuffled(spark, folder):
+    rows = spark.range(100).selectExpr("id", "id % 2 AS part")
+    write_partitioned(rows, folder("made"), ["part"], mode="overwrite", finish=lambda df: df.withColumn("twice", F.col("id") * 2))
+    assert rows_of(spark.read.parquet(folder("made")), "id", "twice") == [(i, 2 * i) for i in sorted(range(100), key=lambda i: repr((i, 2 * i)))]
+
+
 def test_release_deletes_what_no_scope_owns(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     staging.release()

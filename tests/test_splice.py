@@ -3,10 +3,12 @@
 import datetime as dt
 import itertools
 import random
+import re
 
 import pytest
-from conftest import LOAN, rows_of
+from conftest import LOAN, plan_of, rows_of
 
+from dimflow.operators import splice as splicing
 from dimflow.operators.splice import observations, splice
 from dimflow.plans import jobs
 from dimflow.schemas import DIM_CUSTOMER, LOAN_COLUMNS, OPEN_END, DimSpec
@@ -65,6 +67,30 @@ def test_equals_replay(spark, seed):
     assert len({r.surrogate_key for r in kept}) == len(kept)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_many_keys_equal_replay(spark, monkeypatch, seed):
+    """Keys that are too many to broadcast, as those of a late batch that is larger than what came before."""
+    monkeypatch.setattr(splicing, "FEW_KEYS", 0)
+    test_equals_replay(spark, seed)
+
+
+def test_rows_are_shuffled_once_by_key(spark, monkeypatch):
+    """Beside the shuffle of observations by batch and key: versions and observations in one, and the keys themselves."""
+    plans = []
+    monkeypatch.setattr(splicing, "FEW_KEYS", 0)
+    monkeypatch.setattr(splicing, "stage", lambda df: plans.append(plan_of(df)) or df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.createDataFrame([("k", 1, "p", 1.0, 0, day(2), time_of(0))], SEEN)
+        old = spark.createDataFrame([("k", 1, "p", 1.0, 7, day(2), OPEN_END)], OLD)
+        splice(table.select("a", "b"), old, observations(table, SPEC, day(1)), SPEC, day(1), ("surrogate_key",))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (plan,) = plans
+    shuffles = [line for line in plan.splitlines() if re.match(r"\(\d+\) Exchange", line)]
+    assert len(shuffles) == 3
+
+
 def csv_file(path, *rows):
     with open(path, "w") as file:
         file.write(",".join(LOAN_COLUMNS) + "\n")
